@@ -32,11 +32,17 @@ _OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
                       keys: Sequence[str] = ("task_time",), x: str = "x1", y: str = "x2",
-                      ctx_id: str = "point_id", tgt_id: str = "target_id") -> DataFrame:
-    """(keys, ctx_id, tgt_id, d2) for every context/target pair closer than ``radius``."""
+                      ctx_id: str = "point_id", tgt_id: str = "target_id",
+                      carry: Sequence[str] = ()) -> DataFrame:
+    """(keys, carry, ctx_id, tgt_id, d2) for every context/target pair closer than ``radius``.
+
+    ``keys`` must match on both sides (e.g. the task date); ``carry`` columns
+    come from the context only (e.g. the date of a context set joined to a
+    static target grid).
+    """
     r = float(radius)
-    ctx = context.select(*keys, F.col(ctx_id).alias("__cid"), F.col(x).alias("__cx"), F.col(y).alias("__cy"),
-                         *[c for c in context.columns if c == "value"])
+    ctx = context.select(*keys, *carry, F.col(ctx_id).alias("__cid"), F.col(x).alias("__cx"),
+                         F.col(y).alias("__cy"), *[c for c in context.columns if c == "value"])
     offs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _OFFSETS])
     ctx = (ctx.withColumn("__o", F.explode(offs))
            .withColumn("__ti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
@@ -46,13 +52,13 @@ def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
     pairs = ctx.join(tgt, [*keys, "__ti", "__tj"])
     d2 = (F.col("__cx") - F.col("__tx")) ** 2 + (F.col("__cy") - F.col("__ty")) ** 2
     out = pairs.withColumn("d2", d2).filter(F.col("d2") <= F.lit(r * r))
-    return out.select(*keys, F.col("__cid").alias(ctx_id), F.col("__tid").alias(tgt_id), "d2",
+    return out.select(*keys, *carry, F.col("__cid").alias(ctx_id), F.col("__tid").alias(tgt_id), "d2",
                       *[c for c in ctx.columns if c == "value"])
 
 
 def kernel_sums(context: DataFrame, targets: DataFrame, lengthscale: float, radius: float | None = None,
                 keys: Sequence[str] = ("task_time",), x: str = "x1", y: str = "x2",
-                ctx_id: str = "point_id", tgt_id: str = "target_id") -> DataFrame:
+                ctx_id: str = "point_id", tgt_id: str = "target_id", carry: Sequence[str] = ()) -> DataFrame:
     """M1: set-convolution encoding per target: density sum(w), sum(w*y), sum(w*y^2).
 
     Context rows with a missing value are ignored.  Aggregation is partial
@@ -60,9 +66,9 @@ def kernel_sums(context: DataFrame, targets: DataFrame, lengthscale: float, radi
     """
     radius = radius if radius is not None else 3.0 * lengthscale
     ctx = context.filter(F.col("value").isNotNull())
-    pairs = kernel_neighbours(ctx, targets, radius, keys, x, y, ctx_id, tgt_id)
+    pairs = kernel_neighbours(ctx, targets, radius, keys, x, y, ctx_id, tgt_id, carry)
     w = F.exp(-F.col("d2") / F.lit(2.0 * lengthscale * lengthscale))
-    return pairs.groupBy(*keys, tgt_id).agg(
+    return pairs.groupBy(*keys, *carry, tgt_id).agg(
         F.sum(w).alias("density"), F.sum(w * F.col("value")).alias("sum_wy"),
         F.sum(w * F.col("value") * F.col("value")).alias("sum_wyy"))
 

@@ -1,6 +1,6 @@
 """All registered queries.  Importing a module registers its queries."""
 
-from . import q_clean, q_climate, q_grid, q_normalize, q_kernel, q_quality, q_scoring, q_tasks  # noqa: F401
+from . import q_clean, q_climate, q_grid, q_normalize, q_kernel, q_placement, q_quality, q_scoring, q_tasks  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
