@@ -109,3 +109,23 @@ def q_best_checkpoint(spark, sf_dir):
     curve = S.epoch_loss(fixture(spark, sf_dir, "training_log")).select(
         "epoch", F.col("loss").alias("val_rmse"))
     return rounded(S.best_checkpoint(curve), ["val_rmse"])
+
+
+@query("apply_elementwise",
+       "select time, lat_idx, lon_idx, case when sst is null then null when sst / 100e0 > 0.2e0 then 0 "
+       "else 1 end::bigint as binary_ice_indicator from sst_grid", uses=("sst_grid",))
+def q_apply_elementwise(spark, sf_dir):
+    from ..functions.udf import apply_elementwise, ice_indicator_pandas
+    ice = apply_elementwise(ice_indicator_pandas, "bigint")
+    g = sst_grid(spark, sf_dir)
+    return g.select("time", "lat_idx", "lon_idx", ice(F.col("sst") / 100.0).alias("binary_ice_indicator"))
+
+
+@query("score_partitions",
+       "with " + _J + "select time, round(sqrt(avg((mean - truth) * (mean - truth))), 6) as rmse, "
+       "count(mean - truth) as n from j group by time", uses=("pred", "sst_grid"))
+def q_score_partitions(spark, sf_dir):
+    from ..functions.udf import rmse_per_task, score_partitions
+    s = scored(spark, sf_dir).select("time", "mean", "truth")
+    out = score_partitions(s, "time", rmse_per_task, "time date, rmse double, n long")
+    return rounded(out, ["rmse"])
