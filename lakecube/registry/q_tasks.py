@@ -200,3 +200,29 @@ def q_target_none(spark, sf_dir):
     used = quality.available_dates(D.date_range_subsample(g, 30), g)
     out = T.target_none(used, [T.TaskSet("sst", g, 20, seed=42)], N.fit_coord_map(mask), 45.0, -85.0, "sst")
     return _r(out)
+
+
+@query("remove_target_nans",
+       _TASK_CTES + "select * from tasks where value is not null or role <> 'target'",
+       uses=("sst_grid", "lakemask", "bathymetry"))
+def q_remove_target_nans(spark, sf_dir):
+    return _r(T.remove_nans(_tasks(spark, sf_dir), "target"))
+
+
+@query("remove_context_nans",
+       _TASK_CTES + "select * from tasks where value is not null or role <> 'context'",
+       uses=("sst_grid", "lakemask", "bathymetry"))
+def q_remove_context_nans(spark, sf_dir):
+    return _r(T.remove_nans(_tasks(spark, sf_dir), "context"))
+
+
+@query("append_points",
+       f"select pos as point_id, lat_idx, lon_idx, lat, lon from ({_order(42)}) where pos < 10 "
+       f"union all select 10 + pos, lat_idx, lon_idx, lat, lon from ({_order(7)}) where pos < 1",
+       uses=("lakemask",))
+def q_append_points(spark, sf_dir):
+    from ..operators import sets
+    mask = fixture(spark, sf_dir, "lakemask")
+    base = sampling.random_points(mask, 10, seed=42)
+    new = sampling.random_points(mask, 1, seed=7).withColumn("point_id", F.col("point_id") + 10)
+    return sets.append_points(base, new)
