@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize_small
 from .clean import CELL, value_columns
 
 # Static grids (mask, bathymetry) have one row per cell; broadcast below this.
@@ -58,9 +58,10 @@ def bracket(points: DataFrame, value: str, intervals: DataFrame, prefix: str,
     exploded interval table is size-checked before it is broadcast.  Points
     outside the axis get NULL brackets (``how='left'``) or are dropped.
     """
-    lo_min = intervals.select(F.min("lo")).scalar()
-    hi_max = intervals.select(F.max("hi")).scalar()
-    n = intervals.select(F.count(F.lit(1)).cast("double")).scalar()
+    # one scalar subquery (reused wherever it appears in the plan)
+    ext = intervals.select(F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                    F.count(F.lit(1)).cast("double").alias("n"))).scalar()
+    lo_min, hi_max, n = ext.getField("lo"), ext.getField("hi"), ext.getField("n")
     width = (hi_max - lo_min) / n
 
     def bucket(c):
@@ -94,8 +95,8 @@ def nearest_on_axis(points: DataFrame, value: str, axis: DataFrame, label: str,
     src = points
     val = value
     if extrapolate:
-        lo = axis.select(F.min(label)).scalar()
-        hi = axis.select(F.max(label)).scalar()
+        ext = axis.select(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
+        lo, hi = ext.getField("lo"), ext.getField("hi")
         src = points.withColumn("__clamped", F.least(F.greatest(F.col(value), lo), hi))
         val = "__clamped"
     b = bracket(src, val, iv, "__br")
@@ -109,6 +110,32 @@ def nearest_on_axis(points: DataFrame, value: str, axis: DataFrame, label: str,
     return out.drop(*[c for c in out.columns if c.startswith("__br_")], "__clamped")
 
 
+def nearest_axis_map(t_axis: DataFrame, t_val: str, s_axis: DataFrame, s_val: str, name: str,
+                     prefer: str = "lower") -> DataFrame:
+    """Nearest source label for every target label of two axis tables (no extrapolation).
+
+    Both axes (one row per grid line) are sorted together once: for each
+    target label the previous and next source labels come from running
+    ``last``/``first`` windows, and the nearer one wins (ties -> ``prefer``).
+    The window has no partition key and is only ever used on axis tables.
+    """
+    s = s_axis.select(F.col(s_val).cast("double").alias("__v"), F.lit(0).alias("__tag"),
+                      F.col(s_val).alias("__s"))
+    t = t_axis.select(F.col(t_val).cast("double").alias("__v"), F.lit(1).alias("__tag"),
+                      F.lit(None).cast(s_axis.schema[s_val].dataType).alias("__s"), *t_axis.columns)
+    u = s.unionByName(t, allowMissingColumns=True)
+    w = Window.orderBy("__v", "__tag")
+    prev = F.last("__s", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    nxt = F.first("__s", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    m = u.withColumns({"__p": prev, "__n": nxt}).filter(F.col("__tag") == 1)
+    d_p = F.col("__v") - F.col("__p").cast("double")
+    d_n = F.col("__n").cast("double") - F.col("__v")
+    take_p = (d_p < d_n) | ((d_p == d_n) & F.lit(prefer == "lower"))
+    pick = F.when(F.col("__p").isNull() | F.col("__n").isNull(), F.lit(None)) \
+        .when(take_p, F.col("__p")).otherwise(F.col("__n"))
+    return m.select(*t_axis.columns, pick.alias(name))
+
+
 # --- regridding --------------------------------------------------------------------------
 
 def regrid_nearest(source: DataFrame, target: DataFrame, value_cols: Sequence[str],
@@ -121,8 +148,9 @@ def regrid_nearest(source: DataFrame, target: DataFrame, value_cols: Sequence[st
     single equi-join on (time, lat, lon) of the source.
     """
     def axis_map(t_axis, t_key, t_val, s_axis, s_val, name):
-        m = nearest_on_axis(t_axis, t_val, s_axis, s_val, s_val, prefix=name)
-        return broadcast_if_small(m.select(t_key, F.col(name)), STATIC_BROADCAST_ROWS)
+        # one sorted pass over the two axis tables, materialised once (one row per target label)
+        return materialize_small(nearest_axis_map(t_axis, t_val, s_axis, s_val, name).select(t_key, name),
+                                 "axis-map")
 
     t_time = target.select(time_col).distinct().withColumn("__d", F.unix_date(time_col).cast("double"))
     s_time = source.select(F.unix_date(time_col).cast("double").alias("__d")).distinct()
@@ -219,10 +247,10 @@ def sample_at_points(grid: DataFrame, points: DataFrame, lat: str = "lat", lon:
     and equi-joined to the cube on the integer cell key.
     """
     cols = list(value_cols) if value_cols is not None else value_columns(grid)
-    m = nearest_on_axis(points, lat, grid.select("lat_idx", "lat").distinct(), "lat", "lat_idx",
-                        prefix="__nlat", prefer="upper", extrapolate=True)
-    m = nearest_on_axis(m, lon, grid.select("lon_idx", "lon").distinct(), "lon", "lon_idx",
-                        prefix="__nlon", prefer="upper", extrapolate=True)
+    lat_axis = materialize_small(grid.select("lat_idx", "lat").distinct())
+    lon_axis = materialize_small(grid.select("lon_idx", "lon").distinct())
+    m = nearest_on_axis(points, lat, lat_axis, "lat", "lat_idx", prefix="__nlat", prefer="upper", extrapolate=True)
+    m = nearest_on_axis(m, lon, lon_axis, "lon", "lon_idx", prefix="__nlon", prefer="upper", extrapolate=True)
     cellmap = broadcast_if_small(m.select(*points.columns, F.col("__nlat_idx").alias("lat_idx"),
                                           F.col("__nlon_idx").alias("lon_idx")), STATIC_BROADCAST_ROWS)
     g = grid.select("time", *CELL, *cols)

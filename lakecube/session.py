@@ -81,3 +81,18 @@ def one_row(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def materialize_small(df: DataFrame, tag: str = "small") -> DataFrame:
+    """Write a derived table once as Parquet under the shared checkpoint folder
+    and read it back.
+
+    Later scalar subqueries, size checks and joins read the written files
+    instead of re-running the plan over the big table it came from; the
+    lineage is cut (survives executor loss), and the file size gives Catalyst
+    real statistics for its own broadcast threshold.
+    """
+    import uuid
+    path = scratch_path(df.sparkSession, f"{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
