@@ -7,14 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from .clean import CELL, value_columns
 
-# A climatology has 12 rows per cell.  Up to this many rows it is broadcast to the
-# anomaly join (≈ 200k cells); beyond it the join shuffles on (month, cell) and
-# AQE's skew-join split handles a hot cell.
-CLIMATOLOGY_BROADCAST_ROWS = 2_500_000
-
 
 def climatology(grid: DataFrame, value_cols: Sequence[str] | None = None,
                 time_col: str = "time") -> DataFrame:
@@ -42,7 +36,12 @@ def anomalies(grid: DataFrame, clim: DataFrame, value_cols: Sequence[str] | None
     renamed = clim.select(F.col("month").alias("__month"), F.col("lat_idx").alias("__lat_idx"),
                           F.col("lon_idx").alias("__lon_idx"),
                           *[F.col(c).alias(f"__clim_{c}") for c in cols])
-    small = broadcast_if_small(renamed, CLIMATOLOGY_BROADCAST_ROWS)
+    # No hint: a saved climatology carries file-size statistics, so Catalyst
+    # broadcasts it when it is under the broadcast threshold; an in-flight
+    # aggregate is measured by AQE at run time (and a hot cell on the big side
+    # is split by AQE's skew-join handling).  Counting it first would cost a
+    # full extra pass over the cube.
+    small = renamed
     keyed = grid.withColumns({"__month": F.month(time_col).cast("bigint"),
                               "__lat_idx": F.col("lat_idx"), "__lon_idx": F.col("lon_idx")})
     joined = keyed.join(small, keys, "left")

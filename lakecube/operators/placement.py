@@ -20,10 +20,10 @@ noise * (1/sqrt(1 + w) - 1).  No candidate x target x date product is built.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, ensure_checkpoint_dir
+from ..session import broadcast_if_small, ensure_checkpoint_dir, materialize_small
 from .clean import CELL
 from .kernel import kernel_neighbours, kernel_sums, predict_grid
 from .normalize import apply_coord_map
@@ -98,21 +98,25 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
     ``points``: the initial context cells (lat_idx, lon_idx, ...).  ``infill``
     optionally gives the value assumed at a new sensor (time, lat_idx, lon_idx,
     value); otherwise the current predicted mean is used (0 where undefined).
-    Each round is one distributed job; the growing point set is checkpointed
-    to the shared checkpoint folder so the lineage stays one round long.
+    Each round is a few distributed jobs; the surface, the winner and the
+    growing point set are written under the shared checkpoint folder, so the
+    lineage stays one round long and survives executor loss.
     Chosen cells are excluded from later rounds unless ``allow_repeat``.
     """
     ensure_checkpoint_dir(points.sparkSession)
     radius = radius if radius is not None else 3.0 * lengthscale
-    cells = search_cells(mask, coord_params)
-    cells = cells.checkpoint()
-    pairs = _pairs(cells, radius, lengthscale).checkpoint()
-    d = dates.select("time").distinct()
+    cells = materialize_small(search_cells(mask, coord_params), "cells")
+    pairs = materialize_small(_pairs(cells, radius, lengthscale), "pairs")
+    d = materialize_small(dates.select("time").distinct(), "dates")
+    # truth on the task dates and water cells only, written once and reused by every round
+    truth = materialize_small(truth.join(d, "time", "left_semi")
+                              .join(cells.select(*CELL), list(CELL), "left_semi")
+                              .select("time", *CELL, var), "truth")
     n_dates = d.count()
     n_cells = cells.count()
     total = float(n_dates * n_cells)
-    cur = (points.select(*CELL).join(cells, list(CELL))
-           .select(*CELL, "x1", "x2", "cell_id", "lat", "lon")).checkpoint()
+    cur = materialize_small(points.select(*CELL).join(cells, list(CELL))
+                            .select(*CELL, "x1", "x2", "cell_id", "lat", "lon"), "context")
     chosen_rounds, surfaces = [], []
     for it in range(n_new):
         ctx = context_values(cur, truth, d, var)
@@ -139,13 +143,14 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
                 .join(absent, cells["cell_id"] == absent["cand"], "left").drop("cand")
                 .select(F.lit(it).cast("bigint").alias("iteration"), "cell_id", *CELL, "lat", "lon", "x1", "x2",
                         ((base + F.coalesce("__dp", F.lit(0.0)) + F.coalesce("__da", F.lit(0.0)))
-                         / F.lit(total)).alias("acquisition"))).checkpoint()
+                         / F.lit(total)).alias("acquisition")))
+        surf = materialize_small(surf, "surface")
         sums.unpersist()
         pool = surf if allow_repeat else surf.join(cur.select("cell_id"), "cell_id", "left_anti")
-        best = argmax_cell(pool, largest=False).checkpoint()
+        best = materialize_small(argmax_cell(pool, largest=False), "chosen")
         chosen_rounds.append(best)
         surfaces.append(surf)
-        cur = cur.unionByName(best.select(*cur.columns)).checkpoint()
+        cur = materialize_small(cur.unionByName(best.select(*cur.columns)), "context")
     chosen = chosen_rounds[0]
     for b in chosen_rounds[1:]:
         chosen = chosen.unionByName(b)
@@ -161,9 +166,10 @@ def placement_eval(points: DataFrame, chosen: DataFrame, truth: DataFrame, mask:
     """M6: after 0..N added sensors, mask-weighted RMSE, mean std and NLL of the
     prediction against truth on the task dates (one row per round)."""
     radius = radius if radius is not None else 3.0 * lengthscale
-    cells = search_cells(mask, coord_params)
-    d = dates.select("time").distinct()
-    targets = (apply_coord_map(truth.join(d, "time", "left_semi"), coord_params)
+    cells = materialize_small(search_cells(mask, coord_params), "cells")
+    d = materialize_small(dates.select("time").distinct(), "dates")
+    truth = materialize_small(truth.join(d, "time", "left_semi").select("time", *CELL, "lat", "lon", var), "truth")
+    targets = (apply_coord_map(truth, coord_params)
                .join(cells.select(*CELL), list(CELL), "left_semi")
                .select(F.col("time").alias("task_time"), cell_id().alias("target_id"), "x1", "x2",
                        *CELL, F.col(var).alias("truth")))
@@ -190,6 +196,11 @@ def proposed_infill(points: DataFrame, truth: DataFrame, dates: DataFrame, var:
 
 
 def first_occurrence(chosen: DataFrame, keys=("lat", "lon"), order: str = "iteration") -> DataFrame:
-    """Keep the first time each location was chosen (ordered de-duplication)."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return chosen.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    """Keep the first time each location was chosen (ordered de-duplication).
+
+    A ``min_by`` aggregate per location: partial aggregation runs before the
+    shuffle, so a location chosen very often is reduced map-side.
+    """
+    rest = [c for c in chosen.columns if c not in keys]
+    first = chosen.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__f"))
+    return first.select(*keys, *[F.col(f"__f.{c}").alias(c) for c in rest]).select(*chosen.columns)

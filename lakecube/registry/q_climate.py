@@ -105,8 +105,9 @@ def q_validate_grid(spark, sf_dir):
 
 _FLAGSHIP_SQL = (
     "with g as (select cast(time as date) as time, lat_idx, lon_idx, sst from sst_grid), "
-    "a as (select time, lat_idx, lon_idx, sst - avg(sst) over (partition by month(time), lat_idx, lon_idx) as sst "
-    "from g), "
+    "c as (select cast(month(time) as bigint) as m, lat_idx, lon_idx, avg(sst) as s from g group by 1, 2, 3), "
+    "a as (select g.time, g.lat_idx, g.lon_idx, g.sst - c.s as sst from g left join c "
+    "on cast(month(g.time) as bigint) = c.m and g.lat_idx = c.lat_idx and g.lon_idx = c.lon_idx), "
     "m as (select a.time, case when k.mask = 1 then a.sst end as sst from a join lakemask k "
     "on a.lat_idx = k.lat_idx and a.lon_idx = k.lon_idx), "
     "d as (select time, avg(sst) as sst from m group by time) "
@@ -114,11 +115,12 @@ _FLAGSHIP_SQL = (
 
 
 def masked_anomaly_report(spark, sf_dir):
-    """Scan -> fill values to NULL -> day dates -> one-pass anomalies -> lake mask ->
-    monthly mean-anomaly check (S7, F1, W4, J2, A20)."""
+    """Scan -> fill values to NULL -> day dates -> monthly climatology -> anomalies ->
+    lake mask -> monthly mean-anomaly check (S7, F1, A1, J1, J2, A20)."""
     raw, mask = fixtures(spark, sf_dir, "sst_raw", "lakemask")
     g = clean.sentinel_to_null(raw).withColumn("time", C.standardize_dates("time"))
-    a = clim.anomaly_window(g.select("time", "lat_idx", "lon_idx", "sst"))
+    g = g.select("time", "lat_idx", "lon_idx", "sst")
+    a = clim.anomalies(g, clim.climatology(g))
     masked = grid.apply_mask(a, mask)
     return rounded(clim.anomaly_check(masked, "sst"), ["mean_anomaly"])
 
