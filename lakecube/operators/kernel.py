@@ -118,19 +118,20 @@ def gap_fill(grid: DataFrame, var: str, lengthscale: float, noise: float = 1.0,
              time_col: str = "time") -> DataFrame:
     """Fill missing values of each date from the non-missing cells of that date.
 
-    Returns the grid with ``var`` filled where it was NULL (and the kernel had
-    context), a ``filled`` flag, and the kernel std of the filled cells.
+    Returns every grid row: rows with a value unchanged (``filled`` false), and
+    rows without one carrying the kernel mean where the kernel had context
+    (``filled`` true) and its std in ``fill_std``.  The result is a union of
+    the untouched rows and the predicted rows, so the full grid is never
+    re-joined or shuffled.
     """
     cid = (F.col("lat_idx") * F.lit(1_000_000) + F.col("lon_idx")).cast("bigint")
     ctx = grid.filter(F.col(var).isNotNull()).select(
         F.col(time_col).alias("task_time"), cid.alias("point_id"), x, y, F.col(var).alias("value"))
-    tgt = grid.filter(F.col(var).isNull()).select(
-        F.col(time_col).alias("task_time"), cid.alias("target_id"), x, y)
+    tgt = grid.filter(F.col(var).isNull()).withColumns({"task_time": F.col(time_col), "target_id": cid})
     pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y)
-    fill = pred.select(F.col("task_time").alias(time_col), F.col("target_id").alias("__cid"),
-                       F.col("mean").alias("__mean"), F.col("std").alias("fill_std"))
-    g = grid.withColumn("__cid", cid)
-    out = g.join(fill, [time_col, "__cid"], "left")
-    return out.withColumns({
-        var: F.coalesce(F.col(var), F.col("__mean")),
-        "filled": F.col(var).isNull() & F.col("__mean").isNotNull()}).drop("__cid", "__mean")
+    filled = pred.withColumns({var: F.col("mean"), "filled": F.col("mean").isNotNull(),
+                               "fill_std": F.col("std")})
+    kept = grid.filter(F.col(var).isNotNull()).withColumns(
+        {"filled": F.lit(False), "fill_std": F.lit(None).cast("double")})
+    cols = [*grid.columns, "filled", "fill_std"]
+    return kept.select(*cols).unionByName(filled.select(*cols))

@@ -61,12 +61,22 @@ def fit_coord_map(df: DataFrame, x1: str = "lat", x2: str = "lon") -> DataFrame:
     return row.select(F.explode(rows).alias("p")).select("p.*")
 
 
-def _param(params: DataFrame, var: str, field: str) -> Column:
-    return params.filter(F.col("var") == var).select(F.first(field)).scalar()
+def _params(params: DataFrame, var: str, *fields: str) -> Column:
+    """One scalar subquery holding every parameter of ``var`` (a struct).
+
+    Fields are read from the same subquery, which Spark evaluates once per
+    plan, so a fit over a big table is not repeated per parameter.
+    """
+    return (params.filter(F.col("var") == var)
+            .select(F.struct(*[F.first(f).alias(f) for f in fields])).scalar())
 
 
-def _axis(coord_params: DataFrame, axis: str, field: str) -> Column:
-    return coord_params.filter(F.col("axis") == axis).select(F.first(field)).scalar()
+def _coords(coord_params: DataFrame) -> Column:
+    """The whole coordinate map as one struct scalar: lo/hi of x1 and x2."""
+    def pick(axis, field):
+        return F.max(F.when(F.col("axis") == axis, F.col(field)))
+    return coord_params.select(F.struct(pick("x1", "lo").alias("lo1"), pick("x1", "hi").alias("hi1"),
+                                        pick("x2", "lo").alias("lo2"), pick("x2", "hi").alias("hi2"))).scalar()
 
 
 def apply_mean_std(df: DataFrame, params: DataFrame, cols: Sequence[str], inverse: bool = False,
@@ -74,7 +84,8 @@ def apply_mean_std(df: DataFrame, params: DataFrame, cols: Sequence[str], invers
     """z-score each column with its fitted mean/std (or undo it)."""
     out = {}
     for c in cols:
-        m, s = _param(params, c, "mean"), _param(params, c, "std")
+        p = _params(params, c, "mean", "std")
+        m, s = p.getField("mean"), p.getField("std")
         out[c] = (C.mean_std_inverse(c, m, s, add_offset) if inverse else C.mean_std_forward(c, m, s))
     return df.withColumns(out)
 
@@ -84,7 +95,8 @@ def apply_min_max(df: DataFrame, params: DataFrame, cols: Sequence[str], inverse
     """min-max scale each column onto ``feature_range`` (or undo it)."""
     out = {}
     for c in cols:
-        lo, hi = _param(params, c, "min"), _param(params, c, "max")
+        p = _params(params, c, "min", "max")
+        lo, hi = p.getField("min"), p.getField("max")
         out[c] = (C.min_max_inverse(c, lo, hi, feature_range) if inverse
                   else C.min_max_forward(c, lo, hi, feature_range))
     return df.withColumns(out)
@@ -93,9 +105,10 @@ def apply_min_max(df: DataFrame, params: DataFrame, cols: Sequence[str], inverse
 def apply_coord_map(df: DataFrame, coord_params: DataFrame, x1: str = "lat", x2: str = "lon",
                     inverse: bool = False, out1: str = "x1", out2: str = "x2") -> DataFrame:
     """(lat, lon) -> (x1, x2) = (c - lo) / span, or back with ``inverse``."""
+    cp = _coords(coord_params)
     res = {}
-    for axis, src, dst in (("x1", x1, out1), ("x2", x2, out2)):
-        lo, hi = _axis(coord_params, axis, "lo"), _axis(coord_params, axis, "hi")
+    for k, src, dst in (("1", x1, out1), ("2", x2, out2)):
+        lo, hi = cp.getField(f"lo{k}"), cp.getField(f"hi{k}")
         res[dst] = C.affine_inverse(src, lo, hi - lo) if inverse else C.affine_forward(src, lo, hi - lo)
     return df.withColumns(res)
 

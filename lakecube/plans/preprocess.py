@@ -19,21 +19,30 @@ from ..sinks import writers as W
 
 
 def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None) -> tuple[DataFrame, dict]:
+    """Run the job; with ``out_dir`` every intermediate is written and reused:
+    the saved climatology feeds the anomaly join (file statistics let Catalyst
+    broadcast it when small) and the saved normaliser feeds the z-score, so
+    each statistic is computed exactly once."""
     spark = grid.sparkSession
     g = grid.withColumn("time", C.standardize_dates("time")).select("time", "lat_idx", "lon_idx", var)
     c = clim.climatology(g, [var])
-    anom = rename_vars(clim.anomalies(g, c, [var]), {var: f"{var}_anom"})
-    params = N.fit_mean_std(anom, [f"{var}_anom"])
-    norm = N.apply_mean_std(anom, params, [f"{var}_anom"])
     paths: dict = {}
     if out_dir is not None:
         base = out_dir.rstrip("/")
         saved = W.save_climatology(c, g, f"{base}/seasonal_cycles", [var])
-        W.write_grid(norm, f"{base}/{var}_anom_norm")
+        c, _ = W.load_climatology(spark, saved["seasonal_cycle_path"])
+        paths.update(saved)
+    anom = rename_vars(clim.anomalies(g, c, [var]), {var: f"{var}_anom"})
+    params = N.fit_mean_std(anom, [f"{var}_anom"])
+    if out_dir is not None:
         N.save_norm_params(params, f"{base}/data_processor")
-        W.write_manifest(spark, f"{base}/manifest", saved["id"], saved, f"{base}/data_processor")
-        paths = {**saved, "grid": f"{base}/{var}_anom_norm", "data_processor": f"{base}/data_processor",
-                 "manifest": f"{base}/manifest"}
+        params, _ = N.load_norm_params(spark, f"{base}/data_processor")
+    norm = N.apply_mean_std(anom, params, [f"{var}_anom"])
+    if out_dir is not None:
+        W.write_grid(norm, f"{base}/{var}_anom_norm")
+        W.write_manifest(spark, f"{base}/manifest", paths["id"], paths, f"{base}/data_processor")
+        paths.update({"grid": f"{base}/{var}_anom_norm", "data_processor": f"{base}/data_processor",
+                      "manifest": f"{base}/manifest"})
         norm = spark.read.parquet(paths["grid"]).drop("year")
     return norm, paths
 
