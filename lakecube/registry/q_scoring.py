@@ -54,7 +54,8 @@ def q_gaussian_nll(spark, sf_dir):
 
 
 @query("band",
-       "select time, lat_idx, lon_idx, round(mean - 1e0 * std, 6) as lower, round(mean + 1e0 * std, 6) as upper "
+       "select time, lat_idx, lon_idx, round(mean - 1e0 * std, 6) + 0e0 as lower, "
+       "round(mean + 1e0 * std, 6) + 0e0 as upper "
        "from pred", uses=("pred",))
 def q_band(spark, sf_dir):
     from ..functions import columns as C
