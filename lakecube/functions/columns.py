@@ -134,6 +134,11 @@ def numeric_or_null(c: ColumnOrName) -> Column:
     return F.when(s.rlike(NUMERIC_STRING_PATTERN), s.try_cast("double"))
 
 
+def numeric_or_null_array(c: ColumnOrName) -> Column:
+    """F16 over an array of strings (element-wise, NULL for non-numeric elements)."""
+    return F.transform(_c(c), numeric_or_null)
+
+
 def store_path(base: ColumnOrName, name: ColumnOrName, year: ColumnOrName,
                suffix: str = ".zarr") -> Column:
     """``{base without trailing /}/{NAME}_{year}{suffix}``."""

@@ -130,11 +130,10 @@ def var_list_sizes(grid: DataFrame, time_col: str = "time") -> DataFrame:
     """variables and dimension sizes of a grid, as (kind, name, size) rows."""
     spark = grid.sparkSession
     variables = value_columns(grid)
-    dims = grid.agg(F.countDistinct(time_col).alias("time"), F.countDistinct("lat_idx").alias("lat"),
-                    F.countDistinct("lon_idx").alias("lon"))
-    dim_rows = dims.select(F.explode(F.map_from_arrays(
-        F.array(*[F.lit(n) for n in ("time", "lat", "lon")]),
-        F.array(F.col("time"), F.col("lat"), F.col("lon")))).alias("name", "size"))
+    # one narrow distinct count per dimension (scalar subqueries), no multi-distinct expansion
+    sizes = [grid.select(F.countDistinct(c)).scalar() for c in (time_col, "lat_idx", "lon_idx")]
+    dim_rows = spark.range(1).select(F.explode(F.map_from_arrays(
+        F.array(*[F.lit(n) for n in ("time", "lat", "lon")]), F.array(*sizes))).alias("name", "size"))
     var_rows = spark.createDataFrame([(v,) for v in variables], "name string").select(
         F.lit("var").alias("kind"), "name", F.lit(None).cast("bigint").alias("size"))
     return dim_rows.select(F.lit("dim").alias("kind"), "name", "size").unionByName(var_rows)

@@ -332,3 +332,23 @@ def q_preprocess(spark, sf_dir):
 
 
 
+
+
+@query("load_chunk_store",
+       "select 'embedding' as var, cast(floor(pos / 16) as bigint) as t_idx, "
+       "cast(floor(vec_id / 5) * 4 + floor(pos / 4) % 4 as bigint) as lat_idx, cast(pos % 4 as bigint) as lon_idx, "
+       "cast(embedding[pos + 1] as double) as value, cast(1995 + vec_id % 5 as integer) as year, "
+       "cast(make_date(cast(1995 + vec_id % 5 as integer), 1, 1) + cast(floor(pos / 16) as integer) as date) as time "
+       "from (select vec_id, embedding, unnest(range(len(embedding))) as pos from embeddings) "
+       "where 1995 + vec_id % 5 = 1997")
+def q_load_chunk_store(spark, sf_dir):
+    """S2 with format 'chunks': a year-partitioned chunk store loaded, flattened and dated."""
+    e = read_table(spark, sf_dir, "embeddings")
+    chunks = e.select((F.lit(1995) + F.col("vec_id") % 5).cast("int").alias("year"),
+                      F.lit("embedding").alias("var"), F.lit(0).alias("t0"),
+                      (F.floor(F.col("vec_id") / 5) * 4).cast("int").alias("i0"), F.lit(0).alias("j0"),
+                      F.array(F.lit(4), F.lit(4), F.lit(4)).alias("shape"), F.col("embedding").alias("payload"))
+    path = _scratch(spark, "chunk_store")
+    chunks.write.partitionBy("year").parquet(path)
+    cat = CAT.read_catalog(spark, _write_catalog(spark, {"glsea": {"path": path, "format": "chunks"}}))
+    return CAT.load_dataset(spark, cat, "glsea", year=1997)

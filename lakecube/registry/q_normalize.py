@@ -137,3 +137,13 @@ def q_load_norm_params(spark, sf_dir):
 def q_load_coord_params(spark, sf_dir):
     _, coords = _roundtrip(spark, sf_dir)
     return coords
+
+
+@query("numeric_strings_array",
+       "select o_orderkey, list_transform(string_split(o_orderpriority, '-'), lambda x: case when "
+       "regexp_full_match(x, '[-+]?\\d*\\.?\\d+([eE][-+]?\\d+)?') then try_cast(x as double) end) as numbers "
+       "from orders")
+def q_numeric_strings_array(spark, sf_dir):
+    from ..session import read_table
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", C.numeric_or_null_array(F.split("o_orderpriority", "-")).alias("numbers"))

@@ -20,7 +20,7 @@ CATALOG_SCHEMA = ("datasets map<string, struct<description: string, path: string
 
 # Readers for the formats a catalog may name.  "zarr"/"netcdf" stores are
 # expected to have been converted to one of these (chunk tables: see grid_store).
-READERS = {"parquet": "parquet", "csv": "csv", "json": "json", "orc": "orc"}
+READERS = {"parquet": "parquet", "csv": "csv", "json": "json", "orc": "orc", "chunks": "parquet"}
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +60,14 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
     df = reader.load(entry["path"])
     if year is not None:
         df = df.filter(F.col("year") == F.lit(year))
+    if fmt == "chunks":
+        # array store held as chunk rows: flatten, then dates by position when
+        # the store has no time axis of its own
+        from .grid_store import flatten_chunks, positional_time
+        keep = [c for c in ("year",) if c in df.columns]
+        df = flatten_chunks(df, keep=keep)
+        if keep:
+            df = positional_time(df)
     if sentinel is not None:
         df = sentinel_to_null(df, sentinel)
     if rename:
