@@ -15,6 +15,11 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def div(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """a / b, NULL where b is 0 (ANSI mode would raise on a zero divisor)."""
+    return F.try_divide(_c(a), _c(b))
+
+
 def _null_d() -> Column:
     return F.lit(None).cast("double")
 
@@ -96,7 +101,7 @@ def band(mean: ColumnOrName, std: ColumnOrName, k: float = 1.0) -> tuple[Column,
 
 def affine_forward(c: ColumnOrName, lo: ColumnOrName, span: ColumnOrName) -> Column:
     """(c - lo) / span."""
-    return (_c(c) - _c(lo)) / _c(span)
+    return div(_c(c) - _c(lo), _c(span))
 
 
 def affine_inverse(x: ColumnOrName, lo: ColumnOrName, span: ColumnOrName) -> Column:
@@ -105,7 +110,7 @@ def affine_inverse(x: ColumnOrName, lo: ColumnOrName, span: ColumnOrName) -> Col
 
 def mean_std_forward(c: ColumnOrName, mean: ColumnOrName, std: ColumnOrName) -> Column:
     """z-score."""
-    return (_c(c) - _c(mean)) / _c(std)
+    return div(_c(c) - _c(mean), _c(std))
 
 
 def mean_std_inverse(x: ColumnOrName, mean: ColumnOrName, std: ColumnOrName,
@@ -119,7 +124,7 @@ def min_max_forward(c: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName,
                     feature_range: tuple[float, float] = (0.0, 1.0)) -> Column:
     """scale [lo, hi] onto ``feature_range``."""
     a, b = feature_range
-    return (_c(c) - _c(lo)) / (_c(hi) - _c(lo)) * F.lit(b - a) + F.lit(a)
+    return div(_c(c) - _c(lo), _c(hi) - _c(lo)) * F.lit(b - a) + F.lit(a)
 
 
 def min_max_inverse(x: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName,

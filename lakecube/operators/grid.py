@@ -62,10 +62,10 @@ def bracket(points: DataFrame, value: str, intervals: DataFrame, prefix: str,
     ext = intervals.select(F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
                                     F.count(F.lit(1)).cast("double").alias("n"))).scalar()
     lo_min, hi_max, n = ext.getField("lo"), ext.getField("hi"), ext.getField("n")
-    width = (hi_max - lo_min) / n
+    width = F.try_divide(hi_max - lo_min, n)        # NULL for an axis without intervals
 
     def bucket(c):
-        return F.floor((c - lo_min) / width)
+        return F.floor(F.try_divide(c - lo_min, width))
 
     iv = intervals.select(
         F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).alias("__b"),

@@ -78,7 +78,7 @@ def kernel_encode(context: DataFrame, targets: DataFrame, lengthscale: float, ra
                   ctx_id: str = "point_id", tgt_id: str = "target_id") -> DataFrame:
     """M1: density and signal (sum(w*y)/sum(w)) on the given internal grid points."""
     s = kernel_sums(context, targets, lengthscale, radius, keys, x, y, ctx_id, tgt_id)
-    return s.select(*keys, tgt_id, "density", (F.col("sum_wy") / F.col("density")).alias("signal"))
+    return s.select(*keys, tgt_id, "density", C.div("sum_wy", "density").alias("signal"))
 
 
 def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noise: float = 1.0,
@@ -93,8 +93,8 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     s = kernel_sums(context, targets, lengthscale, radius, keys, x, y, ctx_id, tgt_id)
     t = targets.join(s, [*keys, tgt_id], "left")
     dens = F.coalesce(F.col("density"), F.lit(0.0))
-    mean = F.col("sum_wy") / F.col("density")
-    var_w = F.coalesce(F.col("sum_wyy") / F.col("density") - mean * mean, F.lit(0.0))
+    mean = C.div("sum_wy", "density")              # NULL when weights underflow to 0
+    var_w = F.coalesce(C.div("sum_wyy", "density") - mean * mean, F.lit(0.0))
     std = F.sqrt(F.when(var_w > 0, var_w).otherwise(F.lit(0.0)) + F.lit(noise * noise) / (F.lit(1.0) + dens))
     return t.withColumns({"mean": mean, "std": std, "density": dens}).drop("sum_wy", "sum_wyy")
 

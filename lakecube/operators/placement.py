@@ -32,8 +32,8 @@ from .tasks import cell_id
 
 
 def _std(rho, s1, s2, noise: float):
-    mean = s1 / rho
-    var = s2 / rho - mean * mean
+    mean = F.try_divide(s1, rho)
+    var = F.coalesce(F.try_divide(s2, rho) - mean * mean, F.lit(0.0))
     return F.sqrt(F.when(var > 0, var).otherwise(F.lit(0.0)) + F.lit(noise * noise) / (F.lit(1.0) + rho))
 
 
@@ -67,7 +67,7 @@ def acquisition_mean(ctx: DataFrame, cells: DataFrame, n_dates: int, lengthscale
         F.count(F.lit(1)).alias("__n"))
     out = cells.join(per, cells["cell_id"] == per["target_id"], "left")
     acq = (F.coalesce(F.col("__s"), F.lit(0.0)) + (F.lit(n_dates) - F.coalesce(F.col("__n"), F.lit(0)))
-           * F.lit(noise)) / F.lit(n_dates)
+           * F.lit(noise)) / F.lit(max(n_dates, 1))
     return out.select("cell_id", *CELL, "lat", "lon", acq.alias("acquisition"))
 
 
@@ -127,7 +127,7 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
             v = infill.select(F.col("time").alias("task_time"), cell_id().alias("cand"), F.col("value").alias("v"))
         else:
             v = sums.select("task_time", F.col("target_id").alias("cand"),
-                            (F.col("sum_wy") / F.col("density")).alias("v"))
+                            F.try_divide(F.col("sum_wy"), F.col("density")).alias("v"))
         j = (pairs.join(sums, "target_id").join(v, ["task_time", "cand"], "left")
              .withColumn("v", F.coalesce("v", F.lit(0.0))))
         rho2 = F.col("density") + F.col("w")
@@ -143,7 +143,7 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
                 .join(absent, cells["cell_id"] == absent["cand"], "left").drop("cand")
                 .select(F.lit(it).cast("bigint").alias("iteration"), "cell_id", *CELL, "lat", "lon", "x1", "x2",
                         ((base + F.coalesce("__dp", F.lit(0.0)) + F.coalesce("__da", F.lit(0.0)))
-                         / F.lit(total)).alias("acquisition")))
+                         / F.lit(max(total, 1.0))).alias("acquisition")))
         surf = materialize_small(surf, "surface")
         sums.unpersist()
         pool = surf if allow_repeat else surf.join(cur.select("cell_id"), "cell_id", "left_anti")

@@ -60,7 +60,7 @@ def validate_grid(grid: DataFrame, col: str, time_col: str = "time") -> DataFram
         F.min(col).alias("value_min"), F.max(col).alias("value_max"),
         F.count(col).alias("n_values"),
     ).select("*", n_time.alias("n_time"), n_lat.alias("n_lat"), n_lon.alias("n_lon"),
-             (F.lit(100.0) * F.col("n_values") / (n_time * n_lat * n_lon)).alias("coverage_pct"))
+             F.try_divide(F.lit(100.0) * F.col("n_values"), n_time * n_lat * n_lon).alias("coverage_pct"))
 
 
 def validate_static(static: DataFrame, col: str) -> DataFrame:
@@ -70,7 +70,7 @@ def validate_static(static: DataFrame, col: str) -> DataFrame:
     return static.agg(F.min(col).alias("value_min"), F.max(col).alias("value_max"),
                       F.count(col).alias("n_values")).select(
         "*", n_lat.alias("n_lat"), n_lon.alias("n_lon"),
-        (F.lit(100.0) * F.col("n_values") / (n_lat * n_lon)).alias("coverage_pct"))
+        F.try_divide(F.lit(100.0) * F.col("n_values"), n_lat * n_lon).alias("coverage_pct"))
 
 
 def unique_values(df: DataFrame, col: str) -> DataFrame:
@@ -93,7 +93,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     lo = df.select(F.min(col)).scalar()
     hi = df.select(F.max(col)).scalar()
     width = (hi - lo) / F.lit(float(bins))
-    b = F.least(F.floor((F.col(col) - lo) / (hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
+    # a constant column (hi = lo) puts every value in bin 0
+    raw = F.floor(F.try_divide(F.col(col) - lo, hi - lo) * F.lit(float(bins)))
+    b = F.when(raw.isNull(), F.lit(0)).when(raw > bins - 1, F.lit(bins - 1)).otherwise(raw)
     counts = df.filter(F.col(col).isNotNull()).groupBy(b.cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     axis = df.sparkSession.range(bins).select(F.col("id").alias("bin"))

@@ -45,7 +45,7 @@ def pool_errors(parts: Sequence[DataFrame]) -> DataFrame:
 
 def weighted_mean(x, w):
     """sum(w*x) / sum(w over non-missing x)  (missing x do not count)."""
-    return F.sum(w * x) / F.sum(F.when(x.isNotNull(), w))
+    return F.try_divide(F.sum(w * x), F.sum(F.when(x.isNotNull(), w)))
 
 
 def weighted_scores(scored: DataFrame, mask: DataFrame, by: Sequence[str] = (),
@@ -56,7 +56,7 @@ def weighted_scores(scored: DataFrame, mask: DataFrame, by: Sequence[str] = (),
     size-checked and broadcast.  ``by`` (e.g. an iteration column) groups.
     """
     total = mask.select(F.sum(mask_col)).scalar()
-    wt = broadcast_if_small(mask.select(*CELL, (F.col(mask_col) / total).alias("__w")))
+    wt = broadcast_if_small(mask.select(*CELL, F.try_divide(F.col(mask_col), total).alias("__w")))
     j = scored.join(wt, list(CELL))
     w = F.col("__w")
     e = C.error("mean", "truth")

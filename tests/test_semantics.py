@@ -169,3 +169,18 @@ def test_robust_bounds_match_linear_percentile(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("x"))
     r = quality.robust_bounds(df, "x").first()
     assert r.p02 == pytest.approx(2.0) and r.p98 == pytest.approx(98.0)
+
+
+def test_degenerate_inputs_do_not_raise(spark):
+    from lakecube.operators import kernel as K
+    const = spark.range(10).select(F.lit(3.0).alias("x"), F.lit(40.0).alias("lat"), F.lit(-90.0).alias("lon"))
+    h = quality.histogram(const, "x", 5).collect()
+    assert sum(r.n for r in h) == 10 and [r.n for r in h if r.bin == 0] == [10]
+    mm = N.fit_min_max(const, ["x"])
+    assert N.apply_min_max(const, mm, ["x"]).first().x is None
+    ms = N.fit_mean_std(const, ["x"])
+    assert N.apply_mean_std(const, ms, ["x"]).first().x is None
+    c = spark.createDataFrame([(1, 0, 0.0, 0.0, 2.0)], "task_time int, point_id bigint, x1 double, x2 double, value double")
+    t = spark.createDataFrame([(1, 1, 5.0, 0.0)], "task_time int, target_id bigint, x1 double, x2 double")
+    r = K.predict_grid(c, t, 0.01, 1.0, radius=10.0).first()      # weight underflows to 0
+    assert r.mean is None and r.std == 1.0
