@@ -27,3 +27,12 @@ def every_kth(dates: DataFrame, k: int, col: str = "time") -> DataFrame:
     w = Window.orderBy(col)
     return (dates.select(col).distinct().withColumn("__rn", F.row_number().over(w) - 1)
             .filter(F.col("__rn") % k == 0).drop("__rn"))
+
+
+def circ_time_table(df: DataFrame, start=None, end=None, col: str = "time") -> DataFrame:
+    """``cos_D``/``sin_D`` for every day of the range (default: the table's
+    first to last date), one row per day."""
+    from ..functions.columns import circ_time
+    from .quality import daily_range
+    cos_d, sin_d = circ_time("time")
+    return daily_range(df, start, end, col).select("time", cos_d.alias("cos_D"), sin_d.alias("sin_D"))

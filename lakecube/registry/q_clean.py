@@ -158,12 +158,12 @@ def q_water_mask(spark, sf_dir):
 
 @query("circ_time",
        "select time, round(cos(2 * pi() * dayofyear(time) / 365.25e0), 6) as cos_D, "
-       "round(sin(2 * pi() * dayofyear(time) / 365.25e0), 6) as sin_D from (select distinct time from sst_grid)",
-       uses=("sst_grid",))
+       "round(sin(2 * pi() * dayofyear(time) / 365.25e0), 6) as sin_D from "
+       "(select unnest(generate_series((select min(time) from sst_grid), (select max(time) from sst_grid), "
+       "interval 1 day))::date as time)", uses=("sst_grid",))
 def q_circ_time(spark, sf_dir):
-    cos_d, sin_d = C.circ_time("time")
-    dates = quality.date_set(sst_grid(spark, sf_dir))
-    return rounded(dates.select("time", cos_d.alias("cos_D"), sin_d.alias("sin_D")), ["cos_D", "sin_D"])
+    from ..operators.dates import circ_time_table
+    return rounded(circ_time_table(sst_grid(spark, sf_dir)), ["cos_D", "sin_D"])
 
 
 @query("date_parts",

@@ -352,3 +352,16 @@ def q_load_chunk_store(spark, sf_dir):
     chunks.write.partitionBy("year").parquet(path)
     cat = CAT.read_catalog(spark, _write_catalog(spark, {"glsea": {"path": path, "format": "chunks"}}))
     return CAT.load_dataset(spark, cat, "glsea", year=1997)
+
+
+@query("evaluate_predictions")
+def q_evaluate_predictions(spark, sf_dir):
+    """Score workflow (rows-only): normalise, per-date random context, kernel
+    prediction on every water cell, unnormalise, pooled and weighted scores."""
+    from ..operators import dates as D
+    from ..plans.evaluate import evaluate
+    g = sst_grid(spark, sf_dir)
+    mask = fixture(spark, sf_dir, "lakemask")
+    scores, _ = evaluate(g, mask, D.date_range_subsample(g, 5), ("1995-01-01", "1999-12-31"), 20,
+                         lengthscale=0.05, noise=1.0)
+    return rounded(scores, ["pooled_rmse", "weighted_rmse", "mean_std", "nll"])
