@@ -286,7 +286,8 @@ def q_write_manifest(spark, sf_dir):
        "select 'run0' as run_id, count(*) as n_epochs, round(max_by(loss, epoch), 6) as final_loss, "
        "round(min(loss), 6) as best_loss, min_by(epoch, loss) as best_epoch from c", uses=("training_log",))
 def q_write_run_log(spark, sf_dir):
-    out = W.write_run_log(fixture(spark, sf_dir, "training_log"), _scratch(spark, "training_log"), "run0")
+    out = W.write_run_log(fixture(spark, sf_dir, "training_log"), _scratch(spark, "training_log"), "run0",
+                          _scratch(spark, "run_summary"))
     return rounded(out, ["final_loss", "best_loss"])
 
 

@@ -118,15 +118,19 @@ def write_manifest(spark: SparkSession, path: str, climatology_id: str, climatol
     return spark.read.text(path, wholetext=True)
 
 
-def write_run_log(log: DataFrame, path: str, run_id: str) -> DataFrame:
+def write_run_log(log: DataFrame, path: str, run_id: str, summary_path: str | None = None) -> DataFrame:
     """K7: append per-batch losses to the run log table and return the run summary
-    (epochs, final and best epoch loss) from one aggregate."""
+    (epochs, final and best epoch loss) from one aggregate; the one-row summary
+    is also written as JSON when ``summary_path`` is given."""
     log.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
     stored = log.sparkSession.read.parquet(path).filter(F.col("run_id") == run_id)
     per_epoch = stored.groupBy("epoch").agg(F.avg("loss").alias("loss"))
-    return per_epoch.agg(F.lit(run_id).alias("run_id"), F.count(F.lit(1)).alias("n_epochs"),
-                         F.max_by("loss", "epoch").alias("final_loss"), F.min("loss").alias("best_loss"),
-                         F.min_by("epoch", "loss").alias("best_epoch"))
+    summary = per_epoch.agg(F.lit(run_id).alias("run_id"), F.count(F.lit(1)).alias("n_epochs"),
+                            F.max_by("loss", "epoch").alias("final_loss"), F.min("loss").alias("best_loss"),
+                            F.min_by("epoch", "loss").alias("best_epoch"))
+    if summary_path:
+        summary.coalesce(1).write.mode("overwrite").json(summary_path)   # one row
+    return summary
 
 
 def provenance(df: DataFrame, col: str, title: str, units: str, time_col: str = "time") -> DataFrame:
