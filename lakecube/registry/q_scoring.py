@@ -130,3 +130,37 @@ def q_score_partitions(spark, sf_dir):
     s = scored(spark, sf_dir).select("time", "mean", "truth")
     out = score_partitions(s, "time", rmse_per_task, "time date, rmse double, n long")
     return rounded(out, ["rmse"])
+
+
+_S6 = "(case when round(std, 6) > 1e-6 then round(std, 6) else 1e-6 end)"
+_NLL6 = (f"(0.5 * ln(2 * pi() * {_S6} * {_S6}) + 0.5 * (truth - round(mean, 6)) * (truth - round(mean, 6)) "
+         f"/ ({_S6} * {_S6}))")
+
+
+@query("gaussian_nll_all",
+       "with " + _J + f", n as (select time, lat_idx, lon_idx, {_NLL6} as nll from j) "
+       "select time, lat_idx, lon_idx, case when abs(nll) < 1e6 then round(nll, 6) else nll end as nll from n",
+       uses=("pred", "sst_grid"))
+def q_gaussian_nll_all(spark, sf_dir):
+    """F9 on every row, std = 0 included (floored to 1e-6).  Inputs are the
+    prediction rounded to 6 digits so both engines evaluate the same numbers;
+    results are rounded to 6 decimals below 1e6 and compared as computed above
+    (those come from the std floor and are exact in both engines)."""
+    s = rounded(scored(spark, sf_dir), ["mean", "std"])
+    nll = S.pointwise(s).select("time", "lat_idx", "lon_idx", "nll")
+    return nll.withColumn("nll", F.when(F.abs("nll") < 1e6, F.round("nll", 6)).otherwise(F.col("nll")))
+
+
+@query("weighted_scores_all",
+       "with " + _J + ", w as (select lat_idx, lon_idx, mask / (select sum(mask) from lakemask) as w from lakemask), "
+       "k as (select j.*, w.w from j join w on w.lat_idx = j.lat_idx and w.lon_idx = j.lon_idx) "
+       "select round(sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
+       "sum(case when (mean - truth) * (mean - truth) is not null then w end)), 6) as rmse, "
+       "round(sum(w * std) / sum(case when std is not null then w end), 6) as mean_std from k",
+       uses=("pred", "sst_grid", "lakemask"))
+def q_weighted_scores_all(spark, sf_dir):
+    """A11 over every row (std = 0 included): weighted RMSE and mean std.  The
+    weighted NLL of these rows is dominated by floored-std terms near 1e12 and
+    is compared in ``gaussian_nll_all`` row by row instead."""
+    mask = fixture(spark, sf_dir, "lakemask")
+    return rounded(S.weighted_scores(scored(spark, sf_dir), mask).drop("nll"), ["rmse", "mean_std"])
