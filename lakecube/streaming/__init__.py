@@ -1 +1,10 @@
+"""Streaming.
 
+The reference reads only closed stores (per-year array files, static grids,
+one observation file); it has no stream sources, watermarks, windows over event
+time or stateful operators.  Nothing is built here, by design.  The batch
+operators are plain DataFrame functions, so a caller with a stream of new daily
+grids can apply row-wise steps (fill values, anomalies against a saved
+climatology via a stream-static join, masking) to a streaming DataFrame
+unchanged.
+"""
