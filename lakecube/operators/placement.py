@@ -27,7 +27,7 @@ from ..session import broadcast_if_small, ensure_checkpoint_dir, materialize_sma
 from .clean import CELL
 from .kernel import kernel_neighbours, kernel_sums, predict_grid
 from .normalize import apply_coord_map
-from .scoring import pred_vs_truth, weighted_scores
+from .scoring import weighted_scores
 from .tasks import cell_id
 
 

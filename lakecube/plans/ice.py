@@ -8,7 +8,6 @@ clip to [0, 1] keeping NULL (F2) -> optional partitioned write (K1).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.clean import overlap_slice, sentinel_to_null

@@ -4,7 +4,6 @@ import json
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import small_grid
 from lakecube.operators import climatology as clim

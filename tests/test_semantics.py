@@ -1,6 +1,5 @@
 """Semantics ledger checks on hand-written grids (NaN, fill values, ties, edges)."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F
