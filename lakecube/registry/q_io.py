@@ -85,7 +85,7 @@ def q_store_paths(spark, sf_dir):
 
 
 def _grid_store(spark, sf_dir):
-    path = _scratch(spark, "glsea")
+    path = _scratch(spark, "sst_daily")
     W.write_grid(sst_grid(spark, sf_dir), path)
     return path
 
@@ -99,8 +99,8 @@ def q_write_grid(spark, sf_dir):
        uses=("sst_grid",))
 def q_scan_year(spark, sf_dir):
     path = _grid_store(spark, sf_dir)
-    cat = CAT.read_catalog(spark, _write_catalog(spark, {"glsea": {"path": path, "format": "parquet"}}))
-    return CAT.load_dataset(spark, cat, "glsea", year=1997)
+    cat = CAT.read_catalog(spark, _write_catalog(spark, {"sst_daily": {"path": path, "format": "parquet"}}))
+    return CAT.load_dataset(spark, cat, "sst_daily", year=1997)
 
 
 @query("concat_store_years",
@@ -108,8 +108,8 @@ def q_scan_year(spark, sf_dir):
        uses=("sst_grid",))
 def q_concat_store_years(spark, sf_dir):
     path = _grid_store(spark, sf_dir)
-    cat = CAT.read_catalog(spark, _write_catalog(spark, {"glsea": {"path": path, "format": "parquet"}}))
-    return CAT.load_years(spark, cat, "glsea", [1996, 1998])
+    cat = CAT.read_catalog(spark, _write_catalog(spark, {"sst_daily": {"path": path, "format": "parquet"}}))
+    return CAT.load_years(spark, cat, "sst_daily", [1996, 1998])
 
 
 @query("lazy_scan", "select time, lat_idx, lon_idx, sst from sst_grid", uses=("sst_grid",))
@@ -351,8 +351,8 @@ def q_load_chunk_store(spark, sf_dir):
                       F.array(F.lit(4), F.lit(4), F.lit(4)).alias("shape"), F.col("embedding").alias("payload"))
     path = _scratch(spark, "chunk_store")
     chunks.write.partitionBy("year").parquet(path)
-    cat = CAT.read_catalog(spark, _write_catalog(spark, {"glsea": {"path": path, "format": "chunks"}}))
-    return CAT.load_dataset(spark, cat, "glsea", year=1997)
+    cat = CAT.read_catalog(spark, _write_catalog(spark, {"sst_daily": {"path": path, "format": "chunks"}}))
+    return CAT.load_dataset(spark, cat, "sst_daily", year=1997)
 
 
 @query("evaluate_predictions")

@@ -89,6 +89,7 @@ def store_paths(catalog: DataFrame, first_year: int, last_year: int) -> DataFram
             .select("name", "year", store_path("path", "name", "year").alias("store")))
 
 
+# Fixed value: the variable name an unnamed array gets when stored from the array library.
 UNNAMED = "__xarray_dataarray_variable__"
 
 

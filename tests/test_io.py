@@ -20,19 +20,19 @@ def _catalog(spark, datasets):
 
 
 def test_catalog_unknown_and_unsupported(spark):
-    cat = _catalog(spark, {"glsea": {"path": "/nowhere", "format": "zarr"}})
+    cat = _catalog(spark, {"sst_daily": {"path": "/nowhere", "format": "zarr"}})
     with pytest.raises(ValueError, match="not found"):
         CAT.catalog_lookup(cat, "missing")
     with pytest.raises(ValueError, match="Unsupported format"):
-        CAT.load_dataset(spark, cat, "glsea")
+        CAT.load_dataset(spark, cat, "sst_daily")
 
 
 def test_year_partition_pruned(spark):
     g = small_grid(spark, [(f"{y}-01-0{d}", 0, 0, float(y + d)) for y in (1995, 1996, 1997) for d in (1, 2)])
     path = scratch_path(spark, f"grid-{uuid.uuid4().hex}")
     W.write_grid(g, path)
-    cat = _catalog(spark, {"glsea": {"path": path, "format": "parquet"}})
-    one = CAT.load_dataset(spark, cat, "glsea", year=1996)
+    cat = _catalog(spark, {"sst_daily": {"path": path, "format": "parquet"}})
+    one = CAT.load_dataset(spark, cat, "sst_daily", year=1996)
     assert one.count() == 2
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "= 1996" in plan
