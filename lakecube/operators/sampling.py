@@ -94,15 +94,12 @@ def random_points_per_date(dates: DataFrame, mask: DataFrame, n: int, seed: int
 def fixed_points(dates: DataFrame, points: DataFrame, time_col: str = "time") -> DataFrame:
     """The same point set on every date.
 
-    Dates are expanded to one row per point id (``explode``) and equi-joined to
-    the point table, so the output is exactly dates x points with no cross join.
+    The task-date list (one scalar subquery, bounded by the number of days in
+    the record) is exploded into each point row, so the output is exactly
+    dates x points for any point ids, with no join at all.
     """
-    n = points.count()
-    keyed = points.select("point_id", *[c for c in points.columns if c != "point_id"])
-    rows = dates.select(time_col).distinct().select(
-        time_col, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0)).cast("bigint")))
-        .alias("point_id"))
-    return rows.join(broadcast_if_small(keyed), "point_id")
+    day_list = dates.select(F.sort_array(F.collect_set(time_col))).scalar()
+    return points.select(F.explode(day_list).alias(time_col), *points.columns)
 
 
 def sample_n_rows(df: DataFrame, n: int, seed: int = 42, by: str = "time",

@@ -154,3 +154,9 @@ def test_greedy_first_pick_matches_brute_force(spark):
     # surface value of the pick equals the brute-force acquisition
     acq0 = {r.cell_id: r.acquisition for r in surface.filter("iteration = 0").collect()}
     assert min(acq0, key=lambda c: (acq0[c], xy[c][0], xy[c][1])) == first
+
+
+def test_fixed_points_any_ids(spark):
+    pts = spark.createDataFrame([(17, 0, 1), (4242, 2, 3)], "point_id bigint, lat_idx bigint, lon_idx bigint")
+    out = S.fixed_points(_dates(spark, 3), pts).collect()
+    assert len(out) == 6 and {r.point_id for r in out} == {17, 4242}
