@@ -97,7 +97,9 @@ def nearest_on_axis(points: DataFrame, value: str, axis: DataFrame, label: str,
     if extrapolate:
         ext = axis.select(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
         lo, hi = ext.getField("lo"), ext.getField("hi")
-        src = points.withColumn("__clamped", F.least(F.greatest(F.col(value), lo), hi))
+        v = F.col(value)
+        # CASE form: a missing coordinate stays missing (least/greatest would skip NULL)
+        src = points.withColumn("__clamped", F.when(v < lo, lo).when(v > hi, hi).otherwise(v))
         val = "__clamped"
     b = bracket(src, val, iv, "__br")
     p = F.col(val)
@@ -131,8 +133,9 @@ def nearest_axis_map(t_axis: DataFrame, t_val: str, s_axis: DataFrame, s_val: st
     d_p = F.col("__v") - F.col("__p").cast("double")
     d_n = F.col("__n").cast("double") - F.col("__v")
     take_p = (d_p < d_n) | ((d_p == d_n) & F.lit(prefer == "lower"))
-    pick = F.when(F.col("__p").isNull() | F.col("__n").isNull(), F.lit(None)) \
-        .when(take_p, F.col("__p")).otherwise(F.col("__n"))
+    pick = (F.when(d_p == 0, F.col("__p"))                        # on a source label (incl. the last)
+            .when(F.col("__p").isNull() | F.col("__n").isNull(), F.lit(None))   # outside: no extrapolation
+            .when(take_p, F.col("__p")).otherwise(F.col("__n")))
     return m.select(*t_axis.columns, pick.alias(name))
 
 

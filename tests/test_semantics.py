@@ -91,7 +91,24 @@ def test_regrid_identity(spark):
                    + [("1995-01-03", i, j, float(100 + i * 10 + j)) for i in range(3) for j in range(4)])
     out = grid.regrid_nearest(g.drop("lat_idx", "lon_idx"), g, ["sst"]).withColumnRenamed("sst", "r")
     j = out.join(g, ["time", "lat_idx", "lon_idx"])
-    assert j.count() == 24 and j.filter(F.col("r") != F.col("sst")).count() == 0
+    assert j.count() == 24
+    assert j.filter(~F.col("r").eqNullSafe(F.col("sst"))).count() == 0      # edges included, no NULLs
+
+
+def test_nearest_axis_map_edges(spark):
+    src = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "s double")
+    tgt = spark.createDataFrame([(0.5,), (1.0,), (3.0,), (4.0,), (4.5,)], "t double")
+    got = {r.t: r.m for r in grid.nearest_axis_map(tgt, "t", src, "s", "m").collect()}
+    assert got == {0.5: None, 1.0: 1.0, 3.0: 2.0, 4.0: 4.0, 4.5: None}
+    up = {r.t: r.m for r in grid.nearest_axis_map(tgt, "t", src, "s", "m", prefer="upper").collect()}
+    assert up[3.0] == 4.0
+
+
+def test_nearest_extrapolate_keeps_null(spark):
+    axis = spark.createDataFrame([(0, 1.0), (1, 2.0)], "idx bigint, v double")
+    pts = spark.createDataFrame([(None,), (5.0,)], "p double")
+    got = {r.p: r.n for r in grid.nearest_on_axis(pts, "p", axis, "v", "idx", "n", extrapolate=True).collect()}
+    assert got == {None: None, 5.0: 2.0}
 
 
 def test_bilinear_on_lake(spark):
