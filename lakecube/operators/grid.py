@@ -256,8 +256,9 @@ def sample_at_points(grid: DataFrame, points: DataFrame, lat: str = "lat", lon:
     m = nearest_on_axis(m, lon, lon_axis, "lon", "lon_idx", prefix="__nlon", prefer="upper", extrapolate=True)
     cellmap = broadcast_if_small(m.select(*points.columns, F.col("__nlat_idx").alias("lat_idx"),
                                           F.col("__nlon_idx").alias("lon_idx")), STATIC_BROADCAST_ROWS)
-    g = grid.select("time", *CELL, *cols)
-    return g.join(cellmap, list(CELL), "inner").select(*points.columns, "time", *CELL, *cols)
+    when = ["time"] if "time" in grid.columns else []          # static fields have no time
+    g = grid.select(*when, *CELL, *cols)
+    return g.join(cellmap, list(CELL), "inner").select(*points.columns, *when, *CELL, *cols)
 
 
 def buoys_on_lake(obs: DataFrame, mask: DataFrame, coord_params: DataFrame | None = None,

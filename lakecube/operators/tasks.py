@@ -11,7 +11,7 @@ NULL and apply to every task, so a static grid is never repeated per date.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -40,7 +40,6 @@ class TaskSet:
     sampling: object = "all"
     seed: int = 42
     time_col: str = "time"
-    extra: dict = field(default_factory=dict)
 
 
 def cell_id():
@@ -64,19 +63,19 @@ def set_rows(ts: TaskSet, dates: DataFrame, role: str, set_idx: int, coord_param
     gridded = "lat_idx" in cols
     if timed and not gridded:
         # time-only series (e.g. day-of-year features): one value per task date
-        s = ts.frame.join(dates, ts.time_col, "left_semi")
-        return s.select(F.col(ts.time_col).alias("task_time"), F.lit(role).alias("role"),
+        s = ts.frame.withColumnRenamed(ts.time_col, "time").join(dates, "time", "left_semi")
+        return s.select(F.col("time").alias("task_time"), F.lit(role).alias("role"),
                         F.lit(set_idx).cast("bigint").alias("set_idx"), F.lit(ts.var).alias("var"),
                         F.lit(None).cast("bigint").alias("point_id"), F.lit(None).cast("double").alias("x1"),
                         F.lit(None).cast("double").alias("x2"), F.col(ts.var).cast("double").alias("value"))
-    src = ts.frame.join(dates, ts.time_col, "left_semi") if timed else ts.frame
+    frame = ts.frame.withColumnRenamed(ts.time_col, "time") if timed else ts.frame
+    src = frame.join(dates, "time", "left_semi") if timed else frame
     if isinstance(ts.sampling, DataFrame):
-        pts = ts.sampling
-        vals = sample_at_points(src, pts, value_cols=[ts.var])
-        vals = vals.select("time", F.col("point_id"), *[F.col(c) for c in ("lat", "lon")], ts.var)
+        vals = sample_at_points(src, ts.sampling, value_cols=[ts.var])
+        vals = vals.select(*(["time"] if timed else []), "point_id", "lat", "lon", ts.var)
         return _rows(vals, role, set_idx, ts.var, coord_params, timed, F.col("point_id").cast("bigint"))
     if isinstance(ts.sampling, int):
-        by = ts.time_col if timed else None
+        by = "time" if timed else None
         if by:
             src = sample_n_rows(src, ts.sampling, ts.seed, by=by, value_col=ts.var)
         else:

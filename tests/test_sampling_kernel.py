@@ -160,3 +160,14 @@ def test_fixed_points_any_ids(spark):
     pts = spark.createDataFrame([(17, 0, 1), (4242, 2, 3)], "point_id bigint, lat_idx bigint, lon_idx bigint")
     out = S.fixed_points(_dates(spark, 3), pts).collect()
     assert len(out) == 6 and {r.point_id for r in out} == {17, 4242}
+
+
+def test_static_context_at_fixed_points(spark):
+    from lakecube.operators import tasks as T
+    mask = _mask(spark, 4, 4, land=())
+    bathy = mask.withColumn("depth", (F.col("lat_idx") * 10 + F.col("lon_idx")).cast("double"))
+    pts = spark.createDataFrame([(0, 40.1, -89.9), (1, 41.4, -88.6)], "point_id bigint, lat double, lon double")
+    cp = N.fit_coord_map(mask)
+    tasks = T.build_tasks(_dates(spark, 2), [T.TaskSet("depth", bathy, pts)], None, cp)
+    rows = sorted((r.point_id, r.value, r.task_time) for r in tasks.collect())
+    assert rows == [(0, 0.0, None), (1, 33.0, None)]          # stored once, nearest cell's depth
