@@ -171,3 +171,29 @@ def test_static_context_at_fixed_points(spark):
     tasks = T.build_tasks(_dates(spark, 2), [T.TaskSet("depth", bathy, pts)], None, cp)
     rows = sorted((r.point_id, r.value, r.task_time) for r in tasks.collect())
     assert rows == [(0, 0.0, None), (1, 33.0, None)]          # stored once, nearest cell's depth
+
+
+@pytest.mark.parametrize("parts", [1, 4, 64])
+def test_sampling_same_rows_for_any_partitioning(spark, parts):
+    mask = _mask(spark).repartition(parts)
+    dates = _dates(spark, 5).repartition(parts)
+    per_date = sorted(tuple(r) for r in S.random_points_per_date(dates, mask, 6, 5).collect())
+    ref = sorted(tuple(r) for r in S.random_points_per_date(_dates(spark, 5), _mask(spark), 6, 5).collect())
+    assert per_date == ref
+    grid = spark.range(2000).select((F.col("id") % 7).alias("time"), F.floor(F.col("id") / 7).alias("lat_idx"),
+                                    F.lit(0).alias("lon_idx"), F.col("id").cast("double").alias("v"))
+    a = sorted(tuple(r) for r in S.sample_n_rows(grid.repartition(parts), 4, 3, value_col="v").collect())
+    b = sorted(tuple(r) for r in S.sample_n_rows(grid, 4, 3, value_col="v").collect())
+    assert a == b and len(a) == 28
+
+
+def test_join_strategies_are_equi_joins(spark):
+    c = spark.createDataFrame([(1, 0, 0.1, 0.1, 1.0)], "task_time int, point_id bigint, x1 double, x2 double, value double")
+    t = spark.createDataFrame([(1, 7, 0.12, 0.1)], "task_time int, target_id bigint, x1 double, x2 double")
+    plan = K.kernel_neighbours(c, t, 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert ("HashJoin" in plan or "SortMergeJoin" in plan) and "NestedLoop" not in plan and "Cartesian" not in plan
+    from lakecube.operators import grid as G
+    mask = _mask(spark, 3, 3, land=())
+    pts = spark.createDataFrame([(40.2, -89.7)], "lat double, lon double")
+    plan = G.bilinear_points(pts, mask)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
