@@ -162,9 +162,8 @@ def limit_report(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
 def overlap_slice(df: DataFrame, other: DataFrame, col: str = "time", other_col: str | None = None) -> DataFrame:
     """Keep rows inside [min, max] of ``other``'s time (two scalar subqueries)."""
     oc = other_col or col
-    lo = other.select(F.min(oc)).scalar()
-    hi = other.select(F.max(oc)).scalar()
-    return df.filter(F.col(col).between(lo, hi))
+    ext = other.select(F.struct(F.min(oc).alias("lo"), F.max(oc).alias("hi"))).scalar()
+    return df.filter(F.col(col).between(ext.getField("lo"), ext.getField("hi")))
 
 
 def with_month(df: DataFrame, time_col: str = "time") -> DataFrame:

@@ -12,8 +12,10 @@ def date_range_subsample(df: DataFrame, k: int, start=None, end=None, col: str =
     Bounds default to the table's first and last date (scalar subqueries).  The
     range is one row exploded into at most (end - start) / k dates.
     """
-    lo = F.lit(start).cast("date") if start is not None else df.select(F.min(F.to_date(col))).scalar()
-    hi = F.lit(end).cast("date") if end is not None else df.select(F.max(F.to_date(col))).scalar()
+    if start is None or end is None:
+        ext = df.select(F.struct(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))).scalar()
+    lo = F.lit(start).cast("date") if start is not None else ext.getField("lo")
+    hi = F.lit(end).cast("date") if end is not None else ext.getField("hi")
     days = F.sequence(lo, hi, F.expr(f"INTERVAL {int(k)} DAY"))
     return df.sparkSession.range(1).select(F.explode(days).alias("time"))
 

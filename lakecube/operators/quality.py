@@ -23,8 +23,10 @@ def daily_range(df: DataFrame, start=None, end=None,
     One row per day of the requested range; the range is bounded by the record
     length (≈ 10k days for 28 years) whatever the table size.
     """
-    lo = F.lit(start).cast("date") if start is not None else df.select(F.min(F.to_date(col))).scalar()
-    hi = F.lit(end).cast("date") if end is not None else df.select(F.max(F.to_date(col))).scalar()
+    if start is None or end is None:
+        ext = df.select(F.struct(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))).scalar()
+    lo = F.lit(start).cast("date") if start is not None else ext.getField("lo")
+    hi = F.lit(end).cast("date") if end is not None else ext.getField("hi")
     one = df.sparkSession.range(1)
     return one.select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("time"))
 
@@ -90,8 +92,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     min/max are scalar subqueries; counting is a partial aggregate per bin;
     the bin axis (``bins`` rows) is generated and left-joined.
     """
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    ext = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = ext.getField("lo"), ext.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     # a constant column (hi = lo) puts every value in bin 0
     raw = F.floor(F.try_divide(F.col(col) - lo, hi - lo) * F.lit(float(bins)))
