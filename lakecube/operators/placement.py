@@ -92,9 +92,17 @@ def _pairs(cells: DataFrame, radius: float, lengthscale: float) -> DataFrame:
 def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: DataFrame, n_new: int,
                  coord_params: DataFrame, lengthscale: float, noise: float = 1.0, radius: float | None = None,
                  var: str = "sst", infill: DataFrame | None = None,
-                 allow_repeat: bool = False) -> tuple[DataFrame, DataFrame]:
+                 allow_repeat: bool = False, surface_by_date: bool = False) -> tuple[DataFrame, DataFrame]:
     """M5: add ``n_new`` sensors one at a time; returns (chosen points, acquisition surfaces).
 
+    The surface holds, per round, the date-mean acquisition of every water
+    cell (the value the choice minimises).  With ``surface_by_date`` it holds
+    one value per round, task date and cell instead (the reference's surface
+    layout): acq_d(c) = (B_d + F0(c) + G_d(c)) / T, with B_d the summed std of
+    date d, F0(c) the no-context change over c's neighbours and G_d(c) the
+    correction for neighbours that have context on d.  The date x cell rows
+    come from exploding the task-date list into each cell row (no join).
+
     ``points``: the initial context cells (lat_idx, lon_idx, ...).  ``infill``
     optionally gives the value assumed at a new sensor (time, lat_idx, lon_idx,
     value); otherwise the current predicted mean is used (0 where undefined).
@@ -145,11 +153,15 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
                         ((base + F.coalesce("__dp", F.lit(0.0)) + F.coalesce("__da", F.lit(0.0)))
                          / F.lit(max(total, 1.0))).alias("acquisition")))
         surf = materialize_small(surf, "surface")
+        if surface_by_date:
+            surfaces.append(materialize_small(_date_surface(it, j, sums, pairs, cells, d, n_cells, noise,
+                                                            rho2, s1, s2, std_old), "date-surface"))
         sums.unpersist()
         pool = surf if allow_repeat else surf.join(cur.select("cell_id"), "cell_id", "left_anti")
         best = materialize_small(argmax_cell(pool, largest=False), "chosen")
         chosen_rounds.append(best)
-        surfaces.append(surf)
+        if not surface_by_date:
+            surfaces.append(surf)
         cur = materialize_small(cur.unionByName(best.select(*cur.columns)), "context")
     chosen = chosen_rounds[0]
     for b in chosen_rounds[1:]:
@@ -160,6 +172,26 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
     return chosen, surface
 
 
+def _date_surface(it, j, sums, pairs, cells, dates, n_cells, noise, rho2, s1, s2, std_old) -> DataFrame:
+    """Per-date acquisition of every cell for one round (see ``greedy_place``)."""
+    f0 = F.lit(noise) * (F.lit(1.0) / F.sqrt(1 + F.col("w")) - 1)
+    g = j.groupBy("task_time", "cand").agg(F.sum(_std(rho2, s1, s2, noise) - std_old - f0).alias("__g"))
+    f0_c = pairs.groupBy("cand").agg(F.sum(f0).alias("__f0"))
+    b_d = sums.groupBy("task_time").agg(
+        (F.sum(std_old) + (F.lit(n_cells) - F.count(F.lit(1))) * F.lit(noise)).alias("__b"))
+    day_list = dates.select(F.sort_array(F.collect_set("time"))).scalar()     # bounded by the task dates
+    grid_dc = cells.select(F.explode(day_list).alias("task_time"), "cell_id", *CELL, "lat", "lon")
+    g = g.select(F.col("task_time").alias("__gd"), F.col("cand").alias("__gc"), "__g")
+    f0_c = f0_c.select(F.col("cand").alias("__fc"), "__f0")
+    out = (grid_dc.join(b_d, "task_time", "left")
+           .join(f0_c, F.col("cell_id") == F.col("__fc"), "left")
+           .join(g, (F.col("task_time") == F.col("__gd")) & (F.col("cell_id") == F.col("__gc")), "left"))
+    acq = (F.coalesce("__b", F.lit(n_cells * noise)) + F.coalesce("__f0", F.lit(0.0))
+           + F.coalesce("__g", F.lit(0.0))) / F.lit(max(n_cells, 1))
+    return out.select(F.lit(it).cast("bigint").alias("iteration"), F.col("task_time").alias("time"), "cell_id",
+                      *CELL, "lat", "lon", acq.alias("acquisition"))
+
+
 def placement_eval(points: DataFrame, chosen: DataFrame, truth: DataFrame, mask: DataFrame, dates: DataFrame,
                    coord_params: DataFrame, lengthscale: float, noise: float = 1.0,
                    radius: float | None = None, var: str = "sst") -> DataFrame:

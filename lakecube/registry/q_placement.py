@@ -120,3 +120,18 @@ def q_first_occurrence(spark, sf_dir):
     best = g.groupBy("time").agg(F.max_by(F.struct("lat", "lon"), F.struct("sst", -F.col("lat"), -F.col("lon")))
                                  .alias("b")).select(F.col("time").alias("iteration"), "b.lat", "b.lon")
     return P.first_occurrence(best)
+
+
+@query("acquisition_surface_by_date")
+def q_acquisition_surface_by_date(spark, sf_dir):
+    """M5 + K3 (rows-only): per-round, per-date acquisition of every water cell,
+    written partitioned by iteration and read back."""
+    import uuid
+    from ..session import scratch_path
+    from ..sinks.writers import write_points
+    g, mask, cp, dates, pts = _setup(spark, sf_dir)
+    _, surface = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, surface_by_date=True)
+    path = scratch_path(spark, f"acquisition-{uuid.uuid4().hex}")
+    write_points(surface, path, ["iteration"])
+    back = spark.read.parquet(path)
+    return rounded(back.select("iteration", "time", "cell_id", "acquisition"), ["acquisition"])

@@ -197,3 +197,34 @@ def test_join_strategies_are_equi_joins(spark):
     pts = spark.createDataFrame([(40.2, -89.7)], "lat double, lon double")
     plan = G.bilinear_points(pts, mask)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_date_surface_averages_to_choice_surface(spark):
+    mask = _mask(spark, 5, 6, land=())
+    cp = N.fit_coord_map(mask)
+    rng = np.random.default_rng(2)
+    rows = [(d, i, j, float(rng.normal())) for d in ("2000-01-01", "2000-01-02", "2000-01-03")
+            for i in range(5) for j in range(6) if rng.uniform() < 0.7]
+    truth = spark.createDataFrame(rows, "t string, lat_idx bigint, lon_idx bigint, sst double") \
+        .select(F.to_date("t").alias("time"), "lat_idx", "lon_idx", "sst")
+    pts = spark.createDataFrame([(0, 0), (4, 5), (2, 2)], "lat_idx bigint, lon_idx bigint")
+    args = (pts, truth, mask, _dates(spark, 3), 1, cp, 0.1, 1.0, 0.3)
+    _, mean_surf = P.greedy_place(*args)
+    _, by_date = P.greedy_place(*args, surface_by_date=True)
+    assert by_date.count() == 3 * 30
+    avg = {r.cell_id: r.a for r in by_date.groupBy("cell_id").agg(F.avg("acquisition").alias("a")).collect()}
+    for r in mean_surf.collect():
+        assert avg[r.cell_id] == pytest.approx(r.acquisition, abs=1e-12)
+    # one date against brute force: mean std over that date's targets after adding the cell
+    cells = [(r.cell_id, r.x1, r.x2) for r in P.search_cells(mask, cp).collect()]
+    xy = {c[0]: (c[1], c[2]) for c in cells}
+    d0 = sorted({r.time for r in truth.collect()})[0]
+    tv = {r.lat_idx * 1_000_000 + r.lon_idx: r.sst for r in truth.collect() if r.time == d0}
+    ctx = [(d0, cid, *xy[cid], tv[cid]) for cid in (0, 4_000_005, 2_000_002) if cid in tv]
+    base = _brute_predict(ctx, [(d0, c, x, y) for c, x, y in cells], 0.1, 1.0, 0.3)
+    got = {r.cell_id: r.acquisition for r in by_date.filter(F.col("time") == F.lit(d0)).collect()}
+    for cid, cx, cy in cells[:8]:
+        m = base[(d0, cid)][0]
+        trial = ctx + [(d0, cid, cx, cy, 0.0 if m is None else m)]
+        pred = _brute_predict(trial, [(d0, c, x, y) for c, x, y in cells], 0.1, 1.0, 0.3)
+        assert got[cid] == pytest.approx(sum(s for _, s in pred.values()) / len(pred), abs=1e-9)
