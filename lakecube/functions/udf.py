@@ -43,3 +43,49 @@ def rmse_per_task(pdf: pd.DataFrame) -> pd.DataFrame:
     err = (pdf["mean"] - pdf["truth"]).dropna()
     rmse = float((err ** 2).mean() ** 0.5) if len(err) else float("nan")
     return pd.DataFrame({"time": [pdf["time"].iloc[0]], "rmse": [rmse], "n": [len(err)]})
+
+
+PRED_SCHEMA = "task_time date, point_id long, mean double, std double"
+
+
+def predict_with_model(tasks: DataFrame, model_fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+                       context_set: int = 0, target_set: int = 0) -> DataFrame:
+    """V2 for inference: call a user model once per task (task date).
+
+    ``model_fn(context, targets)`` gets the task's context rows (x1, x2, value;
+    missing values removed) and target rows (point_id, x1, x2) as pandas frames
+    and returns one row per target with ``point_id, mean, std``.  Each call
+    sees one task: for gridded targets at most one row per cell, so the group
+    is bounded by the grid, not by the table.
+    """
+    def per_task(pdf: pd.DataFrame) -> pd.DataFrame:
+        ctx = pdf[(pdf["role"] == "context") & (pdf["set_idx"] == context_set) & pdf["value"].notna()]
+        tgt = pdf[(pdf["role"] == "target") & (pdf["set_idx"] == target_set)]
+        out = model_fn(ctx[["x1", "x2", "value"]].reset_index(drop=True),
+                       tgt[["point_id", "x1", "x2"]].reset_index(drop=True))
+        out.insert(0, "task_time", pdf["task_time"].iloc[0])
+        return out[["task_time", "point_id", "mean", "std"]]
+
+    rows = tasks.filter(F.col("task_time").isNotNull()
+                        & (((F.col("role") == "context") & (F.col("set_idx") == context_set))
+                           | ((F.col("role") == "target") & (F.col("set_idx") == target_set))))
+    return rows.groupBy("task_time").applyInPandas(per_task, PRED_SCHEMA)
+
+
+def nearest_context_model(context: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+    """Example user model: each target takes the value of its nearest context
+    point (ties -> first context row in (x1, x2) order); std is that distance.
+
+    It builds a (targets x context) distance matrix inside one task: context
+    sets are small (tens to hundreds of points per date), so this stays
+    bounded per call.
+    """
+    import numpy as np
+    if context.empty:
+        return pd.DataFrame({"point_id": targets["point_id"], "mean": np.nan, "std": np.nan})
+    ctx = context.sort_values(["x1", "x2"], kind="mergesort").reset_index(drop=True)
+    d2 = ((targets["x1"].to_numpy()[:, None] - ctx["x1"].to_numpy()[None, :]) ** 2
+          + (targets["x2"].to_numpy()[:, None] - ctx["x2"].to_numpy()[None, :]) ** 2)
+    k = d2.argmin(axis=1)
+    return pd.DataFrame({"point_id": targets["point_id"].to_numpy(), "mean": ctx["value"].to_numpy()[k],
+                         "std": np.sqrt(d2[np.arange(len(k)), k])})

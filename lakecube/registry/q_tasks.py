@@ -226,3 +226,18 @@ def q_append_points(spark, sf_dir):
     base = sampling.random_points(mask, 10, seed=42)
     new = sampling.random_points(mask, 1, seed=7).withColumn("point_id", F.col("point_id") + 10)
     return sets.append_points(base, new)
+
+
+@query("predict_with_model",
+       _TASK_CTES + ", c as (select task_time, x1, x2, value from c0 where value is not null), "
+       "r as (select t.task_time, t.point_id, c.value as mean, "
+       "sqrt(pow(t.x1 - c.x1, 2) + pow(t.x2 - c.x2, 2)) as std, row_number() over (partition by t.task_time, "
+       "t.point_id order by pow(t.x1 - c.x1, 2) + pow(t.x2 - c.x2, 2), c.x1, c.x2) as rn from t0 t "
+       "join c on c.task_time = t.task_time) "
+       "select task_time, point_id, mean, round(std, 6) as std from r where rn = 1",
+       uses=("sst_grid", "lakemask", "bathymetry"))
+def q_predict_with_model(spark, sf_dir):
+    """V2: a user model (nearest context point) called once per task on the task table."""
+    from ..functions.udf import nearest_context_model, predict_with_model
+    out = predict_with_model(_r(_tasks(spark, sf_dir)), nearest_context_model)
+    return rounded(out, ["std"])
