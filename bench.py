@@ -33,7 +33,7 @@ def main():
     from lakecube.registry import QUERIES
     from lakecube.session import get_session
 
-    spark = get_session(f"local[{cpus}]", app="lakecube-bench", shuffle_partitions=2 * cpus)
+    spark = get_session(f"local[{cpus}]", app="lakecube-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", 2 * cpus)))
     # untimed warm-up: JVM class loading and code generation, on a table no query reads
     spark.read.parquet(os.path.join(sf_dir, "region.parquet")).groupBy("r_name").count().collect()
     times = {}
