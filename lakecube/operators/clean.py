@@ -51,10 +51,13 @@ def select_var(df: DataFrame, candidates: Sequence[str], keys: Sequence[str] = (
     raise ValueError(f"none of {list(candidates)} in {df.columns}")
 
 
+def _as_date(v):
+    return F.lit(v).cast("date") if isinstance(v, str) else F.lit(v)
+
+
 def time_slice(df: DataFrame, start, end, col: str = "time") -> DataFrame:
     """Inclusive range; a plain comparison so Parquet/partition filters apply."""
-    return df.filter(F.col(col).between(F.lit(start).cast("date") if isinstance(start, str) else F.lit(start),
-                                        F.lit(end).cast("date") if isinstance(end, str) else F.lit(end)))
+    return df.filter(F.col(col).between(_as_date(start), _as_date(end)))
 
 
 def time_exact(df: DataFrame, dates: Sequence, col: str = "time") -> DataFrame:
