@@ -26,27 +26,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import broadcast_if_small, materialize_small
 
 _OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
+# Sparse context sets (a few hundred points per date) are broadcast to the
+# targets below this many exploded rows; above it the join shuffles both sides.
+CONTEXT_BROADCAST_ROWS = 5_000_000
+
+
 def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
                       keys: Sequence[str] = ("task_time",), x: str = "x1", y: str = "x2",
                       ctx_id: str = "point_id", tgt_id: str = "target_id",
-                      carry: Sequence[str] = ()) -> DataFrame:
+                      carry: Sequence[str] = (), small_context: bool = False) -> DataFrame:
     """(keys, carry, ctx_id, tgt_id, d2) for every context/target pair closer than ``radius``.
 
     ``keys`` must match on both sides (e.g. the task date); ``carry`` columns
     come from the context only (e.g. the date of a context set joined to a
-    static target grid).
+    static target grid).  With ``small_context`` the context is written once,
+    and its exploded tiles are broadcast after a row-count check, so the
+    (large) target side is streamed without a shuffle.
     """
     r = float(radius)
     ctx = context.select(*keys, *carry, F.col(ctx_id).alias("__cid"), F.col(x).alias("__cx"),
                          F.col(y).alias("__cy"), *[c for c in context.columns if c == "value"])
+    if small_context:
+        ctx = materialize_small(ctx, "context")
     offs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _OFFSETS])
     ctx = (ctx.withColumn("__o", F.explode(offs))
            .withColumn("__ti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
            .withColumn("__tj", F.floor(F.col("__cy") / r) + F.col("__o.b")).drop("__o"))
+    if small_context:
+        ctx = broadcast_if_small(ctx, CONTEXT_BROADCAST_ROWS)
     tgt = targets.select(*keys, F.col(tgt_id).alias("__tid"), F.col(x).alias("__tx"), F.col(y).alias("__ty"),
                          F.floor(F.col(x) / r).alias("__ti"), F.floor(F.col(y) / r).alias("__tj"))
     pairs = ctx.join(tgt, [*keys, "__ti", "__tj"])
@@ -58,7 +70,8 @@ def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
 
 def kernel_sums(context: DataFrame, targets: DataFrame, lengthscale: float, radius: float | None = None,
                 keys: Sequence[str] = ("task_time",), x: str = "x1", y: str = "x2",
-                ctx_id: str = "point_id", tgt_id: str = "target_id", carry: Sequence[str] = ()) -> DataFrame:
+                ctx_id: str = "point_id", tgt_id: str = "target_id", carry: Sequence[str] = (),
+                small_context: bool = True) -> DataFrame:
     """M1: set-convolution encoding per target: density sum(w), sum(w*y), sum(w*y^2).
 
     Context rows with a missing value are ignored.  Aggregation is partial
@@ -66,7 +79,7 @@ def kernel_sums(context: DataFrame, targets: DataFrame, lengthscale: float, radi
     """
     radius = radius if radius is not None else 3.0 * lengthscale
     ctx = context.filter(F.col("value").isNotNull())
-    pairs = kernel_neighbours(ctx, targets, radius, keys, x, y, ctx_id, tgt_id, carry)
+    pairs = kernel_neighbours(ctx, targets, radius, keys, x, y, ctx_id, tgt_id, carry, small_context)
     w = F.exp(-F.col("d2") / F.lit(2.0 * lengthscale * lengthscale))
     return pairs.groupBy(*keys, *carry, tgt_id).agg(
         F.sum(w).alias("density"), F.sum(w * F.col("value")).alias("sum_wy"),
@@ -83,20 +96,46 @@ def kernel_encode(context: DataFrame, targets: DataFrame, lengthscale: float, ra
 
 def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noise: float = 1.0,
                  radius: float | None = None, keys: Sequence[str] = ("task_time",), x: str = "x1",
-                 y: str = "x2", ctx_id: str = "point_id", tgt_id: str = "target_id") -> DataFrame:
+                 y: str = "x2", ctx_id: str = "point_id", tgt_id: str = "target_id",
+                 small_context: bool = True) -> DataFrame:
     """M2: mean and std at every target row (targets without context keep mean NULL).
 
     ``targets`` lists the target points of each task (e.g. the target rows of
     a task table), so the dense output comes from data rather than from a
-    (date x cell) product; the kernel sums are left-joined on (keys, target).
+    (date x cell) product.  Targets are left-joined to the context tiles (the
+    distance test is the join condition; a sparse context is broadcast, so the
+    targets stream through without a shuffle) and reduced by one aggregation
+    per (keys, target).
     """
-    s = kernel_sums(context, targets, lengthscale, radius, keys, x, y, ctx_id, tgt_id)
-    t = targets.join(s, [*keys, tgt_id], "left")
-    dens = F.coalesce(F.col("density"), F.lit(0.0))
-    mean = C.div("sum_wy", "density")              # NULL when weights underflow to 0
-    var_w = F.coalesce(C.div("sum_wyy", "density") - mean * mean, F.lit(0.0))
+    radius = radius if radius is not None else 3.0 * lengthscale
+    r = float(radius)
+    ctx = context.filter(F.col("value").isNotNull()).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col(x).alias("__cx"), F.col(y).alias("__cy"),
+        F.col("value").alias("__v"))
+    if small_context:
+        ctx = materialize_small(ctx, "context")
+    offs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _OFFSETS])
+    ctx = (ctx.withColumn("__o", F.explode(offs))
+           .withColumn("__cti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
+           .withColumn("__ctj", F.floor(F.col("__cy") / r) + F.col("__o.b")).drop("__o"))
+    if small_context:
+        ctx = broadcast_if_small(ctx, CONTEXT_BROADCAST_ROWS)
+    tgt = targets.withColumns({"__ti": F.floor(F.col(x) / r), "__tj": F.floor(F.col(y) / r)})
+    d2 = (F.col("__cx") - F.col(x)) ** 2 + (F.col("__cy") - F.col(y)) ** 2
+    cond = [F.col(k) == F.col(f"__k_{k}") for k in keys]
+    cond += [F.col("__ti") == F.col("__cti"), F.col("__tj") == F.col("__ctj"), d2 <= F.lit(r * r)]
+    joined = tgt.join(ctx, cond, "left")
+    w = F.exp(-d2 / F.lit(2.0 * lengthscale * lengthscale))
+    rest = [c for c in targets.columns if c not in (*keys, tgt_id)]
+    agg = joined.groupBy(*keys, tgt_id).agg(
+        *[F.first(c).alias(c) for c in rest],
+        F.sum(w).alias("__d"), F.sum(w * F.col("__v")).alias("__s1"),
+        F.sum(w * F.col("__v") * F.col("__v")).alias("__s2"))
+    dens = F.coalesce(F.col("__d"), F.lit(0.0))
+    mean = C.div("__s1", "__d")                     # NULL without context (or when weights underflow)
+    var_w = F.coalesce(C.div("__s2", "__d") - mean * mean, F.lit(0.0))
     std = F.sqrt(F.when(var_w > 0, var_w).otherwise(F.lit(0.0)) + F.lit(noise * noise) / (F.lit(1.0) + dens))
-    return t.withColumns({"mean": mean, "std": std, "density": dens}).drop("sum_wy", "sum_wyy")
+    return agg.select(*targets.columns, mean.alias("mean"), std.alias("std"), dens.alias("density"))
 
 
 def predict_series(context: DataFrame, targets: DataFrame, lengthscale: float, noise: float = 1.0,
@@ -128,7 +167,8 @@ def gap_fill(grid: DataFrame, var: str, lengthscale: float, noise: float = 1.0,
     ctx = grid.filter(F.col(var).isNotNull()).select(
         F.col(time_col).alias("task_time"), cid.alias("point_id"), x, y, F.col(var).alias("value"))
     tgt = grid.filter(F.col(var).isNull()).withColumns({"task_time": F.col(time_col), "target_id": cid})
-    pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y)
+    # the context here is every observed cell: a large side, joined by shuffle
+    pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y, small_context=False)
     filled = pred.withColumns({var: F.col("mean"), "filled": F.col("mean").isNotNull(),
                                "fill_std": F.col("std")})
     kept = grid.filter(F.col(var).isNotNull()).withColumns(
