@@ -233,7 +233,7 @@ def q_append_points(spark, sf_dir):
        "r as (select t.task_time, t.point_id, c.value as mean, "
        "sqrt(pow(t.x1 - c.x1, 2) + pow(t.x2 - c.x2, 2)) as std, row_number() over (partition by t.task_time, "
        "t.point_id order by pow(t.x1 - c.x1, 2) + pow(t.x2 - c.x2, 2), c.x1, c.x2) as rn from t0 t "
-       "join c on c.task_time = t.task_time) "
+       "left join c on c.task_time = t.task_time) "
        "select task_time, point_id, mean, round(std, 6) as std from r where rn = 1",
        uses=("sst_grid", "lakemask", "bathymetry"))
 def q_predict_with_model(spark, sf_dir):
