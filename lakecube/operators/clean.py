@@ -31,6 +31,12 @@ def sentinel_to_null(df: DataFrame, sentinel: float = -99999.0,
         c: F.when(nan_to_null(c) != F.lit(sentinel), F.col(c)) for c in cols})
 
 
+def standardize_dates(df: DataFrame, col: str = "time") -> DataFrame:
+    """F1 on a table: floor ``col`` to its day (DATE); a table without it is returned unchanged."""
+    from ..functions.columns import standardize_dates as to_day
+    return df.withColumn(col, to_day(col)) if col in df.columns else df
+
+
 def drop_vars(df: DataFrame, *names: str) -> DataFrame:
     """Drop variables; absent names are ignored."""
     return df.drop(*names)

@@ -200,3 +200,11 @@ def test_degenerate_inputs_do_not_raise(spark):
     t = spark.createDataFrame([(1, 1, 5.0, 0.0)], "task_time int, target_id bigint, x1 double, x2 double")
     r = K.predict_grid(c, t, 0.01, 1.0, radius=10.0).first()      # weight underflows to 0
     assert r.mean is None and r.std == 1.0
+
+
+def test_standardize_dates_table(spark):
+    df = spark.createDataFrame([("2001-02-03 17:45:00",)], "t string").select(F.to_timestamp("t").alias("time"))
+    out = clean.standardize_dates(df).first().time
+    assert out.isoformat() == "2001-02-03"
+    static = spark.createDataFrame([(1, 2)], "lat_idx bigint, lon_idx bigint")
+    assert clean.standardize_dates(static).columns == ["lat_idx", "lon_idx"]
