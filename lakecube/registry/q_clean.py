@@ -119,7 +119,7 @@ def q_overlap_slice(spark, sf_dir):
 @query("standardize_dates", "select obs, cast(time as date) as time from buoy_obs", uses=("buoy_obs",))
 def q_standardize_dates(spark, sf_dir):
     o = fixture(spark, sf_dir, "buoy_obs")
-    return o.select("obs", C.standardize_dates("time").alias("time"))
+    return clean.standardize_dates(o).select("obs", "time")
 
 
 @query("clip",
