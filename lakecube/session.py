@@ -14,27 +14,43 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Session defaults for large inputs.  Each is applied only when the deployment
+# (spark-defaults, spark-submit --conf, builder) did not set the key itself.
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffle partitions are sized by AQE towards this many bytes each
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # parquet splits: one task reads at most this much of a file
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    # static broadcast threshold (Catalyst statistics: file sizes of written tables)
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "lakecube",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the library assumes.
 
-    On a cluster the deployment owns master/memory; only defaults that are
-    unset get a value here.
+    On a cluster the deployment owns master, memory and any key it sets;
+    ``SCALE_DEFAULTS`` only fill keys it left unset.  ``shuffle_partitions``
+    is for local runs (tests, bench).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = (builder
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-               .config("spark.sql.adaptive.skewJoin.enabled", "true")
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     spark = builder.getOrCreate()
+    conf = spark.sparkContext.getConf()
+    for key, value in SCALE_DEFAULTS.items():
+        if not conf.contains(key):
+            spark.conf.set(key, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
