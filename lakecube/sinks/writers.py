@@ -26,16 +26,16 @@ def write_grid(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)
     """K1: write a grid partitioned by year (derived from ``time`` if absent).
 
     Dynamic partition overwrite replaces only the years present in ``df``.
-    Rows are range-partitioned on (year, time, cell) first: every writer
-    gets a contiguous, equally sized slice (one year is spread over many
-    tasks, a hot day is split by cell), touches only one or two year folders,
-    and files are capped at ``MAX_RECORDS_PER_FILE`` rows.  Files come out
-    sorted by time, which keeps Parquet min/max statistics tight for later
-    date filters.
+    Rows are rebalanced on the partition columns (``REBALANCE`` hint): AQE
+    splits every year into pieces of the advisory partition size, so each
+    writer handles a bounded slice of a single year folder however large
+    that year is.  Files are capped at ``MAX_RECORDS_PER_FILE`` rows and
+    sorted by time and cell, which keeps Parquet min/max statistics tight for
+    later date filters.
     """
     out = df if "year" in df.columns else df.withColumn("year", F.year(time_col))
     order = [*partition_by, *[c for c in (time_col, "lat_idx", "lon_idx") if c in out.columns]]
-    (out.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+    (out.hint("rebalance", *partition_by).sortWithinPartitions(*order).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partition_by).parquet(path))
     return path
