@@ -42,8 +42,9 @@ def write_grid(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)
 
 
 def write_points(df: DataFrame, path: str, partition_by: Sequence[str] = ("iteration",)) -> str:
-    """K3: write points / masked predictions / acquisition surfaces as partitioned Parquet."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """K3: write points / masked predictions / acquisition surfaces as partitioned Parquet
+    (rebalanced on the partition columns: advisory-size writers, one folder each)."""
+    df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
