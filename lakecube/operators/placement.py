@@ -196,7 +196,8 @@ def placement_eval(points: DataFrame, chosen: DataFrame, truth: DataFrame, mask:
                    coord_params: DataFrame, lengthscale: float, noise: float = 1.0,
                    radius: float | None = None, var: str = "sst") -> DataFrame:
     """M6: after 0..N added sensors, mask-weighted RMSE, mean std and NLL of the
-    prediction against truth on the task dates (one row per round)."""
+    prediction against truth on the task dates (one row per round), all rounds
+    evaluated by one prediction job keyed by (n_added, task date)."""
     radius = radius if radius is not None else 3.0 * lengthscale
     cells = materialize_small(search_cells(mask, coord_params), "cells")
     d = materialize_small(dates.select("time").distinct(), "dates")
@@ -205,19 +206,25 @@ def placement_eval(points: DataFrame, chosen: DataFrame, truth: DataFrame, mask:
                .join(cells.select(*CELL), list(CELL), "left_semi")
                .select(F.col("time").alias("task_time"), cell_id().alias("target_id"), "x1", "x2",
                        *CELL, F.col(var).alias("truth")))
-    base = points.select(*CELL).join(cells, list(CELL)).select(*CELL, "x1", "x2", "cell_id", "lat", "lon")
-    n = chosen.select(F.max("iteration")).first()[0]
-    rows = []
-    for r in range(-1, (n if n is not None else -1) + 1):
-        cur = base.unionByName(chosen.filter(F.col("iteration") <= r).select(*base.columns))
-        ctx = context_values(cur, truth, d, var)
-        p = predict_grid(ctx, targets, lengthscale, noise, radius)
-        scored = p.select(F.col("task_time").alias("time"), *CELL, "mean", "std", "truth")
-        rows.append(weighted_scores(scored, mask).select(F.lit(r + 1).cast("bigint").alias("n_added"), "*"))
-    out = rows[0]
-    for x in rows[1:]:
-        out = out.unionByName(x)
-    return out
+    base = points.select(*CELL).join(cells, list(CELL)).select(*CELL, "x1", "x2", "cell_id")
+    last = chosen.select(F.max("iteration")).first()[0]                  # one scalar
+    n_rounds = 0 if last is None else int(last) + 1
+    # every round in one job: a context point belongs to the rounds n_added >= (its iteration + 1),
+    # the initial points to all; targets are repeated per round (N + 1 copies)
+    rounds = F.sequence(F.lit(0).cast("bigint"), F.lit(n_rounds).cast("bigint"))
+    members = (base.withColumn("n_added", F.explode(rounds))
+               .unionByName(chosen.select(*CELL, "x1", "x2", "cell_id", "iteration")
+                            .withColumn("n_added", F.explode(F.sequence(F.col("iteration").cast("bigint") + 1,
+                                                                        F.lit(n_rounds).cast("bigint"))))
+                            .drop("iteration")))
+    ctx = (truth.select("time", *CELL, var).join(broadcast_if_small(members), list(CELL))
+           .filter(F.col(var).isNotNull())
+           .select("n_added", F.col("time").alias("task_time"), F.col("cell_id").alias("point_id"), "x1", "x2",
+                   F.col(var).alias("value")))
+    p = predict_grid(ctx, targets.withColumn("n_added", F.explode(rounds)), lengthscale, noise, radius,
+                     keys=("n_added", "task_time"))
+    scored = p.select("n_added", F.col("task_time").alias("time"), *CELL, "mean", "std", "truth")
+    return weighted_scores(scored, mask, by=["n_added"])
 
 
 def proposed_infill(points: DataFrame, truth: DataFrame, dates: DataFrame, var: str = "sst") -> DataFrame:

@@ -228,3 +228,36 @@ def test_date_surface_averages_to_choice_surface(spark):
         trial = ctx + [(d0, cid, cx, cy, 0.0 if m is None else m)]
         pred = _brute_predict(trial, [(d0, c, x, y) for c, x, y in cells], 0.1, 1.0, 0.3)
         assert got[cid] == pytest.approx(sum(s for _, s in pred.values()) / len(pred), abs=1e-9)
+
+
+def test_placement_eval_matches_per_round(spark):
+    mask = _mask(spark, 5, 6, land=((0, 5),))
+    cp = N.fit_coord_map(mask)
+    rng = np.random.default_rng(3)
+    rows = [(d, i, j, float(rng.normal())) for d in ("2000-01-01", "2000-01-02") for i in range(5) for j in range(6)]
+    truth = spark.createDataFrame(rows, "t string, lat_idx bigint, lon_idx bigint, sst double") \
+        .select(F.to_date("t").alias("time"), "lat_idx", "lon_idx", "sst") \
+        .join(mask.select("lat_idx", "lon_idx", "lat", "lon"), ["lat_idx", "lon_idx"])
+    pts = spark.createDataFrame([(0, 0), (4, 4)], "lat_idx bigint, lon_idx bigint")
+    dates = _dates(spark, 2)
+    chosen, _ = P.greedy_place(pts, truth, mask, dates, 2, cp, 0.1, 1.0, 0.3)
+    got = {r.n_added: (r.rmse, r.mean_std) for r in P.placement_eval(pts, chosen, truth, mask, dates, cp,
+                                                                       0.1, 1.0, 0.3).collect()}
+    cells = P.search_cells(mask, cp)
+    targets = (N.apply_coord_map(truth, cp).join(cells.select("lat_idx", "lon_idx"), ["lat_idx", "lon_idx"], "left_semi")
+               .select(F.col("time").alias("task_time"), T_cell().alias("target_id"), "x1", "x2",
+                       "lat_idx", "lon_idx", F.col("sst").alias("truth")))
+    from lakecube.operators.scoring import weighted_scores
+    for r in range(3):
+        cur = pts.unionByName(chosen.filter(F.col("iteration") < r).select("lat_idx", "lon_idx")) \
+            .join(cells, ["lat_idx", "lon_idx"])
+        ctx = P.context_values(cur, truth, dates)
+        p = K.predict_grid(ctx, targets, 0.1, 1.0, 0.3)
+        w = weighted_scores(p.select(F.col("task_time").alias("time"), "lat_idx", "lon_idx", "mean", "std", "truth"),
+                            mask).first()
+        assert got[r][0] == pytest.approx(w.rmse, abs=1e-12) and got[r][1] == pytest.approx(w.mean_std, abs=1e-12)
+
+
+def T_cell():
+    from lakecube.operators.tasks import cell_id
+    return cell_id()
