@@ -17,8 +17,9 @@ STATIC_BROADCAST_ROWS = 2_000_000
 
 
 def apply_mask(pred: DataFrame, mask: DataFrame, value_cols: Sequence[str] | None = None,
-               mask_col: str = "mask") -> DataFrame:
-    """Every variable becomes NULL where the mask is not 1.
+               mask_col: str = "mask", drop_land: bool = False) -> DataFrame:
+    """Every variable becomes NULL where the mask is not 1 (``drop_land``:
+    those rows are dropped instead).
 
     Inner join on the cell (labels must align); the static mask is broadcast
     after a size check, so the prediction is never shuffled.
@@ -29,6 +30,8 @@ def apply_mask(pred: DataFrame, mask: DataFrame, value_cols: Sequence[str] | Non
     m = broadcast_if_small(mask.select(*CELL, F.col(mask_col).alias("__mask")),
                            STATIC_BROADCAST_ROWS)
     joined = pred.join(m, list(CELL), "inner")
+    if drop_land:
+        joined = joined.filter(F.col("__mask") == 1)
     return joined.select(*[F.when(F.col("__mask") == 1, F.col(c)).alias(c) if c in cols else F.col(c)
                            for c in pred.columns])
 

@@ -65,6 +65,8 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
         # the store has no time axis of its own
         from .grid_store import flatten_chunks, positional_time
         keep = [c for c in ("year",) if c in df.columns]
+        if not keep and df.filter(F.size("shape") == 3).limit(1).count() > 0:
+            raise ValueError(f"Dataset '{name}' has (time, lat, lon) arrays but neither a time axis nor a year.")
         df = flatten_chunks(df, keep=keep)
         if keep:
             df = positional_time(df)

@@ -76,3 +76,12 @@ def test_single_csv_guard(spark, monkeypatch):
     monkeypatch.setattr(W, "SINGLE_FILE_MAX_ROWS", 3)
     with pytest.raises(ValueError):
         W.write_csv(spark.range(10), scratch_path(spark, f"csv-{uuid.uuid4().hex}"), single_file=True)
+
+
+def test_rank3_without_time_or_year_raises(spark):
+    path = scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
+    spark.createDataFrame([("sst", 0, 0, 0, [2, 1, 1], [1.0, 2.0])],
+                          "var string, t0 int, i0 int, j0 int, shape array<int>, payload array<float>").write.parquet(path)
+    cat = _catalog(spark, {"cube": {"path": path, "format": "chunks"}})
+    with pytest.raises(ValueError, match="neither a time axis nor a year"):
+        CAT.load_dataset(spark, cat, "cube")

@@ -208,3 +208,31 @@ def test_standardize_dates_table(spark):
     assert out.isoformat() == "2001-02-03"
     static = spark.createDataFrame([(1, 2)], "lat_idx bigint, lon_idx bigint")
     assert clean.standardize_dates(static).columns == ["lat_idx", "lon_idx"]
+
+
+def test_mask_keeps_or_drops_land(spark):
+    g = small_grid(spark, [("1995-01-01", 0, 0, 1.0), ("1995-01-01", 1, 0, 2.0)])
+    mask = spark.createDataFrame([(0, 0, 1), (1, 0, 0)], "lat_idx bigint, lon_idx bigint, mask bigint")
+    kept = {r.lat_idx: r.sst for r in grid.apply_mask(g, mask).collect()}
+    assert kept == {0: 1.0, 1: None}
+    assert [r.lat_idx for r in grid.apply_mask(g, mask, drop_land=True).collect()] == [0]
+    with pytest.raises(ValueError):
+        grid.apply_mask(g, mask.withColumnRenamed("mask", "m"))
+
+
+def test_unnormalised_std_is_a_scale(spark):
+    from lakecube.operators import kernel as K
+    pred = spark.createDataFrame([(0.5, 2.0)], "mean double, std double")
+    out = K.unnormalise_pred(pred, F.lit(10.0), F.lit(3.0)).first()
+    assert out.mean == 11.5 and out.std == 6.0          # std * scale, no offset
+
+
+def test_safe_task_build_reports_skipped_dates(spark):
+    from lakecube.operators import tasks as T
+    g = small_grid(spark, [("1995-01-02", 0, 0, 1.0), ("1995-01-04", 0, 0, 2.0)])
+    req = spark.createDataFrame([("1995-01-0%d" % d,) for d in (1, 2, 3, 4)], "t string") \
+        .select(F.to_date("t").alias("time"))
+    cp = N.fit_coord_map(g)
+    tasks, report = T.build_tasks_safe(req, g, [T.TaskSet("sst", g, "all")], None, cp)
+    assert tuple(report.first()) == (4, 2, 2)
+    assert sorted(r.task_time.isoformat() for r in tasks.collect()) == ["1995-01-02", "1995-01-04"]
