@@ -100,7 +100,7 @@ def q_write_grid(spark, sf_dir):
 def q_scan_year(spark, sf_dir):
     path = _grid_store(spark, sf_dir)
     cat = CAT.read_catalog(spark, _write_catalog(spark, {"sst_daily": {"path": path, "format": "parquet"}}))
-    return CAT.load_dataset(spark, cat, "sst_daily", year=1997)
+    return CAT.load_dataset(spark, cat, "sst_daily", year=1997, kind="grid")
 
 
 @query("concat_store_years",

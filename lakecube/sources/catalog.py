@@ -41,12 +41,15 @@ def catalog_lookup(catalog: DataFrame, name: str) -> DataFrame:
 
 
 def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int | None = None,
-                 schema=None, sentinel: float | None = None, rename: dict | None = None) -> DataFrame:
+                 schema=None, sentinel: float | None = None, rename: dict | None = None,
+                 kind: str | None = None) -> DataFrame:
     """Load a catalog dataset with the reader for its format.
 
     With ``year`` the dataset is a year-partitioned store and only that year's
     partition is read (``year=`` partition filter, pruned by Spark).  A fill
-    value (``sentinel``) is turned into NULL on every value column.
+    value (``sentinel``) is turned into NULL on every value column.  With
+    ``kind`` (e.g. "grid", "mask") the result is validated against that table
+    kind's key columns (``schemas.validate``), a schema-only check.
     """
     entry = catalog_lookup(catalog, name).select("path", "format").first()
     fmt = entry["format"]
@@ -74,6 +77,9 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
         df = sentinel_to_null(df, sentinel)
     if rename:
         df = rename_vars(df, rename)
+    if kind is not None:
+        from ..schemas import validate
+        df = validate(df, kind)
     return df
 
 

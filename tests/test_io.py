@@ -85,3 +85,18 @@ def test_rank3_without_time_or_year_raises(spark):
     cat = _catalog(spark, {"cube": {"path": path, "format": "chunks"}})
     with pytest.raises(ValueError, match="neither a time axis nor a year"):
         CAT.load_dataset(spark, cat, "cube")
+
+
+def test_schema_validation(spark):
+    from lakecube import schemas
+    g = small_grid(spark, [("1995-01-01", 0, 0, 1.0)])
+    assert schemas.validate(g, "grid") is g
+    assert schemas.problems(g.drop("lat_idx"), "grid") == ["missing column 'lat_idx'"]
+    with pytest.raises(ValueError, match="not a valid mask table"):
+        schemas.validate(g, "mask")
+    path = scratch_path(spark, f"g-{uuid.uuid4().hex}")
+    g.write.parquet(path)
+    cat = _catalog(spark, {"sst_daily": {"path": path, "format": "parquet"}})
+    assert CAT.load_dataset(spark, cat, "sst_daily", kind="grid").count() == 1
+    with pytest.raises(ValueError):
+        CAT.load_dataset(spark, cat, "sst_daily", kind="task")
