@@ -106,9 +106,10 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
     ``points``: the initial context cells (lat_idx, lon_idx, ...).  ``infill``
     optionally gives the value assumed at a new sensor (time, lat_idx, lon_idx,
     value); otherwise the current predicted mean is used (0 where undefined).
-    Each round is a few distributed jobs; the surface, the winner and the
-    growing point set are written under the shared checkpoint folder, so the
-    lineage stays one round long and survives executor loss.
+    Each round is a few distributed jobs; the surface and the winner are
+    written under the shared checkpoint folder and the context set is the
+    union of written tables (initial points + winners), so the lineage stays
+    one round long and survives executor loss.
     Chosen cells are excluded from later rounds unless ``allow_repeat``.
     """
     ensure_checkpoint_dir(points.sparkSession)
@@ -162,7 +163,8 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
         chosen_rounds.append(best)
         if not surface_by_date:
             surfaces.append(surf)
-        cur = materialize_small(cur.unionByName(best.select(*cur.columns)), "context")
+        # a union of written tables: the lineage stays short without another write
+        cur = cur.unionByName(best.select(*cur.columns))
     chosen = chosen_rounds[0]
     for b in chosen_rounds[1:]:
         chosen = chosen.unionByName(b)
