@@ -135,3 +135,15 @@ def q_acquisition_surface_by_date(spark, sf_dir):
     write_points(surface, path, ["iteration"])
     back = spark.read.parquet(path)
     return rounded(back.select("iteration", "time", "cell_id", "acquisition"), ["acquisition"])
+
+
+@query("greedy_place_infill")
+def q_greedy_place_infill(spark, sf_dir):
+    """M5 with M7 (rows-only): candidates carry the truth value of their cell on
+    each task date (proposed infill) instead of the predicted mean."""
+    g, mask, cp, dates, pts = _setup(spark, sf_dir)
+    water = mask.filter(F.col("mask") == 1).select("lat_idx", "lon_idx")
+    infill = P.proposed_infill(water, g, dates)
+    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, infill=infill)
+    return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"),
+                   ["acquisition"])

@@ -261,3 +261,21 @@ def test_placement_eval_matches_per_round(spark):
 def T_cell():
     from lakecube.operators.tasks import cell_id
     return cell_id()
+
+
+def test_greedy_with_truth_infill(spark):
+    mask = _mask(spark, 5, 6, land=())
+    cp = N.fit_coord_map(mask)
+    rng = np.random.default_rng(4)
+    rows = [(d, i, j, float(rng.normal() * 3)) for d in ("2000-01-01", "2000-01-02") for i in range(5) for j in range(6)]
+    truth = spark.createDataFrame(rows, "t string, lat_idx bigint, lon_idx bigint, sst double") \
+        .select(F.to_date("t").alias("time"), "lat_idx", "lon_idx", "sst")
+    pts = spark.createDataFrame([(0, 0), (4, 5), (2, 3)], "lat_idx bigint, lon_idx bigint")
+    infill = P.proposed_infill(mask.select("lat_idx", "lon_idx"), truth, _dates(spark, 2))
+    chosen, surf = P.greedy_place(pts, truth, mask, _dates(spark, 2), 2, cp, 0.1, 1.0, 0.3, infill=infill)
+    picks = [r.cell_id for r in chosen.collect()]
+    assert len(set(picks)) == 2 and not {0, 4_000_005, 2_000_003} & set(picks)
+    _, surf_mean = P.greedy_place(pts, truth, mask, _dates(spark, 2), 1, cp, 0.1, 1.0, 0.3)
+    a = {r.cell_id: r.acquisition for r in surf.filter("iteration = 0").collect()}
+    b = {r.cell_id: r.acquisition for r in surf_mean.collect()}
+    assert set(a) == set(b) and any(abs(a[c] - b[c]) > 1e-9 for c in a)   # truth infill changes the values
