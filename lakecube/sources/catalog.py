@@ -123,7 +123,7 @@ def scan_lazy(spark: SparkSession, path: str, schema: str, columns: Sequence[str
 
 def scan_obs(spark: SparkSession, path: str) -> DataFrame:
     """Point observations with their declared schema."""
-    return spark.read.schema("obs bigint, time timestamp, latitude double, longitude double, "
+    return spark.read.schema("obs bigint, time timestamp_ntz, latitude double, longitude double, "
                              "temperature_k double").parquet(path)
 
 
