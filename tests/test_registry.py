@@ -23,6 +23,8 @@ def test_query_matches_oracle(spark, duck, name):
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
     assert len(cols) == len(set(cols))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan     # no cross joins anywhere
     sql = ORACLES.get(name)
     if sql is None:
         return
