@@ -97,8 +97,9 @@ def nearest_on_axis(points: DataFrame, value: str, axis: DataFrame, label: str,
     iv = axis_intervals(axis, label, idx)
     src = points
     val = value
+    ext = axis.select(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"),
+                               F.min(idx).alias("lo_idx"))).scalar()
     if extrapolate:
-        ext = axis.select(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
         lo, hi = ext.getField("lo"), ext.getField("hi")
         v = F.col(value)
         # CASE form: a missing coordinate stays missing (least/greatest would skip NULL)
@@ -109,9 +110,14 @@ def nearest_on_axis(points: DataFrame, value: str, axis: DataFrame, label: str,
     d_lo = p - F.col("__br_lo")
     d_hi = F.col("__br_hi") - p
     take_lo = (d_lo < d_hi) | ((d_lo == d_hi) & F.lit(prefer == "lower"))
+    # an axis with a single label has no interval: every point on it (or, with
+    # extrapolation, every point) takes that label
+    single = (ext.getField("lo") == ext.getField("hi")) & (
+        (p == ext.getField("lo")) | F.lit(extrapolate)) & p.isNotNull()
     out = b.withColumns({
-        f"{prefix}_idx": F.when(take_lo, F.col("__br_lo_idx")).otherwise(F.col("__br_hi_idx")),
-        prefix: F.when(take_lo, F.col("__br_lo")).otherwise(F.col("__br_hi"))})
+        f"{prefix}_idx": F.when(single, ext.getField("lo_idx"))
+        .when(take_lo, F.col("__br_lo_idx")).otherwise(F.col("__br_hi_idx")),
+        prefix: F.when(single, ext.getField("lo")).when(take_lo, F.col("__br_lo")).otherwise(F.col("__br_hi"))})
     return out.drop(*[c for c in out.columns if c.startswith("__br_")], "__clamped")
 
 

@@ -236,3 +236,13 @@ def test_safe_task_build_reports_skipped_dates(spark):
     tasks, report = T.build_tasks_safe(req, g, [T.TaskSet("sst", g, "all")], None, cp)
     assert tuple(report.first()) == (4, 2, 2)
     assert sorted(r.task_time.isoformat() for r in tasks.collect()) == ["1995-01-02", "1995-01-04"]
+
+
+def test_single_label_axis(spark):
+    axis = spark.createDataFrame([(3, 7.0)], "idx bigint, v double")
+    pts = spark.createDataFrame([(7.0,), (9.0,), (None,)], "p double")
+    exact = {r.p: r.n for r in grid.nearest_on_axis(pts, "p", axis, "v", "idx", "n").collect()}
+    assert exact == {7.0: 7.0, 9.0: None, None: None}
+    snap = {r.p: (r.n, r.n_idx) for r in grid.nearest_on_axis(pts, "p", axis, "v", "idx", "n",
+                                                               extrapolate=True).collect()}
+    assert snap == {7.0: (7.0, 3), 9.0: (7.0, 3), None: (None, None)}
