@@ -97,9 +97,13 @@ def kernel_encode(context: DataFrame, targets: DataFrame, lengthscale: float, ra
 def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noise: float = 1.0,
                  radius: float | None = None, keys: Sequence[str] = ("task_time",), x: str = "x1",
                  y: str = "x2", ctx_id: str = "point_id", tgt_id: str = "target_id",
-                 small_context: bool = True) -> DataFrame:
+                 small_context: bool = True, explode: str = "context") -> DataFrame:
     """M2: mean and std at every target row (targets without context keep mean NULL).
 
+    ``explode`` picks the side copied into the 3 x 3 neighbouring tiles: the
+    smaller one ("context" for sparse sensors, "targets" when filling a few
+    gaps from a dense grid); the pairs found are the same either way.
+
     ``targets`` lists the target points of each task (e.g. the target rows of
     a task table), so the dense output comes from data rather than from a
     (date x cell) product.  Targets are left-joined to the context tiles (the
@@ -115,12 +119,20 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     if small_context:
         ctx = materialize_small(ctx, "context")
     offs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _OFFSETS])
-    ctx = (ctx.withColumn("__o", F.explode(offs))
-           .withColumn("__cti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
-           .withColumn("__ctj", F.floor(F.col("__cy") / r) + F.col("__o.b")).drop("__o"))
+    if explode == "context":
+        ctx = (ctx.withColumn("__o", F.explode(offs))
+               .withColumn("__cti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
+               .withColumn("__ctj", F.floor(F.col("__cy") / r) + F.col("__o.b")).drop("__o"))
+        tgt = targets.withColumns({"__ti": F.floor(F.col(x) / r), "__tj": F.floor(F.col(y) / r)})
+    elif explode == "targets":
+        ctx = ctx.withColumns({"__cti": F.floor(F.col("__cx") / r), "__ctj": F.floor(F.col("__cy") / r)})
+        tgt = (targets.withColumn("__o", F.explode(offs))
+               .withColumn("__ti", F.floor(F.col(x) / r) + F.col("__o.a"))
+               .withColumn("__tj", F.floor(F.col(y) / r) + F.col("__o.b")).drop("__o"))
+    else:
+        raise ValueError("explode must be 'context' or 'targets'")
     if small_context:
         ctx = broadcast_if_small(ctx, CONTEXT_BROADCAST_ROWS)
-    tgt = targets.withColumns({"__ti": F.floor(F.col(x) / r), "__tj": F.floor(F.col(y) / r)})
     d2 = (F.col("__cx") - F.col(x)) ** 2 + (F.col("__cy") - F.col(y)) ** 2
     cond = [F.col(k) == F.col(f"__k_{k}") for k in keys]
     cond += [F.col("__ti") == F.col("__cti"), F.col("__tj") == F.col("__ctj"), d2 <= F.lit(r * r)]
@@ -168,7 +180,8 @@ def gap_fill(grid: DataFrame, var: str, lengthscale: float, noise: float = 1.0,
         F.col(time_col).alias("task_time"), cid.alias("point_id"), x, y, F.col(var).alias("value"))
     tgt = grid.filter(F.col(var).isNull()).withColumns({"task_time": F.col(time_col), "target_id": cid})
     # the context here is every observed cell: a large side, joined by shuffle
-    pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y, small_context=False)
+    pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y, small_context=False,
+                        explode="targets")                         # the missing cells are the smaller side
     filled = pred.withColumns({var: F.col("mean"), "filled": F.col("mean").isNotNull(),
                                "fill_std": F.col("std")})
     kept = grid.filter(F.col(var).isNotNull()).withColumns(

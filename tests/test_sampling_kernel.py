@@ -279,3 +279,21 @@ def test_greedy_with_truth_infill(spark):
     a = {r.cell_id: r.acquisition for r in surf.filter("iteration = 0").collect()}
     b = {r.cell_id: r.acquisition for r in surf_mean.collect()}
     assert set(a) == set(b) and any(abs(a[c] - b[c]) > 1e-9 for c in a)   # truth infill changes the values
+
+
+def test_predict_grid_explode_targets_same_as_context(spark):
+    rng = np.random.default_rng(5)
+    ctx = [(1, int(k), float(rng.uniform(0, 1)), float(rng.uniform(0, 1)), float(rng.normal())) for k in range(40)]
+    tgt = [(1, int(i * 10 + j), i / 9.0, j / 9.0) for i in range(10) for j in range(10)]
+    c = spark.createDataFrame(ctx, "task_time int, point_id bigint, x1 double, x2 double, value double")
+    t = spark.createDataFrame(tgt, "task_time int, target_id bigint, x1 double, x2 double")
+    want = _brute_predict(ctx, tgt, 0.1, 0.5, 0.3)
+    for mode, small in (("targets", False), ("targets", True), ("context", False)):
+        got = {(r.task_time, r.target_id): (r.mean, r.std)
+               for r in K.predict_grid(c, t, 0.1, 0.5, 0.3, small_context=small, explode=mode).collect()}
+        assert set(got) == set(want)
+        for k, (m, s) in want.items():
+            assert (got[k][0] is None) == (m is None)
+            if m is not None:
+                assert got[k][0] == pytest.approx(m, abs=1e-9)
+            assert got[k][1] == pytest.approx(s, abs=1e-9)
