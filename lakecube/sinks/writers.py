@@ -22,7 +22,7 @@ MAX_RECORDS_PER_FILE = 20_000_000
 
 
 def write_grid(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",), time_col: str = "time",
-               mode: str = "overwrite") -> str:
+               mode: str = "overwrite", order: str = "time") -> str:
     """K1: write a grid partitioned by year (derived from ``time`` if absent).
 
     Dynamic partition overwrite replaces only the years present in ``df``.
@@ -30,12 +30,14 @@ def write_grid(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)
     splits every year into pieces of the advisory partition size, so each
     writer handles a bounded slice of a single year folder however large
     that year is.  Files are capped at ``MAX_RECORDS_PER_FILE`` rows and
-    sorted by time and cell, which keeps Parquet min/max statistics tight for
-    later date filters.
+    sorted, which keeps Parquet min/max statistics tight: ``order="time"``
+    (maps of one day together; date filters prune) or ``order="space"``
+    (each cell's series together; point and box filters prune).
     """
     out = df if "year" in df.columns else df.withColumn("year", F.year(time_col))
-    order = [*partition_by, *[c for c in (time_col, "lat_idx", "lon_idx") if c in out.columns]]
-    (out.hint("rebalance", *partition_by).sortWithinPartitions(*order).write.mode(mode)
+    keys = {"time": (time_col, "lat_idx", "lon_idx"), "space": ("lat_idx", "lon_idx", time_col)}[order]
+    sort = [*partition_by, *[c for c in keys if c in out.columns]]
+    (out.hint("rebalance", *partition_by).sortWithinPartitions(*sort).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partition_by).parquet(path))
     return path

@@ -100,3 +100,14 @@ def test_schema_validation(spark):
     assert CAT.load_dataset(spark, cat, "sst_daily", kind="grid").count() == 1
     with pytest.raises(ValueError):
         CAT.load_dataset(spark, cat, "sst_daily", kind="task")
+
+
+def test_space_ordered_grid_filters_on_cells(spark):
+    g = small_grid(spark, [(f"1995-01-0{d}", i, j, float(d + i + j)) for d in range(1, 4) for i in range(3) for j in range(3)])
+    path = scratch_path(spark, f"g-{uuid.uuid4().hex}")
+    W.write_grid(g, path, order="space")
+    back = spark.read.parquet(path)
+    cell = back.filter("lat_idx = 1 and lon_idx = 2")
+    assert cell.count() == 3
+    assert "PushedFilters: [IsNotNull(lat_idx), IsNotNull(lon_idx), EqualTo(lat_idx,1), EqualTo(lon_idx,2)]" in \
+        cell._jdf.queryExecution().executedPlan().toString()
