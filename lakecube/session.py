@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,7 +95,7 @@ def one_row(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")   # works for URIs as well
 
 
 def materialize_small(df: DataFrame, tag: str = "small") -> DataFrame:
