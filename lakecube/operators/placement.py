@@ -126,6 +126,12 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
     total = float(n_dates * n_cells)
     cur = materialize_small(points.select(*CELL).join(cells, list(CELL))
                             .select(*CELL, "x1", "x2", "cell_id", "lat", "lon"), "context")
+    # F0(c) = sum over c's neighbours of noise * (1/sqrt(1 + w) - 1): the change a candidate
+    # brings to targets without context; it does not depend on the round, so it is built once
+    f0 = F.lit(noise) * (F.lit(1.0) / F.sqrt(1 + F.col("w")) - 1)
+    cells_f0 = materialize_small(
+        cells.join(pairs.groupBy("cand").agg(F.sum(f0).alias("__f0")),
+                   F.col("cell_id") == F.col("cand"), "left").drop("cand"), "cells-f0")
     chosen_rounds, surfaces = [], []
     for it in range(n_new):
         ctx = context_values(cur, truth, d, var)
@@ -142,17 +148,13 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
         rho2 = F.col("density") + F.col("w")
         s1 = F.col("sum_wy") + F.col("w") * F.col("v")
         s2 = F.col("sum_wyy") + F.col("w") * F.col("v") * F.col("v")
-        present = j.groupBy("cand").agg(F.sum(_std(rho2, s1, s2, noise) - std_old).alias("__dp"))
-        n_t = sums.groupBy("target_id").agg(F.count(F.lit(1)).alias("__nt"))
-        absent = (pairs.join(n_t, "target_id", "left")
-                  .groupBy("cand").agg(F.sum((F.lit(n_dates) - F.coalesce("__nt", F.lit(0)))
-                                             * F.lit(noise) * (F.lit(1.0) / F.sqrt(1 + F.col("w")) - 1))
-                                       .alias("__da")))
-        surf = (cells.join(present, cells["cell_id"] == present["cand"], "left").drop("cand")
-                .join(absent, cells["cell_id"] == absent["cand"], "left").drop("cand")
+        # one aggregation per candidate: G(c) = sum over (neighbour, date) rows with context of
+        # (std' - std - f0); the acquisition is (base + D * F0(c) + G(c)) / (D * T)
+        g = j.groupBy("cand").agg(F.sum(_std(rho2, s1, s2, noise) - std_old - f0).alias("__g"))
+        surf = (cells_f0.join(g, F.col("cell_id") == F.col("cand"), "left").drop("cand")
                 .select(F.lit(it).cast("bigint").alias("iteration"), "cell_id", *CELL, "lat", "lon", "x1", "x2",
-                        ((base + F.coalesce("__dp", F.lit(0.0)) + F.coalesce("__da", F.lit(0.0)))
-                         / F.lit(max(total, 1.0))).alias("acquisition")))
+                        ((base + F.lit(float(n_dates)) * F.coalesce("__f0", F.lit(0.0))
+                          + F.coalesce("__g", F.lit(0.0))) / F.lit(max(total, 1.0))).alias("acquisition")))
         surf = materialize_small(surf, "surface")
         if surface_by_date:
             surfaces.append(materialize_small(_date_surface(it, j, sums, pairs, cells, d, n_cells, noise,
