@@ -147,3 +147,52 @@ def q_greedy_place_infill(spark, sf_dir):
     chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, infill=infill)
     return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"),
                    ["acquisition"])
+
+
+# --- first greedy round against a direct SQL evaluation --------------------------------
+_S_END = _ACQ_CTES.index("st as (")
+_ROUND0 = (
+    _ACQ_CTES[:_S_END]
+    + "so as (select task_time, target_id, dens, swy, swyy, "
+    f"sqrt(greatest(swyy / dens - (swy / dens) * (swy / dens), 0) + {NOISE * NOISE!r} / (1 + dens)) as std0 "
+    "from s), "
+    f"pairs as (select a.cell_id as cand, b.cell_id as tgt, exp(-(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) / {TWO_L2}) "
+    f"as w from cells a, cells b where pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2) <= {R2}), "
+    "nd as (select count(*) as n from ad), nc as (select count(*) as n from cells), "
+    "b as (select coalesce((select sum(std0) from so), 0) + "
+    f"((select n from nd) * (select n from nc) - (select count(*) from so)) * {NOISE!r} as v), "
+    "x as (select p.cand, case when t.dens is null then "
+    f"{NOISE!r} / sqrt(1 + p.w) - {NOISE!r} else "
+    "sqrt(greatest((t.swyy + p.w * coalesce(c.swy / c.dens, 0) * coalesce(c.swy / c.dens, 0)) / (t.dens + p.w) "
+    "- pow((t.swy + p.w * coalesce(c.swy / c.dens, 0)) / (t.dens + p.w), 2), 0) "
+    f"+ {NOISE * NOISE!r} / (1 + t.dens + p.w)) - t.std0 end as delta "
+    "from pairs p cross join ad d left join so t on t.task_time = d.time and t.target_id = p.tgt "
+    "left join so c on c.task_time = d.time and c.target_id = p.cand), "
+    "acq0 as (select c.cell_id, c.lat_idx, c.lon_idx, c.lat, c.lon, "
+    "((select v from b) + coalesce(x.sd, 0)) / ((select n from nd) * (select n from nc)) as acquisition "
+    "from cells c left join (select cand, sum(delta) as sd from x group by cand) x on x.cand = c.cell_id) ")
+
+
+def _round0(spark, sf_dir):
+    g, mask, cp, dates, pts = _setup(spark, sf_dir)
+    return P.greedy_place(pts, g, mask, dates, 1, cp, LS, NOISE, RADIUS)
+
+
+@query("acquisition_round0",
+       _ROUND0 + "select cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) as acquisition from acq0",
+       uses=("sst_grid", "lakemask"))
+def q_acquisition_round0(spark, sf_dir):
+    """M5 first round: acquisition of every water cell (mean predicted std over
+    targets and dates after adding the cell with its infilled value)."""
+    _, surface = _round0(spark, sf_dir)
+    return rounded(surface.select("cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"), ["acquisition"])
+
+
+@query("greedy_first_pick",
+       _ROUND0 + "select cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) as acquisition from acq0 "
+       "where cell_id not in (select lat_idx * 1000000 + lon_idx from pts) "
+       "order by acquisition, lat, lon limit 1", uses=("sst_grid", "lakemask"))
+def q_greedy_first_pick(spark, sf_dir):
+    """M5 first round: the chosen cell (lowest acquisition, ties -> lat, lon; initial points excluded)."""
+    chosen, _ = _round0(spark, sf_dir)
+    return rounded(chosen.select("cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"), ["acquisition"])
