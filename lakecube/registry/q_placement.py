@@ -196,3 +196,35 @@ def q_greedy_first_pick(spark, sf_dir):
     """M5 first round: the chosen cell (lowest acquisition, ties -> lat, lon; initial points excluded)."""
     chosen, _ = _round0(spark, sf_dir)
     return rounded(chosen.select("cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"), ["acquisition"])
+
+
+_EVAL0 = (
+    _ACQ_CTES[:_S_END]
+    + "tg as (select g.time as task_time, g.lat_idx * 1000000 + g.lon_idx as target_id, g.lat_idx, g.lon_idx, "
+    "g.sst as truth from sst_grid g join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
+    "where g.time in (select time from ad)), "
+    "pd as (select tg.lat_idx, tg.lon_idx, tg.truth, s.swy / s.dens as mean, "
+    "sqrt(greatest(coalesce(s.swyy / s.dens - (s.swy / s.dens) * (s.swy / s.dens), 0), 0) "
+    f"+ {NOISE * NOISE!r} / (1 + coalesce(s.dens, 0))) as std from tg "
+    "left join s on s.task_time = tg.task_time and s.target_id = tg.target_id), "
+    "wt as (select lat_idx, lon_idx, mask / (select sum(mask) from lakemask) as w from lakemask), "
+    "k as (select pd.*, wt.w, case when pd.std > 1e-6 then pd.std else 1e-6 end as ss from pd "
+    "join wt on wt.lat_idx = pd.lat_idx and wt.lon_idx = pd.lon_idx), "
+    "kn as (select *, 0.5 * ln(2 * pi() * ss * ss) + 0.5 * (truth - mean) * (truth - mean) / (ss * ss) as nll "
+    "from k) ")
+
+
+@query("placement_eval_round0",
+       _EVAL0 + "select 0::bigint as n_added, "
+       "round(sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
+       "sum(case when (mean - truth) * (mean - truth) is not null then w end)), 6) as rmse, "
+       "round(sum(w * std) / sum(case when std is not null then w end), 6) as mean_std, "
+       "round(sum(w * nll) / sum(case when nll is not null then w end), 6) as nll from kn",
+       uses=("sst_grid", "lakemask"))
+def q_placement_eval_round0(spark, sf_dir):
+    """M6 before any sensor is added: mask-weighted RMSE, mean std and NLL of the
+    kernel prediction from the initial points, against truth on the task dates."""
+    g, mask, cp, dates, pts = _setup(spark, sf_dir)
+    none = spark.createDataFrame([], "lat_idx bigint, lon_idx bigint, x1 double, x2 double, cell_id bigint, "
+                                     "iteration bigint")
+    return rounded(P.placement_eval(pts, none, g, mask, dates, cp, LS, NOISE, RADIUS), ["rmse", "mean_std", "nll"])
