@@ -355,9 +355,52 @@ def q_load_chunk_store(spark, sf_dir):
     return CAT.load_dataset(spark, cat, "sst_daily", year=1997)
 
 
-@query("evaluate_predictions")
+
+def _evaluate_sql():
+    from .q_kernel import R2 as KR2, TWO_L2 as KTWO_L2
+    from .q_tasks import _CP, _DATES5, _per_date_sql
+    xy = lambda a: (f"({a}.lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "
+                    f"({a}.lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2")
+    return (
+        f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
+        "prm as (select avg(sst) as pm, stddev_pop(sst) as ps from sst_grid "
+        "where time between date '1995-01-01' and date '1999-12-31'), "
+        f"{_per_date_sql(42, 20, 'ad')}, "
+        "gn as (select g.time, g.lat_idx, g.lon_idx, g.lat, g.lon, (g.sst - prm.pm) / prm.ps as v "
+        "from sst_grid g, prm where g.time in (select time from ad)), "
+        f"cx as (select pp.time as task_time, {xy('pp')}, gn.v as value from pp join gn on gn.time = pp.time "
+        "and gn.lat_idx = pp.lat_idx and gn.lon_idx = pp.lon_idx, cp where gn.v is not null), "
+        f"tg as (select gn.time as task_time, gn.lat_idx, gn.lon_idx, {xy('gn')} from gn join "
+        "(select lat_idx, lon_idx from lakemask where mask = 1) wc on wc.lat_idx = gn.lat_idx "
+        "and wc.lon_idx = gn.lon_idx, cp), "
+        "px as (select t.task_time, t.lat_idx, t.lon_idx, "
+        f"exp(-(pow(c.x1 - t.x1, 2) + pow(c.x2 - t.x2, 2)) / {KTWO_L2}) as w, c.value from tg t join cx c "
+        f"on c.task_time = t.task_time where pow(c.x1 - t.x1, 2) + pow(c.x2 - t.x2, 2) <= {KR2}), "
+        "sx as (select task_time, lat_idx, lon_idx, sum(w) as dens, sum(w * value) as swy, "
+        "sum(w * value * value) as swyy from px group by 1, 2, 3), "
+        "ph as (select t.task_time as time, t.lat_idx, t.lon_idx, (sx.swy / sx.dens) * prm.ps + prm.pm as mean, "
+        "sqrt(greatest(coalesce(sx.swyy / sx.dens - (sx.swy / sx.dens) * (sx.swy / sx.dens), 0), 0) "
+        "+ 1e0 / (1 + coalesce(sx.dens, 0))) * prm.ps as std from tg t left join sx on sx.task_time = t.task_time "
+        "and sx.lat_idx = t.lat_idx and sx.lon_idx = t.lon_idx, prm), "
+        "jn as (select ph.*, g.sst as truth from ph join sst_grid g on g.time = ph.time "
+        "and g.lat_idx = ph.lat_idx and g.lon_idx = ph.lon_idx), "
+        "wt as (select lat_idx, lon_idx, mask / (select sum(mask) from lakemask) as w from lakemask), "
+        "kw as (select jn.*, wt.w, case when jn.std > 1e-6 then jn.std else 1e-6 end as ss from jn "
+        "join wt on wt.lat_idx = jn.lat_idx and wt.lon_idx = jn.lon_idx), "
+        "kn as (select *, 0.5 * ln(2 * pi() * ss * ss) + 0.5 * (truth - mean) * (truth - mean) / (ss * ss) as nll "
+        "from kw) "
+        "select round(sqrt((select avg((mean - truth) * (mean - truth)) from jn)), 6) as pooled_rmse, "
+        "(select count(mean - truth) from jn) as n_scored, "
+        "round(sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
+        "sum(case when (mean - truth) * (mean - truth) is not null then w end)), 6) as weighted_rmse, "
+        "round(sum(w * std) / sum(case when std is not null then w end), 6) as mean_std, "
+        "round(sum(w * nll) / sum(case when nll is not null then w end), 6) as nll from kn")
+
+
+
+@query("evaluate_predictions", _evaluate_sql(), uses=("sst_grid", "lakemask"))
 def q_evaluate_predictions(spark, sf_dir):
-    """Score workflow (rows-only): normalise, per-date random context, kernel
+    """Score workflow: normalise, per-date random context, kernel
     prediction on every water cell, unnormalise, pooled and weighted scores."""
     from ..operators import dates as D
     from ..plans.evaluate import evaluate
