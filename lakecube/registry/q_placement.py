@@ -41,6 +41,117 @@ _ACQ_CTES = (
     "(select count(*) from ad) as acquisition from cells c left join st on st.target_id = c.cell_id) ")
 
 
+def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
+    """Direct SQL evaluation of ``n_rounds`` greedy rounds (round r's context is the
+    initial points plus the picks of rounds < r, with their truth values).  With
+    ``infill`` a candidate carries the truth of its cell instead of the predicted mean."""
+    vv = "coalesce(iv.sst, 0)" if infill else "coalesce(c.swy / c.dens, 0)"
+    iv_join = (" left join sst_grid iv on iv.time = d.time and iv.lat_idx * 1000000 + iv.lon_idx = p.cand"
+               if infill else "")
+    head = _ACQ_CTES[:_ACQ_CTES.index("pr as (")]          # d30, ad, cp, cells, pts, ctx
+    parts = [head.rstrip().rstrip(",") + ", ",
+             "truthw as (select g.time as task_time, c.cell_id, c.x1, c.x2, g.sst as value from sst_grid g "
+             "join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
+             "where g.time in (select time from ad) and g.sst is not null), "
+             "ctx0 as (select task_time, point_id, x1, x2, value from ctx), "
+             "ex0 as (select lat_idx * 1000000 + lon_idx as cell_id from pts), "
+             f"pairs as (select a.cell_id as cand, b.cell_id as tgt, "
+             f"exp(-(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) / {TWO_L2}) as w from cells a, cells b "
+             f"where pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2) <= {R2}), "
+             "nd as (select count(*) as n from ad), nc as (select count(*) as n from cells), "]
+    for r in range(n_rounds):
+        parts.append(
+            f"s{r} as (select x.task_time, c.cell_id as target_id, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2})) as dens, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2}) * x.value) as swy, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2}) * x.value * x.value) as swyy "
+            f"from ctx{r} x, cells c where pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2) <= {R2} group by 1, 2), "
+            f"so{r} as (select *, sqrt(greatest(swyy / dens - (swy / dens) * (swy / dens), 0) "
+            f"+ {NOISE * NOISE!r} / (1 + dens)) as std0 from s{r}), "
+            f"b{r} as (select coalesce((select sum(std0) from so{r}), 0) + ((select n from nd) * (select n from nc) "
+            f"- (select count(*) from so{r})) * {NOISE!r} as v), "
+            f"x{r} as (select p.cand, d.time as task_time, case when t.dens is null then "
+            f"{NOISE!r} / sqrt(1 + p.w) - {NOISE!r} else "
+            f"sqrt(greatest((t.swyy + p.w * {vv} * {vv}) / (t.dens + p.w) "
+            f"- pow((t.swy + p.w * {vv}) / (t.dens + p.w), 2), 0) "
+            f"+ {NOISE * NOISE!r} / (1 + t.dens + p.w)) - t.std0 end as delta from pairs p cross join ad d "
+            f"left join so{r} t on t.task_time = d.time and t.target_id = p.tgt "
+            f"left join so{r} c on c.task_time = d.time and c.target_id = p.cand{iv_join}), "
+            f"a{r} as (select c.cell_id, c.lat_idx, c.lon_idx, c.lat, c.lon, "
+            f"((select v from b{r}) + coalesce(x.sd, 0)) / ((select n from nd) * (select n from nc)) as acquisition "
+            f"from cells c left join (select cand, sum(delta) as sd from x{r} group by cand) x on x.cand = c.cell_id), "
+            f"pk{r} as (select {r}::bigint as iteration, * from a{r} where cell_id not in (select cell_id from ex{r}) "
+            "order by acquisition, lat, lon limit 1), "
+            f"ctx{r + 1} as (select * from ctx{r} union all select t.task_time, t.cell_id as point_id, t.x1, t.x2, "
+            f"t.value from truthw t where t.cell_id in (select cell_id from pk{r})), "
+            f"ex{r + 1} as (select cell_id from ex{r} union all select cell_id from pk{r}), ")
+    sql = "".join(parts).rstrip().rstrip(",")
+    picks = " union all ".join(f"select iteration, cell_id, lat_idx, lon_idx, lat, lon, "
+                               f"round(acquisition, 6) as acquisition from pk{r}" for r in range(n_rounds))
+    return sql + " " + picks
+
+
+def _surfaces_sql(n_rounds: int) -> str:
+    """Every round's acquisition surface from the same round-by-round evaluation."""
+    chain = _greedy_sql(n_rounds)
+    chain = chain[:chain.rindex(" select iteration, cell_id, lat_idx")] if n_rounds == 1 else \
+        chain[:chain.index(" select iteration, cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) "
+                           "as acquisition from pk0")]
+    return chain + " " + " union all ".join(
+        f"select {r}::bigint as iteration, cell_id, round(acquisition, 6) as acquisition from a{r}"
+        for r in range(n_rounds))
+
+
+def _date_surfaces_sql(n_rounds: int) -> str:
+    """Per-round, per-date acquisition of every cell: (B_d + sum of that date's deltas) / T."""
+    chain = _greedy_sql(n_rounds)
+    chain = chain[:chain.index(" select iteration, cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) "
+                               "as acquisition from pk0")]
+    selects = []
+    for r in range(n_rounds):
+        selects.append(
+            f"select {r}::bigint as iteration, d.time, c.cell_id, round((coalesce(bd.v, (select n from nc) * "
+            f"{NOISE!r}) + coalesce(xd.sd, 0)) / (select n from nc), 6) as acquisition from cells c cross join ad d "
+            f"left join (select task_time, sum(std0) + ((select n from nc) - count(*)) * {NOISE!r} as v "
+            f"from so{r} group by task_time) bd on bd.task_time = d.time "
+            f"left join (select cand, task_time, sum(delta) as sd from x{r} group by cand, task_time) xd "
+            "on xd.cand = c.cell_id and xd.task_time = d.time")
+    return chain + " " + " union all ".join(selects)
+
+
+def _eval_rounds_sql(n_rounds: int) -> str:
+    """Placement scores with 0..n_rounds added sensors from the same context chain."""
+    chain = _greedy_sql(n_rounds)
+    chain = chain[:chain.index(" select iteration, cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) "
+                               "as acquisition from pk0")]
+    extra = [", tg as (select g.time as task_time, c.cell_id as target_id, c.x1, c.x2, g.lat_idx, g.lon_idx, "
+             "g.sst as truth from sst_grid g join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
+             "where g.time in (select time from ad)), "
+             "wt as (select lat_idx, lon_idx, mask / (select sum(mask) from lakemask) as w from lakemask)"]
+    selects = []
+    for r in range(n_rounds + 1):
+        extra.append(
+            f", e{r} as (select tg.lat_idx, tg.lon_idx, tg.truth, s.swy / s.dens as mean, "
+            "sqrt(greatest(coalesce(s.swyy / s.dens - (s.swy / s.dens) * (s.swy / s.dens), 0), 0) "
+            f"+ {NOISE * NOISE!r} / (1 + coalesce(s.dens, 0))) as std from tg left join "
+            f"(select x.task_time, c.cell_id as target_id, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2})) as dens, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2}) * x.value) as swy, "
+            f"sum(exp(-(pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2)) / {TWO_L2}) * x.value * x.value) as swyy "
+            f"from ctx{r} x, cells c where pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2) <= {R2} group by 1, 2) s "
+            "on s.task_time = tg.task_time and s.target_id = tg.target_id), "
+            f"k{r} as (select e.*, wt.w, case when e.std > 1e-6 then e.std else 1e-6 end as ss from e{r} e "
+            "join wt on wt.lat_idx = e.lat_idx and wt.lon_idx = e.lon_idx), "
+            f"n{r} as (select *, 0.5 * ln(2 * pi() * ss * ss) + 0.5 * (truth - mean) * (truth - mean) / (ss * ss) "
+            f"as nll from k{r})")
+        selects.append(
+            f"select {r}::bigint as n_added, round(sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
+            "sum(case when (mean - truth) * (mean - truth) is not null then w end)), 6) as rmse, "
+            "round(sum(w * std) / sum(case when std is not null then w end), 6) as mean_std, "
+            f"round(sum(w * nll) / sum(case when nll is not null then w end), 6) as nll from n{r}")
+    return chain + "".join(extra) + " " + " union all ".join(selects)
+
+
 def _setup(spark, sf_dir):
     g = sst_grid(spark, sf_dir)
     mask = fixture(spark, sf_dir, "lakemask")
@@ -75,24 +186,25 @@ def greedy(spark, sf_dir, n_new=3):
     return P.greedy_place(pts, g, mask, dates, n_new, cp, LS, NOISE, RADIUS)
 
 
-@query("greedy_place")
+@query("greedy_place", _greedy_sql(3), uses=("sst_grid", "lakemask"))
 def q_greedy_place(spark, sf_dir):
-    """M5 (rows-only): three greedy rounds; one chosen cell per round."""
+    """M5: three greedy rounds; one chosen cell per round (checked against a
+    round-by-round SQL evaluation of the same acquisition)."""
     chosen, _ = greedy(spark, sf_dir)
     return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"),
                    ["acquisition"])
 
 
-@query("acquisition_surface")
+@query("acquisition_surface", _surfaces_sql(3), uses=("sst_grid", "lakemask"))
 def q_acquisition_surface(spark, sf_dir):
-    """M5 surfaces (rows-only): acquisition of every water cell in every round."""
+    """M5 surfaces: acquisition of every water cell in every round."""
     _, surface = greedy(spark, sf_dir)
     return rounded(surface.select("iteration", "cell_id", "acquisition"), ["acquisition"])
 
 
-@query("placement_eval")
+@query("placement_eval", _eval_rounds_sql(3), uses=("sst_grid", "lakemask"))
 def q_placement_eval(spark, sf_dir):
-    """M6 (rows-only): weighted RMSE / mean std / NLL after 0..3 added sensors."""
+    """M6: weighted RMSE / mean std / NLL after 0..3 added sensors."""
     g, mask, cp, dates, pts = _setup(spark, sf_dir)
     chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS)
     return rounded(P.placement_eval(pts, chosen, g, mask, dates, cp, LS, NOISE, RADIUS),
@@ -122,10 +234,10 @@ def q_first_occurrence(spark, sf_dir):
     return P.first_occurrence(best)
 
 
-@query("acquisition_surface_by_date")
+@query("acquisition_surface_by_date", _date_surfaces_sql(3), uses=("sst_grid", "lakemask"))
 def q_acquisition_surface_by_date(spark, sf_dir):
-    """M5 + K3 (rows-only): per-round, per-date acquisition of every water cell,
-    written partitioned by iteration and read back."""
+    """M5 + K3: per-round, per-date acquisition of every water cell, written
+    partitioned by iteration and read back."""
     import uuid
     from ..session import scratch_path
     from ..sinks.writers import write_points
@@ -137,9 +249,9 @@ def q_acquisition_surface_by_date(spark, sf_dir):
     return rounded(back.select("iteration", "time", "cell_id", "acquisition"), ["acquisition"])
 
 
-@query("greedy_place_infill")
+@query("greedy_place_infill", _greedy_sql(3, infill=True), uses=("sst_grid", "lakemask"))
 def q_greedy_place_infill(spark, sf_dir):
-    """M5 with M7 (rows-only): candidates carry the truth value of their cell on
+    """M5 with M7: candidates carry the truth value of their cell on
     each task date (proposed infill) instead of the predicted mean."""
     g, mask, cp, dates, pts = _setup(spark, sf_dir)
     water = mask.filter(F.col("mask") == 1).select("lat_idx", "lon_idx")
