@@ -229,13 +229,22 @@ def q_save_climatology(spark, sf_dir):
                        F.col("dataset_dims")["lon"].alias("n_lon"))
 
 
-@query("list_climatologies")
+@query("list_climatologies",
+       "select 'sst' as dataset_vars, count(distinct time) as n_time, count(distinct lat_idx) as n_lat, "
+       "count(distinct lon_idx) as n_lon, 36 as id_length, true as has_date from sst_grid "
+       "union all select 'sst', count(distinct time), count(distinct lat_idx), count(distinct lon_idx), 36, true "
+       "from sst_grid", uses=("sst_grid",))
 def q_list_climatologies(spark, sf_dir):
-    """S13 (rows-only): two saved climatologies in one folder -> two metadata rows."""
+    """Two saved climatologies in one folder -> their two metadata rows
+    (the ids are random, so their length is reported instead)."""
     base = _scratch(spark, "seasonal_cycles")
     _saved_clim(spark, sf_dir, base)
     _saved_clim(spark, sf_dir, base)
-    return W.list_climatologies(spark, base).select("id", "dataset_vars", "dataset_dims")
+    m = W.list_climatologies(spark, base)
+    return m.select(F.concat_ws(",", "dataset_vars").alias("dataset_vars"),
+                    F.col("dataset_dims")["time"].alias("n_time"), F.col("dataset_dims")["lat"].alias("n_lat"),
+                    F.col("dataset_dims")["lon"].alias("n_lon"), F.length("id").alias("id_length"),
+                    F.col("calculation_date").isNotNull().alias("has_date"))
 
 
 @query("write_points",
