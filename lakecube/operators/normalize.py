@@ -115,6 +115,14 @@ def apply_coord_map(df: DataFrame, coord_params: DataFrame, x1: str = "lat", x2:
 
 # --- persisted normaliser config (nested JSON document, one file) --------------------
 
+def _by_key(entries: Column, key: str) -> Column:
+    """Sort an array of (key, value) structs by key (values may be maps, which do not order)."""
+    def cmp(a, b):
+        ka, kb = a.getField(key), b.getField(key)
+        return F.when(ka < kb, F.lit(-1)).when(ka > kb, F.lit(1)).otherwise(F.lit(0))
+    return F.array_sort(entries, cmp)
+
+
 def params_to_json(params: DataFrame, coord_params: DataFrame | None = None) -> DataFrame:
     """K6 payload: one JSON text row ``{"coords": {...}, "<var>": {"method", "params"}}``.
 
@@ -124,12 +132,13 @@ def params_to_json(params: DataFrame, coord_params: DataFrame | None = None) ->
         F.col("method") == "mean_std",
         F.map_from_arrays(F.array(F.lit("mean"), F.lit("std")), F.array("mean", "std"))).otherwise(
         F.map_from_arrays(F.array(F.lit("min"), F.lit("max")), F.array("min", "max")))
-    variables = params.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
-        "var", F.struct(F.col("method"), var_params.alias("params")))))).alias("j"))
+    # entries sorted by name: the same parameters always give the same document
+    variables = params.agg(F.to_json(F.map_from_entries(_by_key(F.collect_list(F.struct(
+        "var", F.struct(F.col("method"), var_params.alias("params"))).alias("e")), "var"))).alias("j"))
     if coord_params is None:
         return variables.select(F.col("j").alias("value"))
-    coords = coord_params.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
-        "axis", F.struct(F.col("name"), F.array("lo", "hi").alias("map")))))).alias("c"))
+    coords = coord_params.agg(F.to_json(F.map_from_entries(_by_key(F.collect_list(F.struct(
+        "axis", F.struct(F.col("name"), F.array("lo", "hi").alias("map")))), "axis"))).alias("c"))
     # both sides are one-row global aggregates: zip them with a scalar subquery
     c = coords.select("c").scalar()
     return variables.select(F.concat(F.lit('{"coords":'), c, F.lit(","),
