@@ -167,6 +167,10 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
             surfaces.append(surf)
         # a union of written tables: the lineage stays short without another write
         cur = cur.unionByName(best.select(*cur.columns))
+    if not chosen_rounds:                       # n_new = 0: nothing chosen, no surface
+        empty = cells_f0.select(F.lit(0).cast("bigint").alias("iteration"), "cell_id", *CELL, "lat", "lon",
+                                "x1", "x2", F.lit(0.0).alias("acquisition")).limit(0)
+        return empty, empty
     chosen = chosen_rounds[0]
     for b in chosen_rounds[1:]:
         chosen = chosen.unionByName(b)

@@ -297,3 +297,12 @@ def test_predict_grid_explode_targets_same_as_context(spark):
             if m is not None:
                 assert got[k][0] == pytest.approx(m, abs=1e-9)
             assert got[k][1] == pytest.approx(s, abs=1e-9)
+
+
+def test_greedy_zero_rounds(spark):
+    mask = _mask(spark, 3, 3, land=())
+    truth = spark.createDataFrame([("2000-01-01", 0, 0, 1.0)], "t string, lat_idx bigint, lon_idx bigint, sst double") \
+        .select(F.to_date("t").alias("time"), "lat_idx", "lon_idx", "sst")
+    pts = spark.createDataFrame([(0, 0)], "lat_idx bigint, lon_idx bigint")
+    chosen, surface = P.greedy_place(pts, truth, mask, _dates(spark, 1), 0, N.fit_coord_map(mask), 0.1)
+    assert chosen.count() == 0 and surface.count() == 0
