@@ -82,6 +82,10 @@ def random_points_per_date(dates: DataFrame, mask: DataFrame, n: int, seed: int
     """
     water = water_cells(mask)
     m = _population(water, n)
+    if n <= 0:
+        return dates.select(time_col, F.lit(0).cast("bigint").alias("point_id"),
+                            *[F.lit(None).cast(water.schema[c].dataType).alias(c)
+                              for c in (*CELL, "lat", "lon")]).limit(0)
     ordered = broadcast_if_small(cell_order(water, seed))
     picks = (dates.select(time_col).distinct()
              .withColumn("__off", hash_int(seed, time_col) % F.lit(m))

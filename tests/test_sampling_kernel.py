@@ -306,3 +306,9 @@ def test_greedy_zero_rounds(spark):
     pts = spark.createDataFrame([(0, 0)], "lat_idx bigint, lon_idx bigint")
     chosen, surface = P.greedy_place(pts, truth, mask, _dates(spark, 1), 0, N.fit_coord_map(mask), 0.1)
     assert chosen.count() == 0 and surface.count() == 0
+
+
+def test_zero_samples(spark):
+    assert S.random_points_per_date(_dates(spark, 2), _mask(spark), 0, 1).count() == 0
+    assert S.random_points(_mask(spark), 0, 1).count() == 0
+    assert S.sample_rows(spark.range(10).withColumnRenamed("id", "obs"), 0, 1, "obs").count() == 0
