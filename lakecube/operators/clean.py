@@ -163,6 +163,8 @@ def limit_report(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
     The limit is the feature (a report).  The total is a scalar subquery, so no
     window over the whole table and no driver round trip.
     """
+    if n < 0:
+        raise ValueError("n must be >= 0")
     total = df.select(F.count(F.lit(1))).scalar()
     return (df.orderBy(*order).limit(n)
             .withColumn("n_more", F.greatest(total - F.lit(n), F.lit(0)).cast("bigint")))

@@ -12,6 +12,8 @@ def date_range_subsample(df: DataFrame, k: int, start=None, end=None, col: str =
     Bounds default to the table's first and last date (scalar subqueries).  The
     range is one row exploded into at most (end - start) / k dates.
     """
+    if k < 1:
+        raise ValueError("k must be >= 1")
     if start is None or end is None:
         ext = df.select(F.struct(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))).scalar()
     lo = F.lit(start).cast("date") if start is not None else ext.getField("lo")
@@ -26,6 +28,8 @@ def every_kth(dates: DataFrame, k: int, col: str = "time") -> DataFrame:
     The window has no partition: it runs on the date set only, whose size is
     bounded by the length of the record in days.
     """
+    if k < 1:
+        raise ValueError("k must be >= 1")
     w = Window.orderBy(col)
     return (dates.select(col).distinct().withColumn("__rn", F.row_number().over(w) - 1)
             .filter(F.col("__rn") % k == 0).drop("__rn"))

@@ -212,6 +212,8 @@ def bilinear_points(points: DataFrame, static: DataFrame, lat: str = "lat", lon:
 def coarsen_mean(static: DataFrame, k_lat: int, k_lon: int, value_cols: Sequence[str]) -> DataFrame:
     """Block mean over k_lat x k_lon cells, trailing remainder trimmed,
     block coordinates = mean of the labels in the block."""
+    if k_lat < 1 or k_lon < 1:
+        raise ValueError("block sizes must be >= 1")
     def blocks(idx, label, k, name):
         ax = static.select(idx, label).distinct()
         pos = (F.row_number().over(Window.orderBy(label)) - 1)

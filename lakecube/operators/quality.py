@@ -92,6 +92,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     min/max are scalar subqueries; counting is a partial aggregate per bin;
     the bin axis (``bins`` rows) is generated and left-joined.
     """
+    if bins < 1:
+        raise ValueError("bins must be >= 1")
     ext = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
     lo, hi = ext.getField("lo"), ext.getField("hi")
     width = (hi - lo) / F.lit(float(bins))

@@ -246,3 +246,13 @@ def test_single_label_axis(spark):
     snap = {r.p: (r.n, r.n_idx) for r in grid.nearest_on_axis(pts, "p", axis, "v", "idx", "n",
                                                                extrapolate=True).collect()}
     assert snap == {7.0: (7.0, 3), 9.0: (7.0, 3), None: (None, None)}
+
+
+def test_parameter_validation(spark):
+    from lakecube.operators import dates as D
+    g = small_grid(spark, [("1995-01-01", 0, 0, 1.0)])
+    for call in (lambda: D.date_range_subsample(g, 0), lambda: D.every_kth(g, 0),
+                 lambda: quality.histogram(g, "sst", 0), lambda: clean.limit_report(g, ["time"], -1),
+                 lambda: grid.coarsen_mean(g, 0, 1, ["sst"])):
+        with pytest.raises(ValueError):
+            call()
