@@ -4,6 +4,7 @@ import json
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import small_grid
 from lakecube.operators import climatology as clim
@@ -111,3 +112,22 @@ def test_space_ordered_grid_filters_on_cells(spark):
     assert cell.count() == 3
     assert "PushedFilters: [IsNotNull(lat_idx), IsNotNull(lon_idx), EqualTo(lat_idx,1), EqualTo(lon_idx,2)]" in \
         cell._jdf.queryExecution().executedPlan().toString()
+
+
+def test_preprocess_outputs(spark):
+    import json as _json
+    from lakecube.operators import normalize as N
+    from lakecube.plans.preprocess import preprocess
+    g = small_grid(spark, [(f"1995-{m:02d}-{d:02d}", i, 0, float(m * 3 + d + i)) for m in range(1, 13)
+                           for d in (1, 9, 17) for i in range(2)])
+    out_dir = scratch_path(spark, f"pre-{uuid.uuid4().hex}")
+    norm, paths = preprocess(g, "sst", out_dir)
+    assert {"seasonal_cycle_path", "metadata_path", "id", "grid", "data_processor", "manifest"} <= set(paths)
+    doc = _json.loads(spark.read.text(paths["manifest"], wholetext=True).first().value)
+    assert doc["seasonal_cycle_id"] == paths["id"] and doc["data_processor_path"] == paths["data_processor"]
+    params, _ = N.load_norm_params(spark, paths["data_processor"])
+    p = params.first()
+    assert p.var == "sst_anom" and p.method == "mean_std"
+    r = norm.agg(F.avg("sst_anom").alias("m"), F.stddev_pop("sst_anom").alias("s")).first()
+    assert abs(r.m) < 1e-9 and abs(r.s - 1.0) < 1e-9
+    assert spark.read.parquet(paths["grid"]).select("year").distinct().count() == 1
