@@ -312,3 +312,19 @@ def test_zero_samples(spark):
     assert S.random_points_per_date(_dates(spark, 2), _mask(spark), 0, 1).count() == 0
     assert S.random_points(_mask(spark), 0, 1).count() == 0
     assert S.sample_rows(spark.range(10).withColumnRenamed("id", "obs"), 0, 1, "obs").count() == 0
+
+
+def test_evaluate_plan_outputs(spark):
+    from lakecube.plans.evaluate import evaluate
+    mask = _mask(spark, 4, 5, land=((0, 0), (3, 4)))
+    rng = np.random.default_rng(6)
+    rows = [(d, i, j, float(rng.normal() + 10)) for d in ("2000-01-01", "2000-01-02") for i in range(4) for j in range(5)]
+    grid = spark.createDataFrame(rows, "t string, lat_idx bigint, lon_idx bigint, sst double") \
+        .select(F.to_date("t").alias("time"), "lat_idx", "lon_idx", "sst") \
+        .join(mask.select("lat_idx", "lon_idx", "lat", "lon"), ["lat_idx", "lon_idx"])
+    scores, masked = evaluate(grid, mask, _dates(spark, 2), ("2000-01-01", "2000-01-02"), 5, lengthscale=0.2)
+    s = scores.first()
+    assert s.n_scored > 0 and s.pooled_rmse >= 0 and s.mean_std > 0
+    m = masked.collect()
+    assert all(r.mean is None for r in m if (r.lat_idx, r.lon_idx) in ((0, 0), (3, 4)))
+    assert any(r.mean is not None for r in m)
