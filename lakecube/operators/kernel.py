@@ -12,10 +12,12 @@ point (x, y, value) influences a target within ``radius`` with weight
 so a target with no context gets mean NULL and std = noise.  Results are not
 comparable with the neural model's numbers.
 
-Pairs are found with a tiled range join: context points are exploded into
-the 3 x 3 tiles of side ``radius`` around them and equi-joined to the targets
-of those tiles (plus the task key), then the exact distance test is applied.
-Only pairs within the radius are ever formed.
+Pairs are found with a tiled range join: one side (the smaller one: the
+context by default, the missing cells when gap filling) is copied into the
+3 x 3 tiles of side ``radius`` around each point and equi-joined to the other
+side's tile (plus the task key), with the exact distance test as the join
+condition.  Only points in neighbouring tiles are ever compared, and only
+pairs within the radius are kept.
 """
 
 from __future__ import annotations
