@@ -23,7 +23,9 @@ def div(a: ColumnOrName, b: ColumnOrName) -> Column:
 def _null_d() -> Column:
     return F.lit(None).cast("double")
 
-# Fixed values used by the reference's formulas.
+# Fixed values used by the reference's formulas and data conventions.
+FILL_VALUE = -99999.0           # missing-data marker of the gridded stores
+ICE_LAND_VALUE = -1.0           # land marker of the ice-concentration grid
 DAYS_PER_YEAR = 365.25          # day-of-year features divide by this
 ICE_THRESHOLD = 0.2             # sst above this -> "no ice" (0), else 1
 STD_FLOOR = 1e-6                # std floor before the Gaussian NLL

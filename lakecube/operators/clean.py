@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.columns import nan_to_null
+from ..functions.columns import FILL_VALUE, nan_to_null
 
 CELL = ("lat_idx", "lon_idx")
 KEY_COLUMNS = frozenset({"time", "lat_idx", "lon_idx", "lat", "lon", "month", "year",
@@ -23,7 +23,7 @@ def value_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name not in skip]
 
 
-def sentinel_to_null(df: DataFrame, sentinel: float = -99999.0,
+def sentinel_to_null(df: DataFrame, sentinel: float = FILL_VALUE,
                      cols: Sequence[str] | None = None) -> DataFrame:
     """Fill value and NaN -> NULL on every value column (keys untouched)."""
     cols = list(cols) if cols is not None else value_columns(df)

@@ -17,7 +17,7 @@ from ..sinks.writers import write_grid
 
 def prepare_ice(ice: DataFrame, sst: DataFrame, var: str = "ice_concentration",
                 out_path: str | None = None) -> DataFrame:
-    cleaned = sentinel_to_null(ice, sentinel=-1.0, cols=[var])
+    cleaned = sentinel_to_null(ice, sentinel=C.ICE_LAND_VALUE, cols=[var])
     sliced = overlap_slice(cleaned, sst)
     regridded = regrid_nearest(sliced, sst, [var])
     out = regridded.withColumn(var, C.clip(C.rescale_cast(var, 100.0, "double")).cast("float"))
