@@ -256,3 +256,14 @@ def test_parameter_validation(spark):
                  lambda: grid.coarsen_mean(g, 0, 1, ["sst"])):
         with pytest.raises(ValueError):
             call()
+
+
+def test_label_selection_ties_prefer_larger(spark):
+    g = small_grid(spark, [("1997-10-24", 0, 0, 1.0), ("1997-10-26", 0, 0, 2.0),
+                           ("1997-10-24", 1, 0, 3.0), ("1997-10-24", 0, 1, 4.0)])
+    assert {r.time.isoformat() for r in clean.time_nearest(g, "1997-10-25").collect()} == {"1997-10-26"}
+    # lat labels 40, 41 (lat_idx 0, 1): 40.5 is a tie -> 41; lon labels -90, -89: -89.5 -> -89
+    cells = {(r.lat_idx, r.lon_idx) for r in clean.cell_nearest(g, 40.5, -89.5).collect()}
+    assert cells == set() or cells == {(1, 1)}
+    one = {(r.lat_idx, r.lon_idx) for r in clean.cell_nearest(g, 40.5, -90.0).collect()}
+    assert one == {(1, 0)}
