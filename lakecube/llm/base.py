@@ -51,16 +51,15 @@ def parts_for(spark: SparkSession, nbytes: int, each: int = 16 << 20) -> int:
 HEAVY_SHARE = 2000
 
 
-def skew_join(rows: DataFrame, lookup: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+def skew_join(rows: DataFrame, lookup: DataFrame, keys: list[str], count: str, total: int, share: int = HEAVY_SHARE) -> DataFrame:
     """Inner join of ``rows`` with ``lookup`` (one row per key) that no hot key can overload.
 
-    ``count`` is a column of ``lookup``: an upper bound is not needed, only the
-    number of ``rows`` each key has.  Keys with at least ``total / HEAVY_SHARE``
-    of the ``total`` rows are at most HEAVY_SHARE many, so their lookup rows are
-    broadcast under a proven bound; every other key's rows are shuffled, and
-    none of those has more than 1 / HEAVY_SHARE of the rows.
+    ``count`` is a column of ``lookup``: how many of the ``total`` rows have the
+    key.  Keys with more than ``total / share`` of them are fewer than
+    ``share``, so their lookup rows are broadcast under a proven bound; every
+    other key's rows are shuffled, and none of those has more than 1 / share.
     """
-    floor = max(1, total // HEAVY_SHARE) + 1
+    floor = max(1, total // share) + 1
     heavy = lookup.filter(F.col(count) >= floor)
     light = lookup.filter(F.col(count) < floor)
     few = F.broadcast(heavy)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 from .base import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,85 @@ def op10(spark, sf_dir):
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op7_quality_rules")
+def op7(spark, sf_dir):
+    """Text counts, the base test and the verdict of the learned decision list for every document."""
+    out, _ = quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP2_SQL = r"""
+with recursive w as (
+  select doc_id, string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+') as ws
+  from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents)
+), s0 as (
+  select doc_id, case when len(ws) = 1 and ws[1] = '' then []
+                      when len(ws) < 5 then [array_to_string(ws, ' ')]
+                      else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) end as sh from w
+), n as (
+  select doc_id, len(sh) as n from s0
+), s as (
+  select doc_id, unnest(sh) as g from s0
+), cls as (
+  select doc_id, n, sig, min(doc_id) over (partition by sig) as rep
+  from (select doc_id, len(sh) as n, md5(array_to_string(list_sort(sh), chr(1))) as sig from s0 where len(sh) > 0)
+), r as (
+  select s.doc_id, s.g, cls.n from s join cls on s.doc_id = cls.doc_id and cls.rep = cls.doc_id
+), links as (
+  select a.doc_id as x, b.doc_id as y from r a join r b on a.g = b.g and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 75 * (max(a.n) + max(b.n) - count(*))
+), e as materialized (
+  select x, y from links union select y, x from links
+), walk(node, reach) as (
+  select rep, rep from (select distinct rep from cls)
+  union
+  select e.y, walk.reach from walk join e on e.x = walk.node
+), comp as (
+  select node, min(reach) as component_id from walk group by node
+)
+select n.doc_id, n.n as n_shingles, coalesce(comp.component_id, n.doc_id) as component_id
+from n left join cls on cls.doc_id = n.doc_id left join comp on comp.node = cls.rep
+"""
+
+
+@query("op2_jaccard_join", OP2_SQL)
+def op2(spark, sf_dir):
+    """Connected components of documents whose 5-word shingle sets are similar to 0.75 or more."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+with t as (
+  select 0 as kind, doc_id as id, text from documents where doc_id is not null
+  union all
+  select 1, item_id, max(text) from benchmark where item_id is not null group by item_id
+), w as (
+  select kind, id, string_split_regex(trim(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+') as ws from t
+), s0 as (
+  select kind, id, case when len(ws) = 1 and ws[1] = '' then []
+                        when len(ws) < 5 then [array_to_string(ws, ' ')]
+                        else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) end as sh from w
+), q as (
+  select id as item_id, len(sh) as n_item, unnest(sh) as g from s0 where kind = 1
+), d as (
+  select id as doc_id, unnest(sh) as g from s0 where kind = 0
+)
+select doc_id, item_id, n_item, count(*) as n_shared from q join d using (g)
+group by doc_id, item_id, n_item having 4 * count(*) >= 3 * n_item
+"""
+
+
+@query("op8_decontaminate", OP8_SQL)
+def op8(spark, sf_dir):
+    """Pairs of a document and a benchmark item of whose shingles it holds three quarters or more."""
+    docs = read_table(spark, sf_dir, "documents")
+    return decontaminate.contaminated_pairs(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_best_fit_packing")
+def op9(spark, sf_dir):
+    """All documents' token pieces, packed into sequences of 1024 by the sum-of-squares rule."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
