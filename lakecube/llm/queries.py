@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, toxicity, url_filter, warc
 from .base import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,41 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     """All documents' token pieces, packed into sequences of 1024 by the sum-of-squares rule."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    """A toxicity score for every document, learned from the labelled rows that are not held out."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+OP4_SQL = r"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as body from pages
+), d as (
+  select page_id, octet_length(body) as n, sha256(body) as h from p
+), f as (
+  select h, min(page_id) as first_id from d where n >= 100 group by h
+)
+select d.page_id, d.n as payload_bytes, d.h as payload_digest,
+       case when d.page_id > f.first_id then 'revisit' else 'response' end as record_type,
+       case when d.page_id > f.first_id then f.first_id end as refers_to
+from d left join f on d.h = f.h and d.n >= 100
+"""
+
+
+@query("op4_warc", OP4_SQL)
+def op4(spark, sf_dir):
+    """All pages written as a sharded WARC archive and read back from it."""
+    pages = read_table(spark, sf_dir, "pages")
+    folder, _ = warc.write_archive(pages)
+    out = warc.read_archive(spark, folder)
+    kind = pages.schema["page_id"].dataType
+    return out.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+@query("op6_url_filters")
+def op6(spark, sf_dir):
+    """Every page's host, path and rule, and a verdict from the rule or the character models."""
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
