@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, toxicity, url_filter, warc
+from . import decontaminate, jaccard_join, line_dedup, lm_scoring, packing, quality_rules, toxicity, url_filter, warc
 from .base import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,9 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     """Every page's host, path and rule, and a verdict from the rule or the character models."""
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+@query("op3_lm_scoring")
+def op3(spark, sf_dir):
+    """Every document's masked pseudo-log-likelihood under a network trained on all documents."""
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
