@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, lm_scoring, packing, quality_rules, toxicity, url_filter, warc
+from . import (decontaminate, jaccard_join, line_dedup, lm_scoring, packing, quality_rules, suffix_dedup, toxicity,
+               url_filter, warc)
 from .base import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +176,38 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     """Every document's masked pseudo-log-likelihood under a network trained on all documents."""
     return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as hx from documents
+), b as (
+  select doc_id, hx, length(hx) // 2 as n from d
+), w as (
+  select doc_id, i, md5_number(substr(hx, 2 * i + 1, 200)) as s from (select doc_id, hx, unnest(range(0, n - 99)) as i from b where n >= 100)
+), f as (
+  select s, min({'d': doc_id, 'i': i}) as first_at from w group by s having count(*) > 1
+), g as (
+  select w.doc_id, w.i from w join f using (s) where f.first_at <> {'d': w.doc_id, 'i': w.i}
+), r as (
+  select doc_id, i, sum(case when prev is null or i > prev + 100 then 1 else 0 end) over (partition by doc_id order by i) as run
+  from (select doc_id, i, lag(i) over (partition by doc_id order by i) as prev from g)
+), spans as (
+  select doc_id, run, min(i) as a, max(i) + 100 as z from r group by doc_id, run
+), cuts as (
+  select doc_id, list(a order by a) as starts, list(z order by a) as ends, sum(z - a) as n_removed, count(*) as n_spans from spans group by doc_id
+)
+select b.doc_id, b.n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(case when starts is null then hx else array_to_string(list_transform(range(0, len(starts) + 1),
+         lambda k: substr(hx, 2 * (case when k = 0 then 0 else ends[k] end) + 1,
+                          2 * ((case when k = len(starts) then b.n else starts[k + 1] end) - (case when k = 0 then 0 else ends[k] end)))), '') end)) as kept_sha256
+from b left join cuts using (doc_id)
+"""
+
+
+@query("op1_suffix_dedup", OP1_SQL)
+def op1(spark, sf_dir):
+    """Documents without the bytes of 100-byte strings that also start earlier."""
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
