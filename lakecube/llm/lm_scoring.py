@@ -211,8 +211,9 @@ def _train(batches, state) -> Iterator[pa.RecordBatch]:
             ctx = contexts(word, doc)
             rng = np.random.default_rng(len(word))
             order = rng.permutation(len(word))[:-(-len(word) // MASKED)]
-            for i in range(0, len(order), BATCH):
-                t.batch(word[order[i:i + BATCH]], ctx[order[i:i + BATCH]])
+            size = min(BATCH, max(256, len(order) // 16))
+            for i in range(0, len(order), size):
+                t.batch(word[order[i:i + size]], ctx[order[i:i + size]])
     if t.words:
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([t.words], pa.int64()),
                                           pa.array([flat(t.m).tobytes()], pa.binary())], names=["part", "words", "weights"])
@@ -238,7 +239,7 @@ def average(copies: DataFrame) -> np.ndarray | None:
     copies = written(copies, "copies")
     while copies.count() > FAN_IN:
         by = F.floor(F.col("part") / FAN_IN).alias("part")
-        copies = written(copies.select(by, "words", "weights").groupBy("part").applyInArrow(_merge, COPY), "copies")
+        copies = written(copies.select(by, "words", "weights").groupBy("part").applyInArrow(lambda key, t: _merge(key, t), COPY), "copies")
     rows = sorted(copies.collect(), key=lambda r: r["part"])
     return _mean([r["words"] for r in rows], [bytes(r["weights"]) for r in rows]) if rows else None
 

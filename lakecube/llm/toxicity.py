@@ -27,7 +27,7 @@ WINDOW, STRIDE = 48, 36
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 6, 8, 8
 WORD_BITS, CHAR_BITS = 15, 14
 MAX_TOXIC, MAX_CLEAN = 2000, 3000        # labelled documents the network is fitted on, at most
-EPOCHS, BATCH, CLEAN_WINDOWS = 8, 512, 6
+EPOCHS, BATCH, CLEAN_WINDOWS, WORD_DROP = 8, 512, 6, 0.5
 STATE_WINDOWS = 4096                      # windows scored together
 
 _PUNCT = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", dtype=np.uint8))
@@ -143,8 +143,8 @@ def forward(m, x, word, mask, keep=False):
     return logit, (s, k, weight, pooled, cf, cb) if keep else None
 
 
-def backward(m, e, x, word, mask, kept, dlogit):
-    """Gradients of every parameter."""
+def backward(m, e, x, word, mask, kept, dlogit, hidden=None):
+    """Gradients of every parameter; ``hidden`` marks distinct words whose word part was left out of ``x``."""
     s, k, weight, pooled, cf, cb = kept
     g = {"w": pooled.T @ dlogit, "c": np.array([dlogit.sum()], np.float32)}
     dpool = dlogit[:, None] * m["w"]
@@ -177,6 +177,8 @@ def backward(m, e, x, word, mask, kept, dlogit):
             dproj[:, j] = np.bincount(ids, weights=flat[:, j], minlength=len(x))
         g[f"U{name}"], g[f"W{name}"], g[f"b{name}"] = du, x.T @ dproj, dproj.sum(axis=0)
         dx += dproj @ m[f"W{name}"].T
+    if hidden is not None:
+        dx[hidden, :2 * WORD_DIM] = 0
     if len(e["one"]):
         for name, lo in (("one", 0), ("two", WORD_DIM)):
             g[name] = np.stack([np.bincount(e[name], weights=dx[:, lo + j], minlength=1 << WORD_BITS) for j in range(WORD_DIM)], axis=1)
@@ -215,6 +217,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
     spare = np.arange(len(y)) % 5 == 4                     # kept from fitting, for the calibration
     by_doc = np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1)
     epochs = epochs or min(3 * EPOCHS, max(EPOCHS, EPOCHS * 4500 // len(y)))      # fewer documents, more rounds
+    batch_size = min(BATCH, max(64, len(doc) // 40))                              # and smaller steps
     first, second, step = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0
     for epoch in range(epochs):
         rate = 0.01 * (1 - 0.8 * epoch / max(1, epochs - 1))
@@ -223,7 +226,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
         for at, i in enumerate(order):
             own = by_doc[i]
             batch.append(own if y[i] or len(own) <= CLEAN_WINDOWS else rng.choice(own, CLEAN_WINDOWS, replace=False))
-            if sum(map(len, batch)) < BATCH and at + 1 < len(order):
+            if sum(map(len, batch)) < batch_size and at + 1 < len(order):
                 continue
             rows = np.concatenate(batch)
             batch = []
@@ -231,6 +234,8 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
             used, local = np.unique(word, return_inverse=True)
             sub = _subset(e, used)
             x = _inputs(m, sub)
+            hidden = rng.random(len(x)) < WORD_DROP            # then only its characters tell
+            x[hidden, :2 * WORD_DIM] = 0
             local = local.reshape(word.shape)
             logit, kept = forward(m, x, local, mask, keep=True)
             p = np.clip(_sigmoid(logit), 1e-6, 1 - 1e-6)
@@ -241,7 +246,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
             none = np.exp(np.bincount(inv, weights=np.log1p(-p)))          # no window of the document is toxic
             any_ = np.clip(1 - none, 1e-6, 1)
             grad = np.where(y[d], -(none / any_)[inv] * p, p).astype(np.float32) / len(here)
-            g = backward(m, sub, x, local, mask, kept, grad)
+            g = backward(m, sub, x, local, mask, kept, grad, hidden)
             step += 1
             for k, v in g.items():
                 first[k] = 0.9 * first[k] + 0.1 * v.astype(np.float32)
