@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from .base import skew_join, written
 
 
-def _summary(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Every node has one link down, and what it links to has none."""
+    n = edges.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("d")).first()
+    if n["n"] != n["d"]:
+        return False
+    return not edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").take(1)
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
@@ -32,18 +35,13 @@ def _small_star(edges: DataFrame, total: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the links ``(a, b)``; a component is its smallest node.
 
-    Links live in written tables of the shared folder; only a count and a
-    checksum reach the driver.  Rounds grow with the logarithm of the longest path.
+    Links live in written tables of the shared folder; only counts reach
+    the driver.  Rounds grow with the logarithm of the longest path.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .filter("a > b").distinct(), "links")
-    seen = _summary(edges)
-    while seen[0]:
-        edges = written(_large_star(edges, seen[0]), "links")
-        edges = written(_small_star(edges, max(1, seen[0])), "links")
-        now = _summary(edges)
-        if now == seen:
-            break
-        seen = now
+    while not _is_star_forest(edges):
+        edges = written(_large_star(edges, max(1, edges.count())), "links")
+        edges = written(_small_star(edges, max(1, edges.count())), "links")
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))

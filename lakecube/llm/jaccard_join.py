@@ -40,7 +40,8 @@ NUM, DEN = 3, 4                  # similarity of at least NUM / DEN
 TOKEN_BITS = 40                  # kept of a hash beside its bucket
 BUCKET_TOKENS = 1 << 20
 CHUNK_BYTES = 8 << 20
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+LOOKS = 1000                      # list places looked at per posting before another round with pivots is the cheaper way
 
 
 def _info(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -176,73 +177,98 @@ def _with_part(batches, parts):
                                          names=["part", "id", "n"])
 
 
+def _least(n, m):
+    """Tokens that sets of n and m tokens must share: ceil(t / (1 + t) * (n + m))."""
+    return F.ceil(F.lit(NUM) * (n + m) / F.lit(NUM + DEN)).cast("long")
+
+
+def _meets(n, pos, m, other):
+    """The pair's first common token can be this one, at ``pos`` of n and at ``other`` of m tokens.
+
+    All common tokens come at or after the first one, so enough places must be left in both sets.
+    """
+    need = _least(F.col(n), F.col(m))
+    return (F.col(n) - F.col(pos) >= need) & (F.col(m) - F.col(other) >= need)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that meet under the second and third order and whose similarity is high enough.
 
     A document may be in very many pairs (a pivot of a large group): those few are broadcast.
     """
-    pairs = written(pairs, "pairs")
-    total = pairs.count()
+    total = max(1, pairs.count())
 
-    def fetch(rows, cols, side):
-        per = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__n"))
-        table = sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in cols]).join(per, side)
+    def fetch(rows, cols, side, of):
+        per = of.groupBy(side).agg(F.count(F.lit(1)).alias("__n"))
+        table = sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in cols], F.size("tokens").alias(f"{side}_c")).join(per, side)
         return skew_join(rows, table, [side], "__n", total, share=100).drop("__n")
 
-    met = fetch(fetch(pairs, ["n", "second", "third"], "a"), ["n", "second", "third"], "b")
-    met = met.filter((DEN * F.least("a_n", "b_n") >= NUM * F.greatest("a_n", "b_n"))
-                     & F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b")
-    pairs = written(met, "met")
-    total = max(1, pairs.count())
-    full = fetch(fetch(pairs, ["n", "tokens"], "a"), ["n", "tokens"], "b")
+    def prefix(side, order):        # what the order puts first in this pair's prefix, after the single-document tokens
+        return F.slice(f"{side}_{order}", F.lit(1), F.greatest(F.col(f"{side}_c") - F.col("__need") + 1, F.lit(0)).cast("int"))
+
+    met = pairs
+    for side in "ab":
+        met = fetch(met, ["n", "second", "third"], side, pairs)
+    met = met.withColumn("__need", _least(F.col("a_n"), F.col("b_n")))
+    met = written(met.filter(F.arrays_overlap(prefix("a", "second"), prefix("b", "second"))
+                             & F.arrays_overlap(prefix("a", "third"), prefix("b", "third"))).select("a", "b"), "met")
+    total = max(1, met.count())
+    full = met
+    for side in "ab":
+        full = fetch(full, ["n", "tokens"], side, met)
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    full = full.withColumn("__c", common)
-    return full.filter(DEN * F.col("__c") >= NUM * (F.col("a_n") + F.col("b_n") - F.col("__c"))).select("a", "b")
+    return full.filter(common >= _least(F.col("a_n"), F.col("b_n"))).select("a", "b")
+
 
+def _pair(x, y):
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
 
-def links_to_components(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, component) of the linked documents, and the verified links that join them."""
-    posts = written(sets.select("doc", "n", F.explode("first").alias("token")), "posts")
-    lists = posts.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("pivot"))
-    lists = lists.filter("size > 1")
+
+def links_to_components(sets: DataFrame) -> DataFrame:
+    """(node, component) of the linked documents."""
+    posts = sets.select("doc", "n", F.size("tokens").alias("c"), F.posexplode("first").alias("at", "token"))
+    posts = written(posts.select("token", "doc", "n", (F.col("n") - F.col("c") + F.col("at")).alias("pos")), "posts")
+    # In every pair the token is early enough in one of the two (the smaller set) for a partner of its own size.
+    early = F.col("n") - F.col("pos") >= _least(F.col("n"), F.col("n"))
+    lists = (posts.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.when(early, F.struct("doc", "n", "pos"))).alias("p"))
+             .filter("size > 1 and p is not null").select("token", "size", F.col("p.doc").alias("by"), F.col("p.n").alias("by_n"), F.col("p.pos").alias("by_pos")))
     total = max(1, posts.count())
     posts = written(skew_join(posts, lists, ["token"], "size", total), "posts")
-    tried = written(posts.filter("doc > pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct(), "tried")
+    total = max(1, posts.count())
+    tried = written(posts.filter(F.col("doc") != F.col("by")).filter(_meets("n", "pos", "by_n", "by_pos")).select(*_pair("doc", "by")).distinct(), "tried")
     links = written(_verified(tried, sets), "links")
     comps = written(components(links), "comps")
     for r in range(1, STAR_ROUNDS + 1):
-        last = r == STAR_ROUNDS
         label = posts.join(comps, posts["doc"] == comps["node"], "left").select(
-            "token", "doc", "n", "size", F.coalesce("component", "doc").alias("comp"))
+            "token", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp"))
         mixed = label.groupBy("token", "comp").agg(
-            F.count(F.lit(1)).alias("c"), F.min_by("doc", F.xxhash64(F.lit(r), "doc")).alias("by"))
-        mixed = (mixed.groupBy("token").agg(F.max_by(F.struct("comp", "by"), F.struct("c", "comp")).alias("base"),
-                                            F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size"))
-                 .filter("comps > 1").select("token", F.col("base.comp").alias("base"), F.col("base.by").alias("by"), "size"))
+            F.count(F.lit(1)).alias("c"), F.min_by(F.struct("doc", "n", "pos"), F.xxhash64(F.lit(r), "doc")).alias("by"))
+        mixed = (mixed.groupBy("token").agg(F.max_by(F.struct("comp", "by", "c"), F.struct("c", "comp")).alias("base"),
+                                            F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size")).filter("comps > 1")
+                 .select("token", F.col("base.comp").alias("base"), F.col("base.by.doc").alias("by"), F.col("base.by.n").alias("by_n"),
+                         F.col("base.by.pos").alias("by_pos"), "size", (F.col("size") - F.col("base.c")).alias("outside")))
         mixed = written(mixed, "mixed")
-        total = max(1, mixed.agg(F.sum("size")).first()[0] or 0)
-        if not mixed.take(1):
+        sums = mixed.agg(F.sum("size"), F.sum(F.col("size") * F.col("outside"))).first()
+        if not sums[0]:
             break
-        open_ = written(skew_join(label.drop("size"), mixed, ["token"], "size", total), "open")
+        last = r == STAR_ROUNDS or sums[1] <= LOOKS * total       # few enough places to look at them all
+        open_ = written(skew_join(label, mixed, ["token"], "size", sums[0]), "open")
         out = open_.filter("comp <> base")
         if last:    # every pair that is still in two components; one of the two is outside the list's largest
-            left = out.select("token", F.col("doc").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"))
-            right = open_.select("token", F.col("doc").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"))
-            new = (left.join(right, "token").filter("xc <> yc")
-                   .filter(DEN * F.least("xn", "yn") >= NUM * F.greatest("xn", "yn"))
-                   .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+            left = out.select("token", F.col("doc").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("pos").alias("xp"))
+            right = open_.select("token", F.col("doc").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.col("pos").alias("yp"))
+            new = left.join(right, (left["token"] == right["token"]) & (F.col("xc") != F.col("yc")) & _meets("xn", "xp", "yn", "yp")).select(*_pair("x", "y"))
         else:
-            new = out.select(F.greatest("doc", "by").alias("a"), F.least("doc", "by").alias("b"))
-        new = new.distinct().join(tried, ["a", "b"], "left_anti")
-        new = written(new, "tried")
-        if not new.take(1):
-            continue
+            new = out.filter(_meets("n", "pos", "by_n", "by_pos")).select(*_pair("doc", "by"))
+        new = written(new.distinct().join(tried, ["a", "b"], "left_anti"), "tried")
         found = written(_verified(new, sets), "links")
         if found.take(1):
             links = links.unionByName(found)
             comps = written(components(links), "comps")
+        if last:
+            break
         tried = tried.unionByName(new)
-    return comps, links
+    return comps
 
 
 def one_per_id(docs: DataFrame, info: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -275,7 +301,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         docs = single
         info = written(shingle_info(docs, id_col, text_col, k).unionByName(rows.filter("id is null")), "info")
     sets = written(survivors(docs, info, id_col, text_col, k), "sets")
-    comps, _ = links_to_components(sets)
+    comps = links_to_components(sets)
     classes = info.filter("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").cast("long").alias("rep"))
     named = classes.join(comps, classes["rep"] == comps["node"], "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
