@@ -116,11 +116,13 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_
 
     def moments(c):
         w = F.sum(c)
-        mean = F.sum(F.col("score") * F.col(c)) / w
-        return [mean.alias(f"mean_{c}"), F.sqrt(F.greatest(F.sum(F.col("score") ** 2 * F.col(c)) / w - mean ** 2, F.lit(0.0))).alias(f"dev_{c}")]
+        mean = F.try_divide(F.sum(F.col("score") * F.col(c)), w)          # null without examples of the kind
+        return [mean.alias(f"mean_{c}"), F.sqrt(F.greatest(F.try_divide(F.sum(F.col("score") ** 2 * F.col(c)), w) - mean ** 2, F.lit(0.0))).alias(f"dev_{c}")]
 
     t = scored.filter(spare).agg(*moments("a"), *moments("b")).first()
-    if t is None or t["mean_a"] is None or t["mean_b"] is None:
+    if t["mean_a"] is None or t["mean_b"] is None:           # too few different examples to set some aside
+        t = scored.agg(*moments("a"), *moments("b")).first()
+    if t["mean_a"] is None or t["mean_b"] is None:
         cut = float("-inf")
     else:                      # as many deviations from the one mean as from the other
         da, db = t["dev_a"] + 1e-9, t["dev_b"] + 1e-9

@@ -95,13 +95,16 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, roll: int) -> Iterato
             rows.append((part, name, temp, records, size, sha.hexdigest()))
             out = None
 
-    pending = None
+    notes: dict[bytes, object] = {}             # of the id that comes next: payload digest -> original
+    of = None
     for batch in batches:
         for page_id, kind, url, html, refers in zip(*(c.to_pylist() for c in batch.columns)):
-            if kind == 0:                       # sorts before the record it speaks of
-                pending = (page_id, refers)
+            if page_id != of:
+                notes, of = {}, page_id
+            if kind == 0:                       # sorts before the records it speaks of
+                notes[html] = refers
                 continue
-            to = pending[1] if pending and pending[0] == page_id and refers is None else None
+            to = notes.get(hashlib.sha256(html or b"").digest()) if notes else None
             if out is None:
                 name, temp = f"pages-{part:05d}-{number:04d}.warc.gz", f"_attempts/{part:05d}-{attempt}-{number:04d}"
                 number, records, size, sha = number + 1, 0, 0, hashlib.sha256()
@@ -134,7 +137,7 @@ def _commit(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Recor
 
 
 def duplicates(pages: DataFrame, id_col: str, html: str, least: int = MIN_REVISIT) -> tuple[DataFrame, int]:
-    """(id, refers_to) of the records that repeat a payload of a smaller id; the payload bytes of all."""
+    """(id, digest, refers_to) of the records that repeat a payload of a smaller id; the payload bytes of all."""
     body = F.coalesce(F.col(html).cast("string"), F.lit(""))
     digests = written(pages.select(F.col(id_col).alias("id"), F.unhex(F.sha2(body.cast("binary"), 256)).alias("digest"),
                                    F.octet_length(body).cast("long").alias("size")), "digests")
@@ -142,7 +145,7 @@ def duplicates(pages: DataFrame, id_col: str, html: str, least: int = MIN_REVISI
     long = digests.filter(F.col("size") >= least)
     twice = long.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return (skew_join(long, twice, ["digest"], "n", max(1, stats[1])).filter("id > refers_to")
-            .select("id", "refers_to").distinct()), stats[0] or 0
+            .select("id", "digest", "refers_to").distinct()), stats[0] or 0
 
 
 def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -164,7 +167,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "pa
     rows = pages.select(F.col(id_col).alias("id"), F.lit(1).alias("kind"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").cast("binary").alias("html"), F.lit(None).cast(kind).alias("refers_to"))
     notes = written(repeats, "revisits").select("id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
-                                                F.lit(None).cast("binary").alias("html"), "refers_to")
+                                                F.col("digest").alias("html"), "refers_to")
     # One shuffle brings a revisit's note and its record together, in the archive's order.
     ordered = (rows.unionByName(notes).repartitionByRange(parts_for(spark, total, 64 << 20), "id")
                .sortWithinPartitions("id", "kind", F.sha2(F.coalesce("html", F.lit(b"")), 256), "url"))
