@@ -30,7 +30,7 @@ def anomalies(grid: DataFrame, clim: DataFrame, value_cols: Sequence[str] | None
     no climatology is given (the reference's "call calculate first").
     """
     if clim is None:
-        raise ValueError("No seasonal cycle calculated. Call climatology() first.")
+        raise ValueError("anomalies need a climatology (see climatology())")
     cols = list(value_cols) if value_cols is not None else [c for c in value_columns(clim)]
     keys = ["__month", "__lat_idx", "__lon_idx"]
     renamed = clim.select(F.col("month").alias("__month"), F.col("lat_idx").alias("__lat_idx"),

@@ -184,9 +184,10 @@ def bilinear_points(points: DataFrame, static: DataFrame, lat: str = "lat", lon:
                     value_col: str = "mask") -> DataFrame:
     """Bilinear value of a static field at each point, plus ``on_lake``.
 
-    Points are bracketed on both axes (range join as above), exploded into
-    their four weighted corners, equi-joined to the static grid and summed.
-    ``on_lake`` holds when every corner with positive weight has value 1,
+    Points are bracketed on both axes (range join as above) and take their four
+    corners by equi-joins on the cell, row by row: a point given twice gives two
+    rows.  The value is NULL (and ``on_lake`` false) unless every corner with
+    positive weight is there.  ``on_lake`` holds when all of those have value 1,
     i.e. the interpolated mask equals 1 exactly.  Points outside the grid are
     dropped (their interpolated value is missing).
     """
@@ -195,18 +196,17 @@ def bilinear_points(points: DataFrame, static: DataFrame, lat: str = "lat", lon:
     pts = points.select(F.col(lat).alias("__plat"), F.col(lon).alias("__plon"), *points.columns)
     b = bracket(bracket(pts, "__plat", lat_iv, "__a", how="inner"), "__plon", lon_iv, "__o", how="inner")
     t1, t2 = F.col("__a_t"), F.col("__o_t")
-    corners = F.array(
-        F.struct(F.col("__a_lo_idx").alias("i"), F.col("__o_lo_idx").alias("j"), ((1 - t1) * (1 - t2)).alias("w")),
-        F.struct(F.col("__a_lo_idx").alias("i"), F.col("__o_hi_idx").alias("j"), ((1 - t1) * t2).alias("w")),
-        F.struct(F.col("__a_hi_idx").alias("i"), F.col("__o_lo_idx").alias("j"), (t1 * (1 - t2)).alias("w")),
-        F.struct(F.col("__a_hi_idx").alias("i"), F.col("__o_hi_idx").alias("j"), (t1 * t2).alias("w")))
-    ex = b.select(*points.columns, F.explode(corners).alias("c")).select(
-        *points.columns, F.col("c.i").alias("lat_idx"), F.col("c.j").alias("lon_idx"), F.col("c.w").alias("__w"))
     grid = broadcast_if_small(static.select(*CELL, F.col(value_col).alias("__v")), STATIC_BROADCAST_ROWS)
-    joined = ex.join(grid, list(CELL), "left")
-    return joined.groupBy(*points.columns).agg(
-        F.sum(F.col("__w") * F.col("__v")).alias("value"),
-        (F.min(F.when(F.col("__w") > 0, F.col("__v"))) == 1).alias("on_lake"))
+    weights = {("lo", "lo"): (1 - t1) * (1 - t2), ("lo", "hi"): (1 - t1) * t2, ("hi", "lo"): t1 * (1 - t2), ("hi", "hi"): t1 * t2}
+    terms, ones = [], []
+    for (i, j), w in weights.items():
+        side = grid.select(F.col("lat_idx").alias(f"__a_{i}_idx"), F.col("lon_idx").alias(f"__o_{j}_idx"), F.col("__v").alias(f"__v_{i}{j}"))
+        b = b.join(side, [f"__a_{i}_idx", f"__o_{j}_idx"], "left")
+        v = F.col(f"__v_{i}{j}")
+        terms.append(F.when(w > 0, w * v).otherwise(F.lit(0.0)))         # NULL when a corner that counts is missing
+        ones.append(F.when(w > 0, F.coalesce(v == 1, F.lit(False))).otherwise(F.lit(True)))
+    return b.select(*points.columns, (terms[0] + terms[1] + terms[2] + terms[3]).alias("value"),
+                    (ones[0] & ones[1] & ones[2] & ones[3]).alias("on_lake"))
 
 
 def coarsen_mean(static: DataFrame, k_lat: int, k_lon: int, value_cols: Sequence[str]) -> DataFrame:

@@ -115,6 +115,8 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     """
     radius = radius if radius is not None else 3.0 * lengthscale
     r = float(radius)
+    columns = targets.columns
+    targets = targets.withColumn("__row", F.monotonically_increasing_id())      # repeated target ids stay rows of their own
     ctx = context.filter(F.col("value").isNotNull()).select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], F.col(x).alias("__cx"), F.col(y).alias("__cy"),
         F.col("value").alias("__v"))
@@ -140,8 +142,8 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     cond += [F.col("__ti") == F.col("__cti"), F.col("__tj") == F.col("__ctj"), d2 <= F.lit(r * r)]
     joined = tgt.join(ctx, cond, "left")
     w = F.exp(-d2 / F.lit(2.0 * lengthscale * lengthscale))
-    rest = [c for c in targets.columns if c not in (*keys, tgt_id)]
-    agg = joined.groupBy(*keys, tgt_id).agg(
+    rest = [c for c in columns if c not in (*keys, tgt_id)]
+    agg = joined.groupBy(*keys, tgt_id, "__row").agg(
         *[F.first(c).alias(c) for c in rest],
         F.sum(w).alias("__d"), F.sum(w * F.col("__v")).alias("__s1"),
         F.sum(w * F.col("__v") * F.col("__v")).alias("__s2"))
@@ -149,7 +151,7 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     mean = C.div("__s1", "__d")                     # NULL without context (or when weights underflow)
     var_w = F.coalesce(C.div("__s2", "__d") - mean * mean, F.lit(0.0))
     std = F.sqrt(F.when(var_w > 0, var_w).otherwise(F.lit(0.0)) + F.lit(noise * noise) / (F.lit(1.0) + dens))
-    return agg.select(*targets.columns, mean.alias("mean"), std.alias("std"), dens.alias("density"))
+    return agg.select(*columns, mean.alias("mean"), std.alias("std"), dens.alias("density"))
 
 
 def predict_series(context: DataFrame, targets: DataFrame, lengthscale: float, noise: float = 1.0,
@@ -168,25 +170,34 @@ def unnormalise_pred(pred: DataFrame, mean_param, std_param) -> DataFrame:
 
 def gap_fill(grid: DataFrame, var: str, lengthscale: float, noise: float = 1.0,
              radius: float | None = None, x: str = "lat", y: str = "lon",
-             time_col: str = "time") -> DataFrame:
+             time_col: str = "time", mask: DataFrame | None = None, mask_col: str = "mask") -> DataFrame:
     """Fill missing values of each date from the non-missing cells of that date.
 
-    Returns every grid row: rows with a value unchanged (``filled`` false), and
+    With ``mask`` (lat_idx, lon_idx, mask) only gaps on water (mask 1) are filled; land stays missing.
+    Returns every grid row, repeated ones too: rows with a value unchanged (``filled`` false), and
     rows without one carrying the kernel mean where the kernel had context
     (``filled`` true) and its std in ``fill_std``.  The result is a union of
     the untouched rows and the predicted rows, so the full grid is never
     re-joined or shuffled.
     """
-    cid = (F.col("lat_idx") * F.lit(1_000_000) + F.col("lon_idx")).cast("bigint")
+    cid = (F.col("lat_idx") * F.lit(1 << 32) + F.col("lon_idx")).cast("bigint")
     ctx = grid.filter(F.col(var).isNotNull()).select(
         F.col(time_col).alias("task_time"), cid.alias("point_id"), x, y, F.col(var).alias("value"))
-    tgt = grid.filter(F.col(var).isNull()).withColumns({"task_time": F.col(time_col), "target_id": cid})
+    gaps = grid.filter(F.col(var).isNull())
+    land = None
+    if mask is not None:
+        water = mask.filter(F.col(mask_col) == 1).select("lat_idx", "lon_idx").distinct()
+        land = gaps.join(water, ["lat_idx", "lon_idx"], "left_anti")
+        gaps = gaps.join(water, ["lat_idx", "lon_idx"], "left_semi")
+    tgt = gaps.withColumns({"task_time": F.col(time_col), "target_id": cid})
     # the context here is every observed cell: a large side, joined by shuffle
     pred = predict_grid(ctx, tgt, lengthscale, noise, radius, ("task_time",), x, y, small_context=False,
                         explode="targets")                         # the missing cells are the smaller side
     filled = pred.withColumns({var: F.col("mean"), "filled": F.col("mean").isNotNull(),
                                "fill_std": F.col("std")})
-    kept = grid.filter(F.col(var).isNotNull()).withColumns(
-        {"filled": F.lit(False), "fill_std": F.lit(None).cast("double")})
+    kept = grid.filter(F.col(var).isNotNull())
+    if land is not None:
+        kept = kept.unionByName(land.select(*kept.columns))
+    kept = kept.withColumns({"filled": F.lit(False), "fill_std": F.lit(None).cast("double")})
     cols = [*grid.columns, "filled", "fill_std"]
     return kept.select(*cols).unionByName(filled.select(*cols))

@@ -71,14 +71,19 @@ def random_points(mask: DataFrame, n: int, seed: int = 42) -> DataFrame:
             .select(F.col("pos").alias("point_id"), *CELL, "lat", "lon"))
 
 
+SHUFFLE_STEPS = 16
+
+
 def random_points_per_date(dates: DataFrame, mask: DataFrame, n: int, seed: int = 42,
                            time_col: str = "time") -> DataFrame:
     """A fresh set of ``n`` distinct water cells for every date.
 
-    Cells are ranked once in seeded hash order; date ``d`` takes the ``n``
-    consecutive ranks starting at ``md5(seed|d) mod M`` (wrapping).  Each date's
-    set is a pseudo-random ``n``-subset and the work is O(dates x n + cells):
-    the (date x cell) product is never formed.
+    Cells are ranked once in seeded hash order.  Every date has a permutation
+    of its own of the ranks 0..M-1, and takes what it maps 0..n-1 to.  The
+    permutation is a swap-or-not shuffle: in each of SHUFFLE_STEPS steps a rank
+    x pairs with (K - x) mod M, K drawn per date and step, and a seeded bit of the pair
+    says whether the two swap.  Each set is computed from its date alone, so the
+    work is O(dates x n + cells): the (date x cell) product is never formed.
     """
     water = water_cells(mask)
     m = _population(water, n)
@@ -87,10 +92,14 @@ def random_points_per_date(dates: DataFrame, mask: DataFrame, n: int, seed: int
                             *[F.lit(None).cast(water.schema[c].dataType).alias(c)
                               for c in (*CELL, "lat", "lon")]).limit(0)
     ordered = broadcast_if_small(cell_order(water, seed))
+
+    def step(x, k):
+        y = (hash_int(seed, F.col(time_col), k) % F.lit(m) - x + F.lit(m)) % F.lit(m)
+        return F.when(hash_int(seed, F.col(time_col), k, F.greatest(x, y)) % 2 == 0, y).otherwise(x)
+
     picks = (dates.select(time_col).distinct()
-             .withColumn("__off", hash_int(seed, time_col) % F.lit(m))
-             .select(time_col, "__off", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point_id"))
-             .withColumn("pos", ((F.col("__off") + F.col("point_id")) % F.lit(m)).cast("bigint")))
+             .select(time_col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point_id"))
+             .withColumn("pos", F.aggregate(F.sequence(F.lit(0), F.lit(SHUFFLE_STEPS - 1)), F.col("point_id").cast("bigint"), step)))
     return (picks.join(ordered, "pos")
             .select(time_col, F.col("point_id").cast("bigint").alias("point_id"), *CELL, "lat", "lon"))
 
@@ -120,19 +129,33 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str = "obs") -> Data
     """Exactly ``n`` rows (all, if fewer) with the smallest seeded hash of ``key``.
 
     Exact and distributed: rows are bucketed by hash prefix, bucket sizes (at
-    most 4096 rows) locate the bucket where the n-th row falls, every earlier
-    bucket is kept by a plain filter and only the cut bucket (about n / 4096 of
-    the rows it holds) is ranked.  No task merges n rows from every partition.
+    most 4096 numbers) locate the bucket where the n-th row falls, and every earlier
+    bucket is kept by a plain filter.  The cut bucket is split the same way, so
+    only one part in 16 million of the rows is ranked.
     """
     h = seeded_hash(seed, key)
-    keyed = df.withColumns({"__h": h, "__bk": F.substring(h, 1, _BUCKET_HEX)})
-    sizes = keyed.groupBy("__bk").agg(F.count(F.lit(1)).alias("__n"))
-    cum = sizes.withColumn("__cum", F.sum("__n").over(
-        Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, 0)))  # <= 4096 rows
-    cut = cum.filter(F.col("__cum") >= n).select(F.min("__bk")).scalar()
-    before = cum.filter(F.col("__bk") < cut).select(F.coalesce(F.max("__cum"), F.lit(0))).scalar()
-    whole = keyed.filter(cut.isNull() | (F.col("__bk") < cut))
-    w = Window.partitionBy("__bk").orderBy("__h", key)
-    part = (keyed.filter(F.col("__bk") == cut).withColumn("__rn", F.row_number().over(w))
-            .filter(F.col("__rn") <= F.lit(n) - before).drop("__rn"))
-    return whole.unionByName(part).drop("__h", "__bk")
+    keyed = df.withColumn("__h", h)
+    left, kept = n, []
+    rest = keyed
+    for depth in (_BUCKET_HEX, 2 * _BUCKET_HEX):        # the cut bucket of the first level is split once more
+        bucket = F.substring("__h", 1, depth)
+        sizes = {r[0]: r[1] for r in rest.groupBy(bucket.alias("b")).agg(F.count(F.lit(1))).collect()}  # <= 4096 rows
+        cut = None
+        for b in sorted(sizes):
+            if sizes[b] > left:
+                cut = b
+                break
+            left -= sizes[b]
+        whole = rest if cut is None else rest.filter(bucket < cut)
+        kept.append(whole)
+        if cut is None:
+            rest = None
+            break
+        rest = rest.filter(bucket == cut)
+    if rest is not None and left > 0:
+        w = Window.partitionBy(F.substring("__h", 1, 2 * _BUCKET_HEX)).orderBy("__h", key)
+        kept.append(rest.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= left).drop("__rn"))
+    out = kept[0]
+    for k in kept[1:]:
+        out = out.unionByName(k)
+    return out.drop("__h")

@@ -24,8 +24,8 @@ from .grid import sample_at_points
 
 TASK_COLUMNS = ["task_time", "role", "set_idx", "var", "point_id", "x1", "x2", "value"]
 
-# Cells are numbered lat_idx * CELL_STRIDE + lon_idx (grids have < 1e6 columns).
-CELL_STRIDE = 1_000_000
+# Cells are numbered lat_idx * CELL_STRIDE + lon_idx; an index is below 2**32, so no two cells share a number.
+CELL_STRIDE = 1 << 32
 
 
 @dataclass

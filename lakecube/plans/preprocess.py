@@ -40,9 +40,9 @@ def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None) ->
     norm = N.apply_mean_std(anom, params, [f"{var}_anom"])
     if out_dir is not None:
         W.write_grid(norm, f"{base}/{var}_anom_norm")
-        W.write_manifest(spark, f"{base}/manifest", paths["id"], paths, f"{base}/data_processor")
         paths.update({"grid": f"{base}/{var}_anom_norm", "data_processor": f"{base}/data_processor",
                       "manifest": f"{base}/manifest"})
+        W.write_manifest(spark, f"{base}/manifest", {var: paths}, f"{base}/data_processor")
         norm = spark.read.parquet(paths["grid"]).drop("year")
     return norm, paths
 

@@ -84,8 +84,9 @@ _BILINEAR_CTES = (
     "union all select lat, lon, i0, j1, (1 - t1) * t2 from br "
     "union all select lat, lon, i1, j0, t1 * (1 - t2) from br "
     "union all select lat, lon, i1, j1, t1 * t2 from br), "
-    "bl as (select cr.lat, cr.lon, sum(cr.w * m.mask) as value, "
-    "min(case when cr.w > 0 then m.mask end) = 1 as on_lake from cr "
+    "bl as (select cr.lat, cr.lon, case when count(*) filter (cr.w > 0 and m.mask is null) = 0 "
+    "then sum(case when cr.w > 0 then cr.w * m.mask else 0 end) end as value, "
+    "count(*) filter (cr.w > 0 and m.mask is distinct from 1) = 0 as on_lake from cr "
     "left join lakemask m on m.lat_idx = cr.i and m.lon_idx = cr.j group by cr.lat, cr.lon) ")
 
 

@@ -262,7 +262,7 @@ def q_write_points(spark, sf_dir):
 
 
 @query("write_csv", _KCTES.replace(
-    "tgt as (select time as task_time, lat_idx * 1000000 + lon_idx as target_id, (lat - cp.lo1) / "
+    "tgt as (select time as task_time, lat_idx * 4294967296 + lon_idx as target_id, (lat - cp.lo1) / "
     "((cp.lo1 + cp.span) - cp.lo1) as x1, (lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2"
     " from sst_grid, cp where time in (select time from ad))",
     "tgt as (select time as task_time, 0::bigint as target_id, "
@@ -279,15 +279,23 @@ def q_write_csv(spark, sf_dir):
         F.lit(-85.0).alias("lon")), cp).drop("lat", "lon")
     series = rounded(K.predict_series(ctx, point, LS, NOISE, RADIUS), ["mean", "std"])
     p = _scratch(spark, "series_csv")
-    W.write_csv(series.select(F.col("task_time").cast("string").alias("date"), "mean", "std"), p, single_file=True)
+    W.write_csv(series.select(F.col("task_time").cast("string").alias("date"), "mean", "std"), p)
     return spark.read.schema("date string, mean double, std double").option("header", True).csv(p)
 
 
-@query("write_manifest")
+@query("write_manifest",
+       "select * from (values ('ice_concentration', 'data_processor', 0, false, false), "
+       "('sst', 'data_processor', 36, true, true)) "
+       "t(dataset, data_processor_path, id_length, has_cycle, has_metadata) "
+       "where (select count(*) from sst_grid) >= 0", uses=("sst_grid",))
 def q_write_manifest(spark, sf_dir):
-    """K5 (rows-only): manifest JSON of a saved climatology and normaliser."""
-    paths = _saved_clim(spark, sf_dir)
-    return W.write_manifest(spark, _scratch(spark, "manifest"), paths["id"], paths, "data_processor")
+    """K5: the manifest of a saved climatology and a second variable, written and read back."""
+    path = _scratch(spark, "manifest")
+    W.write_manifest(spark, path, {"sst": _saved_clim(spark, sf_dir), "ice_concentration": {}}, "data_processor")
+    m = W.load_manifest(spark, path).filter(F.col("created").isNotNull())
+    return m.select("dataset", "data_processor_path", F.coalesce(F.length("seasonal_cycle_id"), F.lit(0)).alias("id_length"),
+                    F.coalesce(F.col("seasonal_cycle_path").endswith(F.concat("seasonal_cycle_id", F.lit("_seasonal_cycle.parquet"))), F.lit(False)).alias("has_cycle"),
+                    F.coalesce(F.col("seasonal_cycle_metadata_path").endswith("_metadata.json"), F.lit(False)).alias("has_metadata"))
 
 
 @query("write_run_log",
@@ -330,10 +338,10 @@ def q_prepare_ice(spark, sf_dir):
 @query("preprocess",
        "with c as (select cast(month(time) as bigint) as m, lat_idx, lon_idx, avg(sst) as s "
        "from sst_grid group by 1, 2, 3), "
-       "a as (select g.time, g.lat_idx, g.lon_idx, g.sst - c.s as sst_anom from sst_grid g left join c "
-       "on cast(month(g.time) as bigint) = c.m and g.lat_idx = c.lat_idx and g.lon_idx = c.lon_idx) "
-       "select time, lat_idx, lon_idx, round((sst_anom - (select avg(sst_anom) from a)) / "
-       "(select stddev_pop(sst_anom) from a), 6) as sst_anom from a", uses=("sst_grid",))
+       "a as materialized (select g.time, g.lat_idx, g.lon_idx, g.sst - c.s as sst_anom from sst_grid g left join c "
+       "on cast(month(g.time) as bigint) = c.m and g.lat_idx = c.lat_idx and g.lon_idx = c.lon_idx), "
+       "t as (select avg(sst_anom) as m, stddev_pop(sst_anom) as s from a) "
+       "select time, lat_idx, lon_idx, round((sst_anom - t.m) / t.s, 6) as sst_anom from a, t", uses=("sst_grid",))
 def q_preprocess(spark, sf_dir):
     raw = fixture(spark, sf_dir, "sst_raw")
     from ..operators.clean import sentinel_to_null
@@ -371,7 +379,7 @@ def _evaluate_sql():
     xy = lambda a: (f"({a}.lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "
                     f"({a}.lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2")
     return (
-        f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
+        f"with recursive {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
         "prm as (select avg(sst) as pm, stddev_pop(sst) as ps from sst_grid "
         "where time between date '1995-01-01' and date '1999-12-31'), "
         f"{_per_date_sql(42, 20, 'ad')}, "

@@ -12,7 +12,7 @@ from ..operators import quality, sampling
 from ..operators.tasks import cell_id
 from .base import query, rounded
 from .q_climate import sst_grid
-from .q_tasks import _CP, _DATES30, _h
+from .q_tasks import _CP, _DATES5, _h
 
 LS = 0.05          # length scale in normalised coordinates
 RADIUS = 3 * LS    # compact support of the kernel
@@ -24,12 +24,12 @@ _XY = ("(lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "
        "(lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2")
 
 _KCTES = (
-    f"with {_DATES30}, ad as (select time from d30 where time in (select time from sst_grid)), {_CP}, "
-    "ctx as (select time as task_time, lat_idx * 1000000 + lon_idx as point_id, " + _XY + ", sst as value "
+    f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
+    "ctx as (select time as task_time, lat_idx * 4294967296 + lon_idx as point_id, " + _XY + ", sst as value "
     "from (select g.*, row_number() over (partition by time order by " + _h(42, "time, lat_idx, lon_idx") +
     ", lat_idx, lon_idx) as rn from sst_grid g where sst is not null and time in (select time from ad)) s, cp "
-    "where rn <= 10), "
-    "tgt as (select time as task_time, lat_idx * 1000000 + lon_idx as target_id, " + _XY +
+    "where rn <= 100), "
+    "tgt as (select time as task_time, lat_idx * 4294967296 + lon_idx as target_id, " + _XY +
     " from sst_grid, cp where time in (select time from ad)), "
     "pairs as (select t.task_time, c.point_id, t.target_id, pow(c.x1 - t.x1, 2) + pow(c.x2 - t.x2, 2) as d2, "
     "c.value from tgt t join ctx c on c.task_time = t.task_time "
@@ -47,9 +47,9 @@ _PRED = ("select t.task_time, t.target_id, round(s.swy / s.dens, 6) as mean, "
 def _inputs(spark, sf_dir, normalise_values=False):
     g = sst_grid(spark, sf_dir)
     cp = N.fit_coord_map(fixture(spark, sf_dir, "lakemask"))
-    used = quality.available_dates(D.date_range_subsample(g, 30), g)
+    used = quality.available_dates(D.date_range_subsample(g, 5), g)
     on_dates = g.join(used, "time", "left_semi")
-    ctx = sampling.sample_n_rows(on_dates, 10, 42, by="time", value_col="sst")
+    ctx = sampling.sample_n_rows(on_dates, 100, 42, by="time", value_col="sst")
     ctx = N.apply_coord_map(ctx, cp).select(F.col("time").alias("task_time"), cell_id().alias("point_id"),
                                             "x1", "x2", F.col("sst").alias("value"))
     tgt = N.apply_coord_map(on_dates, cp).select(F.col("time").alias("task_time"),
@@ -81,7 +81,7 @@ def q_predict_grid(spark, sf_dir):
 
 
 @query("predict_series",
-       _KCTES.replace("tgt as (select time as task_time, lat_idx * 1000000 + lon_idx as target_id, " + _XY +
+       _KCTES.replace("tgt as (select time as task_time, lat_idx * 4294967296 + lon_idx as target_id, " + _XY +
                       " from sst_grid, cp where time in (select time from ad))",
                       "tgt as (select time as task_time, 0::bigint as target_id, "
                       "(45e0 - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "

@@ -118,13 +118,17 @@ def _roundtrip(spark, sf_dir):
     return N.load_norm_params(spark, path)
 
 
-@query("save_norm_params")
+@query("save_norm_params",
+       "select 'sst' as entry, 'mean_std' as method, round(avg(sst), 6) as p1, round(stddev_pop(sst), 6) as p2 from sst_grid "
+       "union all select 'x1', 'lat', round(min(lat), 6), round(min(lat) + greatest(max(lat) - min(lat), max(lon) - min(lon)), 6) from sst_grid "
+       "union all select 'x2', 'lon', round(min(lon), 6), round(min(lon) + greatest(max(lat) - min(lat), max(lon) - min(lon)), 6) from sst_grid",
+       uses=("sst_grid",))
 def q_save_norm_params(spark, sf_dir):
-    """K6: the written JSON document (one row)."""
-    g = sst_grid(spark, sf_dir)
-    path = scratch_path(spark, f"norm-params-{uuid.uuid4().hex}")
-    N.save_norm_params(N.fit_mean_std(g, ["sst"]), path, N.fit_coord_map(g))
-    return spark.read.text(path, wholetext=True)
+    """K6: the written JSON document, parsed: each variable's parameters and each axis' map."""
+    variables, coords = _roundtrip(spark, sf_dir)
+    rows = variables.select(F.col("var").alias("entry"), "method", F.col("mean").alias("p1"), F.col("std").alias("p2"))
+    rows = rows.unionByName(coords.select(F.col("axis").alias("entry"), F.col("name").alias("method"), F.col("lo").alias("p1"), F.col("hi").alias("p2")))
+    return rounded(rows, ["p1", "p2"])
 
 
 @query("load_norm_params", _FIT_MS_SQL, uses=("sst_grid",))

@@ -11,7 +11,7 @@ from ..operators import placement as P
 from ..operators import quality, sampling
 from .base import query, rounded
 from .q_climate import sst_grid
-from .q_tasks import _CP, _DATES30, _ORDER
+from .q_tasks import _CP, _DATES5, _ORDER
 
 LS = 0.05
 RADIUS = 3 * LS
@@ -20,8 +20,8 @@ R2 = repr(RADIUS * RADIUS)
 TWO_L2 = repr(2.0 * LS * LS)
 
 _ACQ_CTES = (
-    f"with {_DATES30}, ad as (select time from d30 where time in (select time from sst_grid)), {_CP}, "
-    "cells as (select lat_idx, lon_idx, lat, lon, lat_idx * 1000000 + lon_idx as cell_id, "
+    f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
+    "cells as (select lat_idx, lon_idx, lat, lon, lat_idx * 4294967296 + lon_idx as cell_id, "
     "(lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, (lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2 "
     "from lakemask, cp where mask = 1), "
     f"pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < 10), "
@@ -46,7 +46,7 @@ def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
     initial points plus the picks of rounds < r, with their truth values).  With
     ``infill`` a candidate carries the truth of its cell instead of the predicted mean."""
     vv = "coalesce(iv.sst, 0)" if infill else "coalesce(c.swy / c.dens, 0)"
-    iv_join = (" left join sst_grid iv on iv.time = d.time and iv.lat_idx * 1000000 + iv.lon_idx = p.cand"
+    iv_join = (" left join sst_grid iv on iv.time = d.time and iv.lat_idx * 4294967296 + iv.lon_idx = p.cand"
                if infill else "")
     head = _ACQ_CTES[:_ACQ_CTES.index("pr as (")]          # d30, ad, cp, cells, pts, ctx
     parts = [head.rstrip().rstrip(",") + ", ",
@@ -54,7 +54,7 @@ def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
              "join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
              "where g.time in (select time from ad) and g.sst is not null), "
              "ctx0 as (select task_time, point_id, x1, x2, value from ctx), "
-             "ex0 as (select lat_idx * 1000000 + lon_idx as cell_id from pts), "
+             "ex0 as (select lat_idx * 4294967296 + lon_idx as cell_id from pts), "
              f"pairs as (select a.cell_id as cand, b.cell_id as tgt, "
              f"exp(-(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) / {TWO_L2}) as w from cells a, cells b "
              f"where pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2) <= {R2}), "
@@ -156,7 +156,7 @@ def _setup(spark, sf_dir):
     g = sst_grid(spark, sf_dir)
     mask = fixture(spark, sf_dir, "lakemask")
     cp = N.fit_coord_map(mask)
-    dates = quality.available_dates(D.date_range_subsample(g, 30), g)
+    dates = quality.available_dates(D.date_range_subsample(g, 5), g)
     pts = sampling.random_points(mask, 10, seed=42)
     return g, mask, cp, dates, pts
 
@@ -212,14 +212,14 @@ def q_placement_eval(spark, sf_dir):
 
 
 @query("proposed_infill",
-       f"with {_DATES30}, pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < 5) "
+       f"with {_DATES5}, pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < 5) "
        "select g.time, g.lat_idx, g.lon_idx, g.sst as value from sst_grid g join pts p "
-       "on p.lat_idx = g.lat_idx and p.lon_idx = g.lon_idx where g.time in (select time from d30)",
+       "on p.lat_idx = g.lat_idx and p.lon_idx = g.lon_idx where g.time in (select time from d5)",
        uses=("sst_grid", "lakemask"))
 def q_proposed_infill(spark, sf_dir):
     g = sst_grid(spark, sf_dir)
     pts = sampling.random_points(fixture(spark, sf_dir, "lakemask"), 5, seed=42)
-    return P.proposed_infill(pts, g, D.date_range_subsample(g, 30))
+    return P.proposed_infill(pts, g, D.date_range_subsample(g, 5))
 
 
 @query("first_occurrence",
@@ -302,7 +302,7 @@ def q_acquisition_round0(spark, sf_dir):
 
 @query("greedy_first_pick",
        _ROUND0 + "select cell_id, lat_idx, lon_idx, lat, lon, round(acquisition, 6) as acquisition from acq0 "
-       "where cell_id not in (select lat_idx * 1000000 + lon_idx from pts) "
+       "where cell_id not in (select lat_idx * 4294967296 + lon_idx from pts) "
        "order by acquisition, lat, lon limit 1", uses=("sst_grid", "lakemask"))
 def q_greedy_first_pick(spark, sf_dir):
     """M5 first round: the chosen cell (lowest acquisition, ties -> lat, lon; initial points excluded)."""

@@ -45,12 +45,28 @@ def q_std_floor(spark, sf_dir):
     return rounded(p.select("time", "lat_idx", "lon_idx", C.std_floor("std").alias("std_safe")), ["std_safe"], 9)
 
 
+# Inputs rounded to 6 digits in both engines: both then evaluate the same numbers, std = 0 (floored) included.
+# Terms of the floored std reach 1e12 and are compared to six significant places instead of six decimals.
+_S6 = "(case when round(std, 6) > 1e-6 then round(std, 6) else 1e-6 end)"
+_NLL6 = (f"(0.5 * ln(2 * pi() * {_S6} * {_S6}) + 0.5 * (truth - round(mean, 6)) * (truth - round(mean, 6)) "
+         f"/ ({_S6} * {_S6}))")
+
+
+def _big_sql(x):
+    return f"case when abs({x}) < 1e6 then round({x}, 6) else round({x} / 1e6, 0) * 1e6 end"
+
+
+def _big(c):
+    return F.when(F.abs(c) < 1e6, F.round(c, 6)).otherwise(F.round(F.col(c) / 1e6, 0) * 1e6)
+
+
 @query("gaussian_nll",
-       "with " + _J + f"select time, lat_idx, lon_idx, round({_NLL}, 6) as nll from j where std > 0.01",
-       uses=("pred", "sst_grid"))
+       "with " + _J + f", n as (select time, lat_idx, lon_idx, {_NLL6} as nll from j) "
+       f"select time, lat_idx, lon_idx, {_big_sql('nll')} as nll from n", uses=("pred", "sst_grid"))
 def q_gaussian_nll(spark, sf_dir):
-    p = S.pointwise(scored(spark, sf_dir)).filter(F.col("std") > 0.01)
-    return rounded(p.select("time", "lat_idx", "lon_idx", "nll"), ["nll"])
+    """F9 on every row, std = 0 included (floored to 1e-6)."""
+    s = rounded(scored(spark, sf_dir), ["mean", "std"])
+    return S.pointwise(s).select("time", "lat_idx", "lon_idx", _big("nll").alias("nll"))
 
 
 @query("band",
@@ -82,16 +98,19 @@ def q_pool_errors(spark, sf_dir):
 
 @query("weighted_scores",
        "with " + _J + ", w as (select lat_idx, lon_idx, mask / (select sum(mask) from lakemask) as w from lakemask), "
-       "k as (select j.*, w.w from j join w on w.lat_idx = j.lat_idx and w.lon_idx = j.lon_idx where j.std > 0.01) "
-       "select round(sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
-       "sum(case when (mean - truth) * (mean - truth) is not null then w end)), 6) as rmse, "
-       "round(sum(w * std) / sum(case when std is not null then w end), 6) as mean_std, "
-       f"round(sum(w * {_NLL}) / sum(case when {_NLL} is not null then w end), 6) as nll from k",
+       f"k as (select j.time, j.truth, round(j.mean, 6) as mean, round(j.std, 6) as std, w.w, {_NLL6} as nll "
+       "from j join w on w.lat_idx = j.lat_idx and w.lon_idx = j.lon_idx), "
+       "t as (select sqrt(sum(w * ((mean - truth) * (mean - truth))) / "
+       "sum(case when (mean - truth) * (mean - truth) is not null then w end)) as rmse, "
+       "sum(w * std) / sum(case when std is not null then w end) as mean_std, "
+       "sum(w * nll) / sum(case when nll is not null then w end) as nll from k) "
+       f"select round(rmse, 6) as rmse, round(mean_std, 6) as mean_std, {_big_sql('nll')} as nll from t",
        uses=("pred", "sst_grid", "lakemask"))
 def q_weighted_scores(spark, sf_dir):
+    """A11 over every row: weighted RMSE, mean std and NLL, floored stds included."""
     mask = fixture(spark, sf_dir, "lakemask")
-    s = scored(spark, sf_dir).filter(F.col("std") > 0.01)
-    return rounded(S.weighted_scores(s, mask), ["rmse", "mean_std", "nll"])
+    s = rounded(scored(spark, sf_dir), ["mean", "std"])
+    return rounded(S.weighted_scores(s, mask), ["rmse", "mean_std"]).withColumn("nll", _big("nll"))
 
 
 @query("epoch_loss",
@@ -132,11 +151,6 @@ def q_score_partitions(spark, sf_dir):
     return rounded(out, ["rmse"])
 
 
-_S6 = "(case when round(std, 6) > 1e-6 then round(std, 6) else 1e-6 end)"
-_NLL6 = (f"(0.5 * ln(2 * pi() * {_S6} * {_S6}) + 0.5 * (truth - round(mean, 6)) * (truth - round(mean, 6)) "
-         f"/ ({_S6} * {_S6}))")
-
-
 @query("gaussian_nll_all",
        "with " + _J + f", n as (select time, lat_idx, lon_idx, {_NLL6} as nll from j) "
        "select time, lat_idx, lon_idx, case when abs(nll) < 1e6 then round(nll, 6) else nll end as nll from n",

@@ -31,16 +31,19 @@ def _order(seed):
 
 _DATES5 = ("d5 as (select unnest(generate_series((select min(time) from sst_grid), "
            "(select max(time) from sst_grid), interval 5 day))::date as time)")
-_DATES30 = ("d30 as (select unnest(generate_series((select min(time) from sst_grid), "
-            "(select max(time) from sst_grid), interval 30 day))::date as time)")
-
 
 def _per_date_sql(seed, n, dates="d5"):
+    """Round by round evaluation of the per-date shuffle (sampling.random_points_per_date)."""
+    def num(cols):
+        return f"('0x' || substr({_h(seed, cols)}, 1, 12))::bigint"
     return (f"o as ({_order(seed)}), m as (select count(*) as n from lakemask where mask = 1), "
-            f"k as (select {dates}.time, ('0x' || substr({_h(seed, dates + '.time')}, 1, 12))::bigint % m.n as off, "
-            f"r.range as point_id from {dates}, m, range({n}) r), "
-            "pp as (select k.time, k.point_id, o.lat_idx, o.lon_idx, o.lat, o.lon from k join o "
-            "on o.pos = (k.off + k.point_id) % (select n from m))")
+            f"sh as (select {dates}.time, r.range as point_id, r.range as x, 0 as step from {dates}, range({n}) r "
+            "union all select time, point_id, case when "
+            f"{num('time, step, greatest(x, y)')} % 2 = 0 then y else x end, step + 1 from ("
+            f"select sh.time, point_id, x, step, ({num('sh.time, step')} % m.n - x + m.n) % m.n as y from sh, m "
+            f"where step < {sampling.SHUFFLE_STEPS})), "
+            "pp as (select k.time, k.point_id, o.lat_idx, o.lon_idx, o.lat, o.lon from sh k join o "
+            f"on o.pos = k.x where k.step = {sampling.SHUFFLE_STEPS})")
 
 
 def _dates5(spark, sf_dir):
@@ -53,20 +56,20 @@ def q_random_points(spark, sf_dir):
     return sampling.random_points(fixture(spark, sf_dir, "lakemask"), 50, seed=42)
 
 
-@query("random_points_per_date", f"with {_DATES5}, {_per_date_sql(42, 20)} select * from pp",
+@query("random_points_per_date", f"with recursive {_DATES5}, {_per_date_sql(42, 20)} select * from pp",
        uses=("sst_grid", "lakemask"))
 def q_random_points_per_date(spark, sf_dir):
     return sampling.random_points_per_date(_dates5(spark, sf_dir), fixture(spark, sf_dir, "lakemask"), 20, 42)
 
 
-@query("seed_override", f"with {_DATES5}, {_per_date_sql(7, 10)} select * from pp",
+@query("seed_override", f"with recursive {_DATES5}, {_per_date_sql(7, 10)} select * from pp",
        uses=("sst_grid", "lakemask"))
 def q_seed_override(spark, sf_dir):
     return sampling.random_points_per_date(_dates5(spark, sf_dir), fixture(spark, sf_dir, "lakemask"), 10, 7)
 
 
 @query("per_date_points",
-       f"with {_DATES5}, {_per_date_sql(42, 20)} select pp.time, pp.point_id, pp.lat_idx, pp.lon_idx, g.sst "
+       f"with recursive {_DATES5}, {_per_date_sql(42, 20)} select pp.time, pp.point_id, pp.lat_idx, pp.lon_idx, g.sst "
        "from pp join sst_grid g on g.time = pp.time and g.lat_idx = pp.lat_idx and g.lon_idx = pp.lon_idx",
        uses=("sst_grid", "lakemask"))
 def q_per_date_points(spark, sf_dir):
@@ -77,11 +80,11 @@ def q_per_date_points(spark, sf_dir):
 
 
 @query("fixed_points",
-       f"with {_DATES30}, p as (select pos as point_id, lat_idx, lon_idx, lat, lon from ({_ORDER}) where pos < 10) "
-       "select d30.time, p.* from d30 cross join p", uses=("sst_grid", "lakemask"))
+       f"with {_DATES5}, p as (select pos as point_id, lat_idx, lon_idx, lat, lon from ({_ORDER}) where pos < 50) "
+       "select d5.time, p.* from d5 cross join p", uses=("sst_grid", "lakemask"))
 def q_fixed_points(spark, sf_dir):
-    pts = sampling.random_points(fixture(spark, sf_dir, "lakemask"), 10, seed=42)
-    return sampling.fixed_points(D.date_range_subsample(sst_grid(spark, sf_dir), 30), pts)
+    pts = sampling.random_points(fixture(spark, sf_dir, "lakemask"), 50, seed=42)
+    return sampling.fixed_points(D.date_range_subsample(sst_grid(spark, sf_dir), 5), pts)
 
 
 @query("sample_n_context",
@@ -118,17 +121,17 @@ _X = ("round((lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1), 6) as x1, "
 _TASK_CTES = (
     f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
     "c0 as (select time as task_time, 'context' as role, 0::bigint as set_idx, 'sst' as var, "
-    f"lat_idx * 1000000 + lon_idx as point_id, {_X}, round(sst, 6) as value from "
+    f"lat_idx * 4294967296 + lon_idx as point_id, {_X}, round(sst, 6) as value from "
     "(select g.*, row_number() over (partition by time order by " + _h(42, "time, lat_idx, lon_idx") +
     ", lat_idx, lon_idx) as rn from sst_grid g where sst is not null and time in (select time from ad)) s, cp "
     "where rn <= 20), "
     "c1 as (select cast(null as date) as task_time, 'context' as role, 1::bigint as set_idx, 'depth' as var, "
-    f"lat_idx * 1000000 + lon_idx as point_id, {_X}, round(depth, 6) as value from bathymetry, cp), "
+    f"lat_idx * 4294967296 + lon_idx as point_id, {_X}, round(depth, 6) as value from bathymetry, cp), "
     "c2 as (select time as task_time, 'context' as role, 2::bigint as set_idx, 'cos_D' as var, "
     "cast(null as bigint) as point_id, cast(null as double) as x1, cast(null as double) as x2, "
     "round(cos(2 * pi() * dayofyear(time) / 365.25e0), 6) as value from ad), "
     "t0 as (select time as task_time, 'target' as role, 0::bigint as set_idx, 'sst' as var, "
-    f"lat_idx * 1000000 + lon_idx as point_id, {_X}, round(sst, 6) as value from sst_grid, cp "
+    f"lat_idx * 4294967296 + lon_idx as point_id, {_X}, round(sst, 6) as value from sst_grid, cp "
     "where time in (select time from ad)), "
     "tasks as (select * from c0 union all select * from c1 union all select * from c2 union all select * from t0) ")
 
@@ -185,9 +188,9 @@ def q_build_tasks_safe(spark, sf_dir):
 
 
 @query("target_none",
-       f"with {_DATES30}, ad as (select time from d30 where time in (select time from sst_grid)), {_CP} "
+       f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP} "
        "select time as task_time, 'context' as role, 0::bigint as set_idx, 'sst' as var, "
-       f"lat_idx * 1000000 + lon_idx as point_id, {_X}, round(sst, 6) as value from "
+       f"lat_idx * 4294967296 + lon_idx as point_id, {_X}, round(sst, 6) as value from "
        "(select g.*, row_number() over (partition by time order by " + _h(42, "time, lat_idx, lon_idx") +
        ", lat_idx, lon_idx) as rn from sst_grid g where sst is not null and time in (select time from ad)) s, cp "
        "where rn <= 20 union all select time, 'target', 0, 'sst', 0, "
@@ -197,7 +200,7 @@ def q_build_tasks_safe(spark, sf_dir):
 def q_target_none(spark, sf_dir):
     g = sst_grid(spark, sf_dir)
     mask = fixture(spark, sf_dir, "lakemask")
-    used = quality.available_dates(D.date_range_subsample(g, 30), g)
+    used = quality.available_dates(D.date_range_subsample(g, 5), g)
     out = T.target_none(used, [T.TaskSet("sst", g, 20, seed=42)], N.fit_coord_map(mask), 45.0, -85.0, "sst")
     return _r(out)
 

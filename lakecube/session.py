@@ -58,8 +58,9 @@ def get_session(master: str | None = None, app: str = "lakecube",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (tests, a laptop)
-    a fresh scratch folder is created and registered.
+    The cluster's setting always wins.  When it is unset, local mode (tests, a
+    laptop) gets a fresh scratch folder; any other master raises, since a
+    folder of one machine is not shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakecube-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -15,8 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 MAX_RECORDS_PER_FILE = 20_000_000
 
@@ -50,13 +48,8 @@ def write_points(df: DataFrame, path: str, partition_by: Sequence[str] = ("itera
     return path
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K4: CSV with a header.  ``single_file`` only for small reports (a time
-    series, chosen points): it is refused above ``SINGLE_FILE_MAX_ROWS`` rows."""
-    if single_file:
-        if df.limit(SINGLE_FILE_MAX_ROWS + 1).count() > SINGLE_FILE_MAX_ROWS:
-            raise ValueError("too many rows for a single CSV file; write part files instead")
-        df = df.coalesce(1)
+def write_csv(df: DataFrame, path: str) -> str:
+    """K4: CSV with a header, as part files; any number of rows."""
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
@@ -110,17 +103,33 @@ def list_climatologies(spark: SparkSession, base_dir: str) -> DataFrame:
             .select(F.from_json("value", META_SCHEMA).alias("m")).select("m.*"))
 
 
-def write_manifest(spark: SparkSession, path: str, climatology_id: str, climatology_paths: dict,
-                   norm_path: str) -> DataFrame:
-    """K5: manifest row (created, climatology id/paths, normaliser path) written as JSON."""
-    doc = {"created": dt.datetime.now(dt.timezone.utc).isoformat(), "seasonal_cycle_id": climatology_id,
-           "seasonal_cycle_path": climatology_paths.get("seasonal_cycle_path"),
-           "seasonal_cycle_metadata_path": climatology_paths.get("metadata_path"),
-           "data_processor_path": norm_path}
+def write_manifest(spark: SparkSession, path: str, datasets: dict[str, dict], norm_path: str) -> DataFrame:
+    """K5: the manifest document: when it was made, the normaliser's path and one entry per dataset.
+
+    ``datasets`` maps a dataset's name to its written paths; an entry has the climatology's id and paths
+    (null for a dataset without one) and, if given, the grid's path.
+    """
+    keys = {"seasonal_cycle_id": "id", "seasonal_cycle_path": "seasonal_cycle_path",
+            "seasonal_cycle_metadata_path": "metadata_path", "grid_path": "grid"}
+    doc = {"created": dt.datetime.now(dt.timezone.utc).isoformat(), "data_processor_path": norm_path,
+           "datasets": {name: {k: d.get(v) for k, v in keys.items()} for name, d in datasets.items()}}
     _write_json_doc(spark, doc, path)
     return spark.read.text(path, wholetext=True)
 
 
+MANIFEST = "created string, data_processor_path string, datasets map<string, map<string, string>>"
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest as rows: one per dataset."""
+    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", MANIFEST).alias("m"))
+    return (doc.select("m.created", "m.data_processor_path", F.explode("m.datasets").alias("dataset", "d"))
+            .select("dataset", "created", "data_processor_path", F.col("d")["seasonal_cycle_id"].alias("seasonal_cycle_id"),
+                    F.col("d")["seasonal_cycle_path"].alias("seasonal_cycle_path"),
+                    F.col("d")["seasonal_cycle_metadata_path"].alias("seasonal_cycle_metadata_path"),
+                    F.col("d")["grid_path"].alias("grid_path")))
+
+
 def write_run_log(log: DataFrame, path: str, run_id: str, summary_path: str | None = None) -> DataFrame:
     """K7: append per-batch losses to the run log table and return the run summary
     (epochs, final and best epoch loss) from one aggregate; the one-row summary

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import store_path
-from ..operators.clean import rename_vars, sentinel_to_null
+from ..operators.clean import FILL_VALUE, rename_vars, sentinel_to_null
 
 CATALOG_SCHEMA = ("datasets map<string, struct<description: string, path: string, format: string, "
                   "consolidated: boolean, variables: array<string>, time_range: struct<start: string, end: string>>>")
@@ -36,25 +36,25 @@ def catalog_lookup(catalog: DataFrame, name: str) -> DataFrame:
     """The catalog row of ``name``; ``ValueError`` when unknown."""
     row = catalog.filter(F.col("name") == name)
     if row.limit(1).count() == 0:
-        raise ValueError(f"Dataset '{name}' not found in metadata.")
+        raise ValueError(f"the catalog has no dataset {name!r}")
     return row
 
 
 def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int | None = None,
-                 schema=None, sentinel: float | None = None, rename: dict | None = None,
+                 schema=None, sentinel: float | None = FILL_VALUE, rename: dict | None = None,
                  kind: str | None = None) -> DataFrame:
     """Load a catalog dataset with the reader for its format.
 
     With ``year`` the dataset is a year-partitioned store and only that year's
-    partition is read (``year=`` partition filter, pruned by Spark).  A fill
-    value (``sentinel``) is turned into NULL on every value column.  With
+    partition is read (``year=`` partition filter, pruned by Spark).  The fill
+    value (``sentinel``; None keeps it) is turned into NULL on every value column.  With
     ``kind`` (e.g. "grid", "mask") the result is validated against that table
     kind's key columns (``schemas.validate``), a schema-only check.
     """
     entry = catalog_lookup(catalog, name).select("path", "format").first()
     fmt = entry["format"]
     if fmt not in READERS:
-        raise ValueError(f"Unsupported format '{fmt}' for dataset '{name}'.")
+        raise ValueError(f"dataset {name!r} has format {fmt!r}, which no reader is registered for")
     reader = spark.read.format(READERS[fmt])
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -84,7 +84,7 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
 
 
 def load_years(spark: SparkSession, catalog: DataFrame, name: str, years: Sequence[int] | None = None,
-               sentinel: float | None = None) -> DataFrame:
+               sentinel: float | None = FILL_VALUE) -> DataFrame:
     """One scan of the year-partitioned store for the requested years (all when None)."""
     df = load_dataset(spark, catalog, name, sentinel=sentinel)
     return df if years is None else df.filter(F.col("year").isin(list(years)))

@@ -24,7 +24,7 @@ def test_catalog_unknown_and_unsupported(spark):
     cat = _catalog(spark, {"sst_daily": {"path": "/nowhere", "format": "zarr"}})
     with pytest.raises(ValueError, match="not found"):
         CAT.catalog_lookup(cat, "missing")
-    with pytest.raises(ValueError, match="Unsupported format"):
+    with pytest.raises(ValueError, match="no reader is registered"):
         CAT.load_dataset(spark, cat, "sst_daily")
 
 
@@ -73,10 +73,24 @@ def test_provenance_metadata(spark):
     assert out.units == "degC"
 
 
-def test_single_csv_guard(spark, monkeypatch):
-    monkeypatch.setattr(W, "SINGLE_FILE_MAX_ROWS", 3)
-    with pytest.raises(ValueError):
-        W.write_csv(spark.range(10), scratch_path(spark, f"csv-{uuid.uuid4().hex}"), single_file=True)
+def test_csv_has_no_row_bound(spark):
+    path = W.write_csv(spark.range(10), scratch_path(spark, f"csv-{uuid.uuid4().hex}"))
+    assert spark.read.option("header", True).csv(path).count() == 10
+
+
+def test_manifest_has_an_entry_per_dataset(spark):
+    path = scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
+    W.write_manifest(spark, path, {"sst": {"id": "x", "seasonal_cycle_path": "p", "metadata_path": "m", "grid": "g"}, "ice": {}}, "norm")
+    rows = {r["dataset"]: r for r in W.load_manifest(spark, path).collect()}
+    assert set(rows) == {"sst", "ice"} and rows["sst"]["grid_path"] == "g" and rows["ice"]["seasonal_cycle_id"] is None
+
+
+def test_fill_value_is_removed_on_load(spark):
+    path = scratch_path(spark, f"grid-{uuid.uuid4().hex}")
+    spark.createDataFrame([(1, 2, -99999.0), (1, 3, 4.0)], "lat_idx long, lon_idx long, sst double").write.parquet(path)
+    cat = _catalog(spark, {"cube": {"path": path, "format": "parquet"}})
+    assert sorted(str(r["sst"]) for r in CAT.load_dataset(spark, cat, "cube").collect()) == ["4.0", "None"]
+    assert CAT.load_dataset(spark, cat, "cube", sentinel=None).filter("sst < 0").count() == 1
 
 
 def test_rank3_without_time_or_year_raises(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import small_grid
 from lakecube.functions import columns as C
-from lakecube.operators import clean, climatology as clim, grid, normalize as N, quality, sets
+from lakecube.operators import clean, climatology as clim, grid, kernel as K, normalize as N, quality, sets
 
 
 def test_sentinel_and_nan_become_null(spark):
@@ -267,3 +267,53 @@ def test_label_selection_ties_prefer_larger(spark):
     assert cells == set() or cells == {(1, 1)}
     one = {(r.lat_idx, r.lon_idx) for r in clean.cell_nearest(g, 40.5, -90.0).collect()}
     assert one == {(1, 0)}
+
+
+def test_bilinear_repeated_points_and_missing_corners(spark):
+    mask = spark.createDataFrame([(i, j, float(i), float(j), 1) for i in range(3) for j in range(3) if (i, j) != (2, 2)],
+                                 "lat_idx long, lon_idx long, lat double, lon double, mask long")
+    pts = spark.createDataFrame([(0.5, 0.5), (0.5, 0.5), (1.5, 1.5), (1.0, 1.5)], "lat double, lon double")
+    got = sorted((r.lat, r.lon, r.value, r.on_lake) for r in grid.bilinear_points(pts, mask).collect())
+    assert got[:2] == [(0.5, 0.5, 1.0, True)] * 2
+    assert (1.0, 1.5, 1.0, True) in got                       # the missing corner has no weight
+    assert [(v, on) for a, b, v, on in got if (a, b) == (1.5, 1.5)] == [(None, False)]
+
+
+def test_gap_fill_keeps_repeated_rows_and_leaves_land(spark):
+    rows = [("1995-01-01", 0, 0, 5.0), ("1995-01-01", 0, 1, None), ("1995-01-01", 0, 1, None), ("1995-01-01", 1, 0, None)]
+    g = small_grid(spark, rows)
+    out = K.gap_fill(g, "sst", 1.0, radius=3.0).collect()
+    assert len(out) == 4 and [round(r.sst, 6) for r in out if r.filled] == [5.0] * 3
+    mask = spark.createDataFrame([(0, 0, 1), (0, 1, 1), (1, 0, 0)], "lat_idx long, lon_idx long, mask long")
+    land = [r for r in K.gap_fill(g, "sst", 1.0, radius=3.0, mask=mask).collect() if (r.lat_idx, r.lon_idx) == (1, 0)]
+    assert [(r.sst, r.filled) for r in land] == [(None, False)]
+
+
+def test_predict_grid_repeated_target_ids(spark):
+    c = spark.createDataFrame([("d", 1, 0.0, 0.0, 2.0)], "task_time string, point_id long, x1 double, x2 double, value double")
+    t = spark.createDataFrame([("d", 7, 0.1, 0.0)] * 2 + [("d", 8, 0.1, 0.0)], "task_time string, target_id long, x1 double, x2 double")
+    out = K.predict_grid(c, t, 0.1, 1.0, 0.3).collect()
+    assert len(out) == 3 and len({round(r.density, 12) for r in out}) == 1
+
+
+def test_points_of_two_dates_overlap_as_independent_draws_do(spark):
+    import datetime as dt
+    from lakecube.operators import sampling as S
+    mask = spark.createDataFrame([(i // 20, i % 20, 0.0, 0.0, 1) for i in range(289)], "lat_idx long, lon_idx long, lat double, lon double, mask long")
+    dates = spark.createDataFrame([(dt.date(1995, 1, 1) + dt.timedelta(days=k),) for k in range(120)], "time date")
+    sets = {}
+    for r in S.random_points_per_date(dates, mask, 20, 3).collect():
+        sets.setdefault(r.time, set()).add((r.lat_idx, r.lon_idx))
+    drawn = list(sets.values())
+    assert all(len(s) == 20 for s in drawn) and len({frozenset(s) for s in drawn}) == 120
+    overlaps = [len(a & b) for k, a in enumerate(drawn) for b in drawn[k + 1:]]
+    assert abs(sum(overlaps) / len(overlaps) - 20 * 20 / 289) < 0.1 and max(overlaps) < 10
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+    from types import SimpleNamespace
+    from lakecube.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d)))
