@@ -88,11 +88,6 @@ def bbox(df: DataFrame, lat_range, lon_range, lat: str = "lat", lon: str = "lon"
     return df.filter(F.col(lat).between(*lat_range) & F.col(lon).between(*lon_range))
 
 
-def axis_table(df: DataFrame, idx: str, label: str) -> DataFrame:
-    """Distinct (index, label) pairs of one axis: at most one row per grid line."""
-    return df.select(idx, label).distinct()
-
-
 def cell_nearest(df: DataFrame, lat_value: float, lon_value: float) -> DataFrame:
     """Rows of the cell nearest to a point, chosen per axis (ties -> larger label)."""
     def pick(idx, label, v):
@@ -124,14 +119,6 @@ def drop_null_coords(df: DataFrame, cols: Sequence[str] = ("latitude", "longitud
     return df.dropna(subset=list(cols))
 
 
-def remove_nans(tasks: DataFrame, role: str | None = None) -> DataFrame:
-    """Drop task rows with a missing value (for one role or all)."""
-    cond = F.col("value").isNotNull()
-    if role is not None:
-        cond = cond | (F.col("role") != F.lit(role))
-    return tasks.filter(cond)
-
-
 def mask_filter(mask: DataFrame, col: str = "mask") -> DataFrame:
     """Cells where the mask is 1."""
     return mask.filter(F.col(col) == 1)
@@ -175,7 +162,3 @@ def overlap_slice(df: DataFrame, other: DataFrame, col: str = "time", other_col:
     oc = other_col or col
     ext = other.select(F.struct(F.min(oc).alias("lo"), F.max(oc).alias("hi"))).scalar()
     return df.filter(F.col(col).between(ext.getField("lo"), ext.getField("hi")))
-
-
-def with_month(df: DataFrame, time_col: str = "time") -> DataFrame:
-    return df.withColumn("month", F.month(time_col).cast("bigint"))

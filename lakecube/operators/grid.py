@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from ..session import broadcast_if_small, materialize_small
 from .clean import CELL, value_columns
 
-# Static grids (mask, bathymetry) have one row per cell; broadcast below this.
-STATIC_BROADCAST_ROWS = 2_000_000
 
 
 def apply_mask(pred: DataFrame, mask: DataFrame, value_cols: Sequence[str] | None = None,
@@ -27,8 +25,7 @@ def apply_mask(pred: DataFrame, mask: DataFrame, value_cols: Sequence[str] | Non
     if mask_col not in mask.columns:
         raise ValueError("lakemask must contain a 'mask' column.")
     cols = list(value_cols) if value_cols is not None else value_columns(pred)
-    m = broadcast_if_small(mask.select(*CELL, F.col(mask_col).alias("__mask")),
-                           STATIC_BROADCAST_ROWS)
+    m = broadcast_if_small(mask.select(*CELL, F.col(mask_col).alias("__mask")))
     joined = pred.join(m, list(CELL), "inner")
     if drop_land:
         joined = joined.filter(F.col("__mask") == 1)
@@ -75,7 +72,7 @@ def bracket(points: DataFrame, value: str, intervals: DataFrame, prefix: str,
         F.col("lo_idx").alias(f"{prefix}_lo_idx"), F.col("lo").alias(f"{prefix}_lo"),
         F.col("hi_idx").alias(f"{prefix}_hi_idx"), F.col("hi").alias(f"{prefix}_hi"),
         F.col("is_last").alias(f"{prefix}_last"))
-    iv = broadcast_if_small(iv, STATIC_BROADCAST_ROWS)
+    iv = broadcast_if_small(iv)
     p = F.col(value)
     lo, hi, last = F.col(f"{prefix}_lo"), F.col(f"{prefix}_hi"), F.col(f"{prefix}_last")
     cond = ((F.col("__pb") == F.col("__b")) & (p >= lo) & ((p < hi) | ((p == hi) & last)))
@@ -196,7 +193,7 @@ def bilinear_points(points: DataFrame, static: DataFrame, lat: str = "lat", lon:
     pts = points.select(F.col(lat).alias("__plat"), F.col(lon).alias("__plon"), *points.columns)
     b = bracket(bracket(pts, "__plat", lat_iv, "__a", how="inner"), "__plon", lon_iv, "__o", how="inner")
     t1, t2 = F.col("__a_t"), F.col("__o_t")
-    grid = broadcast_if_small(static.select(*CELL, F.col(value_col).alias("__v")), STATIC_BROADCAST_ROWS)
+    grid = broadcast_if_small(static.select(*CELL, F.col(value_col).alias("__v")))
     weights = {("lo", "lo"): (1 - t1) * (1 - t2), ("lo", "hi"): (1 - t1) * t2, ("hi", "lo"): t1 * (1 - t2), ("hi", "hi"): t1 * t2}
     terms, ones = [], []
     for (i, j), w in weights.items():
@@ -221,8 +218,8 @@ def coarsen_mean(static: DataFrame, k_lat: int, k_lon: int, value_cols: Sequence
         ax = ax.withColumn("__pos", pos).filter(F.col("__pos") < F.floor(n / k) * k)
         return ax.select(idx, label, F.floor(F.col("__pos") / k).alias(name))
 
-    la = broadcast_if_small(blocks("lat_idx", "lat", k_lat, "lat_block"), STATIC_BROADCAST_ROWS)
-    lo = broadcast_if_small(blocks("lon_idx", "lon", k_lon, "lon_block"), STATIC_BROADCAST_ROWS)
+    la = broadcast_if_small(blocks("lat_idx", "lat", k_lat, "lat_block"))
+    lo = broadcast_if_small(blocks("lon_idx", "lon", k_lon, "lon_block"))
     lat_c = la.groupBy("lat_block").agg(F.avg("lat").alias("lat"))
     lon_c = lo.groupBy("lon_block").agg(F.avg("lon").alias("lon"))
     agg = (static.select(*CELL, *value_cols)
@@ -266,7 +263,7 @@ def sample_at_points(grid: DataFrame, points: DataFrame, lat: str = "lat", lon:
     m = nearest_on_axis(points, lat, lat_axis, "lat", "lat_idx", prefix="__nlat", prefer="upper", extrapolate=True)
     m = nearest_on_axis(m, lon, lon_axis, "lon", "lon_idx", prefix="__nlon", prefer="upper", extrapolate=True)
     cellmap = broadcast_if_small(m.select(*points.columns, F.col("__nlat_idx").alias("lat_idx"),
-                                          F.col("__nlon_idx").alias("lon_idx")), STATIC_BROADCAST_ROWS)
+                                          F.col("__nlon_idx").alias("lon_idx")))
     when = ["time"] if "time" in grid.columns else []          # static fields have no time
     g = grid.select(*when, *CELL, *cols)
     return g.join(cellmap, list(CELL), "inner").select(*points.columns, *when, *CELL, *cols)

@@ -33,9 +33,6 @@ from ..session import broadcast_if_small, materialize_small
 _OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
-# Sparse context sets (a few hundred points per date) are broadcast to the
-# targets below this many exploded rows; above it the join shuffles both sides.
-CONTEXT_BROADCAST_ROWS = 5_000_000
 
 
 def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
@@ -47,7 +44,7 @@ def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
     ``keys`` must match on both sides (e.g. the task date); ``carry`` columns
     come from the context only (e.g. the date of a context set joined to a
     static target grid).  With ``small_context`` the context is written once,
-    and its exploded tiles are broadcast after a row-count check, so the
+    and its exploded tiles are broadcast if their written size allows, so the
     (large) target side is streamed without a shuffle.
     """
     r = float(radius)
@@ -60,7 +57,7 @@ def kernel_neighbours(context: DataFrame, targets: DataFrame, radius: float,
            .withColumn("__ti", F.floor(F.col("__cx") / r) + F.col("__o.a"))
            .withColumn("__tj", F.floor(F.col("__cy") / r) + F.col("__o.b")).drop("__o"))
     if small_context:
-        ctx = broadcast_if_small(ctx, CONTEXT_BROADCAST_ROWS)
+        ctx = broadcast_if_small(ctx)
     tgt = targets.select(*keys, F.col(tgt_id).alias("__tid"), F.col(x).alias("__tx"), F.col(y).alias("__ty"),
                          F.floor(F.col(x) / r).alias("__ti"), F.floor(F.col(y) / r).alias("__tj"))
     pairs = ctx.join(tgt, [*keys, "__ti", "__tj"])
@@ -136,7 +133,7 @@ def predict_grid(context: DataFrame, targets: DataFrame, lengthscale: float, noi
     else:
         raise ValueError("explode must be 'context' or 'targets'")
     if small_context:
-        ctx = broadcast_if_small(ctx, CONTEXT_BROADCAST_ROWS)
+        ctx = broadcast_if_small(ctx)
     d2 = (F.col("__cx") - F.col(x)) ** 2 + (F.col("__cy") - F.col(y)) ** 2
     cond = [F.col(k) == F.col(f"__k_{k}") for k in keys]
     cond += [F.col("__ti") == F.col("__cti"), F.col("__tj") == F.col("__ctj"), d2 <= F.lit(r * r)]

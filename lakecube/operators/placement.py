@@ -133,9 +133,12 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
         cells.join(pairs.groupBy("cand").agg(F.sum(f0).alias("__f0")),
                    F.col("cell_id") == F.col("cand"), "left").drop("cand"), "cells-f0")
     chosen_rounds, surfaces = [], []
+    sums = materialize_small(date_sums(context_values(cur, truth, d, var), cells, lengthscale, radius), "sums")
     for it in range(n_new):
-        ctx = context_values(cur, truth, d, var)
-        sums = date_sums(ctx, cells, lengthscale, radius).persist()
+        if it:      # kernel sums add up: a round adds the last pick's share alone
+            own = date_sums(context_values(pick, truth, d, var), cells, lengthscale, radius)
+            sums = materialize_small(sums.unionByName(own).groupBy("task_time", "target_id").agg(
+                *[F.sum(c).alias(c) for c in ("density", "sum_wy", "sum_wyy")]), "sums")
         std_old = _std(F.col("density"), F.col("sum_wy"), F.col("sum_wyy"), noise)
         base = sums.select(F.sum(std_old) + (F.lit(total) - F.count(F.lit(1))) * F.lit(noise)).scalar()
         if infill is not None:
@@ -159,14 +162,14 @@ def greedy_place(points: DataFrame, truth: DataFrame, mask: DataFrame, dates: Da
         if surface_by_date:
             surfaces.append(materialize_small(_date_surface(it, j, sums, pairs, cells, d, n_cells, noise,
                                                             rho2, s1, s2, std_old), "date-surface"))
-        sums.unpersist()
         pool = surf if allow_repeat else surf.join(cur.select("cell_id"), "cell_id", "left_anti")
         best = materialize_small(argmax_cell(pool, largest=False), "chosen")
         chosen_rounds.append(best)
         if not surface_by_date:
             surfaces.append(surf)
         # a union of written tables: the lineage stays short without another write
-        cur = cur.unionByName(best.select(*cur.columns))
+        pick = best.select(*cur.columns)
+        cur = cur.unionByName(pick)
     if not chosen_rounds:                       # n_new = 0: nothing chosen, no surface
         empty = cells_f0.select(F.lit(0).cast("bigint").alias("iteration"), "cell_id", *CELL, "lat", "lon",
                                 "x1", "x2", F.lit(0.0).alias("acquisition")).limit(0)

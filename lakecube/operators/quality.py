@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize_small
 from .clean import CELL, value_columns
 
 
@@ -46,23 +47,36 @@ def date_difference(df: DataFrame, start=None, end=None, col: str = "time") -> D
     return daily_range(df, start, end, col).subtract(date_set(df, col))
 
 
+def axis_profile(grid: DataFrame, axes: Sequence[str], col: str | None = None, time_col: str | None = None) -> DataFrame:
+    """One row per axis and label, with the range and count of ``col``: one pass over the grid.
+
+    Every row adds to one group per axis; the groups are reduced before the
+    shuffle, which carries one row per label and task.
+    """
+    at = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).cast("string").alias("label")) for a in axes]))
+    value = F.col(col) if col else F.lit(None).cast("double")
+    when = F.col(time_col) if time_col else F.lit(None).cast("date")
+    return (grid.select(value.alias("__v"), when.alias("__t"), at.alias("__a")).groupBy("__a.axis", "__a.label")
+            .agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.count("__v").alias("n"),
+                 F.min("__t").alias("t_lo"), F.max("__t").alias("t_hi")))
+
+
+def _labels(axis: str):
+    return F.count_if((F.col("axis") == axis) & F.col("label").isNotNull())
+
+
 def validate_grid(grid: DataFrame, col: str, time_col: str = "time") -> DataFrame:
-    """Time range, axis sizes, value range and coverage in one row.
+    """Time range, axis sizes, value range and coverage in one row, from one pass over the grid.
 
     Coverage is counted against the dense cube (dates x lat x lon), the same as
-    the fraction of non-missing cells of an array.  Axis sizes are separate
-    scalar subqueries over single narrow columns, which keeps the main
-    aggregate free of multi-distinct expansion.
+    the fraction of non-missing cells of an array.
     """
-    n_time = grid.select(F.countDistinct(time_col)).scalar()
-    n_lat = grid.select(F.countDistinct("lat_idx")).scalar()
-    n_lon = grid.select(F.countDistinct("lon_idx")).scalar()
-    return grid.agg(
-        F.min(time_col).alias("time_min"), F.max(time_col).alias("time_max"),
-        F.min(col).alias("value_min"), F.max(col).alias("value_max"),
-        F.count(col).alias("n_values"),
-    ).select("*", n_time.alias("n_time"), n_lat.alias("n_lat"), n_lon.alias("n_lon"),
-             F.try_divide(F.lit(100.0) * F.col("n_values"), n_time * n_lat * n_lon).alias("coverage_pct"))
+    of_time = F.col("axis") == time_col
+    out = axis_profile(grid, [time_col, "lat_idx", "lon_idx"], col, time_col).agg(
+        F.min("t_lo").alias("time_min"), F.max("t_hi").alias("time_max"), F.min("lo").alias("value_min"), F.max("hi").alias("value_max"),
+        F.coalesce(F.sum(F.when(of_time, F.col("n"))), F.lit(0)).alias("n_values"),
+        _labels(time_col).alias("n_time"), _labels("lat_idx").alias("n_lat"), _labels("lon_idx").alias("n_lon"))
+    return out.withColumn("coverage_pct", F.try_divide(F.lit(100.0) * F.col("n_values"), F.col("n_time") * F.col("n_lat") * F.col("n_lon")))
 
 
 def validate_static(static: DataFrame, col: str) -> DataFrame:
@@ -120,26 +134,47 @@ def distinct_dates(df: DataFrame, time_col: str = "time") -> DataFrame:
 
 
 def robust_bounds(df: DataFrame, col: str, q: Sequence[float] = (0.02, 0.98)) -> DataFrame:
-    """Exact 2nd/98th percentiles (linear interpolation).
+    """Exact 2nd/98th percentiles (linear interpolation between neighbouring ranks).
 
-    Values are first counted per distinct value (distributed partial aggregate);
-    the percentile then runs over (value, frequency) pairs, so the final merge
-    holds one entry per distinct value, not one per row.
+    Values are counted per distinct value and the counts are range-partitioned
+    and written.  The totals of the parts (one number each) say which parts
+    hold the wanted ranks; only those are ranked, each by itself.
     """
-    freq = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    p = F.percentile(F.col(col), F.array(*[F.lit(x) for x in q]), F.col("__n"))
-    return freq.agg(p.alias("__p")).select(*[F.col("__p")[i].alias(f"p{int(round(x * 100)):02d}")
-                                             for i, x in enumerate(q)])
+    spark = df.sparkSession
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize_small(counts.repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()), "ranks")
+    totals = sorted((r["lo"], r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.min("v").alias("lo"), F.sum("n").alias("n")).collect())
+    total = sum(n for _, _, n in totals)
+    names = [f"p{int(round(x * 100)):02d}" for x in q]
+    if not total:
+        return spark.createDataFrame([tuple(None for _ in q)], ", ".join(f"{n} double" for n in names))
+    wanted, before, offsets = {int(x * (total - 1)) + k for x in q for k in (0, 1)}, 0, {}
+    for _, part, n in totals:
+        if any(before <= w < before + n for w in wanted):
+            offsets[part] = before
+        before += n
+    few = ranged.filter(F.col("part").isin(list(offsets)))
+    start = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])[F.col("part")]
+    upto = start + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    found = few.withColumn("upto", upto)
+    at = {w: r["v"] for r in found.filter(F.array_size(F.filter(F.array(*[F.lit(w) for w in sorted(wanted)]),
+          lambda w: (w >= F.col("upto") - F.col("n")) & (w < F.col("upto")))) > 0).select("v", "n", "upto").collect()
+          for w in wanted if r["upto"] - r["n"] <= w < r["upto"]}
+    out = []
+    for x in q:
+        k, share = int(x * (total - 1)), x * (total - 1) - int(x * (total - 1))
+        out.append(at[k] + share * (at.get(k + 1, at[k]) - at[k]))
+    return spark.createDataFrame([tuple(out)], ", ".join(f"{n} double" for n in names))
 
 
 def var_list_sizes(grid: DataFrame, time_col: str = "time") -> DataFrame:
     """variables and dimension sizes of a grid, as (kind, name, size) rows."""
     spark = grid.sparkSession
     variables = value_columns(grid)
-    # one narrow distinct count per dimension (scalar subqueries), no multi-distinct expansion
-    sizes = [grid.select(F.countDistinct(c)).scalar() for c in (time_col, "lat_idx", "lon_idx")]
-    dim_rows = spark.range(1).select(F.explode(F.map_from_arrays(
-        F.array(*[F.lit(n) for n in ("time", "lat", "lon")]), F.array(*sizes))).alias("name", "size"))
+    axes = {"time": time_col, "lat": "lat_idx", "lon": "lon_idx"}
+    one = axis_profile(grid, list(axes.values())).agg(*[_labels(c).alias(n) for n, c in axes.items()])     # one pass
+    dim_rows = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("size")) for n in axes])).alias("d")).select("d.name", "d.size")
     var_rows = spark.createDataFrame([(v,) for v in variables], "name string").select(
         F.lit("var").alias("kind"), "name", F.lit(None).cast("bigint").alias("size"))
     return dim_rows.select(F.lit("dim").alias("kind"), "name", "size").unionByName(var_rows)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .normalize import apply_coord_map
-from .quality import available_dates, date_set
+from .quality import available_dates
 from .sampling import sample_n_rows
 from .grid import sample_at_points
 
@@ -98,15 +98,13 @@ def build_tasks(dates: DataFrame, context: list[TaskSet], target: list[TaskSet]
 
 def build_tasks_safe(requested: DataFrame, data: DataFrame, context: list[TaskSet],
                      target: list[TaskSet] | None, coord_params: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keep only requested dates present in ``data`` (semi join), build the
-    tasks, and report (n_requested, n_used, n_skipped) in one row."""
+    """Keep only requested dates present in ``data`` (semi join) and build the tasks;
+    also (time, used) for every requested date, so skipped dates are listed."""
     used = available_dates(requested, data)
     tasks = build_tasks(used, context, target, coord_params)
-    n_req = requested.select(F.count(F.lit(1))).scalar()
-    n_used = used.select(F.count(F.lit(1))).scalar()
-    report = requested.sparkSession.range(1).select(
-        n_req.alias("n_requested"), n_used.alias("n_used"), (n_req - n_used).alias("n_skipped"))
-    return tasks, report
+    dates = requested.select("time").distinct()
+    marked = used.select("time").distinct().withColumn("used", F.lit(True))
+    return tasks, dates.join(marked, "time", "left").select("time", F.coalesce("used", F.lit(False)).alias("used"))
 
 
 def target_none(dates: DataFrame, context: list[TaskSet], coord_params: DataFrame,
@@ -132,6 +130,3 @@ def remove_nans(tasks: DataFrame, role: str | None = None) -> DataFrame:
         keep = keep | (F.col("role") != F.lit(role))
     return tasks.filter(keep)
 
-
-def task_dates(df: DataFrame) -> DataFrame:
-    return date_set(df)

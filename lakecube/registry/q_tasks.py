@@ -174,17 +174,19 @@ def q_remove_nans(spark, sf_dir):
 
 @query("build_tasks_safe",
        "with r as (select unnest(generate_series(date '1994-12-02', (select max(time) from sst_grid), "
-       "interval 5 day))::date as time), u as (select time from r where time in (select time from sst_grid)) "
-       "select (select count(*) from r) as n_requested, (select count(*) from u) as n_used, "
-       "(select count(*) from r) - (select count(*) from u) as n_skipped", uses=("sst_grid",))
+       "interval 5 day))::date as time), n as (select time, least(count(sst), 20) as n_rows from sst_grid group by 1) "
+       "select r.time, n.time is not null as used, coalesce(n.n_rows, 0) as n_rows from r left join n on n.time = r.time",
+       uses=("sst_grid",))
 def q_build_tasks_safe(spark, sf_dir):
+    """Every requested date, whether it was used, and the task rows it got."""
     g = sst_grid(spark, sf_dir)
     mask = fixture(spark, sf_dir, "lakemask")
     last = g.select(F.max("time")).scalar()
     req = g.sparkSession.range(1).select(F.explode(F.sequence(
         F.lit("1994-12-02").cast("date"), last, F.expr("INTERVAL 5 DAY"))).alias("time"))
-    _, report = T.build_tasks_safe(req, g, [T.TaskSet("sst", g, 20)], None, N.fit_coord_map(mask))
-    return report
+    tasks, dates = T.build_tasks_safe(req, g, [T.TaskSet("sst", g, 20)], None, N.fit_coord_map(mask))
+    made = tasks.groupBy(F.col("task_time").alias("time")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return dates.join(made, "time", "left").select("time", "used", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 @query("target_none",

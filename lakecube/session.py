@@ -7,10 +7,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Row bound under which a side is broadcast.  Static grids (mask, bathymetry,
-# axis tables, climatology of a region) sit far below this; anything larger
-# falls back to a shuffled join chosen by Catalyst/AQE.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes of a written side table (compressed files) up to which it is broadcast.  Static grids (mask,
+# bathymetry, axis tables, point maps) sit far below; anything larger takes a
+# shuffled join chosen by Catalyst/AQE.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 # Session defaults for large inputs.  Each is applied only when the deployment
@@ -81,20 +81,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count stays under ``max_rows``.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Write ``df`` once and broadcast it only if its files have at most ``max_bytes``.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame is
-    returned unhinted and the join shuffles (AQE may still convert it at run time
-    from real shuffle sizes).
+    The size is that of the written table, so it is known and not estimated, and
+    the plan behind ``df`` runs once.  Above the bound the table is returned
+    unhinted and the join shuffles (AQE may still convert it from real shuffle sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def one_row(df: DataFrame) -> DataFrame:
-    """Broadcast a frame that is one row by construction (a global aggregate)."""
-    return F.broadcast(df)
+    table = materialize_small(df, "side")
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(table) if size <= max_bytes else table
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

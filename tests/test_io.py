@@ -22,7 +22,7 @@ def _catalog(spark, datasets):
 
 def test_catalog_unknown_and_unsupported(spark):
     cat = _catalog(spark, {"sst_daily": {"path": "/nowhere", "format": "zarr"}})
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no dataset"):
         CAT.catalog_lookup(cat, "missing")
     with pytest.raises(ValueError, match="no reader is registered"):
         CAT.load_dataset(spark, cat, "sst_daily")
@@ -138,7 +138,7 @@ def test_preprocess_outputs(spark):
     norm, paths = preprocess(g, "sst", out_dir)
     assert {"seasonal_cycle_path", "metadata_path", "id", "grid", "data_processor", "manifest"} <= set(paths)
     doc = _json.loads(spark.read.text(paths["manifest"], wholetext=True).first().value)
-    assert doc["seasonal_cycle_id"] == paths["id"] and doc["data_processor_path"] == paths["data_processor"]
+    assert doc["datasets"]["sst"]["seasonal_cycle_id"] == paths["id"] and doc["data_processor_path"] == paths["data_processor"]
     params, _ = N.load_norm_params(spark, paths["data_processor"])
     p = params.first()
     assert p.var == "sst_anom" and p.method == "mean_std"
