@@ -142,13 +142,13 @@ def test_greedy_first_pick_matches_brute_force(spark):
     ls, noise, radius = 0.1, 1.0, 0.3
     chosen, surface = P.greedy_place(pts, truth, mask, dates, 2, cp, ls, noise, radius)
     picks = [r.cell_id for r in chosen.orderBy("iteration").collect()]
-    assert len(set(picks)) == 2 and not {0, 4_000_005} & set(picks)
+    assert len(set(picks)) == 2 and not {0, (4 << 32) + 5} & set(picks)
     # brute force of the first round from the same inputs
     cells = [(r.cell_id, r.x1, r.x2) for r in P.search_cells(mask, cp).collect()]
     xy = {c[0]: (c[1], c[2]) for c in cells}
-    tv = {(r.time, r.lat_idx * 1_000_000 + r.lon_idx): r.sst for r in truth.collect()}
+    tv = {(r.time, (r.lat_idx << 32) + r.lon_idx): r.sst for r in truth.collect()}
     ds = sorted({r.time for r in truth.collect()})
-    ctx = [(d, cid, *xy[cid], tv[(d, cid)]) for d in ds for cid in (0, 4_000_005)]
+    ctx = [(d, cid, *xy[cid], tv[(d, cid)]) for d in ds for cid in (0, (4 << 32) + 5)]
     first = _greedy_brute(ctx, cells, ds, ls, noise, radius, 1)[0]
     assert picks[0] == first
     # surface value of the pick equals the brute-force acquisition
@@ -219,8 +219,8 @@ def test_date_surface_averages_to_choice_surface(spark):
     cells = [(r.cell_id, r.x1, r.x2) for r in P.search_cells(mask, cp).collect()]
     xy = {c[0]: (c[1], c[2]) for c in cells}
     d0 = sorted({r.time for r in truth.collect()})[0]
-    tv = {r.lat_idx * 1_000_000 + r.lon_idx: r.sst for r in truth.collect() if r.time == d0}
-    ctx = [(d0, cid, *xy[cid], tv[cid]) for cid in (0, 4_000_005, 2_000_002) if cid in tv]
+    tv = {(r.lat_idx << 32) + r.lon_idx: r.sst for r in truth.collect() if r.time == d0}
+    ctx = [(d0, cid, *xy[cid], tv[cid]) for cid in (0, (4 << 32) + 5, 2_000_002) if cid in tv]
     base = _brute_predict(ctx, [(d0, c, x, y) for c, x, y in cells], 0.1, 1.0, 0.3)
     got = {r.cell_id: r.acquisition for r in by_date.filter(F.col("time") == F.lit(d0)).collect()}
     for cid, cx, cy in cells[:8]:
@@ -274,7 +274,7 @@ def test_greedy_with_truth_infill(spark):
     infill = P.proposed_infill(mask.select("lat_idx", "lon_idx"), truth, _dates(spark, 2))
     chosen, surf = P.greedy_place(pts, truth, mask, _dates(spark, 2), 2, cp, 0.1, 1.0, 0.3, infill=infill)
     picks = [r.cell_id for r in chosen.collect()]
-    assert len(set(picks)) == 2 and not {0, 4_000_005, 2_000_003} & set(picks)
+    assert len(set(picks)) == 2 and not {0, (4 << 32) + 5, 2_000_003} & set(picks)
     _, surf_mean = P.greedy_place(pts, truth, mask, _dates(spark, 2), 1, cp, 0.1, 1.0, 0.3)
     a = {r.cell_id: r.acquisition for r in surf.filter("iteration = 0").collect()}
     b = {r.cell_id: r.acquisition for r in surf_mean.collect()}
