@@ -183,8 +183,11 @@ with d as (
   select doc_id, hex(encode(coalesce(text, ''))) as hx from documents
 ), b as (
   select doc_id, hx, length(hx) // 2 as n from d
+), p as (
+  select doc_id, n, k, substr(hx, 512 * k + 1, 710) as piece from (select doc_id, hx, n, unnest(range(0, (n - 99 + 255) // 256)) as k from b where n >= 100)
 ), w as (
-  select doc_id, i, md5_number(substr(hx, 2 * i + 1, 200)) as s from (select doc_id, hx, unnest(range(0, n - 99)) as i from b where n >= 100)
+  select doc_id, 256 * k + j as i, md5_number(substr(piece, 2 * j + 1, 200)) as s
+  from (select doc_id, k, piece, unnest(range(0, least(256, n - 99 - 256 * k))) as j from p)
 ), f as (
   select s, min({'d': doc_id, 'i': i}) as first_at from w group by s having count(*) > 1
 ), g as (
