@@ -57,10 +57,24 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> dict:
     later = np.minimum(np.arange(len(at)) + 2, np.maximum(np.cumsum(size) - 1, 0)[owner]) if len(at) else owner
     five = (W.mix(tri * np.uint64(3) ^ tri[later]) >> np.uint64(64 - CHAR_BITS)) + np.uint64(1 << CHAR_BITS)
     tri = tri >> np.uint64(64 - CHAR_BITS)
-    return {"index": index, "doc": doc,
+    return {"key": distinct, "index": index.astype(np.int32), "doc": doc,
             "one": (distinct >> np.uint64(64 - WORD_BITS)).astype(np.int64),
             "two": (W.mix(distinct ^ np.uint64(0xBEEF)) >> np.uint64(64 - WORD_BITS)).astype(np.int64),
-            "tri": tri.astype(np.int64), "five": five.astype(np.int64), "tri_at": np.cumsum(size) - size, "tri_n": size}
+            "tri": tri.astype(np.int32), "five": five.astype(np.int32), "tri_at": np.cumsum(size) - size, "tri_n": size}
+
+
+def encode_texts(texts: list[str], size: int = 1 << 18) -> dict:
+    """encode() of many texts, a slice at a time."""
+    data, offsets = W.text_buffer(pa.array(texts, pa.large_string()))
+    parts = [(a, encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])) for a, b in W.slices(offsets, size)]
+    if not parts:
+        return encode(data, offsets)
+    all_ = {k: np.concatenate([e[k] for _, e in parts]) for k in ("key", "one", "two", "tri", "five", "tri_n")}
+    all_["tri_at"] = np.cumsum(all_["tri_n"]) - all_["tri_n"]
+    _, first, of = np.unique(all_["key"], return_index=True, return_inverse=True)
+    base = np.cumsum([0] + [len(e["key"]) for _, e in parts])
+    return _subset(all_, first) | {"index": np.concatenate([of[b + e["index"]].astype(np.int32) for b, (_, e) in zip(base, parts)]),
+                                   "doc": np.concatenate([a + e["doc"] for a, e in parts])}
 
 
 def windows(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,8 +111,15 @@ def _sigmoid(x):
 def _inputs(m, e):
     if not len(e["one"]):
         return np.zeros((1, 2 * WORD_DIM + CHAR_DIM), np.float32)
-    chars = np.add.reduceat(m["tri"][e["tri"]] + m["tri"][e["five"]], e["tri_at"], axis=0) / np.sqrt(e["tri_n"][:, None].astype(np.float32))
-    return np.concatenate([m["one"][e["one"]], m["two"][e["two"]], chars], axis=1).astype(np.float32)
+    n = len(e["one"])
+    out = np.empty((n, 2 * WORD_DIM + CHAR_DIM), np.float32)
+    out[:, :WORD_DIM], out[:, WORD_DIM:2 * WORD_DIM] = m["one"][e["one"]], m["two"][e["two"]]
+    for a in range(0, n, 1 << 14):
+        b = min(n, a + (1 << 14))
+        lo, hi = e["tri_at"][a], e["tri_at"][b - 1] + e["tri_n"][b - 1]
+        grams = m["tri"][e["tri"][lo:hi]] + m["tri"][e["five"][lo:hi]]
+        out[a:b, 2 * WORD_DIM:] = np.add.reduceat(grams, e["tri_at"][a:b] - lo, axis=0) / np.sqrt(e["tri_n"][a:b, None])
+    return out
 
 
 def _grid(e, start, size):
@@ -209,8 +230,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
         m["w"][:] = 0
         m["c"][:] = np.log(share / (1 - share))
         return m | {"scale": np.array([1.0]), "shift": np.array([0.0])}
-    data, offsets = W.text_buffer(pa.array(texts, pa.large_string()))
-    e = encode(data, offsets)
+    e = encode_texts(texts)
     n_words = np.bincount(e["doc"], minlength=len(texts))
     doc, start, size = windows(n_words)
     rng = np.random.default_rng(seed)

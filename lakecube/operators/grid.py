@@ -23,7 +23,7 @@ def apply_mask(pred: DataFrame, mask: DataFrame, value_cols: Sequence[str] | Non
     after a size check, so the prediction is never shuffled.
     """
     if mask_col not in mask.columns:
-        raise ValueError("lakemask must contain a 'mask' column.")
+        raise ValueError(f"the mask table has no column {mask_col!r}")
     cols = list(value_cols) if value_cols is not None else value_columns(pred)
     m = broadcast_if_small(mask.select(*CELL, F.col(mask_col).alias("__mask")))
     joined = pred.join(m, list(CELL), "inner")

@@ -18,11 +18,17 @@ from ..session import scratch_path
 from ..sinks import writers as W
 
 
-def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None) -> tuple[DataFrame, dict]:
+def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None,
+               min_max: dict[str, DataFrame] | None = None) -> tuple[DataFrame, dict]:
     """Run the job; with ``out_dir`` every intermediate is written and reused:
     the saved climatology feeds the anomaly join (file statistics let Catalyst
     broadcast it when small) and the saved normaliser feeds the z-score, so
-    each statistic is computed exactly once."""
+    each statistic is computed exactly once.
+
+    ``min_max`` names further variables with their grids (ice concentration):
+    they are scaled to 0..1 instead, share the normaliser file and get a grid
+    (``paths["grids"]``) and a manifest entry of their own.
+    """
     spark = grid.sparkSession
     g = grid.withColumn("time", C.standardize_dates("time")).select("time", "lat_idx", "lon_idx", var)
     c = clim.climatology(g, [var])
@@ -33,7 +39,10 @@ def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None) ->
         c, _ = W.load_climatology(spark, saved["seasonal_cycle_path"])
         paths.update(saved)
     anom = rename_vars(clim.anomalies(g, c, [var]), {var: f"{var}_anom"})
+    min_max = min_max or {}
     params = N.fit_mean_std(anom, [f"{var}_anom"])
+    for name, other in min_max.items():
+        params = params.unionByName(N.fit_min_max(other, [name]))
     if out_dir is not None:
         N.save_norm_params(params, f"{base}/data_processor")
         params, _ = N.load_norm_params(spark, f"{base}/data_processor")
@@ -42,7 +51,13 @@ def preprocess(grid: DataFrame, var: str = "sst", out_dir: str | None = None) ->
         W.write_grid(norm, f"{base}/{var}_anom_norm")
         paths.update({"grid": f"{base}/{var}_anom_norm", "data_processor": f"{base}/data_processor",
                       "manifest": f"{base}/manifest"})
-        W.write_manifest(spark, f"{base}/manifest", {var: paths}, f"{base}/data_processor")
+        entries = {var: dict(paths)}
+        for name, other in min_max.items():
+            path = f"{base}/{name}_norm"
+            W.write_grid(N.apply_min_max(other, params, [name]), path)
+            entries[name] = {"grid": path}
+        paths["grids"] = {name: e["grid"] for name, e in entries.items()}
+        W.write_manifest(spark, f"{base}/manifest", entries, f"{base}/data_processor")
         norm = spark.read.parquet(paths["grid"]).drop("year")
     return norm, paths
 

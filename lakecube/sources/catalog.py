@@ -47,7 +47,9 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
 
     With ``year`` the dataset is a year-partitioned store and only that year's
     partition is read (``year=`` partition filter, pruned by Spark).  The fill
-    value (``sentinel``; None keeps it) is turned into NULL on every value column.  With
+    value (``sentinel``; None keeps it) is turned into NULL on every value column.  A chunk
+    store with ``lat`` and ``lon`` axis arrays comes back as a grid with its labels,
+    one column per variable; without them its rows stay flat.  With
     ``kind`` (e.g. "grid", "mask") the result is validated against that table
     kind's key columns (``schemas.validate``), a schema-only check.
     """
@@ -66,13 +68,16 @@ def load_dataset(spark: SparkSession, catalog: DataFrame, name: str, year: int |
     if fmt == "chunks":
         # array store held as chunk rows: flatten, then dates by position when
         # the store has no time axis of its own
-        from .grid_store import flatten_chunks, positional_time
+        from .grid_store import flatten_chunks, labelled_grid, positional_time
+        names = [r["var"] for r in df.select("var").distinct().collect()]        # variable names: a handful
         keep = [c for c in ("year",) if c in df.columns]
         if not keep and df.filter(F.size("shape") == 3).limit(1).count() > 0:
             raise ValueError(f"Dataset '{name}' has (time, lat, lon) arrays but neither a time axis nor a year.")
         df = flatten_chunks(df, keep=keep)
         if keep:
             df = positional_time(df)
+        if {"lat", "lon"} <= set(names):
+            df = labelled_grid(df, names)
     if sentinel is not None:
         df = sentinel_to_null(df, sentinel)
     if rename:

@@ -55,3 +55,24 @@ def attach_coords(df: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame) -> Da
     (one row per grid line, size-checked and broadcast)."""
     return (df.join(broadcast_if_small(lat_axis.select("lat_idx", "lat")), "lat_idx", "left")
             .join(broadcast_if_small(lon_axis.select("lon_idx", "lon")), "lon_idx", "left"))
+
+
+def labelled_grid(flat: DataFrame, names) -> DataFrame:
+    """Flattened rows of a store with ``lat`` and ``lon`` axis arrays -> one labelled grid.
+
+    ``names`` are the store's variables.  Every other variable becomes a column
+    of (year,) time, lat_idx, lon_idx, lat, lon; an axis that several chunks repeat counts once.
+    """
+    def axis(name):
+        return (flat.filter(F.col("var") == name).groupBy(F.col("t_idx").alias(f"{name}_idx"))
+                .agg(F.first("value").alias(name)))
+
+    variables = sorted(set(names) - {"lat", "lon", "time"})
+    cube = flat.filter(F.col("var").isin(variables) & F.col("lat_idx").isNotNull())
+    keys = [c for c in flat.columns if c not in ("var", "value", "t_idx")]
+    if len(variables) == 1:
+        wide = cube.select(*keys, F.col("value").alias(variables[0]))
+    else:
+        wide = cube.groupBy(*keys).agg(*[F.max(F.when(F.col("var") == v, F.col("value"))).alias(v) for v in variables])
+    out = attach_coords(wide, axis("lat"), axis("lon"))
+    return out.select(*keys, "lat", "lon", *variables)

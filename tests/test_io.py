@@ -145,3 +145,29 @@ def test_preprocess_outputs(spark):
     r = norm.agg(F.avg("sst_anom").alias("m"), F.stddev_pop("sst_anom").alias("s")).first()
     assert abs(r.m) < 1e-9 and abs(r.s - 1.0) < 1e-9
     assert spark.read.parquet(paths["grid"]).select("year").distinct().count() == 1
+
+
+def test_chunk_store_with_axes_is_a_labelled_grid(spark):
+    from lakecube import schemas
+    path = scratch_path(spark, f"chunks-{uuid.uuid4().hex}")
+    rows = [(1996, "lat", 0, 0, 0, [2], [40.0, 41.0]), (1996, "lon", 0, 0, 0, [2], [-90.0, -89.0]),
+            (1996, "sst", 0, 0, 0, [2, 2, 2], [1.0, 2.0, 3.0, -99999.0, 5.0, 6.0, 7.0, 8.0])]
+    spark.createDataFrame(rows, "year int, var string, t0 int, i0 int, j0 int, shape array<int>, payload array<float>") \
+        .write.partitionBy("year").parquet(path)
+    cat = _catalog(spark, {"cube": {"path": path, "format": "chunks"}})
+    g = CAT.load_dataset(spark, cat, "cube", year=1996, kind="grid")
+    got = {(r.time.isoformat(), r.lat, r.lon): r.sst for r in g.collect()}
+    assert len(got) == 8 and got[("1996-01-01", 41.0, -89.0)] is None and got[("1996-01-02", 40.0, -89.0)] == 6.0
+
+
+def test_preprocess_with_a_min_max_variable(spark):
+    from lakecube.operators import normalize as N
+    from lakecube.plans.preprocess import preprocess
+    g = small_grid(spark, [(f"1995-0{m}-0{d}", 0, 0, float(m + d)) for m in (1, 2) for d in (1, 5)])
+    ice = g.select("time", "lat_idx", "lon_idx", (F.col("sst") / 10).alias("ice_concentration"))
+    _, paths = preprocess(g, "sst", scratch_path(spark, f"pre-{uuid.uuid4().hex}"), {"ice_concentration": ice})
+    v = [r[0] for r in spark.read.parquet(paths["grids"]["ice_concentration"]).select("ice_concentration").collect()]
+    assert min(v) == 0 and max(v) == 1
+    params, _ = N.load_norm_params(spark, paths["data_processor"])
+    assert {r["var"]: r["method"] for r in params.collect()} == {"sst_anom": "mean_std", "ice_concentration": "min_max"}
+    assert {r["dataset"] for r in W.load_manifest(spark, paths["manifest"]).collect()} == {"sst", "ice_concentration"}
