@@ -1,10 +1,12 @@
 """Best-fit packing (operator 9): sum-of-squares packing of token pieces into sequences.
 
 Documents are tokenized where they lie; only piece lengths travel.  Pieces that
-fill a sequence need no packing.  The others are dealt by hash to parts of
-about ``PART_PIECES`` pieces, and each part is packed by the sum-of-squares
+fill a sequence need no packing.  The others are dealt by hash to parts of a
+bounded number of pieces, and each part is packed by the sum-of-squares
 rule: with N(g) open sequences of residual gap g, a piece goes where the sum of
-N(g)**2 is smallest afterwards.  Longer pieces come first.
+N(g)**2 is smallest afterwards.  Pieces longer than a third of a sequence come
+first, longest first; the others follow in hash order, so that the rule meets
+all lengths mixed until the end.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import written
+from .words import mix
 
 CAPACITY = 1024
 END_ID = 2
-PART_PIECES = 10_000
+PART_PIECES = 10_000, 100_000     # pieces packed together: 40 times the square root of all, between these
 END_TEXT = "<|endoftext|>"
 # The split before byte-level merges that the vocabulary file's "ByteLevel" step stands for (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -138,16 +141,21 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return where, offset
 
 
+def packing_order(lengths: np.ndarray, number: np.ndarray, capacity: int) -> np.ndarray:
+    mixed = mix(number.astype(np.int64).view(np.uint64))
+    return np.lexsort((mixed, -np.where(3 * lengths > capacity, lengths, 0)))
+
+
 def _pack(key, table: pa.Table, capacity: int) -> pa.Table:
     part = key[0].as_py()
-    order = np.lexsort((table.column("rid").to_numpy(), -table.column("length").to_numpy()))
+    order = packing_order(table.column("length").to_numpy(), table.column("rid").to_numpy(), capacity)
     table = table.take(pa.array(order))
     where, offset = sum_of_squares(table.column("length").to_numpy(), capacity)
     return pa.table({"rid": table.column("rid"), "sequence_id": pa.array((part << 40) | where), "offset": pa.array(offset)})
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-                   capacity: int = CAPACITY, end_id: int = END_ID, part_pieces: int = PART_PIECES) -> DataFrame:
+                   capacity: int = CAPACITY, end_id: int = END_ID, part_pieces: tuple[int, int] = PART_PIECES) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row of ``docs``.
 
     A document is its text's token ids and then ``end_id``.  Only documents longer than ``capacity`` are
@@ -166,7 +174,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Written with its row numbers: numbers given while reading could differ when a task runs again.
     pieces = written(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
     short = pieces.filter(F.col("length") < capacity)
-    parts = max(1, -(-short.count() // part_pieces))
+    n = short.count()
+    parts = max(1, -(-n // min(part_pieces[1], max(part_pieces[0], int(40 * n ** 0.5)))))
     placed = (short.select("rid", "length", F.pmod(F.xxhash64("rid"), F.lit(parts)).alias("part"))
               .groupBy("part").applyInArrow(lambda key, t: _pack(key, t, capacity), "rid long, sequence_id long, offset long"))
     full = pieces.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("rid")).withColumn("offset", F.lit(0).cast("long"))
