@@ -13,6 +13,7 @@ document's windows are pooled by noisy-or and every window of a clean one is cle
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -320,17 +321,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         return train([], np.zeros(0, bool))
-    got = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-           .join(F.broadcast(chosen), "id").toPandas())          # the broadcast side has max_toxic + max_clean rows at most
-    got = got.assign(h=got["id"].astype(str).map(lambda s: W.mix(np.uint64([hash_text(s)]))[0])).sort_values(["h", "text"], kind="stable")
-    return train([t or "" for t in got["text"]], got["y"].to_numpy() == 1)
+    # The broadcast side, and what the one training task reads, has max_toxic + max_clean rows at most.
+    got = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+           .join(F.broadcast(chosen.withColumn("id", F.col("id").cast("string"))), "id").select("id", "text", F.col("y").cast("int").alias("y")))
+    rows = got.repartition(1).mapInArrow(_fit_task, "model binary").collect()
+    if not rows:
+        return train([], np.zeros(0, bool))
+    with np.load(io.BytesIO(bytes(rows[0]["model"]))) as m:
+        return {k: m[k] for k in m.files}
+
+
+def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Train in a task: the driver only gets the network."""
+    rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+    rows.sort(key=lambda r: (hash_text(r[0]), r[1] or ""))
+    out = io.BytesIO()
+    np.savez(out, **train([r[1] or "" for r in rows], np.array([r[2] == 1 for r in rows], dtype=bool)))
+    yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
 
 def hash_text(s: str) -> int:
     out = 1469598103934665603
     for b in s.encode():
         out = ((out ^ b) * 1099511628211) % (1 << 64)
-    return out
+    return int(W.mix(np.array([out], dtype=np.uint64))[0])
 
 
 def score_documents(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text", score_col: str = "score") -> DataFrame:

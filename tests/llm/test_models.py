@@ -257,3 +257,14 @@ def test_url_models_tell_the_kinds_apart(spark):
     pages = spark.createDataFrame(list(enumerate(good + bad + new)), "page_id long, url string")
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages).collect()}
     assert (got[300], got[301]) == ("allow", "block")
+
+
+def test_texts_encoded_in_slices_are_those_encoded_at_once():
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 30))) for _ in range(50)]
+    data, offsets = words.text_buffer(pa.array(texts, pa.large_string()))
+    once, sliced = toxicity.encode(data, offsets), toxicity.encode_texts(texts, 500)
+    assert once["doc"].tolist() == sliced["doc"].tolist() and once["one"][once["index"]].tolist() == sliced["one"][sliced["index"]].tolist()
+    for e in (once, sliced):
+        e["grams"] = [e["tri"][a:a + n].tolist() + e["five"][a:a + n].tolist() for a, n in zip(e["tri_at"], e["tri_n"])]
+    assert [once["grams"][i] for i in once["index"]] == [sliced["grams"][i] for i in sliced["index"]]
