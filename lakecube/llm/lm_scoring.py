@@ -5,8 +5,11 @@ embeddings meet in one hidden layer, and the output is factored into a group of
 classes and the class within its group.  A document's score is the sum of
 log P(word | both sides) over all its words.
 
-Classes come from word counts over all documents: the most frequent words, and
-hashed classes for all others.  Training covers all documents, each with a random
+Classes come from word counts over all documents: the words above a count, about
+the square root of the corpus's words (960 at least), have a class each, and all
+others share hashed classes.  Within those a word has its own share of the
+class: log P(word | class) comes from the counts of all words, joined in Spark.
+Training covers all documents, each with a random
 quarter of its words masked (scoring masks every word): they fall into ``ROUNDS`` folds by hash; in a round every task trains a copy of the network on
 its share of the fold, and the copies are averaged, weighted by their words.
 The average is taken in groups of ``FAN_IN``, so no task and not the driver
@@ -15,7 +18,9 @@ holds more copies than that.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +32,33 @@ from . import words as W
 from .base import written
 
 SIDE = 2                                # words looked at on either side
-GROUPS, PER_GROUP = 32, 32
+GROUPS, PER_GROUP = 32, 32              # at least; as many more as the vocabulary needs
 CLASSES = GROUPS * PER_GROUP
 RARE = 64                               # hashed classes for words outside the vocabulary
 EMBED, HIDDEN = 16, 24
 ROUNDS, BATCH, RATE = 3, 8192, 0.006
 MASKED = 4                              # training masks and predicts every fourth word of a stretch of text, at random places
 FAN_IN = 32
-SHAPES = {"E": (CLASSES + 1, EMBED), "W": (2 * SIDE, EMBED, HIDDEN), "b": (HIDDEN,),
-          "G": (HIDDEN, GROUPS), "g": (GROUPS,), "V": (GROUPS, HIDDEN, PER_GROUP), "v": (GROUPS, PER_GROUP)}
+UNSEEN = -58 * math.log(2)              # a hashed class has 2**64 / RARE word hashes, which share what unseen words get
+
+
+def shapes(side: int) -> dict[str, tuple[int, ...]]:
+    """Shapes of a network with ``side`` groups of ``side`` classes."""
+    return {"E": (side * side + 1, EMBED), "W": (2 * SIDE, EMBED, HIDDEN), "b": (HIDDEN,),
+            "G": (HIDDEN, side), "g": (side,), "V": (side, HIDDEN, side), "v": (side, side)}
+
+
+SHAPES = shapes(GROUPS)
+
+
+class Vocabulary(NamedTuple):
+    """Words with a class of their own (sorted hashes and their classes), and what is known of all others."""
+    hashes: np.ndarray
+    number: np.ndarray
+    side: int                           # groups, and classes in a group
+    counts: np.ndarray                  # words of each class
+    kinds: np.ndarray                   # distinct words of each hashed class
+    rare: DataFrame                     # (word, n) of every word without a class of its own
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
@@ -52,32 +75,53 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
 
 
-def vocabulary(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted word hashes, their classes, counts of all classes) from all documents' words."""
+def vocabulary(texts: DataFrame) -> Vocabulary:
+    """Classes and counts from all documents' words."""
     counts = written(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(CLASSES - RARE)          # as many rows as there are classes
-    rows = top.collect()
-    h = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+    each = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    most = max(CLASSES - RARE, math.isqrt(sum(n * words for n, words in each)))
+    least, have = None, 0                # all words that occur as often, or none
+    for n, words in each:
+        if have + words > most:
+            break
+        least, have = n, have + words
+    own = counts.filter(F.col("n") >= least).collect() if have else []
+    rare = counts if not have else counts.filter(F.col("n") < least)
+    own.sort(key=lambda r: (-r["n"], r["word"]))
+    h = np.array([r["word"] for r in own], dtype=np.int64).view(np.uint64)
     order = np.argsort(h)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    n = np.zeros(CLASSES)
-    n[:len(rows)] = [r["n"] for r in rows]
-    n[CLASSES - RARE:] = max(total - n.sum(), 0) / RARE
-    return h[order], order.astype(np.int64), n
+    side = max(GROUPS, math.isqrt(have + RARE - 1) + 1)
+    n, kinds = np.zeros(side * side), np.zeros(RARE)
+    n[:have] = [r["n"] for r in own]
+    for r in rare.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
+        n[side * side - RARE + r["c"]], kinds[r["c"]] = r["n"], r["kinds"]
+    return Vocabulary(h[order], order.astype(np.int64), side, n, kinds, rare)
 
 
-def classes(h: np.ndarray, vocab: np.ndarray, number: np.ndarray) -> np.ndarray:
-    rare = CLASSES - RARE + (h % np.uint64(RARE)).astype(np.int64)
+def classes(h: np.ndarray, vocab: np.ndarray, number: np.ndarray, total: int = CLASSES) -> np.ndarray:
+    rare = total - RARE + (h % np.uint64(RARE)).astype(np.int64)
     if not len(vocab):
         return rare
     at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
     return np.where(vocab[at] == h, number[at], rare)
 
 
-def contexts(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def in_class(vocab: Vocabulary) -> DataFrame:
+    """(word, lp): log P(word | class) of every word seen without a class of its own (Witten-Bell: a class's unseen words count once for each distinct one)."""
+    of = np.log(np.maximum(vocab.counts[-RARE:] + vocab.kinds, 1))
+    size = F.element_at(F.array(*[F.lit(float(x)) for x in of]), (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
+    return vocab.rare.select("word", (F.log(F.col("n").cast("double")) - size).alias("lp"))
+
+
+def unseen(vocab: Vocabulary) -> np.ndarray:
+    """log P(word | class) of any word not seen, by hashed class."""
+    return UNSEEN + np.log(np.maximum(vocab.kinds, 1)) - np.log(np.maximum(vocab.counts[-RARE:] + vocab.kinds, 1))
+
+
+def contexts(word: np.ndarray, doc: np.ndarray, edge: int = CLASSES) -> np.ndarray:
     """(words, 2 * SIDE) classes around each word; beyond the document's ends the edge class."""
     n = len(word)
-    out = np.full((n, 2 * SIDE), CLASSES, dtype=np.int64)
+    out = np.full((n, 2 * SIDE), edge, dtype=np.int64)
     for j, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         at = np.arange(n) + shift
         ok = (at >= 0) & (at < n)
@@ -90,8 +134,9 @@ def contexts(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
 def new_network(counts: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     """Small random weights; the output biases start as the classes' frequencies."""
     rng = np.random.default_rng(seed)
-    m = {k: (rng.normal(0, 0.1 if k == "E" else 0.2, s) if k in "EWGV" else np.zeros(s)).astype(np.float32) for k, s in SHAPES.items()}
-    share = ((counts + 1) / (counts + 1).sum()).reshape(GROUPS, PER_GROUP)
+    side = math.isqrt(len(counts))
+    m = {k: (rng.normal(0, 0.1 if k == "E" else 0.2, s) if k in "EWGV" else np.zeros(s)).astype(np.float32) for k, s in shapes(side).items()}
+    share = ((counts + 1) / (counts + 1).sum()).reshape(side, side)
     m["g"] = np.log(share.sum(axis=1)).astype(np.float32)
     m["v"] = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
     return m
@@ -110,6 +155,11 @@ def _error(x, i):
     return d
 
 
+def _sorted(i, most: int):
+    """Stable order of numbers up to ``most``; short integers sort fastest."""
+    return np.argsort(i.astype(np.int16 if most < 1 << 15 else np.int32), kind="stable")
+
+
 def _hidden(m, ctx, tables=None):
     tables = [m["E"] @ m["W"][j] for j in range(2 * SIDE)] if tables is None else tables
     pre = m["b"] + tables[0][ctx[:, 0]]
@@ -122,14 +172,15 @@ def log_probability(m, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
     """log P(word | context) of each word."""
     tables = [m["E"] @ m["W"][j] for j in range(2 * SIDE)]
     out = np.empty(len(word))
+    groups, _, per_group = m["V"].shape
     for a in range(0, len(word), 1 << 15):
         w = word[a:a + (1 << 15)]
         h = _hidden(m, ctx[a:a + (1 << 15)], tables)
-        group, inner = w // PER_GROUP, w % PER_GROUP
+        group, inner = w // per_group, w % per_group
         lp = _picked(h @ m["G"] + m["g"], group).astype(float)
-        order = np.argsort(group.astype(np.int8), kind="stable")
-        edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for k in range(GROUPS):
+        order = _sorted(group, groups)
+        edges = np.searchsorted(group[order], np.arange(groups + 1))
+        for k in range(groups):
             i = order[edges[k]:edges[k + 1]]
             if len(i):
                 lp[i] += _picked(h[i] @ m["V"][k] + m["v"][k], inner[i])
@@ -140,13 +191,14 @@ def log_probability(m, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
 def _gradients(m, word, ctx):
     n = np.float32(len(word))
     h = _hidden(m, ctx)
-    group, inner = word // PER_GROUP, word % PER_GROUP
+    groups, _, per_group = m["V"].shape
+    group, inner = word // per_group, word % per_group
     d = _error(h @ m["G"] + m["g"], group) / n
     g = {"G": h.T @ d, "g": d.sum(axis=0), "V": np.zeros_like(m["V"]), "v": np.zeros_like(m["v"])}
     dh = d @ m["G"].T
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for k in range(GROUPS):
+    order = _sorted(group, groups)
+    edges = np.searchsorted(group[order], np.arange(groups + 1))
+    for k in range(groups):
         i = order[edges[k]:edges[k + 1]]
         if len(i):
             hi = h[i]
@@ -157,7 +209,7 @@ def _gradients(m, word, ctx):
     g["b"] = dpre.sum(axis=0)
     g["W"], g["E"] = np.zeros_like(m["W"]), np.zeros_like(m["E"])
     for j in range(2 * SIDE):
-        order = np.argsort(ctx[:, j].astype(np.int16), kind="stable")
+        order = _sorted(ctx[:, j], len(m["E"]))
         of = ctx[order, j]
         first = np.flatnonzero(np.diff(of, prepend=-1))
         ids = of[first]
@@ -190,9 +242,9 @@ def flat(m) -> np.ndarray:
     return np.concatenate([m[k].ravel() for k in SHAPES]).astype(np.float32)
 
 
-def unflat(x: np.ndarray) -> dict[str, np.ndarray]:
+def unflat(x: np.ndarray, side: int = GROUPS) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, s in SHAPES.items():
+    for k, s in shapes(side).items():
         n = int(np.prod(s))
         out[k] = x[at:at + n].reshape(s).astype(np.float32)
         at += n
@@ -201,14 +253,14 @@ def unflat(x: np.ndarray) -> dict[str, np.ndarray]:
 
 def _train(batches, state) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
-    weights, vocab, number = state.value
-    t = Trainer(unflat(weights))
+    weights, vocab, number, side = state.value
+    t = Trainer(unflat(weights, side))
     for batch in batches:
         data, offsets = W.text_buffer(batch.column(0))
         for a, b in W.slices(offsets):
             h, doc = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            word = classes(h, vocab, number)
-            ctx = contexts(word, doc)
+            word = classes(h, vocab, number, side * side)
+            ctx = contexts(word, doc, side * side)
             rng = np.random.default_rng(len(word))
             order = rng.permutation(len(word))[:-(-len(word) // MASKED)]
             size = min(BATCH, max(256, len(order) // 16))
@@ -244,47 +296,67 @@ def average(copies: DataFrame) -> np.ndarray | None:
     return _mean([r["words"] for r in rows], [bytes(r["weights"]) for r in rows]) if rows else None
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
-    """(weights, vocabulary, classes) learned from all documents."""
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, Vocabulary]:
+    """(weights, vocabulary) learned from all documents."""
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    vocab, number, counts = vocabulary(texts)
-    weights = flat(new_network(counts))
+    vocab = vocabulary(texts)
+    weights = flat(new_network(vocab.counts))
     for r in range(rounds):
-        state = sc.broadcast((weights, vocab, number))          # SHAPES fixes its size
+        state = sc.broadcast((weights, vocab.hashes, vocab.number, vocab.side))          # grows as the square root of the corpus
         fold = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)
         got = average(fold.mapInArrow(lambda it, state=state: _train(it, state), COPY))
         weights = weights if got is None else got.astype(np.float32)
-    return weights, vocab, number
+    return weights, vocab
 
 
 def score_documents(docs: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, log_prob, mean_log_prob) for every row of ``docs``; log_prob is the masked pseudo-log-likelihood.
 
-    Words outside the vocabulary count with the probability of their hashed class.
+    A word without a class of its own counts with the probability of its hashed
+    class times its share of that class; one that training has not seen gets an
+    even part of what is left to unseen words.
 
     Defined cases: a null, empty or blank text has no tokens, a log_prob of 0 and
     no mean (null); rows that share an id, and rows with a null id, are scored
     each on their own; an empty table gives an empty one; further columns
     are not looked at.
     """
-    state = docs.sparkSession.sparkContext.broadcast(model or train(docs, text_col))
+    weights, vocab = model or train(docs, text_col)
+    state = docs.sparkSession.sparkContext.broadcast((weights, vocab.hashes, vocab.number, vocab.side))
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vocab, number = state.value
-        m = unflat(weights)
+        from pyspark import TaskContext
+        weights, vocab, number, side = state.value
+        m, row = unflat(weights, side), TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = W.text_buffer(batch.column(1))
             for a, b in W.slices(offsets):
                 h, doc = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                word = classes(h, vocab, number)
-                lp = log_probability(m, word, contexts(word, doc))
+                word = classes(h, vocab, number, side * side)
+                lp = log_probability(m, word, contexts(word, doc, side * side))
+                rare = np.flatnonzero(word >= side * side - RARE)
+                rare = rare[np.lexsort((h[rare], doc[rare]))]
+                rh, rd = h[rare], doc[rare]
+                first = np.flatnonzero(np.concatenate([[True], (rh[1:] != rh[:-1]) | (rd[1:] != rd[:-1])])) if len(rare) else rare
+                at = pa.array(np.searchsorted(rd[first], np.arange(b - a + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.bincount(doc, minlength=b - a), pa.int64()),
-                     pa.array(np.bincount(doc, weights=lp, minlength=b - a).astype(float))], names=["id", "n_tokens", "log_prob"])
-
-    schema = T.StructType([T.StructField("id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+                    [pa.array(row + np.arange(b - a)), batch.column(0).slice(a, b - a), pa.array(np.bincount(doc, minlength=b - a), pa.int64()),
+                     pa.array(np.bincount(doc, weights=lp, minlength=b - a).astype(float)),
+                     pa.ListArray.from_arrays(at, pa.array(rh[first].view(np.int64))),
+                     pa.ListArray.from_arrays(at, pa.array(np.diff(first, append=len(rare)), pa.int32()))],
+                    names=["row", "id", "n_tokens", "log_prob", "rare", "times"])
+                row += b - a
+
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()),
+                           T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
+    out = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema), "scores")
+    rare = out.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
+    # No word of ``rare`` is frequent: those have classes of their own.
+    never = F.element_at(F.array(*[F.lit(float(x)) for x in unseen(vocab)]), (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
+    share = rare.join(in_class(vocab), "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("lp", never)).alias("share"))
+    out = out.drop("rare", "times").join(share, "row", "left")
+    out = out.select("id", "n_tokens", (F.col("log_prob") + F.coalesce("share", F.lit(0.0))).alias("log_prob"))
     return out.select(F.col("id").alias(id_col), "n_tokens", "log_prob",
                       F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))

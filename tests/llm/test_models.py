@@ -197,6 +197,28 @@ def test_lm_odd_cases(spark, make_docs):
     assert lm_scoring.score_documents(make_docs([])).count() == 0
 
 
+def test_lm_vocabulary_grows_with_the_corpus(spark, make_docs):
+    text = " ".join(f"w{k}" for k in range(1050))
+    vocab = lm_scoring.vocabulary(make_docs([(i, text) for i in range(1100)]).select("text"))
+    assert len(vocab.hashes) == 1050 and vocab.side ** 2 >= 1050 + lm_scoring.RARE and vocab.rare.count() == 0
+
+
+def test_lm_words_of_a_class_share_it_by_their_counts(spark, make_docs):
+    rng = random.Random(6)
+    often = [f"often{k}" for k in range(300)]
+    rows = [(i, " ".join([*rng.choices(often, k=60), *(f"rare{(20 * i + k) % 1500}" for k in range(20))])) for i in range(300)]
+    weights, vocab = lm_scoring.train(make_docs(rows))
+    seen = {r["word"]: r["lp"] for r in lm_scoring.in_class(vocab).collect()}
+    assert len(seen) == 1500 and len(vocab.hashes) == 300
+    left = np.exp(lm_scoring.unseen(vocab) - lm_scoring.UNSEEN)
+    for c in range(lm_scoring.RARE):
+        assert sum(math.exp(x) for h, x in seen.items() if h & (lm_scoring.RARE - 1) == c) + left[c] == pytest.approx(1)
+    test = [(1, "often1 rare7 often2"), (2, "often1 gibberish7 often2"), (2, "often1 gibberish7 often2"), (3, "often1 often2")]
+    out = sorted(tuple(r) for r in lm_scoring.score_documents(make_docs(test), (weights, vocab)).collect())
+    assert [r[:2] for r in out] == [(1, 3), (2, 3), (2, 3), (3, 2)] and out[1] == out[2]
+    assert out[0][2] > out[1][2] + 20 and out[0][2] < out[3][2] - 5
+
+
 # ---- operator 6
 
 def brute_url(url):
