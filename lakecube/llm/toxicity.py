@@ -223,8 +223,11 @@ def _doc_logits(m, e, n_words):
     return out
 
 
-def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = None) -> dict[str, np.ndarray]:
-    """Fit the network and its calibration.  Without both labels the score is the labels' smoothed share."""
+def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = None, cost: tuple[int, int] = (1, 1)) -> dict[str, np.ndarray]:
+    """Fit the network and its calibration.  Without both labels the score is the labels' smoothed share.
+
+    ``cost`` is what a clean and a toxic document stand for: all labelled ones of the kind for each in the sample.
+    """
     m = new_model(seed)
     share = (y.sum() + 1) / (len(y) + 2)
     if not y.any() or y.all():
@@ -234,6 +237,8 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
     e = encode_texts(texts)
     n_words = np.bincount(e["doc"], minlength=len(texts))
     doc, start, size = windows(n_words)
+    stands = np.where(y, float(cost[1]), float(cost[0]))
+    stands /= stands.mean()
     rng = np.random.default_rng(seed)
     spare = np.arange(len(y)) % 5 == 4                     # kept from fitting, for the calibration
     by_doc = np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1)
@@ -266,7 +271,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
             here, inv = np.unique(d, return_inverse=True)
             none = np.exp(np.bincount(inv, weights=np.log1p(-p)))          # no window of the document is toxic
             any_ = np.clip(1 - none, 1e-6, 1)
-            grad = np.where(y[d], -(none / any_)[inv] * p, p).astype(np.float32) / len(here)
+            grad = (np.where(y[d], -(none / any_)[inv] * p, p) * stands[d]).astype(np.float32) / len(here)
             g = backward(m, sub, x, local, mask, kept, grad, hidden)
             step += 1
             for k, v in g.items():
@@ -274,7 +279,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5, epochs: int | None = N
                 second[k] = 0.999 * second[k] + 0.001 * np.square(v).astype(np.float32)
                 m[k] = m[k] - (rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     use = spare if y[spare].any() and not y[spare].all() else np.ones(len(y), bool)
-    return m | _calibrate(_doc_logits(m, e, n_words)[use], y[use])
+    return m | _calibrate(_doc_logits(m, e, n_words)[use], y[use], cost)
 
 
 def _subset(e, used):
@@ -285,11 +290,12 @@ def _subset(e, used):
     return {"one": e["one"][used], "two": e["two"][used], "tri": e["tri"][at], "five": e["five"][at], "tri_n": n, "tri_at": np.cumsum(n) - n}
 
 
-def _calibrate(logit, y):
-    """The threshold with the fewest errors (the middle of the best range) becomes a score of one half."""
+def _calibrate(logit, y, cost=(1, 1)):
+    """The threshold whose errors cost least (the middle of the best range) becomes a score of one half."""
     order = np.argsort(logit, kind="stable")
     v, t = logit[order].astype(float), y[order]
-    errors = np.concatenate([[0], np.cumsum(t)]) + np.concatenate([[(~t).sum()], (~t).sum() - np.cumsum(~t)])
+    missed, clean = np.where(t, cost[1], 0), np.where(t, 0, cost[0])
+    errors = np.concatenate([[0], np.cumsum(missed)]) + np.concatenate([[clean.sum()], clean.sum() - np.cumsum(clean)])
     best = np.flatnonzero(errors == errors.min())
     edge = np.concatenate([[v[0] - 1], (v[1:] + v[:-1]) / 2, [v[-1] + 1]])
     return {"scale": np.array([1.0]), "shift": np.array([-float(np.median(edge[best]))])}
@@ -321,22 +327,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         return train([], np.zeros(0, bool))
+    taken = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # n / taken of either kind, both times the two samples' sizes: whole numbers, so equal errors stay equal.
+    cost = (n.get(0, 0) * taken.get(1, 0), n.get(1, 0) * taken.get(0, 0)) if taken.get(0) and taken.get(1) else (1, 1)
     # The broadcast side, and what the one training task reads, has max_toxic + max_clean rows at most.
     got = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
            .join(F.broadcast(chosen.withColumn("id", F.col("id").cast("string"))), "id").select("id", "text", F.col("y").cast("int").alias("y")))
-    rows = got.repartition(1).mapInArrow(_fit_task, "model binary").collect()
+    rows = got.repartition(1).mapInArrow(lambda it: _fit_task(it, cost), "model binary").collect()
     if not rows:
         return train([], np.zeros(0, bool))
     with np.load(io.BytesIO(bytes(rows[0]["model"]))) as m:
         return {k: m[k] for k in m.files}
 
 
-def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fit_task(batches: Iterator[pa.RecordBatch], cost: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Train in a task: the driver only gets the network."""
     rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
     rows.sort(key=lambda r: (hash_text(r[0]), r[1] or ""))
     out = io.BytesIO()
-    np.savez(out, **train([r[1] or "" for r in rows], np.array([r[2] == 1 for r in rows], dtype=bool)))
+    np.savez(out, **train([r[1] or "" for r in rows], np.array([r[2] == 1 for r in rows], dtype=bool), cost=cost))
     yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
 

@@ -140,6 +140,24 @@ def test_held_out_labels_are_not_learned(spark, make_docs):
     assert {round(r["score"], 6) for r in toxicity.toxicity(make_docs([(i, "some words") for i in range(200)]), labels).collect()} == {0.5}
 
 
+def test_toxicity_cut_stays_when_the_sample_is_capped(spark, make_docs):
+    rng = np.random.default_rng(7)
+    y = np.arange(60_000) % 10 == 0
+    logit = rng.normal(np.where(y, 1.0, -1.0))
+    toxic, clean = np.flatnonzero(y), np.flatnonzero(~y)
+    some = np.concatenate([toxic, clean[:len(toxic)]])
+    cost = (len(clean) * len(toxic), len(toxic) * len(toxic))
+    all_of_them = toxicity._calibrate(logit, y)["shift"][0]
+    assert toxicity._calibrate(logit[some], y[some], cost)["shift"][0] == pytest.approx(all_of_them, abs=0.3)
+    assert abs(toxicity._calibrate(logit[some], y[some])["shift"][0] - all_of_them) > 0.7
+    # Texts that tell nothing, mostly clean: no cap makes them toxic.
+    docs = make_docs([(i, "some words") for i in range(500)])
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(500)], "doc_id long, toxic int")
+    for most in (1000, 30):
+        model = toxicity.fit(docs, labels, max_toxic=2 * most, max_clean=most)
+        assert toxicity.score_documents(docs, model, score_col="toxicity").filter("toxicity >= 0.5").count() == 0
+
+
 # ---- operator 3
 
 def test_lm_gradients_and_normalisation():
