@@ -44,10 +44,10 @@ _PRED = ("select t.task_time, t.target_id, round(s.swy / s.dens, 6) as mean, "
          "from tgt t left join s on s.task_time = t.task_time and s.target_id = t.target_id")
 
 
-def _inputs(spark, sf_dir, normalise_values=False):
+def _inputs(spark, sf_dir, every=5):
     g = sst_grid(spark, sf_dir)
     cp = N.fit_coord_map(fixture(spark, sf_dir, "lakemask"))
-    used = quality.available_dates(D.date_range_subsample(g, 5), g)
+    used = quality.available_dates(D.date_range_subsample(g, every), g)
     on_dates = g.join(used, "time", "left_semi")
     ctx = sampling.sample_n_rows(on_dates, 100, 42, by="time", value_col="sst")
     ctx = N.apply_coord_map(ctx, cp).select(F.col("time").alias("task_time"), cell_id().alias("point_id"),
@@ -80,15 +80,20 @@ def q_predict_grid(spark, sf_dir):
     return rounded(p.select("task_time", "target_id", "mean", "std", "density"), ["mean", "std", "density"])
 
 
-@query("predict_series",
-       _KCTES.replace("tgt as (select time as task_time, lat_idx * 4294967296 + lon_idx as target_id, " + _XY +
-                      " from sst_grid, cp where time in (select time from ad))",
-                      "tgt as (select time as task_time, 0::bigint as target_id, "
-                      "(45e0 - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "
-                      "(-85e0 - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2 from ad, cp)")
-       + "select task_time, mean, std from (" + _PRED + ")", uses=("sst_grid", "lakemask"))
-def q_predict_series(spark, sf_dir):
-    ctx, tgt = _inputs(spark, sf_dir)
+#: The daily series at one point: every date that the grid has, predicted from that date's context.
+SERIES_SQL = (
+    _KCTES.replace("interval 5 day", "interval 1 day").replace(
+        "tgt as (select time as task_time, lat_idx * 4294967296 + lon_idx as target_id, " + _XY +
+        " from sst_grid, cp where time in (select time from ad))",
+        "tgt as (select time as task_time, 0::bigint as target_id, "
+        "(45e0 - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, "
+        "(-85e0 - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2 from ad, cp)")
+    + "select task_time, mean, std from (" + _PRED + ")")
+
+
+def daily_series(spark, sf_dir):
+    """Mean and std per available date at (45, -85)."""
+    ctx, tgt = _inputs(spark, sf_dir, every=1)
     cp = N.fit_coord_map(fixture(spark, sf_dir, "lakemask"))
     point = (tgt.select("task_time").distinct()
              .select("task_time", F.lit(0).cast("bigint").alias("target_id"),
@@ -97,6 +102,11 @@ def q_predict_series(spark, sf_dir):
     return rounded(K.predict_series(ctx, point, LS, NOISE, RADIUS), ["mean", "std"])
 
 
+@query("predict_series", SERIES_SQL, uses=("sst_grid", "lakemask"))
+def q_predict_series(spark, sf_dir):
+    return daily_series(spark, sf_dir)
+
+
 @query("unnormalise_pred",
        _KCTES.replace("sst as value from", "(sst - (select avg(sst) from sst_grid)) / "
                       "(select stddev_pop(sst) from sst_grid) as value from")

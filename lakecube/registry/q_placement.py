@@ -19,12 +19,21 @@ NOISE = 1.0
 R2 = repr(RADIUS * RADIUS)
 TWO_L2 = repr(2.0 * LS * LS)
 
+# The starting network: 100 random water cells, or half of a mask that has fewer than 200.
+START = 100
+_START_SQL = f"least({START}, (select count(*) from lakemask where mask = 1) // 2)"
+
+
+def start_points(mask):
+    return sampling.random_points(mask, min(START, mask.filter("mask = 1").count() // 2), seed=42)
+
+
 _ACQ_CTES = (
     f"with {_DATES5}, ad as (select time from d5 where time in (select time from sst_grid)), {_CP}, "
     "cells as (select lat_idx, lon_idx, lat, lon, lat_idx * 4294967296 + lon_idx as cell_id, "
     "(lat - cp.lo1) / ((cp.lo1 + cp.span) - cp.lo1) as x1, (lon - cp.lo2) / ((cp.lo2 + cp.span) - cp.lo2) as x2 "
     "from lakemask, cp where mask = 1), "
-    f"pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < 10), "
+    f"pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < {_START_SQL}), "
     "ctx as (select g.time as task_time, c.cell_id as point_id, c.x1, c.x2, g.sst as value from sst_grid g "
     "join pts p on p.lat_idx = g.lat_idx and p.lon_idx = g.lon_idx "
     "join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
@@ -48,7 +57,7 @@ def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
     vv = "coalesce(iv.sst, 0)" if infill else "coalesce(c.swy / c.dens, 0)"
     iv_join = (" left join sst_grid iv on iv.time = d.time and iv.lat_idx * 4294967296 + iv.lon_idx = p.cand"
                if infill else "")
-    head = _ACQ_CTES[:_ACQ_CTES.index("pr as (")]          # d30, ad, cp, cells, pts, ctx
+    head = _ACQ_CTES[:_ACQ_CTES.index("pr as (")]          # d5, ad, cp, cells, pts, ctx
     parts = [head.rstrip().rstrip(",") + ", ",
              "truthw as (select g.time as task_time, c.cell_id, c.x1, c.x2, g.sst as value from sst_grid g "
              "join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
@@ -157,7 +166,7 @@ def _setup(spark, sf_dir):
     mask = fixture(spark, sf_dir, "lakemask")
     cp = N.fit_coord_map(mask)
     dates = quality.available_dates(D.date_range_subsample(g, 5), g)
-    pts = sampling.random_points(mask, 10, seed=42)
+    pts = start_points(mask)
     return g, mask, cp, dates, pts
 
 
@@ -212,13 +221,13 @@ def q_placement_eval(spark, sf_dir):
 
 
 @query("proposed_infill",
-       f"with {_DATES5}, pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < 5) "
+       f"with {_DATES5}, pts as (select lat_idx, lon_idx from ({_ORDER}) where pos < {_START_SQL}) "
        "select g.time, g.lat_idx, g.lon_idx, g.sst as value from sst_grid g join pts p "
        "on p.lat_idx = g.lat_idx and p.lon_idx = g.lon_idx where g.time in (select time from d5)",
        uses=("sst_grid", "lakemask"))
 def q_proposed_infill(spark, sf_dir):
     g = sst_grid(spark, sf_dir)
-    pts = sampling.random_points(fixture(spark, sf_dir, "lakemask"), 5, seed=42)
+    pts = start_points(fixture(spark, sf_dir, "lakemask"))
     return P.proposed_infill(pts, g, D.date_range_subsample(g, 5))
 
 
@@ -312,7 +321,7 @@ def q_greedy_first_pick(spark, sf_dir):
 
 _EVAL0 = (
     _ACQ_CTES[:_S_END]
-    + "tg as (select g.time as task_time, g.lat_idx * 1000000 + g.lon_idx as target_id, g.lat_idx, g.lon_idx, "
+    + "tg as (select g.time as task_time, g.lat_idx * 4294967296 + g.lon_idx as target_id, g.lat_idx, g.lon_idx, "
     "g.sst as truth from sst_grid g join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
     "where g.time in (select time from ad)), "
     "pd as (select tg.lat_idx, tg.lon_idx, tg.truth, s.swy / s.dens as mean, "

@@ -220,7 +220,7 @@ def test_date_surface_averages_to_choice_surface(spark):
     xy = {c[0]: (c[1], c[2]) for c in cells}
     d0 = sorted({r.time for r in truth.collect()})[0]
     tv = {(r.lat_idx << 32) + r.lon_idx: r.sst for r in truth.collect() if r.time == d0}
-    ctx = [(d0, cid, *xy[cid], tv[cid]) for cid in (0, (4 << 32) + 5, 2_000_002) if cid in tv]
+    ctx = [(d0, cid, *xy[cid], tv[cid]) for cid in (0, (4 << 32) + 5, (2 << 32) + 2) if cid in tv]
     base = _brute_predict(ctx, [(d0, c, x, y) for c, x, y in cells], 0.1, 1.0, 0.3)
     got = {r.cell_id: r.acquisition for r in by_date.filter(F.col("time") == F.lit(d0)).collect()}
     for cid, cx, cy in cells[:8]:
