@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, line_dedup, lm_scoring, packing, quality_rules, suffix_dedup, toxicity,
+from . import (decontaminate, jaccard_join, line_dedup, lm_scoring, packing, prefix_trie, quality_rules, suffix_dedup, toxicity,
                url_filter, warc)
 from .base import read_table
 
@@ -214,3 +214,57 @@ def op1(spark, sf_dir):
     out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
                       F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+with recursive own as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, tag) - 1 as pos, tag, n_words
+  from (select conv_id, turn, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as tag,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_words from conversations where conv_id is not null)
+), size as (
+  select c, count(*) as n_own from own group by c
+), bits(c, i, crc) as (
+  select c, 0, 4294967295::ubigint from size
+  union all
+  select c, i + 1, case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end
+  from (select c, i, case when i % 8 = 0 then xor(crc, ascii(substr(c::varchar, i // 8 + 1, 1))::ubigint) else crc end as x
+        from bits where i < 8 * length(c::varchar))
+), h as (
+  select c, xor(crc, 4294967295::ubigint) % 4 as h from bits where i = 8 * length(c::varchar)
+), k as (
+  select size.c, size.c - size.c % 20 as base, h.h, least(h.h, coalesce(b.n_own, 0)) as taken
+  from size join h using (c) left join size b on b.c = size.c - size.c % 20
+), r as (
+  select k.c, own.pos, own.tag, own.n_words from k join own on own.c = k.base where own.pos < k.taken
+  union all
+  select k.c, own.pos - k.h + k.taken, own.tag, own.n_words from k join own on own.c = k.c where own.pos >= k.h
+), l as (
+  select k.c, coalesce(list(r.tag order by r.pos) filter (r.tag is not null), []) as tags,
+         coalesce(list(r.n_words order by r.pos) filter (r.tag is not null), []) as ws
+  from k left join r on r.c = k.c group by k.c
+), m as (
+  select c, d, len(tags) as n, md5(array_to_string(tags[1:d], '')) as key, case when d > 0 then ws[d] else 0 end as n_words,
+         case when d > 0 then md5(array_to_string(tags[1:d - 1], '')) end as pkey
+  from (select c, tags, ws, unnest(range(0, len(tags) + 1)) as d from l)
+), n as (
+  select d, key, max(pkey) as pkey, min(c) as conv, count(*) as n_convs, max(n_words) as n_words,
+         sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (n = d), '')) as ends_sha256 from m group by d, key
+), kids as (
+  select d - 1 as d, pkey as key, count(*) as n_children from n where d > 0 group by d - 1, pkey
+), v as (
+  select n.*, coalesce(kids.n_children, 0) as n_children, case when kids.n_children is null then 1 else 0 end as leaf,
+         (n.n_convs - 1) * n.n_words as saved from n left join kids on kids.d = n.d and kids.key = n.key
+), s as (
+  select m.d, m.key, sum(v.leaf)::bigint as n_leaves, sum(v.saved)::bigint as saved_tokens
+  from v join m on m.c = v.conv and m.d <= v.d group by m.d, m.key
+)
+select v.conv as conv_id, v.d as depth, p.conv as parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+from v join s on s.d = v.d and s.key = v.key left join v p on p.d = v.d - 1 and p.key = v.pkey
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11(spark, sf_dir):
+    """Every node of the conversations' prefix trie, with its subtree's leaves and saved tokens."""
+    out = prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+    return out.drop("enter", "exit")
