@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, line_dedup, lm_scoring, packing, prefix_trie, quality_rules, suffix_dedup, toxicity,
+from . import (collocations, decontaminate, jaccard_join, line_dedup, lm_scoring, packing, prefix_trie, quality_rules, suffix_dedup, toxicity,
                url_filter, warc)
 from .base import read_table
 
@@ -268,3 +268,54 @@ def op11(spark, sf_dir):
     """Every node of the conversations' prefix trie, with its subtree's leaves and saved tokens."""
     out = prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
     return out.drop("enter", "exit")
+
+
+OP13_SQL = r"""
+with p as (
+  select lang, row_number() over () as pid, piece from (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), w as (
+  select lang, pid, unnest(ws) as w, unnest(range(len(ws))) as i from (select lang, pid, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p)
+), g as materialized (
+  select lang, w as w1, lead(w, 1) over q as w2, lead(w, 2) over q as w3, lead(w, 3) over q as w4, lead(w, 4) over q as w5
+  from w window q as (partition by pid order by i)
+), f as materialized (
+  select lang, 1 as k, w1 as phrase, count(*) as f from g group by all
+  union all
+  select lang, 2, w1 || ' ' || w2, count(*) from g where w2 is not null group by all having count(*) >= 100
+  union all
+  select lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) from g where w3 is not null group by all having count(*) >= 100
+  union all
+  select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) from g where w4 is not null group by all having count(*) >= 100
+  union all
+  select lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5, count(*) from g where w5 is not null group by all having count(*) >= 100
+), t as (
+  select lang, count(*) as n from g group by lang
+), c as materialized (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from f where k > 1
+), x as materialized (
+  select lang || chr(1) || phrase as key, f from f
+), cut as (
+  select lang, phrase, k, a, j, lang || chr(1) || array_to_string(ws[1:j], ' ') as head, lang || chr(1) || array_to_string(ws[j + 1:k], ' ') as tail
+  from (select *, unnest(range(1, k)) as j from c)
+), s as (
+  select cut.*, h.f as l, q.f as r, t.n, (1000::hugeint * cut.a * t.n) // (h.f::hugeint * q.f) as score
+  from cut join x h on h.key = cut.head join x q on q.key = cut.tail join t on t.lang = cut.lang
+), b as (
+  select * from (select *, row_number() over (partition by lang, phrase order by score, j) as o from s) where o = 1
+), d as (
+  select distinct lang, sub, a from (
+    select lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) as sub from c, range(2, 5) v(m) where m < k)
+), z as (
+  select lang, phrase, a, l, r, n, score::bigint as score from b
+  where not exists (select 1 from d where d.lang = b.lang and d.sub = b.phrase and 100 * d.a >= 100 * b.a)
+)
+select * from (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from z) where rank <= 2000
+"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13(spark, sf_dir):
+    """Each language's 2000 phrases of two to five words that hold together most."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
