@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, decontaminate, jaccard_join, line_dedup, lm_scoring, packing, prefix_trie, quality_rules, suffix_dedup, toxicity,
+from . import (collocations, decontaminate, jaccard_join, line_dedup, lm_scoring, packing, prefix_trie, quality_rules, secret_scan, suffix_dedup, toxicity,
                url_filter, warc)
 from .base import read_table
 
@@ -319,3 +319,9 @@ select * from (select lang, row_number() over (partition by lang order by score
 def op13(spark, sf_dir):
     """Each language's 2000 phrases of two to five words that hold together most."""
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_secret_scan")
+def op12(spark, sf_dir):
+    """Every document's secrets: the fixed patterns' finds and the random field's further spans."""
+    return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
