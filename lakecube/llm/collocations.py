@@ -1,9 +1,10 @@
 """Phrase collocation mining (operator 13) with counting quotient filters.
 
 1. Every task turns its texts into chunks: the distinct words of a chunk and,
-   for every word place, which of them stands there.  Words found ``min_count``
-   times or more in their language get ids; each chunk gets those of its own words back, so
-   no task holds the whole vocabulary.
+   for every word place, which of them stands there.  The words go to hash buckets,
+   once per chunk.  Words found ``min_count`` times or more in their language get
+   ids; each chunk gets those of its own words back, so no task holds the
+   whole vocabulary.
 2. A phrase of n words is frequent only if its first and its last n - 1 words
    are.  So a phrase is a pair of ids of the length before, and lengths 2 to 5 are
    counted one after the other over the places that are left.  A chunk counts
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ from .packed import pack, unpack
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20           # of text, for each bucket of words
 BUCKET_SLOTS = 1 << 20
 NO_LANG = "und"
 
@@ -72,37 +75,88 @@ def chunk_words(data: np.ndarray, offsets: np.ndarray):
     return np.arange(len(starts)) + np.cumsum(new), doc, index, words
 
 
-CHUNK = "chunk long, places binary, ids binary, langs array<string>, words array<binary>, counts array<long>"
+def _pack_words(keys: pa.BinaryArray) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([keys], names=["w"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _unpack_words(blob: bytes) -> pa.Array:
+    with pa.ipc.open_stream(blob) as r:
+        return r.read_next_batch().column(0)
+
+
+CHUNK = "chunk long, places binary, ids binary, buckets array<int>, starts array<long>, words array<binary>, counts array<binary>"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per chunk: its word places, and its distinct words by hash bucket.
+
+    A word is the key ``lang \\n word``.  Words are numbered in the order in which the buckets list them.
+    """
     from pyspark import TaskContext
     chunk = TaskContext.get().partitionId() << 36
     for batch in batches:
         data, offsets = W.text_buffer(batch.column(1))
         lang = batch.column(0).fill_null(NO_LANG).dictionary_encode()
-        names, of_row = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+        names, of_row = lang.dictionary.cast(pa.binary()), lang.indices.to_numpy()
         for a, b in W.slices(offsets, size):
             place, doc, index, words = chunk_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             if not len(place):
                 continue
             pair = of_row[a:b][doc].astype(np.int64) * len(words) + index
             distinct, local, n = np.unique(pair, return_inverse=True, return_counts=True)
+            keys = pc.binary_join_element_wise(names.take(pa.array(distinct // len(words))), words.take(pa.array(distinct % len(words))), b"\n")
+            text, at = W.text_buffer(keys)
+            h = W.span_hash(W.prefix_hash(text), at[:-1], at[1:])
+            bucket = (((h >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)).astype(np.int64)
+            order = np.lexsort((h, bucket))
+            number = np.empty(len(order), np.int64)
+            number[order] = np.arange(len(order))
+            full, starts = np.unique(bucket[order], return_index=True)
+            keys, n = keys.take(pa.array(order)), n[order]
+            cuts = list(zip(starts, np.append(starts[1:], len(order))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int64()), pa.array([pack(place.astype(np.uint64), ascending=True)], pa.binary()),
-                 pa.array([pack(local.astype(np.uint64))], pa.binary()),
-                 pa.array([[names[i] for i in distinct // len(words)]], pa.list_(pa.string())),
-                 pa.array([words.take(pa.array(distinct % len(words)))], pa.list_(pa.binary())), pa.array([n], pa.list_(pa.int64()))],
-                names=["chunk", "places", "ids", "langs", "words", "counts"])
+                 pa.array([pack(number[local].astype(np.uint64))], pa.binary()), pa.array([full.astype(np.int32)], pa.list_(pa.int32())),
+                 pa.array([starts], pa.list_(pa.int64())), pa.array([[_pack_words(keys[lo:hi]) for lo, hi in cuts]], pa.list_(pa.binary())),
+                 pa.array([[pack(n[lo:hi].astype(np.uint64)) for lo, hi in cuts]], pa.list_(pa.binary()))],
+                names=["chunk", "places", "ids", "buckets", "starts", "words", "counts"])
             chunk += 1
 
 
-def _numbered(df: DataFrame, by: list[str], rows: int) -> DataFrame:
-    """``df`` with a dense ``id``: its rows are ranked within hash parts."""
-    parts = max(1, -(-rows // BUCKET_SLOTS))
-    part = F.pmod(F.xxhash64(*by), F.lit(parts))
-    return (df.withColumn("__part", part)
-            .withColumn("id", (F.row_number().over(Window.partitionBy("__part").orderBy(*by)) - 1).cast("long") * parts + F.col("__part")).drop("__part"))
+VOCABULARY = "chunk long, bucket long, at binary, ids binary, lang string, id long, word string, f long"
+
+
+def _vocabulary(key, table: pa.Table, buckets: int, min_count: int) -> pa.Table:
+    """A bucket's frequent words (``id`` set), its words per language (neither), and a reply per chunk (``chunk`` set)."""
+    bucket = key[0].as_py()
+    lists = [_unpack_words(b) for b in table.column("words").to_pylist()]
+    counts = np.concatenate([unpack(b) for b in table.column("counts").to_pylist()]).astype(np.int64)
+    coded = pa.chunked_array([pa.concat_arrays(lists).cast(pa.large_binary())]).combine_chunks().dictionary_encode()
+    index, keys = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, index, counts)
+    langs, words = zip(*(k.decode("utf-8", "replace").rsplit("\n", 1) for k in keys))
+    names, of = np.unique(np.array(langs, dtype=object), return_inverse=True)
+    per_lang = np.zeros(len(names), np.int64)
+    np.add.at(per_lang, of, total)
+    kept = np.flatnonzero(total >= min_count)
+    id_of = np.full(len(keys), -1, np.int64)
+    id_of[kept] = np.arange(len(kept)) * buckets + bucket
+    rows = [(None, None, None, None, langs[i], int(id_of[i]), words[i], int(total[i])) for i in kept]
+    rows += [(None, None, None, None, str(name), None, None, int(n)) for name, n in zip(names, per_lang)]
+    lo = 0
+    for chunk, mine in zip(table.column("chunk").to_pylist(), lists):
+        ids = id_of[index[lo:lo + len(mine)]]
+        lo += len(mine)
+        at = np.flatnonzero(ids >= 0)
+        if len(at):
+            rows.append((chunk, bucket, pack(at.astype(np.uint64), ascending=True), pack(ids[at].astype(np.uint64)), None, None, None, None))
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    return pa.table([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], names=[c.split()[0] for c in VOCABULARY.split(", ")])
 
 
 def _take(chunk: pa.Table, reply: pa.Table) -> pa.Table:
@@ -110,8 +164,10 @@ def _take(chunk: pa.Table, reply: pa.Table) -> pa.Table:
     if not chunk.num_rows or not reply.num_rows:
         return _no_state()
     place, local = unpack(chunk.column("places")[0].as_py()), unpack(chunk.column("ids")[0].as_py()).astype(np.int64)
+    start = dict(zip(chunk.column("buckets")[0].as_py(), chunk.column("starts")[0].as_py()))
     ids = np.full(int(local.max()) + 1, -1, np.int64)
-    ids[reply.column("local").to_numpy()] = reply.column("id").to_numpy()
+    for b, at, new in zip(*(reply.column(c).to_pylist() for c in ("bucket", "at", "ids"))):
+        ids[start[b] + unpack(at).astype(np.int64)] = unpack(new).astype(np.int64)
     ids = ids[local]
     return _state(chunk.column("chunk"), place[ids >= 0], ids[ids >= 0])
 
@@ -214,15 +270,17 @@ def frequent_phrases(docs: DataFrame, text_col: str, lang_col: str, min_count: i
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    chunks = written(rows.mapInArrow(lambda it: _chunks(it, chunk_bytes), CHUNK), "chunks")
-    vocab = (chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("local", "w"))
-             .select("chunk", F.col("local").cast("long").alias("local"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n")))
-    totals = written(vocab.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    common = written(vocab.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count), "common")
-    words = written(_numbered(common, ["lang", "word"], common.count()), "words")
-    reply = vocab.select("chunk", "local", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("of"), "local", "id")
-    state = written(chunks.select("chunk", "places", "ids").groupBy("chunk").cogroup(reply.groupBy("of")).applyInArrow(_take, STATE), "state")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(1 << 24, max(width, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)))
+    chunks = written(rows.mapInArrow(lambda it: _chunks(it, chunk_bytes, buckets), CHUNK), "chunks")
+    sent = (chunks.select("chunk", F.explode(F.arrays_zip("buckets", "words", "counts")).alias("w"))
+            .select("chunk", F.col("w.buckets").alias("bucket"), F.col("w.words").alias("words"), F.col("w.counts").alias("counts")))
+    counted = written(sent.groupBy("bucket").applyInArrow(lambda key, t: _vocabulary(key, t, buckets, min_count), VOCABULARY), "vocabulary")
+    totals = written(counted.filter("chunk is null and id is null").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    words = counted.filter("id is not null").select("id", "lang", "word", "f")
+    reply = counted.filter("chunk is not null").select(F.col("chunk").alias("of"), "bucket", "at", "ids")
+    state = written(chunks.select("chunk", "places", "ids", "buckets", "starts").groupBy("chunk").cogroup(reply.groupBy("of"))
+                    .applyInArrow(_take, STATE), "state")
     phrases, last = [], words
     for _ in range(2, max_words + 1):
         slots, largest = state.agg(F.sum("n")).first()[0] or 0, last.agg(F.max("id")).first()[0]
@@ -234,7 +292,7 @@ def frequent_phrases(docs: DataFrame, text_col: str, lang_col: str, min_count: i
         found, state = _longer(state, bits, bucket_bits, min_count)
         phrases.append(found)
         last = found
-    return words.select("id", "lang", F.col("word").cast("string").alias("phrase"), "f"), phrases, totals
+    return words.select("id", "lang", F.col("word").alias("phrase"), "f"), phrases, totals
 
 
 def _longer(state: DataFrame, bits: int, bucket_bits: int, min_count: int) -> tuple[DataFrame, DataFrame]:
