@@ -28,6 +28,7 @@ from .base import written
 WORDS = 5
 NUM, DEN = 3, 4                   # share of an item's shingles found in a document
 BLOCK_SHINGLES = 1 << 19
+VERIFY = 1 << 12                  # pairs verified together
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -43,40 +44,88 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
 
 def sketch_size(n: np.ndarray) -> np.ndarray:
     """Sketch shingles of an item of n shingles: what the largest item of its size class needs."""
-    top = (1 << (np.floor(np.log2(np.maximum(n, 1))).astype(np.int64) + 1)) - 1
+    top = (1 << (size_class(n) + 1)) - 1
     return np.minimum(top - -(-NUM * top // DEN) + 1, n)
 
 
-class Block:
-    """Items' shingles, sorted for probing."""
+def size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.size = np.array([len(s) for s in sets], dtype=np.int64)
-        owner = np.repeat(np.arange(len(sets)), self.size)
-        h = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-        rank = np.concatenate([np.argsort(np.argsort(W.mix(s))) for s in sets]) if sets else np.zeros(0, dtype=np.int64)
+
+class SketchIndex:
+    """The sketches of one size class's items, sorted for probing.  Other shingles are not in it."""
+
+    def __init__(self, items: np.ndarray, sketches: list[np.ndarray], least: int):
+        self.least = least                                          # shingles of the class's smallest item
+        h = np.concatenate(sketches)
         order = np.argsort(h, kind="stable")
-        self.owner, self.sketch = owner[order], (rank < np.repeat(sketch_size(self.size), self.size))[order]
+        self.owner = np.repeat(items, [len(s) for s in sketches])[order]
         self.hash, self.first = np.unique(h[order], return_index=True)
         self.last = np.append(self.first[1:], len(h))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.hash & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
-    def search(self, d: np.ndarray, h: np.ndarray):
-        """(document, item, shared) for documents that hold enough of an item; (d, h) are distinct."""
+    @classmethod
+    def of(cls, state: dict) -> SketchIndex:
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
+    def probe(self, d: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         some = self.maybe[(h & np.uint64(0xFFFFF)).astype(np.int64)]
         d, h = d[some], h[some]
-        at = np.minimum(np.searchsorted(self.hash, h), max(len(self.hash) - 1, 0))
-        some = self.hash[at] == h if len(self.hash) else np.zeros(0, bool)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        some = (self.hash[at] == h) & (DEN * n[d] >= NUM * self.least) if len(d) else np.zeros(0, bool)
         d, at = d[some], at[some]
         reps = self.last[at] - self.first[at]
         flat = np.repeat(self.first[at] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-        pair = np.repeat(d, reps).astype(np.int64) * max(len(self.size), 1) + self.owner[flat]
-        met = np.unique(pair[self.sketch[flat]])                   # candidates: a sketch shingle is shared
-        pair, shared = np.unique(pair, return_counts=True)         # verification: all shared shingles
-        keep = np.isin(pair, met, assume_unique=True)
-        pair, shared = pair[keep], shared[keep]
-        doc, item = np.divmod(pair, max(len(self.size), 1))
+        width = int(self.owner.max()) + 1
+        return np.divmod(np.unique(np.repeat(d, reps).astype(np.int64) * width + self.owner[flat]), width)
+
+
+class Block:
+    """Items' shingles: sketches to find pairs with, whole sets to verify them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], dtype=np.int64)
+        self.flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)          # the full sets, to verify with
+        self.edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.size)])
+        sketches = [s[np.argsort(W.mix(s))[:k]] for s, k in zip(sets, sketch_size(self.size))]
+        self.classes = []
+        for c in np.unique(size_class(self.size)):
+            items = np.flatnonzero(size_class(self.size) == c)
+            self.classes.append(SketchIndex(items, [sketches[i] for i in items], int(self.size[items].min())).__dict__)
+
+    def candidates(self, d: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, item) that share a sketch shingle, class by class; ``n``: shingles per document.
+
+        A document with fewer shingles than NUM / DEN of a class's smallest item is not probed against that class.
+        """
+        found = [SketchIndex.of(c).probe(d, h, n) for c in self.classes]
+        return tuple(np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in range(2))
+
+    def search(self, d: np.ndarray, h: np.ndarray):
+        """(document, item, shared) for documents that hold enough of an item; (d, h) are distinct."""
+        n = np.bincount(d) if len(d) else np.zeros(0, np.int64)
+        doc, item = self.candidates(d, h, n)
+        shared = np.zeros(len(doc), np.int64)
+        edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        for lo in range(0, len(doc), VERIFY):                       # whole sets of the pairs that met
+            some = slice(lo, lo + VERIFY)
+            reps = self.size[item[some]]
+            pair = np.repeat(np.arange(len(reps)), reps)
+            wanted = self.flat[np.repeat(self.edges[item[some]] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())]
+            left, right = edges[doc[some]][pair], edges[doc[some] + 1][pair]
+            while True:                                             # bisection within each document's sorted shingles
+                open_ = left < right
+                if not open_.any():
+                    break
+                mid = (left + right) >> 1
+                less = open_ & (h[np.minimum(mid, len(h) - 1)] < wanted)
+                left, right = np.where(less, mid + 1, left), np.where(open_ & ~less, mid, right)
+            inside = left < edges[doc[some] + 1][pair]
+            hit = inside & (h[np.minimum(left, len(h) - 1)] == wanted)
+            shared[some] = np.bincount(pair[hit], minlength=len(reps))
         enough = DEN * shared >= NUM * self.size[item]
         return doc[enough], item[enough], shared[enough]
 
@@ -134,7 +183,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                         [batch.column(0).take(pa.array(a + doc)), pa.array(keys[item], pa.int64()),
                          pa.array(block.size[item]), pa.array(shared.astype(np.int64))], names=["id", "class", "n_item", "n_shared"])
 
-        found = plain.mapInArrow(search, schema)
+        found = plain.mapInArrow(lambda it, search=search: W.tidy(search(it)), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         item_kind = items.schema[item_col].dataType
@@ -163,5 +212,5 @@ def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", i
                     clean[a + block.search(d, h)[0]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(lambda it, keep=keep: W.tidy(keep(it)), docs.schema)
     return docs

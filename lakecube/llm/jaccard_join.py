@@ -64,7 +64,7 @@ def shingle_info(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
     schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()),
                            T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType())])
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(lambda it: _info(it, k), schema))
+            .mapInArrow(lambda it: W.tidy(_info(it, k)), schema))
 
 
 def _send(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -161,7 +161,7 @@ def survivors(docs: DataFrame, info: DataFrame, id_col: str, text_col: str, k: i
     parts = buckets
     sent = (docs.filter(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(lambda it: _send(it, k, buckets), "bucket int, tokens binary, docs binary"))
+            .mapInArrow(lambda it: W.tidy(_send(it, k, buckets)), "bucket int, tokens binary, docs binary"))
     shared = sent.groupBy("bucket").applyInArrow(lambda key, t: _count(key, t, parts),
                                                  "part int, tokens binary, docs binary, df binary")
     reps = info.groupBy("s1", "s2", "n").agg(F.min("id").cast("long").alias("id")).filter("n > 0 and id is not null")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import written
-from .words import mix
+from .words import mix, tidy
 
 CAPACITY = 1024
 END_ID = 2
@@ -54,9 +54,7 @@ class TextEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.slow = Tokenizer.from_file(path)
-        self.fast = None
+        self.path, self.fast, self.kept = path, None, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -73,6 +71,14 @@ class TextEncoder:
             ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in self.special}
             self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def slow(self):
+        """The file's own tokenizer, read when a text first needs it."""
+        if self.kept is None:
+            from tokenizers import Tokenizer
+            self.kept = Tokenizer.from_file(self.path)
+        return self.kept
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and not any(s in text for s in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=())
@@ -80,7 +86,7 @@ class TextEncoder:
 
 
 def encoder(path: str) -> TextEncoder:
-    """One encoder per Python worker and file."""
+    """One encoder per task and file (``tidy`` drops it)."""
     kept = sys.__dict__.setdefault("_text_encoders", {})
     if path not in kept:
         kept[path] = TextEncoder(path)
@@ -170,7 +176,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = T.StructType([T.StructField("id", kind), T.StructField("piece", T.IntegerType()),
                            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]])
     pieces = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        lambda it: _pieces(it, path, capacity, end_id), schema)
+        lambda it: tidy(_pieces(it, path, capacity, end_id)), schema)
     # Written with its row numbers: numbers given while reading could differ when a task runs again.
     pieces = written(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
     short = pieces.filter(F.col("length") < capacity)

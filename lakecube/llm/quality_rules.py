@@ -241,6 +241,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < ppm)
     rows = (stats.filter(~F.col("base_failed")).join(known, stats[id_col] == known["__id"])
             .select(F.xxhash64("__id").alias("__h"), "__y", *[F.expr(e).cast("double").alias(f"__x{i}") for i, e in enumerate(RATIOS.values())]))
+    rows = rows.groupBy("__h").agg(F.min(F.struct(*[c for c in rows.columns if c != "__h"])).alias("r")).select("__h", "r.*")     # one row per id
     got = rows.toPandas().sort_values("__h", kind="stable")
     x = got[[f"__x{i}" for i in range(len(RATIOS))]].to_numpy(dtype=float)
     rules = learn_rules(x, got["__y"].to_numpy() == 0)

@@ -332,8 +332,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cost = (n.get(0, 0) * taken.get(1, 0), n.get(1, 0) * taken.get(0, 0)) if taken.get(0) and taken.get(1) else (1, 1)
     # The broadcast side, and what the one training task reads, has max_toxic + max_clean rows at most.
     got = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-           .join(F.broadcast(chosen.withColumn("id", F.col("id").cast("string"))), "id").select("id", "text", F.col("y").cast("int").alias("y")))
-    rows = got.repartition(1).mapInArrow(lambda it: _fit_task(it, cost), "model binary").collect()
+           .join(F.broadcast(chosen.withColumn("id", F.col("id").cast("string"))), "id").select("id", "text", F.col("y").cast("int").alias("y"))
+           .groupBy("id").agg(F.max("text").alias("text"), F.max("y").alias("y")))          # of rows that share an id the largest text
+    rows = got.repartition(1).mapInArrow(lambda it: W.tidy(_fit_task(it, cost)), "model binary").collect()
     if not rows:
         return train([], np.zeros(0, bool))
     with np.load(io.BytesIO(bytes(rows[0]["model"]))) as m:
@@ -370,7 +371,7 @@ def score_documents(docs: DataFrame, model: dict[str, np.ndarray], text_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))],
                                              names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return docs.mapInArrow(lambda it: W.tidy(run(it)), T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

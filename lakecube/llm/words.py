@@ -8,6 +8,11 @@ per-byte values modulo 2**64, taken from running sums, then mixed.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -30,6 +35,21 @@ def powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def tidy(rows: Iterator) -> Iterator:
+    """``rows``; at their end the worker gives back what it held, so that later stages start from little."""
+    try:
+        yield from rows
+    finally:
+        _powers.clear()
+        sys.__dict__.pop("_text_encoders", None)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):       # another C library
+            pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))

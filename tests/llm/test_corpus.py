@@ -125,6 +125,23 @@ def test_decontamination_against_brute_force(spark, make_docs, monkeypatch):
     assert decontaminate.contaminated_pairs(make_docs(docs), frame.limit(0)).count() == 0
 
 
+def test_search_goes_through_the_sketches():
+    """Without sketches nothing is found; with them few of an item's shingles are looked up."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(1, 1 << 62, n, dtype=np.uint64)) for n in (3, 40, 41, 600)]
+    block = decontaminate.Block(sets)
+    indexed = sum(len(c["hash"]) for c in block.classes)
+    assert [c["least"] for c in block.classes] == [3, 40, 600] and indexed < 0.5 * sum(map(len, sets))
+    docs = [sets[0], sets[1][:30], sets[2][:30], np.sort(np.concatenate([sets[3][100:], sets[1]])), sets[3][:400]]
+    d, h = np.repeat(np.arange(5), [len(x) for x in docs]), np.concatenate(docs)
+    got = [x.tolist() for x in block.search(d, h)]
+    assert sorted(zip(*got)) == [(0, 0, 3), (1, 1, 30), (3, 1, 40), (3, 3, 500)]        # 30 of 41 and 400 of 600 are too few
+    met = set(zip(*(x.tolist() for x in block.candidates(d, h, np.bincount(d)))))
+    assert (4, 3) not in met                                                          # too short for that class: never probed
+    block.classes = []
+    assert not len(block.search(d, h)[0])
+
+
 def test_sketches_are_large_enough():
     n = np.arange(1, 3000)
     s = decontaminate.sketch_size(n)
@@ -232,3 +249,10 @@ def test_pipeline_keeps_odd_rows_in_shape(spark, make_docs, tmp_path):
     spark.createDataFrame([(1, None), (2, "one")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     out = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in out} >= {1, 2, 3, 5, -3, None} and 4 not in {r["doc_id"] for r in out}
+
+
+def test_line_dedup_stage_keeps_columns_of_the_operator_s_names(spark, make_docs):
+    docs = make_docs([(i, f"one line that is long enough to count\nand {i}") for i in range(4)])
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert out.schema == docs.schema
+    assert {(r["n_lines"], r["text"]) for r in out.collect()} == {("x", f"and {i}") for i in range(3)} | {("x", "one line that is long enough to count\nand 3")}
