@@ -30,11 +30,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, without lines that three or more documents hold (operator 10)."""
-    out = line_dedup.dedup_lines(docs)
+    # The operator adds n_lines and n_dropped; columns of these names come through under others.
+    mine = {c: f"__kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("n_lines", "n_dropped")}
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(mine))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(mine.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
