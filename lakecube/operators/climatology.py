@@ -22,6 +22,31 @@ def climatology(grid: DataFrame, value_cols: Sequence[str] | None = None,
             .agg(*[F.avg(c).alias(c) for c in cols]))
 
 
+def monthly_moments(grid: DataFrame, value_cols: Sequence[str], time_col: str = "time") -> DataFrame:
+    """Per calendar month and cell and variable: ``<var>`` the mean, ``<var>__n`` the values and ``<var>__var`` their variance.
+
+    The means are the climatology (A1).  Moments of groups merge, so the spread of the anomalies follows from
+    them as well (``pooled_anomaly_params``): one pass over the cube serves both.
+    """
+    aggs = []
+    for c in value_cols:
+        aggs += [F.avg(c).alias(c), F.count(c).alias(f"{c}__n"), F.var_pop(c).alias(f"{c}__var")]
+    return grid.groupBy(F.month(time_col).cast("bigint").alias("month"), *CELL).agg(*aggs)
+
+
+def pooled_anomaly_params(moments: DataFrame, value_cols: Sequence[str], suffix: str = "_anom") -> DataFrame:
+    """A4 of the anomalies against the moments' own means: (var, method, mean, std, min, max), one row per variable.
+
+    Anomalies average to 0 in every group, so their variance is the groups' variance weighted by their counts.
+    """
+    none = F.lit(None).cast("double")
+    rows = [F.struct(F.lit(f"{c}{suffix}").alias("var"), F.lit("mean_std").alias("method"),
+                     F.when(F.sum(f"{c}__n") > 0, F.lit(0.0)).alias("mean"),
+                     F.sqrt(F.try_divide(F.sum(F.col(f"{c}__n") * F.col(f"{c}__var")), F.sum(f"{c}__n"))).alias("std"),
+                     none.alias("min"), none.alias("max")) for c in value_cols]
+    return moments.agg(F.array(*rows).alias("__r")).select(F.explode("__r").alias("p")).select("p.*")
+
+
 def anomalies(grid: DataFrame, clim: DataFrame, value_cols: Sequence[str] | None = None,
               time_col: str = "time") -> DataFrame:
     """Value minus the climatology of its month and cell.

@@ -133,38 +133,58 @@ def distinct_dates(df: DataFrame, time_col: str = "time") -> DataFrame:
     return date_set(df, time_col).agg(F.count(F.lit(1)).alias("n_dates"))
 
 
+FETCH_ROWS = 100_000        # values ranked on the driver at most, for each percentile
+
+
+def _at_ranks(df: DataFrame, rank: int, n: int) -> tuple[float, float]:
+    """The values at ``rank`` and the next rank (0-based) among the ``n`` values of ``df.v``.
+
+    A sketch gives two values around the rank (off by a ten-thousandth of the rows at most).  What lies below is counted exactly and what
+    lies between is looked at alone: about a thousandth of the rows, in the same way again while that is too much to fetch.
+    """
+    while n > FETCH_ROWS:
+        near = rank / (n - 1)
+        lo, hi = df.agg(F.percentile_approx("v", [max(0.0, near - 5e-4), min(1.0, near + 5e-4)], 10_000)).first()[0]
+        if near < 5e-4:
+            lo = float("-inf")
+        if near > 1 - 5e-4:
+            hi = float("nan")                                   # the largest value of all in Spark's order
+        inside = F.col("v").between(F.lit(lo), F.lit(hi))
+        c = df.agg(F.count_if(F.col("v") < F.lit(lo)).alias("below"), F.count_if(inside).alias("n")).first()
+        if not (c["below"] <= rank and min(rank + 1, n - 1) < c["below"] + c["n"]):
+            break                                               # outside of the sketch's promise: rank all values
+        df, rank = df.filter(inside), rank - c["below"]
+        if c["n"] == n or lo == hi:
+            break                                               # one value, or no progress
+        n = c["n"]
+    upto, found = 0, []
+    # distinct values with their counts, in order; as many as FETCH_ROWS unless ties end the loop
+    for r in df.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").toLocalIterator():
+        upto += r["n"]
+        while len(found) < 2 and upto > rank + len(found):
+            found.append(r["v"])
+        if len(found) == 2:
+            break
+    return found[0], found[-1]
+
+
 def robust_bounds(df: DataFrame, col: str, q: Sequence[float] = (0.02, 0.98)) -> DataFrame:
     """Exact 2nd/98th percentiles (linear interpolation between neighbouring ranks).
 
-    Values are counted per distinct value and the counts are range-partitioned
-    and written.  The totals of the parts (one number each) say which parts
-    hold the wanted ranks; only those are ranked, each by itself.
+    Each is found by selection between sketched values (``_at_ranks``): aggregates only, no sort, window or
+    write of the values.
     """
     spark = df.sparkSession
-    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize_small(counts.repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()), "ranks")
-    totals = sorted((r["lo"], r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.min("v").alias("lo"), F.sum("n").alias("n")).collect())
-    total = sum(n for _, _, n in totals)
+    v = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    total = v.count()
     names = [f"p{int(round(x * 100)):02d}" for x in q]
     if not total:
         return spark.createDataFrame([tuple(None for _ in q)], ", ".join(f"{n} double" for n in names))
-    wanted, before, offsets = {int(x * (total - 1)) + k for x in q for k in (0, 1)}, 0, {}
-    for _, part, n in totals:
-        if any(before <= w < before + n for w in wanted):
-            offsets[part] = before
-        before += n
-    few = ranged.filter(F.col("part").isin(list(offsets)))
-    start = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])[F.col("part")]
-    upto = start + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
-    found = few.withColumn("upto", upto)
-    at = {w: r["v"] for r in found.filter(F.array_size(F.filter(F.array(*[F.lit(w) for w in sorted(wanted)]),
-          lambda w: (w >= F.col("upto") - F.col("n")) & (w < F.col("upto")))) > 0).select("v", "n", "upto").collect()
-          for w in wanted if r["upto"] - r["n"] <= w < r["upto"]}
     out = []
     for x in q:
         k, share = int(x * (total - 1)), x * (total - 1) - int(x * (total - 1))
-        out.append(at[k] + share * (at.get(k + 1, at[k]) - at[k]))
+        a, b = _at_ranks(v, k, total)
+        out.append(a + share * (b - a))
     return spark.createDataFrame([tuple(out)], ", ".join(f"{n} double" for n in names))
 
 

@@ -321,21 +321,30 @@ def q_prepare_ice(spark, sf_dir):
     return prepare_ice(ice, sst_grid(spark, sf_dir), out_path=_scratch(spark, "ice_on_sst_grid"))
 
 
+_ICE_GRID = ("select time, cast(round((lat - 38.7e0) / 0.7e0) as bigint) as lat_idx, cast(round((lon + 92.4e0) / 0.8e0) as bigint) as lon_idx, "
+             "case when ice_concentration = -1e0 then null else ice_concentration end as ice_concentration from {ice_raw}")
+
+
 @query("preprocess",
-       "with c as (select cast(month(time) as bigint) as m, lat_idx, lon_idx, avg(sst) as s "
+       "with c as (select cast(month(time) as bigint) as m, lat_idx, lon_idx, avg(sst) as s, count(sst) as n, var_pop(sst) as v "
        "from sst_grid group by 1, 2, 3), "
-       "a as materialized (select g.time, g.lat_idx, g.lon_idx, g.sst - c.s as sst_anom from sst_grid g left join c "
-       "on cast(month(g.time) as bigint) = c.m and g.lat_idx = c.lat_idx and g.lon_idx = c.lon_idx), "
-       "t as (select avg(sst_anom) as m, stddev_pop(sst_anom) as s from a) "
-       "select time, lat_idx, lon_idx, round((sst_anom - t.m) / t.s, 6) as sst_anom from a, t", uses=("sst_grid",))
+       f"ice as ({_ICE_GRID.format(ice_raw='ice_raw')}) "
+       "select 'sst_anom' as dataset, g.time, g.lat_idx, g.lon_idx, "
+       "round((g.sst - c.s) / (select sqrt(sum(n * v) / sum(n)) from c), 6) as value from sst_grid g join c "
+       "on cast(month(g.time) as bigint) = c.m and g.lat_idx = c.lat_idx and g.lon_idx = c.lon_idx "
+       "union all select 'ice_concentration', time, lat_idx, lon_idx, round((ice_concentration - (select min(ice_concentration) from ice)) / "
+       "((select max(ice_concentration) from ice) - (select min(ice_concentration) from ice)), 6) from ice", uses=("sst_grid", "ice_raw"))
 def q_preprocess(spark, sf_dir):
-    raw = fixture(spark, sf_dir, "sst_raw")
+    """Surface temperature as normalised anomalies and ice concentration scaled to 0..1, both written and read back."""
     from ..operators.clean import sentinel_to_null
-    norm, _ = preprocess(sentinel_to_null(raw), "sst", default_out_dir(spark))
-    return rounded(norm, ["sst_anom"])
-
-
-
+    ice = spark.sql(_ICE_GRID, ice_raw=fixture(spark, sf_dir, "ice_raw"))
+    norm, paths = preprocess(sentinel_to_null(fixture(spark, sf_dir, "sst_raw")), "sst", default_out_dir(spark),
+                             min_max={"ice_concentration": ice})
+    keys = ["time", "lat_idx", "lon_idx"]
+    ice = spark.read.parquet(paths["grids"]["ice_concentration"])
+    out = (norm.select(F.lit("sst_anom").alias("dataset"), *keys, F.col("sst_anom").alias("value"))
+           .unionByName(ice.select(F.lit("ice_concentration").alias("dataset"), *keys, F.col("ice_concentration").alias("value"))))
+    return rounded(out, ["value"])
 
 
 @query("load_chunk_store",

@@ -50,7 +50,11 @@ _ACQ_CTES = (
     "(select count(*) from ad) as acquisition from cells c left join st on st.target_id = c.cell_id) ")
 
 
-def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
+#: Targets of their own: the western water cells.
+_WEST = 15
+
+
+def _greedy_sql(n_rounds: int, infill: bool = False, target: str = "cells") -> str:
     """Direct SQL evaluation of ``n_rounds`` greedy rounds (round r's context is the
     initial points plus the picks of rounds < r, with their truth values).  With
     ``infill`` a candidate carries the truth of its cell instead of the predicted mean."""
@@ -62,12 +66,13 @@ def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
              "truthw as (select g.time as task_time, c.cell_id, c.x1, c.x2, g.sst as value from sst_grid g "
              "join cells c on c.lat_idx = g.lat_idx and c.lon_idx = g.lon_idx "
              "where g.time in (select time from ad) and g.sst is not null), "
+             f"west as (select * from cells where lon_idx < {_WEST}), "
              "ctx0 as (select task_time, point_id, x1, x2, value from ctx), "
              "ex0 as (select lat_idx * 4294967296 + lon_idx as cell_id from pts), "
              f"pairs as (select a.cell_id as cand, b.cell_id as tgt, "
-             f"exp(-(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) / {TWO_L2}) as w from cells a, cells b "
+             f"exp(-(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) / {TWO_L2}) as w from cells a, " + target + " b "
              f"where pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2) <= {R2}), "
-             "nd as (select count(*) as n from ad), nc as (select count(*) as n from cells), "]
+             f"nd as (select count(*) as n from ad), nc as (select count(*) as n from {target}), "]
     for r in range(n_rounds):
         parts.append(
             f"s{r} as (select x.task_time, c.cell_id as target_id, "
@@ -77,8 +82,8 @@ def _greedy_sql(n_rounds: int, infill: bool = False) -> str:
             f"from ctx{r} x, cells c where pow(x.x1 - c.x1, 2) + pow(x.x2 - c.x2, 2) <= {R2} group by 1, 2), "
             f"so{r} as (select *, sqrt(greatest(swyy / dens - (swy / dens) * (swy / dens), 0) "
             f"+ {NOISE * NOISE!r} / (1 + dens)) as std0 from s{r}), "
-            f"b{r} as (select coalesce((select sum(std0) from so{r}), 0) + ((select n from nd) * (select n from nc) "
-            f"- (select count(*) from so{r})) * {NOISE!r} as v), "
+            f"b{r} as (select coalesce(sum(std0), 0) + ((select n from nd) * (select n from nc) - count(*)) * {NOISE!r} as v "
+            f"from so{r} where target_id in (select cell_id from {target})), "
             f"x{r} as (select p.cand, d.time as task_time, case when t.dens is null then "
             f"{NOISE!r} / sqrt(1 + p.w) - {NOISE!r} else "
             f"sqrt(greatest((t.swyy + p.w * {vv} * {vv}) / (t.dens + p.w) "
@@ -190,20 +195,28 @@ def q_argmax_cell(spark, sf_dir):
     return rounded(P.argmax_cell(_acq(spark, sf_dir)), ["acquisition"])
 
 
-def greedy(spark, sf_dir, n_new=3):
+def greedy(spark, sf_dir, n_new=3, surfaces=True):
     g, mask, cp, dates, pts = _setup(spark, sf_dir)
-    return P.greedy_place(pts, g, mask, dates, n_new, cp, LS, NOISE, RADIUS)
+    return P.greedy_place(pts, g, mask, dates, n_new, cp, LS, NOISE, RADIUS, surfaces=surfaces)
 
 
 @query("greedy_place", _greedy_sql(3), uses=("sst_grid", "lakemask"))
 def q_greedy_place(spark, sf_dir):
     """M5: three greedy rounds; one chosen cell per round (checked against a
     round-by-round SQL evaluation of the same acquisition)."""
-    chosen, _ = greedy(spark, sf_dir)
+    chosen, _ = greedy(spark, sf_dir, surfaces=False)
     return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"),
                    ["acquisition"])
 
 
+@query("greedy_place_targets", _greedy_sql(3, target="west"), uses=("sst_grid", "lakemask"))
+def q_greedy_place_targets(spark, sf_dir):
+    """M5 with masks of their own: candidates are all water cells, targets those of the western half."""
+    g, mask, cp, dates, pts = _setup(spark, sf_dir)
+    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, target_mask=mask.filter(F.col("lon_idx") < _WEST), surfaces=False)
+    return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"), ["acquisition"])
+
+
 @query("acquisition_surface", _surfaces_sql(3), uses=("sst_grid", "lakemask"))
 def q_acquisition_surface(spark, sf_dir):
     """M5 surfaces: acquisition of every water cell in every round."""
@@ -215,7 +228,7 @@ def q_acquisition_surface(spark, sf_dir):
 def q_placement_eval(spark, sf_dir):
     """M6: weighted RMSE / mean std / NLL after 0..3 added sensors."""
     g, mask, cp, dates, pts = _setup(spark, sf_dir)
-    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS)
+    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, surfaces=False)
     return rounded(P.placement_eval(pts, chosen, g, mask, dates, cp, LS, NOISE, RADIUS),
                    ["rmse", "mean_std", "nll"])
 
@@ -265,7 +278,7 @@ def q_greedy_place_infill(spark, sf_dir):
     g, mask, cp, dates, pts = _setup(spark, sf_dir)
     water = mask.filter(F.col("mask") == 1).select("lat_idx", "lon_idx")
     infill = P.proposed_infill(water, g, dates)
-    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, infill=infill)
+    chosen, _ = P.greedy_place(pts, g, mask, dates, 3, cp, LS, NOISE, RADIUS, infill=infill, surfaces=False)
     return rounded(chosen.select("iteration", "cell_id", "lat_idx", "lon_idx", "lat", "lon", "acquisition"),
                    ["acquisition"])
 
