@@ -184,11 +184,27 @@ def test_jaccard_odd_cases(spark, make_docs):
     assert jaccard_join.jaccard_components(make_docs([])).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part_links", [3, 16, components.PART_LINKS])       # many parts, some, one
+def test_components(spark, part_links):
     chain = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (7, 7)] + [(200, 200 + k) for k in range(1, 40)]
-    got = dict(tuple(r) for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect())
+    got = dict(tuple(r) for r in components.components(spark.createDataFrame(chain, "a long, b long"), part_links).collect())
     assert got == {**{i: 0 for i in range(31)}, 50: 50, 70: 50, 100: 50, **{200 + k: 200 for k in range(40)}}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components.components(spark.createDataFrame([], "a long, b long"), part_links).count() == 0
+
+
+def test_contract_is_a_forest_of_stars():
+    rng = np.random.default_rng(5)
+    for n in (2, 50, 3000):
+        a, b = rng.integers(0, n, n // 2 + 1), rng.integers(0, n, n // 2 + 1)
+        low = list(range(n))
+        for _ in range(n):
+            before = list(low)
+            for x, y in zip(a.tolist(), b.tolist()):
+                low[x] = low[y] = min(low[x], low[y])
+            if low == before:
+                break
+        got = components._contract(a, b).to_pydict()
+        assert dict(zip(got["a"], got["b"])) == {i: low[i] for i in range(n) if low[i] != i}
 
 
 # ---- operator 10
