@@ -9,8 +9,8 @@ Classes come from word counts over all documents: the words above a count, about
 the square root of the corpus's words (960 at least), have a class each, and all
 others share hashed classes.  Within those a word has its own share of the
 class: log P(word | class) comes from the counts of all words, joined in Spark.
-Training covers all documents, each with a random
-quarter of its words masked (scoring masks every word): they fall into ``ROUNDS`` folds by hash; in a round every task trains a copy of the network on
+Training predicts every word of every document once: documents fall into
+``ROUNDS`` folds by hash; in a round every task trains a copy of the network on
 its share of the fold, and the copies are averaged, weighted by their words.
 The average is taken in groups of ``FAN_IN``, so no task and not the driver
 holds more copies than that.
@@ -37,7 +37,6 @@ CLASSES = GROUPS * PER_GROUP
 RARE = 64                               # hashed classes for words outside the vocabulary
 EMBED, HIDDEN = 16, 24
 ROUNDS, BATCH, RATE = 3, 8192, 0.006
-MASKED = 4                              # training masks and predicts every fourth word of a stretch of text, at random places
 FAN_IN = 32
 UNSEEN = -58 * math.log(2)              # a hashed class has 2**64 / RARE word hashes, which share what unseen words get
 
@@ -262,7 +261,7 @@ def _train(batches, state) -> Iterator[pa.RecordBatch]:
             word = classes(h, vocab, number, side * side)
             ctx = contexts(word, doc, side * side)
             rng = np.random.default_rng(len(word))
-            order = rng.permutation(len(word))[:-(-len(word) // MASKED)]
+            order = rng.permutation(len(word))            # every word is a target once, masked from its own window
             size = min(BATCH, max(256, len(order) // 16))
             for i in range(0, len(order), size):
                 t.batch(word[order[i:i + size]], ctx[order[i:i + size]])

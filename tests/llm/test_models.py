@@ -200,6 +200,14 @@ def test_lm_prefers_what_it_was_trained_on(spark, make_docs):
     assert out[1000]["log_prob"] == pytest.approx(280 * out[1000]["mean_log_prob"])
 
 
+def test_lm_every_word_is_a_target_once(spark, make_docs):
+    rows = [(i, f"a{i} b c d " * (i % 7)) for i in range(60)] + ODD
+    vocab = lm_scoring.vocabulary(make_docs(rows).select("text"))
+    state = spark.sparkContext.broadcast((lm_scoring.flat(lm_scoring.new_network(vocab.counts)), vocab.hashes, vocab.number, vocab.side))
+    copies = make_docs(rows).select("text").mapInArrow(lambda it: lm_scoring._train(it, state), lm_scoring.COPY)
+    assert copies.agg(F.sum("words")).first()[0] == sum(len(split_words(t)) for _, t in rows)
+
+
 def test_lm_copies_are_averaged_by_words(spark):
     n = sum(int(np.prod(s)) for s in lm_scoring.SHAPES.values())
     rows = [(i, i + 1, np.full(n, float(i), np.float32).tobytes()) for i in range(70)]
