@@ -40,8 +40,9 @@ NUM, DEN = 3, 4                  # similarity of at least NUM / DEN
 TOKEN_BITS = 40                  # kept of a hash beside its bucket
 BUCKET_TOKENS = 1 << 20
 CHUNK_BYTES = 8 << 20
-STAR_ROUNDS = 2
-LOOKS = 1000                      # list places looked at per posting before another round with pivots is the cheaper way
+STAR_ROUNDS = 3
+PIVOTS = 16                       # members of a list that the others are tried against in a round
+LOOKS = 8                         # list places looked at per posting before another round with pivots is the cheaper way
 
 
 def _info(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -241,12 +242,15 @@ def links_to_components(sets: DataFrame) -> DataFrame:
     for r in range(1, STAR_ROUNDS + 1):
         label = posts.join(comps, posts["doc"] == comps["node"], "left").select(
             "token", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp"))
-        mixed = label.groupBy("token", "comp").agg(
-            F.count(F.lit(1)).alias("c"), F.min_by(F.struct("doc", "n", "pos"), F.xxhash64(F.lit(r), "doc")).alias("by"))
-        mixed = (mixed.groupBy("token").agg(F.max_by(F.struct("comp", "by", "c"), F.struct("c", "comp")).alias("base"),
-                                            F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size")).filter("comps > 1")
-                 .select("token", F.col("base.comp").alias("base"), F.col("base.by.doc").alias("by"), F.col("base.by.n").alias("by_n"),
-                         F.col("base.by.pos").alias("by_pos"), "size", (F.col("size") - F.col("base.c")).alias("outside")))
+        mixed = (label.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+                 .groupBy("token").agg(F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("base"),
+                                       F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size")).filter("comps > 1")
+                 .select("token", "base", "size", (F.col("size") - F.col("most")).alias("outside")))
+        drawn = (label.withColumn("key", F.xxhash64(F.lit(r), "token", "doc"))
+                 .groupBy("token", F.pmod("key", F.lit(PIVOTS)).alias("slot"))
+                 .agg(F.min_by(F.struct(F.col("doc").alias("by"), F.col("n").alias("by_n"), F.col("pos").alias("by_pos"), F.col("comp").alias("by_comp")), "key").alias("by"))
+                 .groupBy("token").agg(F.collect_list("by").alias("pivots")))     # PIVOTS at most
+        mixed = mixed.join(drawn, "token")
         mixed = written(mixed, "mixed")
         sums = mixed.agg(F.sum("size"), F.sum(F.col("size") * F.col("outside"))).first()
         if not sums[0]:
@@ -259,7 +263,8 @@ def links_to_components(sets: DataFrame) -> DataFrame:
             right = open_.select("token", F.col("doc").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.col("pos").alias("yp"))
             new = left.join(right, (left["token"] == right["token"]) & (F.col("xc") != F.col("yc")) & _meets("xn", "xp", "yn", "yp")).select(*_pair("x", "y"))
         else:
-            new = out.filter(_meets("n", "pos", "by_n", "by_pos")).select(*_pair("doc", "by"))
+            new = (open_.select("doc", "n", "pos", "comp", F.inline("pivots")).filter("by_comp <> comp")
+                   .filter(_meets("n", "pos", "by_n", "by_pos")).select(*_pair("doc", "by")))
         new = written(new.distinct().join(tried, ["a", "b"], "left_anti"), "tried")
         found = written(_verified(new, sets), "links")
         if found.take(1):
