@@ -16,8 +16,10 @@ class with another random key.  A candidate pair meets in all three.
 3. Candidates are not all pairs of a posting list: members are paired with a
    pivot of their list, filtered by the other orders and sizes, verified
    exactly, and merged into components.  Members already in one component need
-   no further pair.  At the end every pair of members that still are in
-   different components is verified, so no link is lost.
+   no further pair.  While many places would have to be looked at, rounds try
+   each list's open members against ``PIVOTS`` members drawn for that list: rows
+   in proportion to the postings.  At the end every pair of members that still
+   are in different components is verified, so no link is lost.
 """
 
 from __future__ import annotations
