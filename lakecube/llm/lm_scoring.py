@@ -37,6 +37,7 @@ CLASSES = GROUPS * PER_GROUP
 RARE = 64                               # hashed classes for words outside the vocabulary
 EMBED, HIDDEN = 16, 24
 ROUNDS, BATCH, RATE = 3, 8192, 0.006
+PIECE, MOVED = 4096, 1 << 16            # words and weights in hand at once, few enough for the cache
 FAN_IN = 32
 UNSEEN = -58 * math.log(2)              # a hashed class has 2**64 / RARE word hashes, which share what unseen words get
 
@@ -141,16 +142,23 @@ def new_network(counts: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     return m
 
 
+def _total(x):
+    """Sum of each row, as a product, which is faster on short rows."""
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
 def _picked(x, i):
-    """log softmax of each row of ``x`` at ``i``; logits are sums of HIDDEN bounded terms, far below exp's range."""
-    return x[np.arange(len(i)), i] - np.log(np.exp(x).sum(axis=1))
+    """log softmax of each row of ``x`` at ``i``; logits are sums of HIDDEN bounded terms, far below exp's range.  ``x`` is used up."""
+    at = x[np.arange(len(i)), i]
+    return at - np.log(_total(np.exp(x, out=x)))
 
 
-def _error(x, i):
-    """Gradient of -log softmax at ``i``."""
-    d = np.exp(x)
-    d /= d.sum(axis=1, keepdims=True)
-    d[np.arange(len(i)), i] -= 1
+def _error(x, i, n: int):
+    """Gradient of the mean of -log softmax at ``i`` over ``n`` rows, in place of ``x``."""
+    each = x.dtype.type(1 / n)
+    d = np.exp(x, out=x)
+    d *= (each / _total(d))[:, None]
+    d[np.arange(len(i)), i] -= each
     return d
 
 
@@ -159,62 +167,81 @@ def _sorted(i, most: int):
     return np.argsort(i.astype(np.int16 if most < 1 << 15 else np.int32), kind="stable")
 
 
-def _hidden(m, ctx, tables=None):
-    tables = [m["E"] @ m["W"][j] for j in range(2 * SIDE)] if tables is None else tables
-    pre = m["b"] + tables[0][ctx[:, 0]]
-    for j in range(1, 2 * SIDE):
-        pre += tables[j][ctx[:, j]]
-    return np.tanh(pre)
+def _hidden(m, ctx):
+    """Embeddings around each word side by side, and the hidden layer with a last column of ones, which takes the bias."""
+    x = np.take(m["E"], ctx, axis=0).reshape(len(ctx), -1)
+    h = np.ones((len(ctx), len(m["b"]) + 1), x.dtype)
+    np.tanh(x @ m["W"].reshape(x.shape[1], -1) + m["b"], out=h[:, :-1])
+    return x, h
+
+
+def _output(m):
+    """Output weights of the groups, and of the classes within each, with the biases as their last input."""
+    return np.vstack([m["G"], m["g"]]), np.concatenate([m["V"], m["v"][:, None]], axis=1)
+
+
+def _runs(group):
+    """(group, from, to) of each run in ascending ``group``."""
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    return zip(group[first].tolist(), first.tolist(), [*first[1:].tolist(), len(group)])
+
+
+def _inner_logits(h, inner, runs, room):
+    for k, a, b in runs:
+        np.matmul(h[a:b], inner[k], out=room[a:b])
+    return room[:len(h)]
 
 
 def log_probability(m, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
     """log P(word | context) of each word."""
-    tables = [m["E"] @ m["W"][j] for j in range(2 * SIDE)]
     out = np.empty(len(word))
     groups, _, per_group = m["V"].shape
-    for a in range(0, len(word), 1 << 15):
-        w = word[a:a + (1 << 15)]
-        h = _hidden(m, ctx[a:a + (1 << 15)], tables)
-        group, inner = w // per_group, w % per_group
-        lp = _picked(h @ m["G"] + m["g"], group).astype(float)
-        order = _sorted(group, groups)
-        edges = np.searchsorted(group[order], np.arange(groups + 1))
-        for k in range(groups):
-            i = order[edges[k]:edges[k + 1]]
-            if len(i):
-                lp[i] += _picked(h[i] @ m["V"][k] + m["v"][k], inner[i])
-        out[a:a + len(w)] = lp
+    outer, inner = _output(m)
+    order = _sorted(word // per_group, groups)        # words of a group side by side
+    room = np.empty((min(PIECE, len(word)), groups), outer.dtype)          # there are as many groups as classes in each
+    for a in range(0, len(word), PIECE):
+        at = order[a:a + PIECE]
+        group, within = np.divmod(word[at], per_group)
+        _, h = _hidden(m, np.take(ctx, at, axis=0))
+        lp = _picked(np.matmul(h, outer, out=room[:len(h)]), group).astype(float)
+        out[at] = lp + _picked(_inner_logits(h, inner, _runs(group), room), within)
     return out
 
 
 def _gradients(m, word, ctx):
-    n = np.float32(len(word))
-    h = _hidden(m, ctx)
+    """Gradient of the mean of -log P(word | context)."""
     groups, _, per_group = m["V"].shape
-    group, inner = word // per_group, word % per_group
-    d = _error(h @ m["G"] + m["g"], group) / n
-    g = {"G": h.T @ d, "g": d.sum(axis=0), "V": np.zeros_like(m["V"]), "v": np.zeros_like(m["v"])}
-    dh = d @ m["G"].T
-    order = _sorted(group, groups)
-    edges = np.searchsorted(group[order], np.arange(groups + 1))
-    for k in range(groups):
-        i = order[edges[k]:edges[k + 1]]
-        if len(i):
-            hi = h[i]
-            d = _error(hi @ m["V"][k] + m["v"][k], inner[i]) / n
-            g["V"][k], g["v"][k] = hi.T @ d, d.sum(axis=0)
-            dh[i] += d @ m["V"][k].T
-    dpre = dh * (1 - h * h)
-    g["b"] = dpre.sum(axis=0)
-    g["W"], g["E"] = np.zeros_like(m["W"]), np.zeros_like(m["E"])
-    for j in range(2 * SIDE):
-        order = _sorted(ctx[:, j], len(m["E"]))
-        of = ctx[order, j]
-        first = np.flatnonzero(np.diff(of, prepend=-1))
-        ids = of[first]
-        sums = np.add.reduceat(dpre[order], first, axis=0)
-        g["W"][j] = m["E"][ids].T @ sums
-        g["E"][ids] += sums @ m["W"][j].T
+    outer, inner = _output(m)
+    back = m["W"].reshape(-1, outer.shape[0] - 1).T
+    order = _sorted(word // per_group, groups)        # words of a group side by side
+    ctx = np.take(ctx, order, axis=0)
+    groups_of, within = np.divmod(word[order], per_group)
+    room = np.empty((min(PIECE, len(word)), groups), outer.dtype)
+    g_outer, g_inner = np.zeros_like(outer), np.zeros_like(inner)
+    g = {"W": np.zeros_like(m["W"]), "b": np.zeros_like(m["b"])}
+    dx = np.empty((len(word), back.shape[1]), outer.dtype)
+    for lo in range(0, len(word), PIECE):
+        piece = slice(lo, lo + PIECE)
+        group = groups_of[piece]
+        runs = list(_runs(group))
+        x, h = _hidden(m, ctx[piece])
+        d = _error(np.matmul(h, outer, out=room[:len(h)]), group, len(word))
+        g_outer += h.T @ d
+        dh = d @ m["G"].T
+        d = _error(_inner_logits(h, inner, runs, room), within[piece], len(word))
+        for k, a, b in runs:
+            g_inner[k] += h[a:b].T @ d[a:b]
+            dh[a:b] += d[a:b] @ m["V"][k].T
+        dpre = dh * (1 - h[:, :-1] ** 2)
+        g["b"] += dpre.sum(axis=0)
+        g["W"] += (x.T @ dpre).reshape(m["W"].shape)
+        np.matmul(dpre, back, out=dx[piece])
+    g |= {"G": g_outer[:-1], "g": g_outer[-1], "V": g_inner[:, :-1], "v": g_inner[:, -1], "E": np.zeros_like(m["E"])}
+    at = ctx.ravel()
+    order = _sorted(at, len(m["E"]))
+    at = at[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    g["E"][at[first]] = np.add.reduceat(np.take(dx.reshape(len(at), -1), order, axis=0), first, axis=0)
     return g
 
 
@@ -230,11 +257,21 @@ class Trainer:
     def batch(self, word, ctx, rate=RATE):
         self.step += 1
         self.words += len(word)
+        a, b = 1 - 0.9 ** self.step, 1 - 0.995 ** self.step
         for k, g in _gradients(self.m, word, ctx).items():
-            self.first[k] += 0.1 * (g - self.first[k])
-            self.second[k] += 0.005 * (g * g - self.second[k])
-            a, b = 1 - 0.9 ** self.step, 1 - 0.995 ** self.step
-            self.m[k] -= np.float32(rate) * (self.first[k] / a) / (np.sqrt(self.second[k] / b) + np.float32(1e-7))
+            whole = [x.reshape(-1) for x in (self.m[k], self.first[k], self.second[k], g)]
+            for i in range(0, g.size, MOVED):
+                m, first, second, d = (x[i:i + MOVED] for x in whole)
+                first += 0.1 * (d - first)
+                d *= d
+                d -= second
+                d *= 0.005
+                second += d
+                np.sqrt(np.divide(second, b, out=d), out=d)
+                d += 1e-7
+                np.divide(first, d, out=d)
+                d *= rate / a
+                m -= d
 
 
 def flat(m) -> np.ndarray:

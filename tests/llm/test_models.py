@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -179,6 +180,25 @@ def test_lm_gradients_and_normalisation():
     assert (lm_scoring.flat(lm_scoring.unflat(lm_scoring.flat(m))) == lm_scoring.flat(m)).all()
 
 
+def test_lm_scoring_and_gradients_hold_a_piece_at_a_time():
+    rng = np.random.default_rng(6)
+    side, n = 96, 20000
+    m = lm_scoring.new_network(rng.integers(0, 100, side * side))
+    word, ctx = rng.zipf(1.3, n) % (side * side), rng.integers(0, side * side + 1, (n, 2 * lm_scoring.SIDE))
+    peaks = []
+    for run in (lm_scoring.log_probability, lm_scoring._gradients):
+        tracemalloc.start()
+        run(m, word, ctx)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    logits = 4 * side * n                             # bytes of one softmax, were it held whole
+    assert peaks[0] < 1.2 * logits and peaks[1] < 3 * logits, [p / logits for p in peaks]
+    h = np.tanh(m["b"] + sum(m["E"][ctx[:, j]] @ m["W"][j] for j in range(2 * lm_scoring.SIDE))).astype(float)
+    outer, inner = h @ m["G"] + m["g"], np.einsum("nh,nhk->nk", h, m["V"][word // side].astype(float)) + m["v"][word // side]
+    plain = sum(x[np.arange(n), i] - np.log(np.exp(x).sum(axis=1)) for x, i in ((outer, word // side), (inner, word % side)))
+    assert np.allclose(lm_scoring.log_probability(m, word, ctx), plain, atol=1e-4)
+
+
 def test_lm_contexts_stay_in_their_document():
     e = lm_scoring.CLASSES
     got = lm_scoring.contexts(np.array([1, 2, 3, 4, 5]), np.array([0, 0, 0, 1, 1]))
