@@ -9,6 +9,8 @@ sequence costs no more Python steps than many short ones.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 TAGS = 3
@@ -60,51 +62,61 @@ def likelihood(m, emit: np.ndarray, tags: np.ndarray, size: np.ndarray):
 
 
 def viterbi(m, emit: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Best tags of the sequences laid end to end in ``emit``; ``first`` marks where one begins."""
+    """Best tags of the sequences laid end to end in ``emit``; ``first`` marks where one begins.
+
+    All blocks go forward together, a place at a time, with the blocks as the last axis: each step
+    is a few operations on long rows of numbers.
+    """
     n = len(emit)
     if not n:
         return np.zeros(0, np.int64)
-    rows = -(-n // BLOCK)
+    rows, tags = -(-n // BLOCK), range(TAGS)
     e = np.zeros((rows * BLOCK, TAGS))
     e[:n] = emit
     begin = np.zeros(rows * BLOCK, bool)
     begin[:n], begin[0] = first, True
     begin[n:] = True                                # what fills the last block stands alone
-    e, begin = e.reshape(rows, BLOCK, TAGS), begin.reshape(rows, BLOCK)
-    fresh = np.broadcast_to(m["start"], (TAGS, TAGS))           # any tag before a beginning, at no cost
+    e = np.ascontiguousarray(e.reshape(rows, BLOCK, TAGS).transpose(1, 2, 0))
+    begin = np.ascontiguousarray(begin.reshape(rows, BLOCK).T)
 
-    def step(v, t):                                # v[r, .., i]: best score with tag i at t - 1
-        move = np.where(begin[:, t, None, None], fresh, m["move"])
-        return v[..., :, None] + (move[:, None] if v.ndim == 3 else move)
+    def step(v, t):                                # [j][i]: best score with tag i at t - 1, and j next
+        # any tag before a beginning, at no cost
+        return [[v[i] + np.where(begin[t], m["start"][j], m["move"][i, j]) for i in tags] for j in tags]
 
-    whole = np.where(np.eye(TAGS, dtype=bool), 0.0, -np.inf) + np.zeros((rows, 1, 1))
+    whole = np.where(np.eye(TAGS, dtype=bool), 0.0, -np.inf)[:, :, None] + np.zeros(rows)
     for t in range(BLOCK):
-        whole = step(whole, t).max(axis=2) + e[:, t, None, :]
-    into = np.zeros((rows, TAGS))
-    v = np.zeros(TAGS)
-    for r in range(rows):                           # one step per block
-        into[r] = v
-        v = (v[:, None] + whole[r]).max(axis=0)
-        v -= v.max()
-    back = np.empty((rows, BLOCK, TAGS), np.int8)
-    v = into
+        whole = [functools.reduce(np.maximum, c) + e[t, j] for j, c in enumerate(step(whole, t))]
+    into, v = [], [0.0] * TAGS
+    for block in np.stack(whole).transpose(2, 0, 1).tolist():           # one step per block
+        into.append(v)
+        v = [max(x + y for x, y in zip(v, c)) for c in block]
+        top = max(v)
+        v = [x - top for x in v]
+    back = np.empty((BLOCK, TAGS, rows), np.int8)
+    v = np.array(into).T
     for t in range(BLOCK):
-        c = step(v, t)
-        back[:, t] = c.argmax(axis=1)
-        v = c.max(axis=1) + e[:, t]
-    source = np.tile(np.arange(TAGS, dtype=np.int8), (rows, 1))
+        new = []
+        for j, c in enumerate(step(v, t)):
+            best, at = c[0], back[t, j]
+            at[:] = 0
+            for i in tags[1:]:
+                at[c[i] > best] = i
+                best = np.maximum(best, c[i])
+            new.append(best + e[t, j])
+        v = new
+    source = np.repeat(np.arange(TAGS, dtype=np.int8)[:, None], rows, axis=1)
     for t in range(BLOCK - 1, -1, -1):
-        source = np.take_along_axis(back[:, t], source.astype(np.int64), axis=1)
-    last = np.empty(rows, np.int64)
-    tag = int(v[-1].argmax())
-    for r in range(rows - 1, -1, -1):
-        last[r] = tag
-        tag = int(source[r, tag])
-    out = np.empty((rows, BLOCK), np.int64)
+        source = np.choose(source, back[t])
+    tag, last = int(np.argmax([x[-1] for x in v])), []
+    for before in reversed(source.T.tolist()):
+        last.append(tag)
+        tag = before[tag]
+    last = np.array(last[::-1], np.int8)
+    out = np.empty((BLOCK, rows), np.int8)
     for t in range(BLOCK - 1, -1, -1):
-        out[:, t] = last
-        last = np.take_along_axis(back[:, t], last[:, None], axis=1)[:, 0].astype(np.int64)
-    return out.reshape(-1)[:n]
+        out[t] = last
+        last = np.choose(last, back[t])
+    return out.T.reshape(-1)[:n].astype(np.int64)
 
 
 def train(idx: np.ndarray, tags: np.ndarray, size: np.ndarray, n_features: int, groups: list[list[int]], epochs: int = 12,

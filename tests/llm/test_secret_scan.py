@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,23 @@ def test_one_long_sequence_over_many_blocks():
     assert crf.viterbi(m, e, first).tolist() == tags[::-1]
 
 
+def test_decoding_costs_no_more_than_a_few_emissions():
+    rng = np.random.default_rng(4)
+    m = _random_model(rng, 2000)
+    idx = rng.integers(0, 2000, (200_000, 10)).astype(np.int32)
+    first = rng.random(len(idx)) < 0.05
+    e = crf.emissions(m, idx)
+    took = {}
+    for name, run in (("emissions", lambda: crf.emissions(m, idx)), ("viterbi", lambda: crf.viterbi(m, e, first))):
+        times = []
+        for _ in range(3):
+            t = time.process_time()
+            run()
+            times.append(time.process_time() - t)
+        took[name] = min(times)
+    assert took["viterbi"] < 3 * took["emissions"], took          # 4.6 times with the tags as last axis
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     m, e = _random_model(rng), rng.normal(size=(3, 6, 3))
