@@ -8,7 +8,9 @@ log P(word | both sides) over all its words.
 Classes come from word counts over all documents: the words above a count, about
 the square root of the corpus's words (960 at least), have a class each, and all
 others share hashed classes.  Within those a word has its own share of the
-class: log P(word | class) comes from the counts of all words, joined in Spark.
+class: log P(word | class) comes from the counts of all words.  The most frequent
+of these words, ``KNOWN`` times as many as the classes at most, go to the tasks
+with the network; the others are joined in Spark.
 Training predicts every word of every document once: documents fall into
 ``ROUNDS`` folds by hash; in a round every task trains a copy of the network on
 its share of the fold, and the copies are averaged, weighted by their words.
@@ -24,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +38,11 @@ SIDE = 2                                # words looked at on either side
 GROUPS, PER_GROUP = 32, 32              # at least; as many more as the vocabulary needs
 CLASSES = GROUPS * PER_GROUP
 RARE = 64                               # hashed classes for words outside the vocabulary
+KNOWN = 16                              # words outside the vocabulary that tasks know, for each one that may be in it
+MERGED = 1 << 20                        # counts added up in a task before they leave it
 EMBED, HIDDEN = 16, 24
 ROUNDS, BATCH, RATE = 3, 8192, 0.006
-PIECE, MOVED = 4096, 1 << 16            # words and weights in hand at once, few enough for the cache
+PIECE, MOVED = 4096, 1 << 14            # words and weights in hand at once, few enough for the cache
 FAN_IN = 32
 UNSEEN = -58 * math.log(2)              # a hashed class has 2**64 / RARE word hashes, which share what unseen words get
 
@@ -59,6 +64,8 @@ class Vocabulary(NamedTuple):
     counts: np.ndarray                  # words of each class
     kinds: np.ndarray                   # distinct words of each hashed class
     rare: DataFrame                     # (word, n) of every word without a class of its own
+    known: np.ndarray                   # hashes of the most frequent ones of these
+    share: np.ndarray                   # and their log P(word | class)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
@@ -68,23 +75,44 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray):
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
     for batch in batches:
         data, offsets = W.text_buffer(batch.column(0))
         for a, b in W.slices(offsets):
-            h, n = np.unique(word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
+            held.append(np.unique(word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])[0], return_counts=True))
+            size += len(held[-1][0])
+            if size >= MERGED:
+                yield _merged(held)
+                held, size = [], 0
+    if size:
+        yield _merged(held)
+
+
+def _merged(held) -> pa.RecordBatch:
+    """One row per word of several (words, counts)."""
+    h, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(np.add.reduceat(n, first), pa.int64())], names=["word", "n"])
 
 
-def vocabulary(texts: DataFrame) -> Vocabulary:
-    """Classes and counts from all documents' words."""
-    counts = written(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    each = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
-    most = max(CLASSES - RARE, math.isqrt(sum(n * words for n, words in each)))
+def _top(each, most: int) -> tuple[int | None, int]:
+    """The least count that leaves at most ``most`` words (None: no count does), and how many; ``each``: (count, words), falling."""
     least, have = None, 0                # all words that occur as often, or none
     for n, words in each:
         if have + words > most:
             break
         least, have = n, have + words
+    return least, have
+
+
+def vocabulary(texts: DataFrame) -> Vocabulary:
+    """Classes and counts from all documents' words."""
+    counts = written(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    each = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    most = max(CLASSES - RARE, math.isqrt(sum(n * words for n, words in each)))
+    least, have = _top(each, most)
     own = counts.filter(F.col("n") >= least).collect() if have else []
     rare = counts if not have else counts.filter(F.col("n") < least)
     own.sort(key=lambda r: (-r["n"], r["word"]))
@@ -95,39 +123,52 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     n[:have] = [r["n"] for r in own]
     for r in rare.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
         n[side * side - RARE + r["c"]], kinds[r["c"]] = r["n"], r["kinds"]
-    return Vocabulary(h[order], order.astype(np.int64), side, n, kinds, rare)
+    near, words = _top(each, KNOWN * most)
+    known = (rare.filter(F.col("n") >= near) if words > have else rare.limit(0)).toArrow()
+    word = known.column("word").to_numpy()
+    share = np.log(known.column("n").to_numpy().astype(float)) - _of_class(n, kinds)[word & (RARE - 1)]
+    return Vocabulary(h[order], order.astype(np.int64), side, n, kinds, rare, word.view(np.uint64), share)
 
 
 def classes(h: np.ndarray, vocab: np.ndarray, number: np.ndarray, total: int = CLASSES) -> np.ndarray:
     rare = total - RARE + (h % np.uint64(RARE)).astype(np.int64)
-    if not len(vocab):
-        return rare
-    at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-    return np.where(vocab[at] == h, number[at], rare)
+    at = _find(h, vocab)
+    own = np.flatnonzero(at >= 0)
+    rare[own] = np.take(number, at[own])
+    return rare
+
+
+def _find(h: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Place of each hash in ``among``, or -1."""
+    return pc.fill_null(pc.index_in(pa.array(h), value_set=pa.array(among)), -1).to_numpy(zero_copy_only=False)
+
+
+def _of_class(counts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """log of what the words of each hashed class share (Witten-Bell: a class's unseen words count once for each distinct one)."""
+    return np.log(np.maximum(counts[-RARE:] + kinds, 1))
 
 
 def in_class(vocab: Vocabulary) -> DataFrame:
-    """(word, lp): log P(word | class) of every word seen without a class of its own (Witten-Bell: a class's unseen words count once for each distinct one)."""
-    of = np.log(np.maximum(vocab.counts[-RARE:] + vocab.kinds, 1))
-    size = F.element_at(F.array(*[F.lit(float(x)) for x in of]), (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
+    """(word, lp): log P(word | class) of every word seen without a class of its own."""
+    size = F.element_at(F.array(*[F.lit(float(x)) for x in _of_class(vocab.counts, vocab.kinds)]), (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
     return vocab.rare.select("word", (F.log(F.col("n").cast("double")) - size).alias("lp"))
 
 
 def unseen(vocab: Vocabulary) -> np.ndarray:
     """log P(word | class) of any word not seen, by hashed class."""
-    return UNSEEN + np.log(np.maximum(vocab.kinds, 1)) - np.log(np.maximum(vocab.counts[-RARE:] + vocab.kinds, 1))
+    return UNSEEN + np.log(np.maximum(vocab.kinds, 1)) - _of_class(vocab.counts, vocab.kinds)
 
 
 def contexts(word: np.ndarray, doc: np.ndarray, edge: int = CLASSES) -> np.ndarray:
     """(words, 2 * SIDE) classes around each word; beyond the document's ends the edge class."""
     n = len(word)
-    out = np.full((n, 2 * SIDE), edge, dtype=np.int64)
+    before = SIDE * np.cumsum(np.diff(doc, prepend=-1) != 0)          # edges up to each word: SIDE before every document
+    line = np.full(n + (before[-1] if n else 0) + SIDE, edge, dtype=np.int64)
+    at = np.arange(n) + before
+    line[at] = word
+    out = np.empty((n, 2 * SIDE), dtype=np.int64)
     for j, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        at = np.arange(n) + shift
-        ok = (at >= 0) & (at < n)
-        at = np.clip(at, 0, max(n - 1, 0))
-        ok &= doc[at] == doc if n else ok
-        out[ok, j] = word[at[ok]]
+        out[:, j] = np.take(line, at + shift)
     return out
 
 
@@ -154,12 +195,11 @@ def _picked(x, i):
 
 
 def _error(x, i, n: int):
-    """Gradient of the mean of -log softmax at ``i`` over ``n`` rows, in place of ``x``."""
-    each = x.dtype.type(1 / n)
+    """Gradient of the mean of -log softmax at ``i`` over ``n`` rows, in place of ``x``; each row still to be scaled by the second result."""
     d = np.exp(x, out=x)
-    d *= (each / _total(d))[:, None]
-    d[np.arange(len(i)), i] -= each
-    return d
+    total = _total(d)
+    d[np.arange(len(i)), i] -= total
+    return d, (x.dtype.type(1 / n) / total)[:, None]
 
 
 def _sorted(i, most: int):
@@ -168,11 +208,14 @@ def _sorted(i, most: int):
 
 
 def _hidden(m, ctx):
-    """Embeddings around each word side by side, and the hidden layer with a last column of ones, which takes the bias."""
+    """Embeddings around each word side by side, the hidden layer, and that with a last column of ones, which takes the bias."""
     x = np.take(m["E"], ctx, axis=0).reshape(len(ctx), -1)
-    h = np.ones((len(ctx), len(m["b"]) + 1), x.dtype)
-    np.tanh(x @ m["W"].reshape(x.shape[1], -1) + m["b"], out=h[:, :-1])
-    return x, h
+    t = x @ m["W"].reshape(x.shape[1], -1)
+    t += m["b"]
+    np.tanh(t, out=t)
+    h = np.empty((len(t), t.shape[1] + 1), t.dtype)
+    h[:, :-1], h[:, -1] = t, 1
+    return x, t, h
 
 
 def _output(m):
@@ -202,7 +245,7 @@ def log_probability(m, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
     for a in range(0, len(word), PIECE):
         at = order[a:a + PIECE]
         group, within = np.divmod(word[at], per_group)
-        _, h = _hidden(m, np.take(ctx, at, axis=0))
+        h = _hidden(m, np.take(ctx, at, axis=0))[-1]
         lp = _picked(np.matmul(h, outer, out=room[:len(h)]), group).astype(float)
         out[at] = lp + _picked(_inner_logits(h, inner, _runs(group), room), within)
     return out
@@ -212,37 +255,38 @@ def _gradients(m, word, ctx):
     """Gradient of the mean of -log P(word | context)."""
     groups, _, per_group = m["V"].shape
     outer, inner = _output(m)
-    back = m["W"].reshape(-1, outer.shape[0] - 1).T
+    back = m["W"].transpose(1, 0, 2).reshape(-1, len(m["b"]))            # by number in the embedding, then place around the word
     order = _sorted(word // per_group, groups)        # words of a group side by side
     ctx = np.take(ctx, order, axis=0)
     groups_of, within = np.divmod(word[order], per_group)
     room = np.empty((min(PIECE, len(word)), groups), outer.dtype)
     g_outer, g_inner = np.zeros_like(outer), np.zeros_like(inner)
     g = {"W": np.zeros_like(m["W"]), "b": np.zeros_like(m["b"])}
-    dx = np.empty((len(word), back.shape[1]), outer.dtype)
+    dx = np.empty((len(back), len(word)), outer.dtype)
     for lo in range(0, len(word), PIECE):
         piece = slice(lo, lo + PIECE)
         group = groups_of[piece]
         runs = list(_runs(group))
-        x, h = _hidden(m, ctx[piece])
-        d = _error(np.matmul(h, outer, out=room[:len(h)]), group, len(word))
-        g_outer += h.T @ d
+        x, t, h = _hidden(m, ctx[piece])
+        d, scale = _error(np.matmul(h, outer, out=room[:len(h)]), group, len(word))
+        g_outer += (h * scale).T @ d
         dh = d @ m["G"].T
-        d = _error(_inner_logits(h, inner, runs, room), within[piece], len(word))
+        dh *= scale
+        d, scale = _error(_inner_logits(h, inner, runs, room), within[piece], len(word))
+        scaled, dpre = h * scale, np.empty_like(dh)
         for k, a, b in runs:
-            g_inner[k] += h[a:b].T @ d[a:b]
-            dh[a:b] += d[a:b] @ m["V"][k].T
-        dpre = dh * (1 - h[:, :-1] ** 2)
-        g["b"] += dpre.sum(axis=0)
+            g_inner[k] += scaled[a:b].T @ d[a:b]
+            np.matmul(d[a:b], m["V"][k].T, out=dpre[a:b])
+        dpre *= scale
+        dpre += dh
+        t *= t
+        dpre *= np.subtract(1, t, out=t)
+        g["b"] += _total(dpre.T)
         g["W"] += (x.T @ dpre).reshape(m["W"].shape)
-        np.matmul(dpre, back, out=dx[piece])
-    g |= {"G": g_outer[:-1], "g": g_outer[-1], "V": g_inner[:, :-1], "v": g_inner[:, -1], "E": np.zeros_like(m["E"])}
-    at = ctx.ravel()
-    order = _sorted(at, len(m["E"]))
-    at = at[order]
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    g["E"][at[first]] = np.add.reduceat(np.take(dx.reshape(len(at), -1), order, axis=0), first, axis=0)
-    return g
+        np.matmul(back, dpre.T, out=dx[:, piece])
+    at = ctx.T.ravel()
+    dx = np.stack([np.bincount(at, d, len(m["E"])) for d in dx.reshape(-1, len(at))], axis=1, dtype=outer.dtype, casting="same_kind")
+    return g | {"G": g_outer[:-1], "g": g_outer[-1], "V": g_inner[:, :-1], "v": g_inner[:, -1], "E": dx}
 
 
 class Trainer:
@@ -257,20 +301,20 @@ class Trainer:
     def batch(self, word, ctx, rate=RATE):
         self.step += 1
         self.words += len(word)
-        a, b = 1 - 0.9 ** self.step, 1 - 0.995 ** self.step
+        a, b = (1 - 0.9 ** self.step) / 0.1, np.sqrt((1 - 0.995 ** self.step) / 0.005)      # the means are kept as sums
         for k, g in _gradients(self.m, word, ctx).items():
             whole = [x.reshape(-1) for x in (self.m[k], self.first[k], self.second[k], g)]
             for i in range(0, g.size, MOVED):
                 m, first, second, d = (x[i:i + MOVED] for x in whole)
-                first += 0.1 * (d - first)
+                first *= 0.9
+                first += d
                 d *= d
-                d -= second
-                d *= 0.005
+                second *= 0.995
                 second += d
-                np.sqrt(np.divide(second, b, out=d), out=d)
-                d += 1e-7
+                np.sqrt(second, out=d)
+                d += float(1e-7 * b)
                 np.divide(first, d, out=d)
-                d *= rate / a
+                d *= float(rate * b / a)
                 m -= d
 
 
@@ -301,7 +345,7 @@ def _train(batches, state) -> Iterator[pa.RecordBatch]:
             order = rng.permutation(len(word))            # every word is a target once, masked from its own window
             size = min(BATCH, max(256, len(order) // 16))
             for i in range(0, len(order), size):
-                t.batch(word[order[i:i + size]], ctx[order[i:i + size]])
+                t.batch(np.take(word, order[i:i + size]), np.take(ctx, order[i:i + size], axis=0))
     if t.words:
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([t.words], pa.int64()),
                                           pa.array([flat(t.m).tobytes()], pa.binary())], names=["part", "words", "weights"])
@@ -359,12 +403,12 @@ def score_documents(docs: DataFrame, model=None, id_col: str = "doc_id", text_co
     are not looked at.
     """
     weights, vocab = model or train(docs, text_col)
-    state = docs.sparkSession.sparkContext.broadcast((weights, vocab.hashes, vocab.number, vocab.side))
+    state = docs.sparkSession.sparkContext.broadcast((weights, vocab.hashes, vocab.number, vocab.side, vocab.known, vocab.share))
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        weights, vocab, number, side = state.value
+        weights, vocab, number, side, known, share = state.value
         m, row = unflat(weights, side), TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = W.text_buffer(batch.column(1))
@@ -373,6 +417,10 @@ def score_documents(docs: DataFrame, model=None, id_col: str = "doc_id", text_co
                 word = classes(h, vocab, number, side * side)
                 lp = log_probability(m, word, contexts(word, doc, side * side))
                 rare = np.flatnonzero(word >= side * side - RARE)
+                at = _find(h[rare], known)
+                here = at >= 0
+                lp[rare[here]] += share[at[here]]
+                rare = rare[~here]                    # the others' shares are joined
                 rare = rare[np.lexsort((h[rare], doc[rare]))]
                 rh, rd = h[rare], doc[rare]
                 first = np.flatnonzero(np.concatenate([[True], (rh[1:] != rh[:-1]) | (rd[1:] != rd[:-1])])) if len(rare) else rare
@@ -389,7 +437,7 @@ def score_documents(docs: DataFrame, model=None, id_col: str = "doc_id", text_co
                            T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
     out = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema), "scores")
     rare = out.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
-    # No word of ``rare`` is frequent: those have classes of their own.
+    # No word of ``rare`` is frequent: those have classes of their own, or their shares are known in the tasks.
     never = F.element_at(F.array(*[F.lit(float(x)) for x in unseen(vocab)]), (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
     share = rare.join(in_class(vocab), "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("lp", never)).alias("share"))
     out = out.drop("rare", "times").join(share, "row", "left")

@@ -265,6 +265,30 @@ def test_lm_words_of_a_class_share_it_by_their_counts(spark, make_docs):
     assert out[0][2] > out[1][2] + 20 and out[0][2] < out[3][2] - 5
 
 
+def test_lm_known_words_score_as_joined_ones(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "KNOWN", 2)
+    line = [f"{name}{k}" for name, most, times in (("often", 300, 20), ("some", 800, 8), ("seldom", 1000, 4)) for k in range(most) for _ in range(times)]
+    random.Random(8).shuffle(line)
+    rows = [(i, " ".join(line[82 * i:82 * i + 82])) for i in range(200)]
+    docs = make_docs(rows + [(300, "gibberish7 some1 some1 seldom3 often2")] + ODD)
+    vocab = lm_scoring.vocabulary(make_docs(rows).select("text"))
+    assert len(vocab.hashes) == 300 and len(vocab.known) == 800
+    joined = {r["word"]: r["lp"] for r in lm_scoring.in_class(vocab).collect()}
+    assert [joined[h] for h in vocab.known.view(np.int64).tolist()] == pytest.approx(vocab.share.tolist())
+    weights = lm_scoring.flat(lm_scoring.new_network(vocab.counts))
+    none = vocab._replace(known=vocab.known[:0], share=vocab.share[:0])
+    with_known, without = (sorted(((r["doc_id"] or 0, r["n_tokens"], r["log_prob"]) for r in lm_scoring.score_documents(docs, (weights, v)).collect())) for v in (vocab, none))
+    assert [r[:2] for r in with_known] == [r[:2] for r in without]
+    assert [r[2] for r in with_known] == pytest.approx([r[2] for r in without])
+
+
+def test_lm_counts_leave_a_task_added_up():
+    texts = [pa.record_batch({"text": ["b a A", None, "c a"]}), pa.record_batch({"text": ["a", "c"]}), pa.record_batch({"text": pa.array([], pa.string())})]
+    got = list(lm_scoring._count(iter(texts)))
+    assert len(got) == 1 and sorted(got[0].column("n").to_pylist()) == [1, 2, 4] and len(set(got[0].column("word").to_pylist())) == 3
+    assert list(lm_scoring._count(iter(texts[2:]))) == []
+
+
 # ---- operator 6
 
 def brute_url(url):
